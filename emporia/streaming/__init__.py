@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The analysed workload is batch only: every input is a bounded table read once
+and every output is a bounded write. There is no watermark, windowed stream
+aggregation or stateful operator to provide, so this package stays empty on
+purpose rather than carrying features the workload does not use.
+"""
