@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from emporia.operators.ranking import ROWS_PER_BIN, global_ntile
+from emporia.operators.ranking import ROWS_PER_BIN, exact_quantile, global_ntile
 
 # Segment thresholds on the summed score (3..12) and their names.
 SEGMENTS = [(10, "Champions"), (7, "Loyal Customers"), (5, "At Risk")]
@@ -99,3 +99,20 @@ def rfm_scores(rfm_df: DataFrame, key: str, orientation: str = "best_high", scal
             out = out.withColumn(score, F.ntile(4).over(w))
     total = F.col("R_score") + F.col("F_score") + F.col("M_score")
     return out.withColumn("RFM_score", total).withColumn("customer_segment", segment(F.col("RFM_score")))
+
+
+def cap_at_quantile(df: DataFrame, columns: list[str], q: float = 0.99, exact: bool = True,
+                    relative_error: float = 0.001, rows_per_bin: int = ROWS_PER_BIN):
+    """Cap each column at its q-quantile; returns (capped df, {column: cap}).
+
+    ``exact`` uses the binned exact quantile (value at position ceil(q*n));
+    otherwise ``approxQuantile`` with the given rank error (one sketch pass
+    for all columns). The caps are scalars placed in the plan as literals.
+    """
+    if exact:
+        caps = {c: exact_quantile(df, c, q, rows_per_bin) for c in columns}
+    else:
+        values = df.approxQuantile(columns, [q], relative_error)
+        caps = {c: v[0] if v else None for c, v in zip(columns, values)}
+    capped = df.withColumns({c: F.least(F.col(f"`{c}`"), F.lit(v)) for c, v in caps.items() if v is not None})
+    return capped, caps

@@ -333,7 +333,7 @@ rfm_retail AS (
          COALESCE(SUM(TotalLineValue), 0) AS monetary
   FROM retail_featured WHERE "Customer ID" <> -1 GROUP BY "Customer ID")"""
 
-WITH = "WITH " + ",".join([RAW, CLEAN, MASTER, RFM, RETAIL]) + "\n"
+WITH = "WITH " + ",".join([RAW, CLEAN, MASTER, RFM, RETAIL])
 
 DELIVERED = "order_status = 'delivered'"
 DAY_NAME = ("CASE order_day_of_week WHEN 1 THEN 'Sunday' WHEN 2 THEN 'Monday' WHEN 3 THEN 'Tuesday' "
@@ -475,7 +475,192 @@ FROM featured GROUP BY primary_payment_type ORDER BY orders DESC, primary_paymen
 
 def queries() -> dict[str, str]:
     """Full SQL text per registered query name."""
-    return {name: WITH + body.strip() for name, body in {**QUESTIONS, **TABLES}.items()}
+    return {name: WITH + CLUSTER_BASE + "\n" + body.strip() for name, body in {**QUESTIONS, **TABLES}.items()}
 
 
 TABLES: dict[str, str] = {}
+
+# Column kinds of the tables returned whole: s text, i BIGINT, d DOUBLE, t timestamp as text.
+ORDERS_COLS = [("order_id", "s"), ("customer_id", "s"), ("order_status", "s"), ("order_purchase_timestamp", "t"),
+               ("order_approved_at", "t"), ("order_delivered_carrier_date", "t"),
+               ("order_delivered_customer_date", "t"), ("order_estimated_delivery_date", "t")]
+CUSTOMERS_COLS = [("customer_id", "s"), ("customer_unique_id", "s"), ("customer_city", "s"), ("customer_state", "s")]
+ITEMS_COLS = [("order_id", "s"), ("order_item_id", "i"), ("product_id", "s"), ("seller_id", "s"),
+              ("shipping_limit_date", "t"), ("price", "d"), ("freight_value", "d")]
+PAYMENTS_RAW_COLS = [("order_id", "s"), ("payment_sequential", "i"), ("payment_type", "s"),
+                     ("payment_installments", "i"), ("payment_value", "d")]
+PAYMENTS_AGG_COLS = [("order_id", "s"), ("total_payment_value", "d"), ("max_payment_installments", "i"),
+                     ("primary_payment_type", "s"), ("payment_methods_count", "i")]
+ITEMS_AGG_COLS = [("order_id", "s"), ("items_total_price", "d"), ("items_total_freight", "d"), ("items_count", "i"),
+                  ("avg_item_price", "d"), ("main_product_id", "s"), ("main_seller_id", "s")]
+REVIEWS_COLS = [("review_id", "s"), ("order_id", "s"), ("review_score", "i"), ("review_creation_date", "t"),
+                ("review_answer_timestamp", "t")]
+REVIEWS_RAW_COLS = [("review_id", "s"), ("order_id", "s"), ("review_score", "s"), ("review_creation_date", "t"),
+                    ("review_answer_timestamp", "t")]
+PRODUCTS_RAW_COLS = [("product_id", "s"), ("product_category_name", "s"), ("product_weight_g", "d"),
+                     ("product_length_cm", "d"), ("product_height_cm", "d"), ("product_width_cm", "d")]
+PRODUCTS_COLS = [("product_category_name", "s"), ("product_id", "s"), ("product_weight_g", "d"),
+                 ("product_length_cm", "d"), ("product_height_cm", "d"), ("product_width_cm", "d"),
+                 ("product_category_name_english", "s")]
+SELLERS_COLS = [("seller_id", "s"), ("seller_city", "s"), ("seller_state", "s")]
+RETAIL_RAW_COLS = [("Invoice", "s"), ("StockCode", "s"), ("Description", "s"), ("Quantity", "i"),
+                   ("InvoiceDate", "t"), ("Price", "d"), ("Customer ID", "i"), ("Country", "s")]
+RETAIL_COLS = RETAIL_RAW_COLS + [("TotalLineValue", "d")]
+RETAIL_FEATURED_COLS = RETAIL_COLS + [("InvoiceYear", "i"), ("InvoiceMonth", "i"), ("InvoiceDayOfWeek", "i"),
+                                      ("InvoiceHour", "i"), ("is_high_value", "i")]
+FEATURED_COLS = (ORDERS_COLS + CUSTOMERS_COLS[1:] + ITEMS_AGG_COLS[1:] + PAYMENTS_AGG_COLS[1:]
+                 + [("review_score", "i"), ("review_creation_date", "t"), ("review_answer_timestamp", "t"),
+                    ("product_category_name_english", "s"), ("product_weight_g", "d"), ("product_length_cm", "d"),
+                    ("product_height_cm", "d"), ("product_width_cm", "d"), ("seller_state", "s"),
+                    ("seller_city", "s"), ("delivery_delay_days", "i"), ("actual_delivery_days", "i"),
+                    ("days_to_approve", "i"), ("total_order_value", "d"), ("is_high_review", "i"),
+                    ("is_delivered", "i"), ("order_year", "i"), ("order_month", "i"), ("order_day_of_week", "i"),
+                    ("order_hour", "i"), ("product_volume_cm3", "d"), ("review_response_hours", "d"),
+                    ("is_late_delivery", "i")])
+RFM_COLS = [("customer_unique_id", "s"), ("recency_days", "i"), ("frequency", "i"), ("monetary", "d"),
+            ("R_score", "i"), ("F_score", "i"), ("M_score", "i"), ("RFM_score", "i"), ("customer_segment", "s")]
+RFM_RETAIL_COLS = [("Customer ID", "i"), ("recency_days", "i"), ("frequency", "i"), ("monetary", "d")]
+
+RAW_TABLES = {  # profile name -> (raw CTE, columns)
+    "orders": ("orders_raw", ORDERS_COLS),
+    "customers": ("customers_raw", CUSTOMERS_COLS),
+    "order_items": ("order_items_raw", ITEMS_COLS),
+    "payments": ("payments_raw", PAYMENTS_RAW_COLS),
+    "reviews": ("reviews_raw", REVIEWS_RAW_COLS),
+    "products": ("products_raw", PRODUCTS_RAW_COLS),
+    "sellers": ("sellers_raw", SELLERS_COLS),
+    "retail": ("retail_raw", RETAIL_RAW_COLS),
+}
+CLEAN_TABLES = {  # profile name -> (clean CTE, columns)
+    "orders_clean": ("orders_clean", ORDERS_COLS),
+    "customers_clean": ("customers_clean", CUSTOMERS_COLS),
+    "order_items_clean": ("items_clean", ITEMS_COLS),
+    "payments_agg": ("payments_agg", PAYMENTS_AGG_COLS),
+    "reviews_dedup": ("reviews_latest", REVIEWS_COLS),
+    "products_clean": ("products_clean", PRODUCTS_COLS),
+    "sellers_clean": ("sellers_clean", SELLERS_COLS),
+    "retail_clean": ("retail_clean", RETAIL_COLS),
+}
+RECONCILE = {  # table -> (raw CTE, clean CTE)
+    "orders": ("orders_raw", "orders_clean"),
+    "customers": ("customers_raw", "customers_clean"),
+    "order_items": ("order_items_raw", "items_clean"),
+    "payments": ("payments_raw", "payments_clean"),
+    "reviews": ("reviews_raw", "reviews_latest"),
+    "products": ("products_raw", "products_clean"),
+    "sellers": ("sellers_raw", "sellers_clean"),
+    "retail": ("retail_raw", "retail_clean"),
+}
+
+
+def q(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+def edge(col: str, kind: str) -> str:
+    c = q(col)
+    return {"s": f"CAST({c} AS VARCHAR)", "i": f"CAST({c} AS BIGINT)", "d": f"CAST({c} AS DOUBLE)",
+            "t": ts(c)}[kind] + f" AS {c}"
+
+
+def select_table(cte: str, cols) -> str:
+    return f"SELECT {', '.join(edge(c, k) for c, k in cols)} FROM {cte}"
+
+
+def _null_profile() -> str:
+    parts = []
+    for name, (cte, cols) in RAW_TABLES.items():
+        for c, _ in cols:
+            parts.append(f"SELECT '{name}' AS table_name, '{c}' AS column_name, "
+                         f"COUNT(*) - COUNT({q(c)}) AS null_count, "
+                         f"{pct(f'COUNT(*) - COUNT({q(c)})', 'COUNT(*)', 1)} AS null_pct FROM {cte}")
+    return "SELECT * FROM (" + "\nUNION ALL ".join(parts) + ") WHERE null_count > 0"
+
+
+def _null_total() -> str:
+    parts = []
+    for name, (cte, cols) in CLEAN_TABLES.items():
+        nulls = " + ".join(f"(COUNT(*) - COUNT({q(c)}))" for c, _ in cols)
+        parts.append(f"SELECT '{name}' AS table_name, COUNT(*) AS row_count, CAST({nulls} AS BIGINT) AS total_nulls "
+                     f"FROM {cte}")
+    return "\nUNION ALL ".join(parts)
+
+
+def _row_counts() -> str:
+    parts = [f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {cte}" for name, (cte, _) in RAW_TABLES.items()]
+    body = "\nUNION ALL ".join(parts)
+    return (f"SELECT table_name, row_count FROM ({body}) UNION ALL "
+            f"SELECT 'TOTAL', CAST(SUM(row_count) AS BIGINT) FROM ({body})")
+
+
+def _clean_report() -> str:
+    parts = []
+    for name, (raw, clean) in RECONCILE.items():
+        parts.append(f"SELECT '{name}' AS table_name, (SELECT COUNT(*) FROM {raw}) AS raw_rows, "
+                     f"(SELECT COUNT(*) FROM {clean}) AS clean_rows")
+    body = "\nUNION ALL ".join(parts)
+    return (f"SELECT table_name, raw_rows, clean_rows, raw_rows - clean_rows AS dropped_rows, "
+            f"{pct('raw_rows - clean_rows', 'raw_rows')} AS dropped_pct FROM ({body})")
+
+
+DESCRIBE_COLS = ["delivery_delay_days", "actual_delivery_days", "days_to_approve", "total_order_value",
+                 "review_score", "items_count", "product_weight_g"]
+
+
+def _describe() -> str:
+    parts = []
+    for c in DESCRIBE_COLS:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"SELECT '{c}' AS column_name, COUNT({c}) AS count, {avg(c, 6)} AS mean, "
+                     f"{rhu(f'stddev_samp({x})', 6)} AS stddev, MIN({x}) AS min, MAX({x}) AS max FROM featured")
+    return "\nUNION ALL ".join(parts)
+
+
+def _exact_q(cte: str, col: str, p: float) -> str:
+    return (f"(SELECT v FROM (SELECT {q(col)} AS v, ROW_NUMBER() OVER (ORDER BY {q(col)}) AS rn, "
+            f"COUNT(*) OVER () AS n FROM {cte}) WHERE rn = CAST(CEIL({p} * n) AS BIGINT))")
+
+
+def _rfm_capped() -> str:
+    return (f"SELECT CAST(\"Customer ID\" AS BIGINT) AS \"Customer ID\", "
+            f"CAST(LEAST(recency_days, {_exact_q('cb', 'recency_days', 0.99)}) AS BIGINT) AS recency_days, "
+            f"CAST(LEAST(frequency, {_exact_q('cb', 'frequency', 0.99)}) AS BIGINT) AS frequency, "
+            f"CAST(LEAST(monetary, {_exact_q('cb', 'monetary', 0.99)}) AS DOUBLE) AS monetary FROM cb")
+
+
+CLUSTER_BASE = """,
+cb AS (
+  SELECT "Customer ID", recency_days, frequency, ROUND(monetary, 2) AS monetary
+  FROM rfm_retail WHERE ROUND(monetary, 2) > 0)"""
+
+
+ML_PREP = """
+SELECT * FROM featured WHERE order_status = 'delivered' AND actual_delivery_days IS NOT NULL
+  AND total_order_value IS NOT NULL AND review_score IS NOT NULL"""
+
+TABLES.update({
+    "row_counts": _row_counts(),
+    "null_profile": _null_profile(),
+    "null_total": _null_total(),
+    "clean_report": _clean_report(),
+    "describe_orders": _describe(),
+    "clean_orders": select_table("orders_clean", ORDERS_COLS),
+    "clean_customers": select_table("customers_clean", CUSTOMERS_COLS),
+    "dedup_items": select_table("items_clean", ITEMS_COLS),
+    "payments_agg": select_table("payments_agg", PAYMENTS_AGG_COLS),
+    "items_agg": select_table("items_agg", ITEMS_AGG_COLS),
+    "latest_review": select_table("reviews_latest", REVIEWS_COLS),
+    "products_translated": select_table("products_clean", PRODUCTS_COLS),
+    "clean_sellers": select_table("sellers_clean", SELLERS_COLS),
+    "master_featured": select_table("featured", FEATURED_COLS),
+    "retail_clean": select_table("retail_clean", RETAIL_COLS),
+    "retail_featured": select_table("retail_featured", RETAIL_FEATURED_COLS),
+    "rfm_orders_best_high": select_table("rfm_best", RFM_COLS),
+    "rfm_orders_as_coded": select_table("rfm_coded", RFM_COLS),
+    "rfm_retail": select_table("rfm_retail", RFM_RETAIL_COLS),
+    "segment_counts": "SELECT customer_segment, COUNT(*) AS count FROM rfm_best GROUP BY customer_segment "
+                      "ORDER BY count DESC, customer_segment",
+    "rfm_capped_exact": _rfm_capped(),
+    "class_balance": f"SELECT CAST(is_late_delivery AS BIGINT) AS label, COUNT(*) AS row_count, "
+                     f"{pct('COUNT(*)', 'SUM(COUNT(*)) OVER ()')} AS share_pct FROM ({ML_PREP}) GROUP BY is_late_delivery",
+})

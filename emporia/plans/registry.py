@@ -58,3 +58,79 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(REGISTRY)
+
+
+# -- tables and profiles ------------------------------------------------------
+
+from functools import reduce  # noqa: E402
+
+from emporia.models.prep import prep_orders_ml  # noqa: E402
+from emporia.operators import profile as P  # noqa: E402
+from emporia.operators import rfm as R  # noqa: E402
+
+PROFILED = ["orders", "customers", "order_items", "payments", "reviews", "products", "sellers", "retail"]
+DESCRIBE_COLS = ["delivery_delay_days", "actual_delivery_days", "days_to_approve", "total_order_value",
+                 "review_score", "items_count", "product_weight_g"]
+
+
+def _clean_tables(t: CommerceTables) -> dict[str, DataFrame]:
+    return {
+        "orders_clean": t.orders_clean, "customers_clean": t.customers_clean,
+        "order_items_clean": t.items_clean, "payments_agg": t.payments_agg,
+        "reviews_dedup": t.reviews_latest, "products_clean": t.products_clean,
+        "sellers_clean": t.sellers_clean, "retail_clean": t.retail_clean,
+    }
+
+
+def _reconciled(t: CommerceTables) -> dict[str, tuple[DataFrame, DataFrame]]:
+    return {
+        "orders": (t.raw["orders"], t.orders_clean), "customers": (t.raw["customers"], t.customers_clean),
+        "order_items": (t.raw["order_items"], t.items_clean), "payments": (t.raw["payments"], t.payments_clean),
+        "reviews": (t.raw["reviews"], t.reviews_latest), "products": (t.raw["products"], t.products_clean),
+        "sellers": (t.raw["sellers"], t.sellers_clean), "retail": (t.raw["retail"], t.retail_clean),
+    }
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _table_query(build):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return to_edge_types(build(_tables(spark, sf_dir)))
+    return run
+
+
+def _capped(t: CommerceTables) -> DataFrame:
+    capped, _ = R.cap_at_quantile(t.rfm_retail_ml, ["recency_days", "frequency", "monetary"], 0.99, exact=True,
+                                  rows_per_bin=t.rows_per_bin)
+    return capped
+
+
+TABLE_QUERIES = {
+    "row_counts": lambda t: P.row_counts({n: t.raw[n] for n in PROFILED}),
+    "null_profile": lambda t: _union([P.null_profile(t.raw[n], n) for n in PROFILED]),
+    "null_total": lambda t: _union([P.null_total(df, n) for n, df in _clean_tables(t).items()]),
+    "clean_report": lambda t: _union([P.clean_report(r, c, n) for n, (r, c) in _reconciled(t).items()]),
+    "describe_orders": lambda t: P.describe(t.master_featured, DESCRIBE_COLS),
+    "clean_orders": lambda t: t.orders_clean,
+    "clean_customers": lambda t: t.customers_clean,
+    "dedup_items": lambda t: t.items_clean,
+    "payments_agg": lambda t: t.payments_agg,
+    "items_agg": lambda t: t.items_agg,
+    "latest_review": lambda t: t.reviews_latest,
+    "products_translated": lambda t: t.products_clean,
+    "clean_sellers": lambda t: t.sellers_clean,
+    "master_featured": lambda t: t.master_featured,
+    "retail_clean": lambda t: t.retail_clean,
+    "retail_featured": lambda t: t.retail_featured,
+    "rfm_orders_best_high": lambda t: t.rfm_olist,
+    "rfm_orders_as_coded": lambda t: t.rfm_olist_as_coded,
+    "rfm_retail": lambda t: t.rfm_retail,
+    "segment_counts": lambda t: (t.rfm_olist.groupBy("customer_segment").agg(F.count(F.lit(1)).alias("count"))
+                                 .orderBy(F.desc("count"), "customer_segment")),
+    "rfm_capped_exact": _capped,
+    "class_balance": lambda t: P.class_balance(prep_orders_ml(t.master_featured), "is_late_delivery"),
+}
+
+REGISTRY.update({name: _table_query(fn) for name, fn in TABLE_QUERIES.items()})
