@@ -1,0 +1,69 @@
+"""Feature pipelines: index, one-hot encode, assemble, scale, estimate."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def build_pipeline(numeric: list[str], categorical: list[str], estimator=None, scale: str | None = None,
+                   features_col: str = "features") -> Pipeline:
+    """Indexer (unseen values kept) -> one-hot -> assembler [-> scaler] [-> estimator].
+
+    The assembled vector is ``raw_features`` when a scaler follows, so its
+    attribute metadata (feature names) stays readable.
+    """
+    stages = []
+    ohe_cols = []
+    if categorical:
+        idx_cols = [f"{c}_idx" for c in categorical]
+        ohe_cols = [f"{c}_ohe" for c in categorical]
+        stages.append(StringIndexer(inputCols=categorical, outputCols=idx_cols, handleInvalid="keep",
+                                    stringOrderType="frequencyDesc"))
+        stages.append(OneHotEncoder(inputCols=idx_cols, outputCols=ohe_cols))
+    assembled = "raw_features" if scale else features_col
+    stages.append(VectorAssembler(inputCols=numeric + ohe_cols, outputCol=assembled))
+    if scale == "standard":
+        stages.append(StandardScaler(inputCol=assembled, outputCol=features_col, withMean=False))
+    elif scale == "minmax":
+        stages.append(MinMaxScaler(inputCol=assembled, outputCol=features_col))
+    elif scale is not None:
+        raise ValueError(f"unknown scaler {scale}")
+    if estimator is not None:
+        stages.append(estimator)
+    return Pipeline(stages=stages)
+
+
+def hash_split(df: DataFrame, train_pct: int = 80, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Deterministic train/test split by a hash of the row's values.
+
+    Unlike ``randomSplit`` the side of a row does not depend on partitioning
+    or on re-computation after a lost task.
+    """
+    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.lit(100))
+    tagged = df.withColumn("_b", bucket)
+    return (tagged.filter(F.col("_b") < train_pct).drop("_b"),
+            tagged.filter(F.col("_b") >= train_pct).drop("_b"))
+
+
+def sample_rows(df: DataFrame, max_rows: int | None, seed: int = 42) -> DataFrame:
+    """Bernoulli sample down to about ``max_rows`` rows (None keeps all rows)."""
+    if max_rows is None:
+        return df
+    n = df.count()
+    return df if n <= max_rows else df.sample(False, max_rows / n, seed)
+
+
+def sample_by_label(df: DataFrame, label: str, fraction: float, seed: int = 42) -> DataFrame:
+    """Stratified sample: the same fraction of every label value."""
+    values = [r[0] for r in df.select(label).distinct().collect()]
+    return df.sampleBy(label, {v: fraction for v in values}, seed)
+
+
+def feature_names(df: DataFrame, vector_col: str) -> list[str]:
+    """Slot names of an assembled vector column, from its attribute metadata."""
+    attrs = df.schema[vector_col].metadata.get("ml_attr", {}).get("attrs", {})
+    slots = sorted((a["idx"], a["name"]) for group in attrs.values() for a in group)
+    return [name for _, name in slots]

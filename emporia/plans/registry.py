@@ -134,3 +134,93 @@ TABLE_QUERIES = {
 }
 
 REGISTRY.update({name: _table_query(fn) for name, fn in TABLE_QUERIES.items()})
+
+
+# -- models (no SQL form: checked by row counts and invariant tests) -----------
+
+from emporia.models import classifiers as MC  # noqa: E402
+from emporia.models import cluster as MK  # noqa: E402
+from emporia.models import evaluate as MV  # noqa: E402
+from emporia.models.pipelines import feature_names  # noqa: E402
+from emporia.plans.tables import clusters, fitted  # noqa: E402
+
+MODEL_KEYS = ["lr", "rf", "dt", "gbt"]
+
+
+def _metrics(t: CommerceTables, key: str) -> DataFrame:
+    f = fitted(t, key)
+    if "metrics" not in f.cache:
+        f.cache["metrics"] = MV.binary_metrics(t.spark, f.predictions, f.spec.label, f.spec.name).cache()
+    return f.cache["metrics"]
+
+
+def _weights(t: CommerceTables, key: str) -> DataFrame:
+    f = fitted(t, key)
+    names = feature_names(f.predictions, f.assembled_column())
+    if key == "lr":
+        return MV.top_weights(t.spark, f.spec.name, names, f.estimator.coefficients.toArray(), f.spec.top_k,
+                              True, "coefficient")
+    return MV.top_weights(t.spark, f.spec.name, names, f.estimator.featureImportances.toArray(), f.spec.top_k,
+                          False, "importance")
+
+
+def _importance_by_source(t: CommerceTables, key: str) -> DataFrame:
+    f = fitted(t, key)
+    names = feature_names(f.predictions, f.assembled_column())
+    df = MV.top_weights(t.spark, f.spec.name, names, f.estimator.featureImportances.toArray(), len(names),
+                        False, "importance")
+    source = F.regexp_extract("feature", r"^(.*)_ohe_", 1)
+    return (df.withColumn("source", F.when(source == "", F.col("feature")).otherwise(source))
+            .groupBy("model", "source").agg(F.sum("importance").alias("importance")))
+
+
+def _roc(t: CommerceTables) -> DataFrame:
+    return _union([MV.roc_points(fitted(t, k).predictions, fitted(t, k).spec.label, fitted(t, k).spec.name)
+                   for k in MODEL_KEYS])
+
+
+def _comparison(t: CommerceTables) -> DataFrame:
+    clf = _union([_metrics(t, k) for k in MODEL_KEYS]).withColumns(
+        {"silhouette": F.lit(None).cast("double"), "inertia": F.lit(None).cast("double"),
+         "k": F.lit(None).cast("bigint")})
+    c = clusters(t)
+    km = (c.sweep.filter(F.col("k") == MK.FINAL_K).limit(1)
+          .select(F.lit("K-Means").alias("model"), *[F.lit(None).cast("double").alias(m) for m in
+                                                      ["accuracy", "precision", "recall", "f1", "auc_roc"]],
+                  F.lit(c.silhouette).alias("silhouette"), F.lit(c.inertia).alias("inertia"), "k"))
+    return clf.unionByName(km)
+
+
+def _cluster_labels(t: CommerceTables) -> DataFrame:
+    return MK.label_clusters(MK.profile(clusters(t).assignments))
+
+
+MODEL_QUERIES = {
+    "lr_metrics": lambda t: _metrics(t, "lr"),
+    "rf_metrics": lambda t: _metrics(t, "rf"),
+    "dt_metrics": lambda t: _metrics(t, "dt"),
+    "gbt_metrics": lambda t: _metrics(t, "gbt"),
+    "confusion_matrix": lambda t: _union([MV.confusion_matrix(fitted(t, k).predictions, fitted(t, k).spec.label,
+                                                              fitted(t, k).spec.name) for k in MODEL_KEYS]),
+    "roc_points": _roc,
+    "roc_area": lambda t: MV.roc_area(_roc(t)),
+    "lr_loss": lambda t: MV.series(t.spark, "Logistic Regression",
+                                   fitted(t, "lr").estimator.summary.objectiveHistory, "objective"),
+    "gbt_loss": lambda t: MV.series(t.spark, "GBT", fitted(t, "gbt").estimator.evaluateEachIteration(
+        fitted(t, "gbt").predictions), "log_loss"),
+    "lr_coefficients": lambda t: _weights(t, "lr"),
+    "rf_importances": lambda t: _weights(t, "rf"),
+    "dt_importances": lambda t: _weights(t, "dt"),
+    "gbt_importances": lambda t: _weights(t, "gbt"),
+    "rf_importance_by_column": lambda t: _importance_by_source(t, "rf"),
+    "kmeans_sweep": lambda t: clusters(t).sweep,
+    "kmeans_profile": lambda t: MK.profile(clusters(t).assignments),
+    "kmeans_labels": _cluster_labels,
+    "kmeans_assignments": lambda t: MK.labelled_assignments(clusters(t).assignments, _cluster_labels(t)),
+    "kmeans_share": lambda t: MK.cluster_share(_cluster_labels(t)),
+    "model_comparison": _comparison,
+    "label_balance": lambda t: _union([P.class_balance(fitted(t, k).train, fitted(t, k).spec.label)
+                                       .withColumn("model", F.lit(fitted(t, k).spec.name)) for k in MODEL_KEYS]),
+}
+
+REGISTRY.update({name: _table_query(fn) for name, fn in MODEL_QUERIES.items()})

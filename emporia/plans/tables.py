@@ -145,3 +145,33 @@ def from_csv(spark: SparkSession, base: str, paths: dict | None = None, **kw) ->
     raw = load_all(spark, base, paths=paths)
     raw.pop("geolocation", None)
     return CommerceTables(spark, raw, **kw)
+
+
+# -- models ----------------------------------------------------------------------
+
+def _ml_source(t: CommerceTables, key: str) -> DataFrame:
+    from emporia.models import prep
+    if key in ("lr", "rf"):
+        return prep.prep_orders_ml(t.master_featured)
+    if key == "dt":
+        return prep.prep_orders_status_ml(t.master_featured)
+    if key == "gbt":
+        return prep.prep_retail_ml(t.retail_lines)
+    raise KeyError(key)
+
+
+def fitted(t: CommerceTables, key: str):
+    """Train (once per tables object) and return the fitted classifier ``key``."""
+    from emporia.models import classifiers
+    fits = t.__dict__.setdefault("_fits", {})
+    if key not in fits:
+        fits[key] = classifiers.train(classifiers.SPECS[key], _ml_source(t, key))
+    return fits[key]
+
+
+def clusters(t: CommerceTables):
+    """Run the K-means sweep and final model once per tables object."""
+    from emporia.models import cluster
+    if "_clusters" not in t.__dict__:
+        t.__dict__["_clusters"] = cluster.run(t.spark, t.rfm_retail_ml, rows_per_bin=t.rows_per_bin)
+    return t.__dict__["_clusters"]
