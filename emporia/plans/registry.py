@@ -224,3 +224,24 @@ MODEL_QUERIES = {
 }
 
 REGISTRY.update({name: _table_query(fn) for name, fn in MODEL_QUERIES.items()})
+
+
+# -- export (S8-S11) -------------------------------------------------------------
+
+import os  # noqa: E402
+
+from emporia.plans.session import ensure_checkpoint_dir  # noqa: E402
+from emporia.sources.sinks import export_all  # noqa: E402
+
+
+def _export(t: CommerceTables) -> DataFrame:
+    base = ensure_checkpoint_dir(t.spark).rstrip("/") + f"/exports-{t.spark.sparkContext.applicationId}-{os.getpid()}"
+    named = {"master_featured": t.master_featured, "rfm_olist": t.rfm_olist,
+             "online_retail_featured": t.retail_featured, "rfm_retail": t.rfm_retail}
+    summaries = {"monthly_revenue": reports.r1_monthly(t.master_featured),
+                 "category_revenue": reports.r2_category(t.master_featured),
+                 "state": reports.r3_state(t.master_featured), "payments": reports.r4_payments(t.master_featured)}
+    return export_all({k: to_edge_types(v) for k, v in named.items()}, summaries, base)
+
+
+REGISTRY["export_manifest"] = _table_query(_export)
