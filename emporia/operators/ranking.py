@@ -89,11 +89,9 @@ def bin_rows(df: DataFrame, order: list[tuple[str, bool]], rows_per_bin: int = R
     return Binned(keyed.withColumn("_bin", _bin_expr(F.col("_key"), cuts, struct_type)), n, cuts)
 
 
-def _offsets(binned: DataFrame) -> DataFrame:
-    counts = binned.groupBy("_bin").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per bin, at most 2 * MAX_BINS + 1 rows: small by construction.
-    return counts.select("_bin", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+def bin_counts(binned: DataFrame) -> list[tuple[int, int]]:
+    """(bin, rows) for every non-empty bin, ascending; at most 2 * MAX_BINS + 1 pairs."""
+    return sorted((r["_bin"], r["_n"]) for r in binned.groupBy("_bin").agg(F.count(F.lit(1)).alias("_n")).collect())
 
 
 def global_rank(df: DataFrame, order: list[tuple[str, bool]], rank_col: str = "rank",
@@ -101,11 +99,19 @@ def global_rank(df: DataFrame, order: list[tuple[str, bool]], rank_col: str = "r
     """Exact 0-based position of each row in ``order``; returns (df, n).
 
     ``order`` must be a total order (end it with a unique key); otherwise
-    equal rows get distinct but arbitrary positions among themselves.
+    equal rows get distinct but arbitrary positions among themselves. The
+    per-bin counts (a bounded list) give each bin's offset; the offsets are
+    broadcast as a table of at most 2 * MAX_BINS + 1 rows.
     """
     b = bin_rows(df, order, rows_per_bin)
+    offsets, seen = [], 0
+    for bin_id, cnt in bin_counts(b.df):
+        offsets.append((bin_id, seen))
+        seen += cnt
+    spark = df.sparkSession
+    off = spark.createDataFrame(offsets or [(0, 0)], "_bin int, _offset long")
     within = Window.partitionBy("_bin").orderBy("_key")
-    ranked = (b.df.join(F.broadcast(_offsets(b.df)), "_bin")
+    ranked = (b.df.join(F.broadcast(off), "_bin")
               .withColumn(rank_col, (F.row_number().over(within) - 1 + F.col("_offset")).cast("bigint"))
               .drop("_key", "_bin", "_offset"))
     return ranked, b.n
@@ -140,8 +146,7 @@ def exact_quantile(df: DataFrame, column: str, q: float, rows_per_bin: int = ROW
     if b.n == 0:
         return None
     target = min(b.n, max(1, math.ceil(q * b.n))) - 1
-    counts = sorted((r["_bin"], r["_n"]) for r in
-                    b.df.groupBy("_bin").agg(F.count(F.lit(1)).alias("_n")).collect())
+    counts = bin_counts(b.df)
     seen = 0
     for bin_id, cnt in counts:
         if target < seen + cnt:
