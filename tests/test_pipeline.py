@@ -1,0 +1,93 @@
+"""Invariants of the table build and reports on the sf0.001 test tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from emporia.operators import reports as Q
+from emporia.operators.rfm import rfm_scores
+from emporia.plans.tables import from_testdata
+from tests.conftest import SF_SMALL
+
+
+@pytest.fixture(scope="module")
+def t(spark):
+    return from_testdata(spark, SF_SMALL, rows_per_bin=97)
+
+
+def test_master_has_one_row_per_clean_order(t):
+    mf = t.master_featured
+    assert mf.count() == t.orders_clean.count()
+    assert mf.select("order_id").distinct().count() == mf.count()
+
+
+def test_late_flag_matches_delay(t):
+    mf = t.master_featured
+    assert mf.filter((F.col("is_late_delivery") == 1) != (F.col("delivery_delay_days") > 0)).count() == 0
+    undelivered = mf.filter(F.col("order_status") != "delivered")
+    assert undelivered.filter((F.col("is_late_delivery") != 0) | (F.col("delivery_delay_days") != 0)).count() == 0
+
+
+def test_total_value_null_only_without_items(t):
+    mf = t.master_featured
+    assert mf.filter(F.col("total_order_value").isNull() != F.col("items_count").isNull()).count() == 0
+
+
+def test_primary_payment_is_lowest_sequence(t):
+    pc = t.payments_clean
+    first = (pc.groupBy("order_id").agg(F.min("payment_sequential").alias("s"))
+             .join(pc, "order_id").filter(F.col("payment_sequential") == F.col("s"))
+             .groupBy("order_id").agg(F.min("payment_type").alias("expect")))
+    bad = t.payments_agg.join(first, "order_id").filter(F.col("primary_payment_type") != F.col("expect"))
+    assert bad.count() == 0
+
+
+def test_rfm_scores_are_quartiles_and_segments_cover_customers(t):
+    r = t.rfm_olist
+    n = r.count()
+    assert r.select("customer_unique_id").distinct().count() == n
+    for s in ("R_score", "F_score", "M_score"):
+        sizes = [row["count"] for row in r.groupBy(s).count().collect()]
+        assert len(sizes) == 4 and max(sizes) - min(sizes) <= 1
+    seg = Q.q05_segments(r).collect()
+    assert sum(x.customer_count for x in seg) == n
+    assert abs(sum(x.percentage for x in seg) - 100) <= 0.05
+
+
+def test_orientations_reverse_each_other(t):
+    best = {x.customer_unique_id: x for x in t.rfm_olist.collect()}
+    coded = {x.customer_unique_id: x for x in t.rfm_olist_as_coded.collect()}
+    # Most recent customer: best R under best_high, score 1 as coded.
+    top = min(best.values(), key=lambda x: (x.recency_days, x.customer_unique_id))
+    assert best[top.customer_unique_id].R_score == 4 and coded[top.customer_unique_id].R_score == 1
+
+
+def test_scalable_ntile_equals_plain_window(t):
+    plain = {x.customer_unique_id: (x.R_score, x.F_score, x.M_score)
+             for x in rfm_scores(t.rfm_base, "customer_unique_id", scalable=False).collect()}
+    ours = {x.customer_unique_id: (x.R_score, x.F_score, x.M_score) for x in t.rfm_olist.collect()}
+    assert ours == plain
+
+
+def test_fewer_customers_than_quartiles(spark):
+    df = spark.createDataFrame([("a", 1, 1, 5.0), ("b", 2, 1, 3.0), ("c", 3, 2, 1.0)],
+                               "k string, recency_days int, frequency long, monetary double")
+    out = {x.k: x.R_score for x in rfm_scores(df, "k", "as_coded", rows_per_bin=1).collect()}
+    assert out == {"a": 1, "b": 2, "c": 3}
+
+
+def test_shares_sum_to_100(t):
+    for fn in (Q.q07_late_share, Q.q12_payment_types, Q.q14_score_distribution):
+        total = sum(x.percentage for x in fn(t.master_featured).collect())
+        assert abs(total - 100) <= 0.05
+
+
+def test_high_value_split_is_at_the_median(t):
+    rf = t.retail_featured
+    n = rf.count()
+    high = rf.filter(F.col("is_high_value") == 1).count()
+    assert high <= n // 2
+
+
+def test_report_limits(t):
+    assert Q.q03_revenue_by_state(t.master_featured).count() <= 10
+    assert Q.q18_best_sellers(t.retail_featured).count() == 10
