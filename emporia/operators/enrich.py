@@ -39,20 +39,28 @@ def build_master(orders: DataFrame, customers: DataFrame, items_agg: DataFrame,
     """One row per clean order with its customer, totals, review, main product and seller.
 
     Every right side has one row per join key, so the row count equals the
-    order count. The three order-keyed sides come out of aggregations already
-    hash-partitioned on ``order_id``, so joining them adds no shuffle of their
-    own; the dimension look-ups broadcast only after a size check.
+    order count. The product and seller look-ups run on the narrow per-order
+    item totals before the wide join, so the big row is shuffled once by
+    ``order_id`` (plus once by ``customer_id``) instead of once per look-up
+    key. The order-keyed sides leave their aggregations already hash
+    partitioned on ``order_id``.
     """
     reviews = reviews_latest.select("order_id", "review_score", "review_creation_date", "review_answer_timestamp")
     prod = products.select("product_id", "product_category_name_english", "product_weight_g",
                            "product_length_cm", "product_height_cm", "product_width_cm")
     sell = sellers.select("seller_id", "seller_state", "seller_city")
+    items = left_lookup(left_lookup(items_agg, prod, "main_product_id", "product_id"),
+                        sell, "main_seller_id", "seller_id")
     m = (orders.join(customers, on="customer_id", how="left")
-         .join(items_agg, on="order_id", how="left")
+         .join(items, on="order_id", how="left")
          .join(payments_agg, on="order_id", how="left")
          .join(reviews, on="order_id", how="left"))
-    m = left_lookup(m, prod, "main_product_id", "product_id")
-    return left_lookup(m, sell, "main_seller_id", "seller_id")
+    cols = (list(orders.columns) + [c for c in customers.columns if c != "customer_id"]
+            + [c for c in items_agg.columns if c != "order_id"]
+            + [c for c in payments_agg.columns if c != "order_id"]
+            + ["review_score", "review_creation_date", "review_answer_timestamp"]
+            + [c for c in prod.columns if c != "product_id"] + [c for c in sell.columns if c != "seller_id"])
+    return m.select(*cols)
 
 
 # Fill values applied after feature computation.

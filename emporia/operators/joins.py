@@ -33,12 +33,16 @@ def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                max_broadcast_rows: int | None = None) -> DataFrame:
     """Left join a dimension on a key with different names, dropping the dim key.
 
     The dimension key must be unique (one row per key), so the fact side keeps
-    its row count. The dimension is broadcast when its size is checked small;
-    otherwise the join shuffles and AQE splits skewed fact partitions.
+    its row count. With ``max_broadcast_rows`` the dimension is broadcast when
+    a row count confirms it is small. Without it (the default for derived
+    dimensions, whose count would cost a pass of its own) the choice is left
+    to adaptive execution, which measures the shuffled dimension at run time
+    and switches to a broadcast join only under its size threshold; otherwise
+    the sort-merge join stays, and skewed fact partitions are split.
     """
-    side = broadcast_if_small(dim, max_broadcast_rows)
+    side = dim if max_broadcast_rows is None else broadcast_if_small(dim, max_broadcast_rows)
     return fact.join(side, fact[fact_key] == side[dim_key], "left").drop(side[dim_key])

@@ -24,6 +24,7 @@ from pyspark.sql.types import NumericType
 ROWS_PER_BIN = 1 << 20      # target rows ranked inside one task
 MAX_BINS = 1024             # bound on cut literals in the plan and on broadcast offsets
 SAMPLE_PER_BIN = 32         # sampled keys per bin when choosing cuts
+MIN_ROWS_PER_BIN = 64       # below this, extra bins for parallelism are not worth a cut
 SEED = 42
 
 
@@ -75,7 +76,9 @@ def bin_rows(df: DataFrame, order: list[tuple[str, bool]], rows_per_bin: int = R
     """Attach the sort key and a value-range bin to every row."""
     keyed = df.withColumn("_key", sort_key(df, order))
     n = keyed.count()
-    bins = max(1, min(max_bins, math.ceil(n / rows_per_bin)))
+    # Enough bins for the row bound, and at least one per core while bins stay useful.
+    parallel = min(df.sparkSession.sparkContext.defaultParallelism, n // MIN_ROWS_PER_BIN)
+    bins = max(1, min(max_bins, max(math.ceil(n / rows_per_bin), parallel)))
     cuts = []
     if bins > 1:
         frac = min(1.0, bins * SAMPLE_PER_BIN / n)
@@ -104,13 +107,15 @@ def global_rank(df: DataFrame, order: list[tuple[str, bool]], rank_col: str = "r
     broadcast as a table of at most 2 * MAX_BINS + 1 rows.
     """
     b = bin_rows(df, order, rows_per_bin)
+    within = Window.partitionBy("_bin").orderBy("_key")
+    if not b.cuts:  # one bin of at most MIN_ROWS_PER_BIN * cores or rows_per_bin rows
+        ranked = b.df.withColumn(rank_col, (F.row_number().over(within) - 1).cast("bigint"))
+        return ranked.drop("_key", "_bin"), b.n
     offsets, seen = [], 0
     for bin_id, cnt in bin_counts(b.df):
         offsets.append((bin_id, seen))
         seen += cnt
-    spark = df.sparkSession
-    off = spark.createDataFrame(offsets or [(0, 0)], "_bin int, _offset long")
-    within = Window.partitionBy("_bin").orderBy("_key")
+    off = df.sparkSession.createDataFrame(offsets, "_bin int, _offset long")
     ranked = (b.df.join(F.broadcast(off), "_bin")
               .withColumn(rank_col, (F.row_number().over(within) - 1 + F.col("_offset")).cast("bigint"))
               .drop("_key", "_bin", "_offset"))

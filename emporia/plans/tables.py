@@ -9,6 +9,7 @@ executor then re-reads files instead of re-running the joins.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,10 +23,24 @@ from emporia.sources import testdata
 from emporia.sources.files import load_all
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialized(df: DataFrame, name: str, partition_by: list[str] | None = None,
+                 sort_within: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Reading back from Parquet (rather than an RDD checkpoint) keeps column
+    pruning, filter pushdown and partition pruning for every later query.
+    ``sort_within`` orders rows inside each file so row-group statistics can
+    skip groups for equality filters (e.g. on the order status).
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tables-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}/{name}"
+    out = df.sortWithinPartitions(*sort_within) if sort_within else df
+    w = out.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return spark.read.parquet(path)
 
 
 class CommerceTables:
@@ -36,8 +51,8 @@ class CommerceTables:
         self.rows_per_bin = rows_per_bin
         self.materialize = materialize
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        return checkpointed(df) if self.materialize else df
+    def _keep(self, df: DataFrame, name: str, **kw) -> DataFrame:
+        return materialized(df, name, **kw) if self.materialize else df
 
     # -- clean tables --------------------------------------------------------
     @cached_property
@@ -92,16 +107,17 @@ class CommerceTables:
 
     @cached_property
     def master_featured(self) -> DataFrame:
-        return self._keep(E.featurize_orders(self.master))
+        return self._keep(E.featurize_orders(self.master), "master_featured", partition_by=["order_year"],
+                          sort_within=["order_status"])
 
     # -- customers -----------------------------------------------------------
     @cached_property
     def rfm_base(self) -> DataFrame:
-        return self._keep(R.rfm_orders(self.master_featured))
+        return self._keep(R.rfm_orders(self.master_featured), "rfm_base")
 
     def rfm_scored(self, orientation: str = "best_high") -> DataFrame:
         return R.rfm_scores(self.rfm_base, "customer_unique_id", orientation, rows_per_bin=self.rows_per_bin,
-                            keep=self._keep)
+                            keep=lambda df: self._keep(df, f"rfm_{orientation}_{len(df.columns)}"))
 
     @cached_property
     def rfm_olist(self) -> DataFrame:
@@ -114,7 +130,7 @@ class CommerceTables:
     # -- retail ----------------------------------------------------------------
     @cached_property
     def retail_lines(self) -> DataFrame:
-        return self._keep(E.retail_calendar(self.retail_clean))
+        return self._keep(E.retail_calendar(self.retail_clean), "retail_lines")
 
     @cached_property
     def retail_featured(self) -> DataFrame:
