@@ -114,13 +114,17 @@ def retail_calendar(retail_clean: DataFrame) -> DataFrame:
     })
 
 
-def featurize_retail(retail_clean: DataFrame, threshold=None, q: float = 0.5) -> DataFrame:
+def featurize_retail(retail_clean: DataFrame, threshold=None, q: float = 0.5,
+                     relative_error: float | None = None) -> DataFrame:
     """Calendar parts, line value and ``is_high_value`` (line value above the median).
 
-    The median is exact (the value at position ceil(n/2)); pass ``threshold``
-    to reuse one already computed.
+    The median is exact (the value at position ceil(n/2)) unless
+    ``relative_error`` is given, in which case ``approxQuantile`` with that
+    rank error is used. Pass ``threshold`` to reuse one already computed.
     """
     f = retail_calendar(retail_clean)
-    if threshold is None:
+    if threshold is None and relative_error is not None:
+        threshold = f.approxQuantile("TotalLineValue", [q], relative_error)[0]
+    elif threshold is None:
         threshold = exact_quantile(f, "TotalLineValue", q)
     return f.withColumn("is_high_value", flag(F.col("TotalLineValue") > F.lit(threshold)))
