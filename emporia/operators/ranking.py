@@ -140,27 +140,68 @@ def global_ntile(df: DataFrame, order: list[tuple[str, bool]], k: int, out_col:
     return ranked.withColumn(out_col, ntile_of_rank(F.col("_rank"), n, k)).drop("_rank")
 
 
-def exact_quantile(df: DataFrame, column: str, q: float, rows_per_bin: int = ROWS_PER_BIN):
-    """Smallest value whose cumulative share reaches q (``percentile_disc``).
+def _value_bins(v: Column, cuts: list) -> Column:
+    """Bin 2i+1: value equal to cut i; bin 2i: value between cut i-1 and cut i."""
+    lits = [F.lit(c) for c in cuts]
 
-    The value at 1-based position ceil(q * n) in ascending order. Only the bin
-    holding that position is sorted; a bin of keys equal to a cut is answered
-    from the cut itself. Returns None on an empty input.
+    def rec(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(2 * lo)
+        mid = (lo + hi) // 2
+        return F.when(v < lits[mid], rec(lo, mid)).when(v == lits[mid], F.lit(2 * mid + 1)).otherwise(rec(mid + 1, hi))
+
+    return rec(0, len(lits))
+
+
+def exact_quantile(df: DataFrame, column: str, q: float, rows_per_bin: int = ROWS_PER_BIN,
+                   max_bins: int = MAX_BINS):
+    """Smallest value whose cumulative share reaches q (``percentile_disc``), nulls ignored.
+
+    The value at 1-based position ceil(q * n) in ascending order, found by
+    distributed selection: while the candidate range holds more than
+    ``rows_per_bin`` rows, one pass sketches cut points (``percentile_approx``)
+    and one pass counts rows per value range; the search narrows to the range
+    holding the target position (or stops at a cut equal to it). The last
+    range, at most ``rows_per_bin`` rows, is ordered in one task. Returns
+    None when there is no non-null value.
     """
-    b = bin_rows(df.select(column), [(column, True)], rows_per_bin)
-    if b.n == 0:
+    data = df.select(F.col(f"`{column}`").alias("_v")).filter(F.col("_v").isNotNull())
+    size = data.count()
+    if size == 0:
         return None
-    target = min(b.n, max(1, math.ceil(q * b.n))) - 1
-    counts = bin_counts(b.df)
-    seen = 0
-    for bin_id, cnt in counts:
-        if target < seen + cnt:
+    target = min(size, max(1, math.ceil(q * size))) - 1
+    lo = hi = None
+    while size > rows_per_bin:
+        level = data
+        if lo is not None:
+            level = level.filter(F.col("_v") > F.lit(lo))
+        if hi is not None:
+            level = level.filter(F.col("_v") < F.lit(hi))
+        bins = min(max_bins, 4 * math.ceil(size / rows_per_bin))
+        probs = [i / bins for i in range(1, bins)]
+        sketch = level.agg(F.percentile_approx("_v", probs, max(10_000, 8 * bins))).first()[0] or []
+        cuts = sorted(set(sketch))
+        counts = sorted((r["_bin"], r["_n"]) for r in level.groupBy(_value_bins(F.col("_v"), cuts).alias("_bin"))
+                        .agg(F.count(F.lit(1)).alias("_n")).collect())
+        seen = 0
+        for bin_id, cnt in counts:
+            if target < seen + cnt:
+                break
+            seen += cnt
+        if bin_id % 2 == 1:
+            return cuts[bin_id // 2]
+        i = bin_id // 2
+        lo = cuts[i - 1] if i > 0 else lo
+        hi = cuts[i] if i < len(cuts) else hi
+        target -= seen
+        if cnt >= size:  # no progress possible (should not happen): finish with the ordered range
             break
-        seen += cnt
-    if bin_id % 2 == 1:
-        return b.cuts[bin_id // 2][0]
-    within = Window.partitionBy("_bin").orderBy("_key")
-    row = (b.df.filter(F.col("_bin") == bin_id)
-           .withColumn("_pos", F.row_number().over(within) - 1)
-           .filter(F.col("_pos") == target - seen).select(column).first())
-    return row[0]
+        size = cnt
+    level = data
+    if lo is not None:
+        level = level.filter(F.col("_v") > F.lit(lo))
+    if hi is not None:
+        level = level.filter(F.col("_v") < F.lit(hi))
+    # At most rows_per_bin rows remain: ordering them in one task is bounded.
+    ordered = level.withColumn("_pos", F.row_number().over(Window.orderBy("_v")) - 1)
+    return ordered.filter(F.col("_pos") == target).first()["_v"]

@@ -321,7 +321,7 @@ retail_lines AS (
 retail_median AS (
   SELECT TotalLineValue AS m FROM (
     SELECT TotalLineValue, ROW_NUMBER() OVER (ORDER BY TotalLineValue) AS rn, COUNT(*) OVER () AS n
-    FROM retail_lines)
+    FROM retail_lines WHERE TotalLineValue IS NOT NULL)
   WHERE rn = CAST(CEIL(0.5 * n) AS BIGINT)),
 retail_featured AS (
   SELECT *, CASE WHEN TotalLineValue > (SELECT m FROM retail_median) THEN 1 ELSE 0 END AS is_high_value
@@ -618,7 +618,7 @@ def _describe() -> str:
 
 def _exact_q(cte: str, col: str, p: float) -> str:
     return (f"(SELECT v FROM (SELECT {q(col)} AS v, ROW_NUMBER() OVER (ORDER BY {q(col)}) AS rn, "
-            f"COUNT(*) OVER () AS n FROM {cte}) WHERE rn = CAST(CEIL({p} * n) AS BIGINT))")
+            f"COUNT(*) OVER () AS n FROM {cte} WHERE {q(col)} IS NOT NULL) WHERE rn = CAST(CEIL({p} * n) AS BIGINT))")
 
 
 def _rfm_capped() -> str:

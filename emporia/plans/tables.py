@@ -142,7 +142,7 @@ class CommerceTables:
 
     @cached_property
     def rfm_retail_ml(self) -> DataFrame:
-        return R.rfm_retail(self.retail_featured, for_clustering=True)
+        return self._keep(R.rfm_retail(self.retail_featured, for_clustering=True), "rfm_retail_ml")
 
 
 _MEMO: dict = {}

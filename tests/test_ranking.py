@@ -53,3 +53,12 @@ def test_exact_quantile_with_a_dominant_value(spark):
 
 def test_exact_quantile_empty(spark):
     assert exact_quantile(spark.createDataFrame([], "x long"), "x", 0.5) is None
+
+
+def test_exact_quantile_decimal_and_nulls(spark):
+    from decimal import Decimal
+    vals = [Decimal(i) / 100 for i in range(1, 501)] + [None] * 50
+    df = spark.createDataFrame([(v,) for v in vals], "x decimal(10,2)")
+    clean = sorted(v for v in vals if v is not None)
+    for q in (0.5, 0.99):
+        assert exact_quantile(df, "x", q, rows_per_bin=20) == clean[math.ceil(q * len(clean)) - 1]
