@@ -8,7 +8,9 @@ the types the SQL check compares.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +18,17 @@ from pyspark.sql.types import (
     ByteType, DateType, DecimalType, IntegerType, ShortType, TimestampNTZType, TimestampType,
 )
 
+from emporia.models import cluster as MK
+from emporia.models import evaluate as MV
+from emporia.models.pipelines import feature_names
+from emporia.models.prep import prep_orders_ml
+from emporia.operators import profile as P
 from emporia.operators import reports
-from emporia.plans.tables import CommerceTables, from_testdata
+from emporia.operators import rfm as R
+from emporia.plans.pipeline import named_tables, summaries
+from emporia.plans.session import ensure_checkpoint_dir
+from emporia.plans.tables import CommerceTables, clusters, fitted, from_testdata
+from emporia.sources.sinks import export_all
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -62,11 +73,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # -- tables and profiles ------------------------------------------------------
 
-from functools import reduce  # noqa: E402
-
-from emporia.models.prep import prep_orders_ml  # noqa: E402
-from emporia.operators import profile as P  # noqa: E402
-from emporia.operators import rfm as R  # noqa: E402
 
 PROFILED = ["orders", "customers", "order_items", "payments", "reviews", "products", "sellers", "retail"]
 DESCRIBE_COLS = ["delivery_delay_days", "actual_delivery_days", "days_to_approve", "total_order_value",
@@ -138,11 +144,6 @@ REGISTRY.update({name: _table_query(fn) for name, fn in TABLE_QUERIES.items()})
 
 # -- models (no SQL form: checked by row counts and invariant tests) -----------
 
-from emporia.models import classifiers as MC  # noqa: E402
-from emporia.models import cluster as MK  # noqa: E402
-from emporia.models import evaluate as MV  # noqa: E402
-from emporia.models.pipelines import feature_names  # noqa: E402
-from emporia.plans.tables import clusters, fitted  # noqa: E402
 
 MODEL_KEYS = ["lr", "rf", "dt", "gbt"]
 
@@ -228,20 +229,10 @@ REGISTRY.update({name: _table_query(fn) for name, fn in MODEL_QUERIES.items()})
 
 # -- export (S8-S11) -------------------------------------------------------------
 
-import os  # noqa: E402
-
-from emporia.plans.session import ensure_checkpoint_dir  # noqa: E402
-from emporia.sources.sinks import export_all  # noqa: E402
-
 
 def _export(t: CommerceTables) -> DataFrame:
     base = ensure_checkpoint_dir(t.spark).rstrip("/") + f"/exports-{t.spark.sparkContext.applicationId}-{os.getpid()}"
-    named = {"master_featured": t.master_featured, "rfm_olist": t.rfm_olist,
-             "online_retail_featured": t.retail_featured, "rfm_retail": t.rfm_retail}
-    summaries = {"monthly_revenue": reports.r1_monthly(t.master_featured),
-                 "category_revenue": reports.r2_category(t.master_featured),
-                 "state": reports.r3_state(t.master_featured), "payments": reports.r4_payments(t.master_featured)}
-    return export_all({k: to_edge_types(v) for k, v in named.items()}, summaries, base)
+    return export_all({k: to_edge_types(v) for k, v in named_tables(t).items()}, summaries(t), base)
 
 
 REGISTRY["export_manifest"] = _table_query(_export)
