@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions.columns import days_between, flag, hours_between
-from emporia.operators.joins import left_lookup
+from emporia.operators.joins import left_lookup, left_lookup_split
 from emporia.operators.ranking import exact_quantile
 
 
@@ -35,7 +35,8 @@ def payments_per_order(payments_clean: DataFrame) -> DataFrame:
 
 
 def build_master(orders: DataFrame, customers: DataFrame, items_agg: DataFrame, payments_agg: DataFrame,
-                 reviews_latest: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
+                 reviews_latest: DataFrame, products: DataFrame, sellers: DataFrame,
+                 split_hot_keys: bool = False) -> DataFrame:
     """One row per clean order with its customer, totals, review, main product and seller.
 
     Every right side has one row per join key, so the row count equals the
@@ -44,14 +45,20 @@ def build_master(orders: DataFrame, customers: DataFrame, items_agg: DataFrame,
     ``order_id`` (plus once by ``customer_id``) instead of once per look-up
     key. The order-keyed sides leave their aggregations already hash
     partitioned on ``order_id``.
+
+    Hot customers, products or sellers are split by adaptive execution's
+    skew-join handling at run time; ``split_hot_keys=True`` instead finds them
+    up front and joins them by broadcast (one counting pass per look-up).
     """
     reviews = reviews_latest.select("order_id", "review_score", "review_creation_date", "review_answer_timestamp")
     prod = products.select("product_id", "product_category_name_english", "product_weight_g",
                            "product_length_cm", "product_height_cm", "product_width_cm")
     sell = sellers.select("seller_id", "seller_state", "seller_city")
-    items = left_lookup(left_lookup(items_agg, prod, "main_product_id", "product_id"),
-                        sell, "main_seller_id", "seller_id")
-    m = (orders.join(customers, on="customer_id", how="left")
+    look = left_lookup_split if split_hot_keys else left_lookup
+    items = look(look(items_agg, prod, "main_product_id", "product_id"), sell, "main_seller_id", "seller_id")
+    cust = customers.withColumnRenamed("customer_id", "_cid")
+    with_customer = look(orders, cust, "customer_id", "_cid")
+    m = (with_customer
          .join(items, on="order_id", how="left")
          .join(payments_agg, on="order_id", how="left")
          .join(reviews, on="order_id", how="left"))

@@ -46,3 +46,35 @@ def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     """
     side = dim if max_broadcast_rows is None else broadcast_if_small(dim, max_broadcast_rows)
     return fact.join(side, fact[fact_key] == side[dim_key], "left").drop(side[dim_key])
+
+
+def hot_keys(fact: DataFrame, key: str, max_hot: int = 64, min_rows: int = 1_000_000) -> list:
+    """Keys holding more than max(min_rows, rows / max_hot) fact rows.
+
+    At most ``max_hot`` keys can pass the share bound, so the list (and any
+    dimension rows looked up for it) has a proven size. Counting is an
+    aggregation with a map-side partial step.
+    """
+    total = fact.count()
+    threshold = max(min_rows, total // max_hot)
+    counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > threshold)
+    return [r[0] for r in counts.select(key).collect()]
+
+
+def left_lookup_split(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
+                      max_hot: int = 64, min_rows: int = 1_000_000) -> DataFrame:
+    """``left_lookup`` that sends hot fact keys through a broadcast join.
+
+    Fact rows whose key is hot (see ``hot_keys``) join the few matching
+    dimension rows by broadcast, so no shuffle partition receives a hot key;
+    the rest use the ordinary shuffle join. Same rows as ``left_lookup``.
+    """
+    hot = hot_keys(fact, fact_key, max_hot, min_rows)
+    if not hot:
+        return left_lookup(fact, dim, fact_key, dim_key)
+    is_hot = F.col(fact_key).isin(hot)
+    dim_hot = F.broadcast(dim.filter(F.col(dim_key).isin(hot)))   # one row per hot key at most
+    hot_part = fact.filter(is_hot).join(dim_hot, fact[fact_key] == dim_hot[dim_key], "left").drop(dim_hot[dim_key])
+    cold = fact.filter(~is_hot | F.col(fact_key).isNull())
+    cold_part = cold.join(dim, cold[fact_key] == dim[dim_key], "left").drop(dim[dim_key])
+    return hot_part.unionByName(cold_part)
