@@ -99,3 +99,9 @@ def cluster_share(labels: DataFrame) -> DataFrame:
     total = F.sum("customer_count").over(Window.partitionBy())
     return labels.select("prediction", "segment_label", "customer_count",
                          pct_of(F.col("customer_count"), total, 1).alias("share_pct"))
+
+
+def display_sample(df: DataFrame, max_rows: int = 3000, seed: int = SEED) -> DataFrame:
+    """Bernoulli sample of about ``max_rows`` rows for plotting (a sampling operator)."""
+    n = df.count()
+    return df if n <= max_rows else df.sample(False, max_rows / n, seed)

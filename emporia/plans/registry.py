@@ -219,6 +219,8 @@ MODEL_QUERIES = {
     "kmeans_labels": _cluster_labels,
     "kmeans_assignments": lambda t: MK.labelled_assignments(clusters(t).assignments, _cluster_labels(t)),
     "kmeans_share": lambda t: MK.cluster_share(_cluster_labels(t)),
+    "kmeans_display_sample": lambda t: MK.display_sample(
+        MK.labelled_assignments(clusters(t).assignments, _cluster_labels(t))),
     "model_comparison": _comparison,
     "label_balance": lambda t: _union([P.class_balance(fitted(t, k).train, fitted(t, k).spec.label)
                                        .withColumn("model", F.lit(fitted(t, k).spec.name)) for k in MODEL_KEYS]),

@@ -56,3 +56,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="emporia-ckpt-", dir=os.environ.get("EMPORIA_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def cluster_conf(target_partition_mb: int = 256, max_shuffle_partitions: int = 20000) -> dict:
+    """Settings suggested for large runs (set them on the cluster's session).
+
+    Shuffles start wide and adaptive execution coalesces them to the advisory
+    size, so one setting serves both small and very large inputs; skewed join
+    partitions are split; scan splits match the advisory size.
+    """
+    mb = f"{target_partition_mb}m"
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": mb,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": mb,
+        "spark.sql.shuffle.partitions": str(max_shuffle_partitions),
+        "spark.sql.files.maxPartitionBytes": mb,
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
