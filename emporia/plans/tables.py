@@ -21,6 +21,7 @@ from emporia.operators.ranking import ROWS_PER_BIN
 from emporia.plans.session import ensure_checkpoint_dir
 from emporia.sources import testdata
 from emporia.sources.files import load_all
+from emporia.sources.schemas import CATALOGUE
 
 
 def materialized(df: DataFrame, name: str, partition_by: list[str] | None = None,
@@ -157,10 +158,13 @@ def from_testdata(spark: SparkSession, sf_dir: str, **kw) -> CommerceTables:
 
 
 def from_csv(spark: SparkSession, base: str, paths: dict | None = None, **kw) -> CommerceTables:
-    """Tables from the original CSV files under ``base``."""
-    raw = load_all(spark, base, paths=paths)
-    raw.pop("geolocation", None)
-    return CommerceTables(spark, raw, **kw)
+    """Tables from the original CSV files under ``base``.
+
+    The geolocation file is catalogued (``load_all`` reads it on request) but
+    feeds no table, so it is not opened here.
+    """
+    names = [n for n in CATALOGUE if n != "geolocation"]
+    return CommerceTables(spark, load_all(spark, base, names=names, paths=paths), **kw)
 
 
 # -- models ----------------------------------------------------------------------
