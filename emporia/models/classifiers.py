@@ -81,4 +81,5 @@ def train(spec: ModelSpec, source: DataFrame, train_pct: int = 80, seed: int = 4
     tr, te = hash_split(data, train_pct, seed)
     pipe = build_pipeline(spec.numeric, spec.categorical, spec.make(spec.label), spec.scale)
     model = pipe.fit(tr)
-    return FittedModel(spec, model, tr, te, model.transform(te))
+    # Scored once and kept: metrics, confusion matrix, ROC and loss tables all read it.
+    return FittedModel(spec, model, tr, te, model.transform(te).persist())

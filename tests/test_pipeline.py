@@ -91,3 +91,21 @@ def test_high_value_split_is_at_the_median(t):
 def test_report_limits(t):
     assert Q.q03_revenue_by_state(t.master_featured).count() <= 10
     assert Q.q18_best_sellers(t.retail_featured).count() == 10
+
+
+def test_segment_bands(spark):
+    from emporia.operators.rfm import segment
+    df = spark.createDataFrame([(s,) for s in range(3, 13)], "s int")
+    got = {r.s: r.seg for r in df.select("s", segment(F.col("s")).alias("seg")).collect()}
+    assert got[12] == got[10] == "Champions" and got[9] == got[7] == "Loyal Customers"
+    assert got[6] == got[5] == "At Risk" and got[4] == got[3] == "Lost Customers"
+
+
+def test_caps_exact_and_approx(spark):
+    from emporia.operators.rfm import cap_at_quantile
+    df = spark.createDataFrame([(i, float(i)) for i in range(1000)], "a long, b double")
+    capped, caps = cap_at_quantile(df, ["a", "b"], 0.99, exact=True, rows_per_bin=100)
+    assert caps == {"a": 989, "b": 989.0}
+    assert capped.agg(F.max("a")).first()[0] == 989
+    _, approx = cap_at_quantile(df, ["a", "b"], 0.99, exact=False, relative_error=0.001)
+    assert abs(approx["a"] - 989) <= 2

@@ -62,3 +62,14 @@ def test_exact_quantile_decimal_and_nulls(spark):
     clean = sorted(v for v in vals if v is not None)
     for q in (0.5, 0.99):
         assert exact_quantile(df, "x", q, rows_per_bin=20) == clean[math.ceil(q * len(clean)) - 1]
+
+
+def test_approx_quantile_within_rank_bound(spark):
+    rnd = random.Random(3)
+    vals = sorted(rnd.random() for _ in range(5000))
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    err = 0.01
+    approx = df.approxQuantile("x", [0.5], err)[0]
+    exact = exact_quantile(df, "x", 0.5, rows_per_bin=300)
+    pos = lambda v: vals.index(v)
+    assert abs(pos(approx) - pos(exact)) <= err * len(vals) + 1
