@@ -36,7 +36,10 @@ def materialized(df: DataFrame, name: str, partition_by: list[str] | None = None
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tables-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}/{name}"
-    out = df.sortWithinPartitions(*sort_within) if sort_within else df
+    # Partition columns lead the sort, so the writer's own ordering requirement
+    # is already met and the status order inside each file is kept.
+    order = [*(partition_by or []), *(sort_within or [])] if sort_within else []
+    out = df.sortWithinPartitions(*order) if order else df
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
