@@ -67,24 +67,33 @@ def clean_report(raw: DataFrame, clean: DataFrame, name: str) -> DataFrame:
                     dropped.alias("dropped_rows"), pct_of(dropped, F.col("raw_rows"), 2).alias("dropped_pct"))
 
 
-def describe(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
+def describe(df: DataFrame, columns: list[str], digits: int = 6, quartiles: bool = False,
+             accuracy: int = 10_000) -> DataFrame:
     """count, mean, sample stddev, min, max per numeric column, one row each.
 
     Statistics are doubles rounded to ``digits`` places; one pass computes all
-    columns.
+    columns. ``quartiles=True`` adds approximate 25/50/75 % points from a
+    bounded-memory sketch in the same pass (as ``DataFrame.summary`` does).
     """
     aggs = []
     for c in columns:
         x = _q(c).cast("double")
         aggs += [F.count(_q(c)).alias(f"{c}__count"), avg_of(_q(c)).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__stddev"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+        if quartiles:
+            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"{c}__q"))
     wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("column_name"),
-                     F.col(f"`{c}__count`").alias("count"),
-                     round_half_up(F.col(f"`{c}__mean`"), digits).alias("mean"),
-                     round_half_up(F.col(f"`{c}__stddev`"), digits).alias("stddev"),
-                     F.col(f"`{c}__min`").alias("min"),
-                     F.col(f"`{c}__max`").alias("max")) for c in columns]
+    rows = []
+    for c in columns:
+        fields = [F.lit(c).alias("column_name"),
+                  F.col(f"`{c}__count`").alias("count"),
+                  round_half_up(F.col(f"`{c}__mean`"), digits).alias("mean"),
+                  round_half_up(F.col(f"`{c}__stddev`"), digits).alias("stddev"),
+                  F.col(f"`{c}__min`").alias("min"),
+                  F.col(f"`{c}__max`").alias("max")]
+        if quartiles:
+            fields += [F.col(f"`{c}__q`")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))]
+        rows.append(F.struct(*fields))
     return wide.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
 
 

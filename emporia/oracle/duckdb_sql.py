@@ -607,12 +607,12 @@ DESCRIBE_COLS = ["delivery_delay_days", "actual_delivery_days", "days_to_approve
                  "review_score", "items_count", "product_weight_g"]
 
 
-def _describe() -> str:
+def _describe(source: str = "featured", cols=None) -> str:
     parts = []
-    for c in DESCRIBE_COLS:
+    for c in cols or DESCRIBE_COLS:
         x = f"CAST({c} AS DOUBLE)"
         parts.append(f"SELECT '{c}' AS column_name, COUNT({c}) AS count, {avg(c, 6)} AS mean, "
-                     f"{rhu(f'stddev_samp({x})', 6)} AS stddev, MIN({x}) AS min, MAX({x}) AS max FROM featured")
+                     f"{rhu(f'stddev_samp({x})', 6)} AS stddev, MIN({x}) AS min, MAX({x}) AS max FROM {source}")
     return "\nUNION ALL ".join(parts)
 
 
@@ -661,6 +661,7 @@ TABLES.update({
     "segment_counts": "SELECT customer_segment, COUNT(*) AS count FROM rfm_best GROUP BY customer_segment "
                       "ORDER BY count DESC, customer_segment",
     "rfm_capped_exact": _rfm_capped(),
+    "describe_ml_orders": _describe(f"({ML_PREP})", ["is_late_delivery", "is_high_review", "is_delivered"]),
     "class_balance": f"SELECT CAST(is_late_delivery AS BIGINT) AS label, COUNT(*) AS row_count, "
                      f"{pct('COUNT(*)', 'SUM(COUNT(*)) OVER ()')} AS share_pct FROM ({ML_PREP}) GROUP BY is_late_delivery",
 })

@@ -228,6 +228,13 @@ MODEL_QUERIES = {
 
 REGISTRY.update({name: _table_query(fn) for name, fn in MODEL_QUERIES.items()})
 
+# Approximate statistics have no exact SQL twin: rows-only.
+REGISTRY["summary_orders"] = _table_query(lambda t: P.describe(t.master_featured, DESCRIBE_COLS, quartiles=True))
+REGISTRY["describe_ml_orders"] = _table_query(lambda t: P.describe(
+    prep_orders_ml(t.master_featured), ["is_late_delivery", "is_high_review", "is_delivered"]))
+REGISTRY["summary_rfm_retail"] = _table_query(lambda t: P.describe(
+    t.rfm_retail_ml, ["recency_days", "frequency", "monetary"], quartiles=True))
+
 
 # -- export (S8-S11) -------------------------------------------------------------
 
