@@ -3,7 +3,7 @@
 Runs on local[$BENCH_CPUS] over $BENCH_SF_DIR (default /root/testdata/sf0.1)
 and prints one JSON line. Each query is forced with the no-op sink, so the
 full plan runs without collecting rows. Table builds are timed separately
-(they are written once to the checkpoint folder, as the pipeline would save
+(they are written once to the checkpoint folder, as the batch job would save
 them); the model fits are timed as their first metrics query.
 """
 

@@ -10,7 +10,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.sql import DataFrame
 
-from emporia.models.pipelines import build_pipeline, hash_split, sample_rows
+from emporia.models.stages import build_pipeline, hash_split, sample_rows
 from emporia.models.prep import model_frame
 
 

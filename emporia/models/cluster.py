@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from emporia.functions.columns import pct_of, round_half_up
-from emporia.models.pipelines import build_pipeline
+from emporia.models.stages import build_pipeline
 from emporia.operators.rfm import cap_at_quantile
 
 RFM_FEATURES = ["recency_days", "frequency", "monetary"]

@@ -2,7 +2,7 @@
 
 Usage (CSV inputs as in the original layout)::
 
-    spark-submit -m emporia.plans.pipeline --csv hdfs:///data/raw/ --out hdfs:///data/out/
+    spark-submit -m emporia.plans.batch_job --csv hdfs:///data/raw/ --out hdfs:///data/out/
 
 or from Python with any source of raw DataFrames::
 
@@ -59,7 +59,7 @@ def main(argv=None):
     ap.add_argument("--out", required=True, help="output folder (shared storage)")
     ap.add_argument("--as-tables", action="store_true", help="save to the catalog instead of Parquet paths")
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("emporia-pipeline").getOrCreate()
+    spark = SparkSession.builder.appName("emporia-batch").getOrCreate()
     t = from_csv(spark, a.csv) if a.csv else from_testdata(spark, a.testdata)
     run(t, a.out, a.as_tables).show(truncate=False)
 

@@ -20,12 +20,12 @@ from pyspark.sql.types import (
 
 from emporia.models import cluster as MK
 from emporia.models import evaluate as MV
-from emporia.models.pipelines import feature_names
+from emporia.models.stages import feature_names
 from emporia.models.prep import prep_orders_ml
 from emporia.operators import profile as P
 from emporia.operators import reports
 from emporia.operators import rfm as R
-from emporia.plans.pipeline import named_tables, summaries
+from emporia.plans.batch_job import named_tables, summaries
 from emporia.plans.session import ensure_checkpoint_dir
 from emporia.plans.tables import CommerceTables, clusters, fitted, from_testdata
 from emporia.sources.sinks import export_all

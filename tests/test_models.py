@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from emporia.models import evaluate as MV
-from emporia.models.pipelines import build_pipeline, feature_names, hash_split
+from emporia.models.stages import build_pipeline, feature_names, hash_split
 from emporia.plans import registry
 from emporia.plans.tables import fitted, from_testdata
 from tests.conftest import SF_SMALL

@@ -1,7 +1,7 @@
 """The questions asked as SQL text over registered views give the DataFrame answers."""
 
 from emporia.operators import reports as Q
-from emporia.plans.pipeline import register_views
+from emporia.plans.batch_job import register_views
 from emporia.plans.tables import from_testdata
 from tests.conftest import SF_SMALL, rows
 
@@ -23,8 +23,8 @@ def test_sql_over_views_matches_dataframe(spark):
     assert sum(r.n for r in seg.collect()) == t.rfm_olist.count()
 
 
-def test_pipeline_run_writes_tables_and_exports(spark, tmp_path):
-    from emporia.plans.pipeline import run
+def test_batch_job_writes_tables_and_exports(spark, tmp_path):
+    from emporia.plans.batch_job import run
     t = from_testdata(spark, SF_SMALL)
     manifest = {r.export: r.files for r in run(t, str(tmp_path)).collect()}
     assert {"master_featured.parquet", "summary_state", "rfm_olist_csv"} <= set(manifest)
