@@ -521,6 +521,8 @@ RFM_COLS = [("customer_unique_id", "s"), ("recency_days", "i"), ("frequency", "i
             ("R_score", "i"), ("F_score", "i"), ("M_score", "i"), ("RFM_score", "i"), ("customer_segment", "s")]
 RFM_RETAIL_COLS = [("Customer ID", "i"), ("recency_days", "i"), ("frequency", "i"), ("monetary", "d")]
 
+NULLABLE_COUNTS = {"items_count", "max_payment_installments", "payment_methods_count"}
+
 RAW_TABLES = {  # profile name -> (raw CTE, columns)
     "orders": ("orders_raw", ORDERS_COLS),
     "customers": ("customers_raw", CUSTOMERS_COLS),
@@ -652,7 +654,7 @@ TABLES.update({
     "latest_review": select_table("reviews_latest", REVIEWS_COLS),
     "products_translated": select_table("products_clean", PRODUCTS_COLS),
     "clean_sellers": select_table("sellers_clean", SELLERS_COLS),
-    "master_featured": select_table("featured", FEATURED_COLS),
+    "master_featured": select_table("featured", [(c, "d" if c in NULLABLE_COUNTS else k) for c, k in FEATURED_COLS]),
     "retail_clean": select_table("retail_clean", RETAIL_COLS),
     "retail_featured": select_table("retail_featured", RETAIL_FEATURED_COLS),
     "rfm_orders_best_high": select_table("rfm_best", RFM_COLS),

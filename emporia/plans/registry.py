@@ -74,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # -- tables and profiles ------------------------------------------------------
 
 
+NULLABLE_COUNTS = ["items_count", "max_payment_installments", "payment_methods_count"]
 PROFILED = ["orders", "customers", "order_items", "payments", "reviews", "products", "sellers", "retail"]
 DESCRIBE_COLS = ["delivery_delay_days", "actual_delivery_days", "days_to_approve", "total_order_value",
                  "review_score", "items_count", "product_weight_g"]
@@ -127,7 +128,10 @@ TABLE_QUERIES = {
     "latest_review": lambda t: t.reviews_latest,
     "products_translated": lambda t: t.products_clean,
     "clean_sellers": lambda t: t.sellers_clean,
-    "master_featured": lambda t: t.master_featured,
+    # Counts that are null for orders without items/payments travel as doubles,
+    # the one numeric type whose nulls both engines hand over the same way.
+    "master_featured": lambda t: t.master_featured.withColumns(
+        {c: F.col(c).cast("double") for c in NULLABLE_COUNTS}),
     "retail_clean": lambda t: t.retail_clean,
     "retail_featured": lambda t: t.retail_featured,
     "rfm_orders_best_high": lambda t: t.rfm_olist,
