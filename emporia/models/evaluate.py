@@ -29,10 +29,15 @@ def binary_metrics(spark: SparkSession, predictions: DataFrame, label: str, mode
 
 
 def confusion_matrix(predictions: DataFrame, label: str, model: str) -> DataFrame:
-    """(model, label, prediction, count) for every observed pair."""
-    return (predictions.groupBy(F.col(label).cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
-            .agg(F.count(F.lit(1)).alias("count"))
-            .select(F.lit(model).alias("model"), "label", "prediction", "count"))
+    """(model, label, prediction, count) for all four cells of a binary model (0 when empty)."""
+    counts = (predictions.groupBy(F.col(label).cast("int").alias("label"),
+                                  F.col("prediction").cast("int").alias("prediction"))
+              .agg(F.count(F.lit(1)).alias("count")))
+    cells = predictions.sparkSession.createDataFrame([(a, b) for a in (0, 1) for b in (0, 1)],
+                                                     "label int, prediction int")
+    return (cells.join(counts, ["label", "prediction"], "left")
+            .select(F.lit(model).alias("model"), "label", "prediction",
+                    F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
 
 
 def positive_probability(predictions: DataFrame) -> F.Column:
@@ -40,24 +45,26 @@ def positive_probability(predictions: DataFrame) -> F.Column:
 
 
 def roc_points(predictions: DataFrame, label: str, model: str, bins: int = 1000) -> DataFrame:
-    """ROC curve over score bins: (model, threshold, tpr, fpr), plus the (0,0) start.
+    """ROC curve on a fixed threshold grid: (model, threshold, tpr, fpr).
 
     Scores are cut into ``bins`` equal-width bins and aggregated, so only
     ``bins`` rows reach the cumulative window however many predictions exist.
+    Every threshold i / bins (i = 0 .. bins) appears, empty bins included, so
+    the table has ``bins + 1`` rows per model; threshold 1 is the (0, 0) start.
     """
     p = positive_probability(predictions)
-    b = F.least(F.floor(p * bins), F.lit(bins - 1)).cast("int")
+    b = F.least(F.floor(p * bins), F.lit(bins - 1)).cast("long")
     per_bin = (predictions.select(b.alias("bin"), F.col(label).cast("long").alias("y"))
                .groupBy("bin").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")))
+    grid = predictions.sparkSession.range(bins + 1).withColumnRenamed("id", "bin")
+    filled = grid.join(per_bin, "bin", "left").fillna({"pos": 0, "neg": 0})
     down = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy()
-    pts = per_bin.select(
+    return filled.select(
+        F.lit(model).alias("model"),
         (F.col("bin") / bins).alias("threshold"),
         (F.sum("pos").over(down) / F.sum("pos").over(whole)).alias("tpr"),
         (F.sum("neg").over(down) / F.sum("neg").over(whole)).alias("fpr"))
-    spark = predictions.sparkSession
-    start = spark.createDataFrame([(1.0, 0.0, 0.0)], "threshold double, tpr double, fpr double")
-    return start.unionByName(pts).select(F.lit(model).alias("model"), "threshold", "tpr", "fpr")
 
 
 def roc_area(points: DataFrame) -> DataFrame:
