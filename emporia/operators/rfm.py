@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from emporia.operators.ranking import ROWS_PER_BIN, exact_quantile, global_ntile
+from emporia.operators.ranking import ROWS_PER_BIN, exact_quantile, global_ntiles
 
 # Segment thresholds on the summed score (3..12) and their names.
 SEGMENTS = [(10, "Champions"), (7, "Loyal Customers"), (5, "At Risk")]
@@ -86,14 +86,12 @@ def rfm_scores(rfm_df: DataFrame, key: str, orientation: str = "best_high", scal
     (no single-task window); ``False`` uses ``F.ntile`` over an un-partitioned
     window, which is the same result but gathers all rows into one task.
     """
-    out = rfm_df
-    for score, asc in ORIENTATIONS[orientation].items():
-        order = [(MEASURE[score], asc), (key, True)]
-        if scalable:
-            out = global_ntile(out, order, 4, score, rows_per_bin)
-            if keep is not None and score != "M_score":
-                out = keep(out)
-        else:
+    orders = {score: [(MEASURE[score], asc), (key, True)] for score, asc in ORIENTATIONS[orientation].items()}
+    if scalable:
+        out = global_ntiles(rfm_df, orders, 4, rows_per_bin)
+    else:
+        out = rfm_df
+        for score, asc in ORIENTATIONS[orientation].items():
             m = F.col(MEASURE[score])
             w = Window.orderBy(m.asc() if asc else m.desc(), F.col(f"`{key}`").asc())
             out = out.withColumn(score, F.ntile(4).over(w))

@@ -73,3 +73,14 @@ def test_approx_quantile_within_rank_bound(spark):
     exact = exact_quantile(df, "x", 0.5, rows_per_bin=300)
     pos = lambda v: vals.index(v)
     assert abs(pos(approx) - pos(exact)) <= err * len(vals) + 1
+
+
+def test_global_ntiles_equal_separate_ntiles(spark):
+    from emporia.operators.ranking import global_ntiles
+    df = _frame(spark, 1003)
+    orders = {"a": [("freq", True), ("key", True)], "b": [("money", False), ("key", True)]}
+    got = {r.key: (r.a, r.b) for r in global_ntiles(df, orders, 4, rows_per_bin=41).collect()}
+    wa = Window.orderBy(F.col("freq").asc(), F.col("key").asc())
+    wb = Window.orderBy(F.col("money").desc(), F.col("key").asc())
+    ref = {r.key: (r.a, r.b) for r in df.withColumn("a", F.ntile(4).over(wa)).withColumn("b", F.ntile(4).over(wb)).collect()}
+    assert got == ref
