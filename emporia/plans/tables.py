@@ -120,8 +120,7 @@ class CommerceTables:
         return self._keep(R.rfm_orders(self.master_featured), "rfm_base")
 
     def rfm_scored(self, orientation: str = "best_high") -> DataFrame:
-        return R.rfm_scores(self.rfm_base, "customer_unique_id", orientation, rows_per_bin=self.rows_per_bin,
-                            keep=lambda df: self._keep(df, f"rfm_{orientation}_{len(df.columns)}"))
+        return R.rfm_scores(self.rfm_base, "customer_unique_id", orientation, rows_per_bin=self.rows_per_bin)
 
     @cached_property
     def rfm_olist(self) -> DataFrame:
