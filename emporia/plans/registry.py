@@ -236,6 +236,8 @@ REGISTRY.update({name: _table_query(fn) for name, fn in MODEL_QUERIES.items()})
 REGISTRY["summary_orders"] = _table_query(lambda t: P.describe(t.master_featured, DESCRIBE_COLS, quartiles=True))
 REGISTRY["describe_ml_orders"] = _table_query(lambda t: P.describe(
     prep_orders_ml(t.master_featured), ["is_late_delivery", "is_high_review", "is_delivered"]))
+REGISTRY["rfm_capped_approx"] = _table_query(lambda t: R.cap_at_quantile(
+    t.rfm_retail_ml, ["recency_days", "frequency", "monetary"], 0.99, exact=False, relative_error=0.001)[0])
 REGISTRY["summary_rfm_retail"] = _table_query(lambda t: P.describe(
     t.rfm_retail_ml, ["recency_days", "frequency", "monetary"], quartiles=True))
 
