@@ -74,15 +74,19 @@ def hours_between(end, start) -> Column:
 
 
 def as_timestamp(c, dtype=None, fmt: str = TS_FORMAT) -> Column:
-    """Parse text to a wall-clock timestamp; bad text gives null.
-
-    Columns that are already timestamps pass through unchanged, so cleaners
-    accept both the CSV text and typed Parquet inputs.
+    """Parse text to a wall-clock timestamp (no time zone); bad text gives null.
+
+    The text must match ``fmt`` (checked with ``try_to_timestamp``); the value
+    itself comes from a cast to ``timestamp_ntz``, which keeps the written
+    wall-clock time whatever the session time zone (a zone-aware parse would
+    move times inside a daylight-saving gap). Columns that are already
+    timestamps pass through unchanged, so cleaners accept both the CSV text
+    and typed Parquet inputs.
     """
     col = _c(c)
     if dtype is not None and not isinstance(dtype, StringType):
         return col
-    return F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
+    return F.when(F.try_to_timestamp(col, F.lit(fmt)).isNotNull(), col.try_cast("timestamp_ntz"))
 
 
 def day_name(c) -> Column:

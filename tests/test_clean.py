@@ -96,3 +96,16 @@ def test_csv_reader_multiline_and_escaped_quotes(spark, tmp_path):
     rows = {r.review_id: r for r in df.collect()}
     assert len(rows) == 2
     assert rows["r1"].review_comment_message == 'line one\nline "two"'
+
+
+def test_text_timestamps_keep_wall_clock_in_any_zone(spark):
+    from emporia.functions.columns import as_timestamp
+    from pyspark.sql.types import StringType
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2018-03-11 02:30:00",), ("garbage",), ("2018-01-01",)], "s string")
+        got = [r.t for r in df.select(as_timestamp("s", StringType()).alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [datetime(2018, 3, 11, 2, 30), None, None]
