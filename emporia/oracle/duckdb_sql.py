@@ -663,6 +663,12 @@ TABLES.update({
     "segment_counts": "SELECT customer_segment, COUNT(*) AS count FROM rfm_best GROUP BY customer_segment "
                       "ORDER BY count DESC, customer_segment",
     "rfm_capped_exact": _rfm_capped(),
+    "class_balance_review": f"SELECT CAST(is_high_review AS BIGINT) AS label, COUNT(*) AS row_count, "
+                            f"{pct('COUNT(*)', 'SUM(COUNT(*)) OVER ()')} AS share_pct FROM ({ML_PREP}) "
+                            f"GROUP BY is_high_review",
+    "class_balance_retail": f"SELECT CAST(is_high_value AS BIGINT) AS label, COUNT(*) AS row_count, "
+                            f"{pct('COUNT(*)', 'SUM(COUNT(*)) OVER ()')} AS share_pct FROM retail_featured "
+                            f"GROUP BY is_high_value",
     "describe_ml_orders": _describe(f"({ML_PREP})", ["is_late_delivery", "is_high_review", "is_delivered"]),
     "class_balance": f"SELECT CAST(is_late_delivery AS BIGINT) AS label, COUNT(*) AS row_count, "
                      f"{pct('COUNT(*)', 'SUM(COUNT(*)) OVER ()')} AS share_pct FROM ({ML_PREP}) GROUP BY is_late_delivery",

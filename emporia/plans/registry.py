@@ -141,6 +141,8 @@ TABLE_QUERIES = {
                                  .orderBy(F.desc("count"), "customer_segment")),
     "rfm_capped_exact": _capped,
     "class_balance": lambda t: P.class_balance(prep_orders_ml(t.master_featured), "is_late_delivery"),
+    "class_balance_review": lambda t: P.class_balance(prep_orders_ml(t.master_featured), "is_high_review"),
+    "class_balance_retail": lambda t: P.class_balance(t.retail_featured, "is_high_value"),
 }
 
 REGISTRY.update({name: _table_query(fn) for name, fn in TABLE_QUERIES.items()})
