@@ -673,3 +673,41 @@ TABLES.update({
     "class_balance": f"SELECT CAST(is_late_delivery AS BIGINT) AS label, COUNT(*) AS row_count, "
                      f"{pct('COUNT(*)', 'SUM(COUNT(*)) OVER ()')} AS share_pct FROM ({ML_PREP}) GROUP BY is_late_delivery",
 })
+
+
+# -- model input frames ---------------------------------------------------------
+# Fills applied before training (same as the library's prep).
+ORDER_ML_FILLS = {
+    "delivery_delay_days": "0", "days_to_approve": "0", "actual_delivery_days": "0",
+    "product_weight_g": "500.0", "product_volume_cm3": "1000.0", "items_count": "1", "avg_item_price": "0.0",
+    "max_payment_installments": "1", "customer_state": "'SP'", "seller_state": "'SP'",
+    "product_category_name_english": "'other'", "primary_payment_type": "'credit_card'",
+}
+ORDER_STATUS_ML_FILLS = {
+    "total_payment_value": "0.0", "max_payment_installments": "1", "items_count": "1",
+    "items_total_freight": "0.0", "items_total_price": "0.0", "avg_item_price": "0.0",
+    "customer_state": "'SP'", "primary_payment_type": "'credit_card'", "is_delivered": "0",
+}
+
+
+def _frame(source: str, fills: dict, numeric: list[str], categorical: list[str], label: str) -> str:
+    def val(c):
+        return f"COALESCE({q(c)}, {fills[c]})" if c in fills else q(c)
+    cols = ([f"CAST({val(c)} AS DOUBLE) AS {q(c)}" for c in numeric]
+            + [f"CAST({val(c)} AS VARCHAR) AS {q(c)}" for c in categorical]
+            + [f"CAST({val(label)} AS BIGINT) AS {q(label)}"])
+    inner = f"SELECT {', '.join(cols)} FROM {source}"
+    every = " AND ".join(f"{q(c)} IS NOT NULL" for c in numeric + categorical + [label])
+    return f"SELECT * FROM ({inner}) WHERE {every}"
+
+
+def _model_frames() -> dict[str, str]:
+    from emporia.models.classifiers import SPECS
+    gbt_source = ("(SELECT * REPLACE (COALESCE(Country, 'United Kingdom') AS Country) FROM retail_featured)")
+    sources = {"lr": (f"({ML_PREP})", ORDER_ML_FILLS), "rf": (f"({ML_PREP})", ORDER_ML_FILLS),
+               "dt": ("featured", ORDER_STATUS_ML_FILLS), "gbt": (gbt_source, {})}
+    return {f"ml_frame_{k}": _frame(src, fills, SPECS[k].numeric, SPECS[k].categorical, SPECS[k].label)
+            for k, (src, fills) in sources.items()}
+
+
+TABLES.update(_model_frames())

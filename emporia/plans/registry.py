@@ -238,6 +238,18 @@ REGISTRY.update({name: _table_query(fn) for name, fn in MODEL_QUERIES.items()})
 REGISTRY["summary_orders"] = _table_query(lambda t: P.describe(t.master_featured, DESCRIBE_COLS, quartiles=True))
 REGISTRY["describe_ml_orders"] = _table_query(lambda t: P.describe(
     prep_orders_ml(t.master_featured), ["is_late_delivery", "is_high_review", "is_delivered"]))
+# The exact frame each classifier trains on (before the split): SQL-checkable.
+def _model_frame(key: str):
+    from emporia.models.classifiers import SPECS
+    from emporia.models.prep import model_frame
+    from emporia.plans.tables import _ml_source
+    spec = SPECS[key]
+    return _table_query(lambda t: model_frame(_ml_source(t, key), spec.numeric, spec.categorical, spec.label))
+
+
+for _key in ("lr", "rf", "dt", "gbt"):
+    REGISTRY[f"ml_frame_{_key}"] = _model_frame(_key)
+
 REGISTRY["rfm_capped_approx"] = _table_query(lambda t: R.cap_at_quantile(
     t.rfm_retail_ml, ["recency_days", "frequency", "monetary"], 0.99, exact=False, relative_error=0.001)[0])
 REGISTRY["summary_rfm_retail"] = _table_query(lambda t: P.describe(
