@@ -21,11 +21,15 @@ TOV = "total_order_value"
 # The original questions filter on 2017 and 2018; the test data spans
 # 1995-2001, so the years are a parameter.
 DEFAULT_YEARS = (1997, 1998)
+# Category words left out of the category reports, status
+# counted as delivered, cap on installments in the installments report.
 EXCLUDED_CATEGORIES = ("unknown", "other")
+DELIVERED_STATUS = "delivered"
+MAX_INSTALLMENTS = 12
 
 
 def _delivered() -> F.Column:
-    return F.col("order_status") == "delivered"
+    return F.col("order_status") == DELIVERED_STATUS
 
 
 def _n() -> F.Column:
@@ -169,7 +173,7 @@ def q12_payment_types(mf: DataFrame) -> DataFrame:
         .orderBy(F.desc("orders_count"), F.asc_nulls_first("primary_payment_type")))
 
 
-def q13_installments(mf: DataFrame, max_installments: int = 12) -> DataFrame:
+def q13_installments(mf: DataFrame, max_installments: int = MAX_INSTALLMENTS) -> DataFrame:
     return (mf.filter(F.col("max_payment_installments") <= max_installments)
             .groupBy(F.col("max_payment_installments").alias("installments")).agg(
                 _n().alias("orders_count"),
