@@ -57,7 +57,8 @@ def hot_keys(fact: DataFrame, key: str, max_hot: int = 64, min_rows: int = 1_000
     """
     total = fact.count()
     threshold = max(min_rows, total // max_hot)
-    counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > threshold)
+    counts = (fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+              .filter(F.col("_n") > threshold))
     return [r[0] for r in counts.select(key).collect()]
 
 
@@ -67,14 +68,22 @@ def left_lookup_split(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: s
 
     Fact rows whose key is hot (see ``hot_keys``) join the few matching
     dimension rows by broadcast, so no shuffle partition receives a hot key;
-    the rest use the ordinary shuffle join. Same rows as ``left_lookup``.
+    rows with a null key cannot match and skip the join (shuffling them would
+    put them all in one partition); the rest use the ordinary shuffle join.
+    Same rows as ``left_lookup``.
     """
     hot = hot_keys(fact, fact_key, max_hot, min_rows)
-    if not hot:
-        return left_lookup(fact, dim, fact_key, dim_key)
-    is_hot = F.col(fact_key).isin(hot)
-    dim_hot = F.broadcast(dim.filter(F.col(dim_key).isin(hot)))   # one row per hot key at most
-    hot_part = fact.filter(is_hot).join(dim_hot, fact[fact_key] == dim_hot[dim_key], "left").drop(dim_hot[dim_key])
-    cold = fact.filter(~is_hot | F.col(fact_key).isNull())
+    key = F.col(fact_key)
+    dim_cols = [f for f in dim.schema.fields if f.name != dim_key]
+    no_key = fact.filter(key.isNull()).withColumns({f.name: F.lit(None).cast(f.dataType) for f in dim_cols})
+    if hot:
+        is_hot = key.isin(hot)
+        dim_hot = F.broadcast(dim.filter(F.col(dim_key).isin(hot)))   # one row per hot key at most
+        hot_part = (fact.filter(is_hot).join(dim_hot, fact[fact_key] == dim_hot[dim_key], "left")
+                    .drop(dim_hot[dim_key]))
+        cold = fact.filter(key.isNotNull() & ~is_hot)
+    else:
+        hot_part, cold = None, fact.filter(key.isNotNull())
     cold_part = cold.join(dim, cold[fact_key] == dim[dim_key], "left").drop(dim[dim_key])
-    return hot_part.unionByName(cold_part)
+    out = cold_part.unionByName(no_key)
+    return out if hot_part is None else out.unionByName(hot_part)

@@ -32,6 +32,23 @@ def test_split_lookup_equals_plain_lookup(spark):
     assert "BroadcastHashJoin" in split._jdf.queryExecution().executedPlan().toString()
 
 
+def test_split_lookup_with_null_heavy_key(spark):
+    # A third of the keys are null: null must not become a "hot key" and drop cold rows.
+    fact = spark.range(900).select(F.col("id").alias("line"),
+                                   F.when(F.col("id") % 3 == 0, F.lit(None).cast("string"))
+                                    .otherwise(F.concat(F.lit("p"), (F.col("id") % 7).cast("string"))).alias("product"))
+    dim = _dim(spark)
+    split = left_lookup_split(fact, dim, "product", "pid", max_hot=4, min_rows=10)
+    assert split.count() == 900
+    assert rows(split) == rows(left_lookup(fact, dim, "product", "pid"))
+    # nulls plus a genuinely hot key
+    fact2 = fact.withColumn("product", F.when(F.col("line") % 3 == 1, F.lit("p0")).otherwise(F.col("product")))
+    assert hot_keys(fact2, "product", max_hot=10, min_rows=10) == ["p0"]
+    split2 = left_lookup_split(fact2, dim, "product", "pid", max_hot=10, min_rows=10)
+    assert split2.count() == 900
+    assert rows(split2) == rows(left_lookup(fact2, dim, "product", "pid"))
+
+
 def test_broadcast_if_small_checks_size(spark):
     small = spark.range(10)
     assert "broadcast" in str(broadcast_if_small(small, 100)._jdf.queryExecution().logical()).lower()
