@@ -23,6 +23,8 @@ from emporia.sources.sinks import export_all, save_table
 
 # Names of the saved tables.
 SAVED = ("master_featured", "rfm_olist", "online_retail_featured", "rfm_retail")
+# Partition columns of the saved tables (year filters prune whole folders).
+PARTITIONS = {"master_featured": ["order_year"], "online_retail_featured": ["InvoiceYear"]}
 
 
 def named_tables(t: CommerceTables) -> dict[str, DataFrame]:
@@ -47,7 +49,7 @@ def run(t: CommerceTables, out: str, as_tables: bool = False) -> DataFrame:
     """Save the featured tables (catalog or Parquet under ``out``) and the exports."""
     out = out.rstrip("/")
     for name, df in named_tables(t).items():
-        save_table(df, name, None if as_tables else f"{out}/tables/{name}")
+        save_table(df, name, None if as_tables else f"{out}/tables/{name}", partition_by=PARTITIONS.get(name))
     return export_all(named_tables(t), summaries(t), f"{out}/exports")
 
 

@@ -28,12 +28,16 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "
     return path
 
 
-def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite") -> str:
+def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite",
+               partition_by: list[str] | None = None) -> str:
     """Managed table in the catalog, or Parquet at ``path`` when there is no metastore."""
     if path is None:
-        df.write.mode(mode).saveAsTable(name)
+        w = df.write.mode(mode)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.saveAsTable(name)
         return name
-    return write_parquet(df, path, mode=mode)
+    return write_parquet(df, path, partition_by=partition_by, mode=mode)
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
