@@ -129,9 +129,14 @@ def featurize_retail(retail_clean: DataFrame, threshold=None, q: float = 0.5,
     ``relative_error`` is given, in which case ``approxQuantile`` with that
     rank error is used. Pass ``threshold`` to reuse one already computed.
     """
-    f = retail_calendar(retail_clean)
+    return add_high_value(retail_calendar(retail_clean), threshold, q, relative_error)
+
+
+def add_high_value(lines: DataFrame, threshold=None, q: float = 0.5,
+                   relative_error: float | None = None) -> DataFrame:
+    """``is_high_value`` on lines that already carry ``TotalLineValue``."""
     if threshold is None and relative_error is not None:
-        threshold = f.approxQuantile("TotalLineValue", [q], relative_error)[0]
+        threshold = lines.approxQuantile("TotalLineValue", [q], relative_error)[0]
     elif threshold is None:
-        threshold = exact_quantile(f, "TotalLineValue", q)
-    return f.withColumn("is_high_value", flag(F.col("TotalLineValue") > F.lit(threshold)))
+        threshold = exact_quantile(lines, "TotalLineValue", q)
+    return lines.withColumn("is_high_value", flag(F.col("TotalLineValue") > F.lit(threshold)))

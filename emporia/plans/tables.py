@@ -137,7 +137,7 @@ class CommerceTables:
 
     @cached_property
     def retail_featured(self) -> DataFrame:
-        return E.featurize_retail(self.retail_lines)
+        return E.add_high_value(self.retail_lines)
 
     @cached_property
     def rfm_retail(self) -> DataFrame:
