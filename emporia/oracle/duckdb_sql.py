@@ -654,6 +654,11 @@ TABLES.update({
     "latest_review": select_table("reviews_latest", REVIEWS_COLS),
     "products_translated": select_table("products_clean", PRODUCTS_COLS),
     "clean_sellers": select_table("sellers_clean", SELLERS_COLS),
+    "clean_payments": select_table("payments_clean", PAYMENTS_RAW_COLS),
+    "clean_reviews": select_table("reviews_clean", REVIEWS_COLS),
+    "category_clean": select_table("category_clean", [("product_category_name", "s"),
+                                                      ("product_category_name_english", "s")]),
+    "rfm_retail_ml": select_table("cb", RFM_RETAIL_COLS),
     "master_featured": select_table("featured", [(c, "d" if c in NULLABLE_COUNTS else k) for c, k in FEATURED_COLS]),
     "retail_clean": select_table("retail_clean", RETAIL_COLS),
     "retail_featured": select_table("retail_featured", RETAIL_FEATURED_COLS),

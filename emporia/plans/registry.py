@@ -22,6 +22,7 @@ from emporia.models import cluster as MK
 from emporia.models import evaluate as MV
 from emporia.models.prep import prep_orders_ml
 from emporia.models.stages import feature_names
+from emporia.operators import clean as C
 from emporia.operators import profile as P
 from emporia.operators import reports
 from emporia.operators import rfm as R
@@ -128,6 +129,10 @@ TABLE_QUERIES = {
     "latest_review": lambda t: t.reviews_latest,
     "products_translated": lambda t: t.products_clean,
     "clean_sellers": lambda t: t.sellers_clean,
+    "clean_payments": lambda t: t.payments_clean,
+    "clean_reviews": lambda t: t.reviews_clean,
+    "category_clean": lambda t: C.clean_category_translation(t.raw["category_translation"]),
+    "rfm_retail_ml": lambda t: t.rfm_retail_ml,
     # Counts that are null for orders without items/payments travel as doubles,
     # the one numeric type whose nulls both engines hand over the same way.
     "master_featured": lambda t: t.master_featured.withColumns(

@@ -8,7 +8,8 @@ from tests.conftest import SF_SMALL
 
 ROW_LEVEL = ["clean_orders", "clean_customers", "dedup_items", "payments_agg", "items_agg", "latest_review",
              "products_translated", "clean_sellers", "master_featured", "retail_clean", "retail_featured",
-             "rfm_orders_best_high", "rfm_orders_as_coded", "rfm_retail", "rfm_capped_exact"]
+             "rfm_orders_best_high", "rfm_orders_as_coded", "rfm_retail", "rfm_capped_exact",
+             "clean_payments", "clean_reviews", "rfm_retail_ml", "ml_frame_lr", "ml_frame_dt", "ml_frame_gbt"]
 
 
 def _plan(spark, name):
