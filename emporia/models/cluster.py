@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans
@@ -45,16 +46,25 @@ def scaled_rfm(rfm_ml: DataFrame, q: float = 0.99, rows_per_bin: int | None = No
     return prep.fit(capped).transform(capped), caps
 
 
+def _sweep_point(scaled: DataFrame, k: int) -> tuple:
+    m = KMeans(featuresCol="features", k=k, seed=SEED, maxIter=50).fit(scaled)
+    ev = ClusteringEvaluator(featuresCol="features", metricName="silhouette")
+    return k, float(m.summary.trainingCost), float(ev.evaluate(m.transform(scaled)))
+
+
 def run(spark: SparkSession, rfm_ml: DataFrame, ks=SWEEP, final_k: int = FINAL_K,
-        rows_per_bin: int | None = None) -> ClusterRun:
-    """Sweep k (inertia and silhouette per k), then fit the final model."""
+        rows_per_bin: int | None = None, parallelism: int = 4) -> ClusterRun:
+    """Sweep k (inertia and silhouette per k), then fit the final model.
+
+    The sweep's fits are independent and seeded; they run from a few driver
+    threads at once over the persisted, scaled input.
+    """
     scaled, caps = scaled_rfm(rfm_ml, rows_per_bin=rows_per_bin)
     scaled = scaled.persist()
+    scaled.count()
     ev = ClusteringEvaluator(featuresCol="features", metricName="silhouette")
-    rows = []
-    for k in ks:
-        m = KMeans(featuresCol="features", k=k, seed=SEED, maxIter=50).fit(scaled)
-        rows.append((k, float(m.summary.trainingCost), float(ev.evaluate(m.transform(scaled)))))
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = sorted(pool.map(lambda k: _sweep_point(scaled, k), list(ks)))
     sweep = spark.createDataFrame(rows, StructType([StructField("k", LongType()), StructField("inertia", DoubleType()),
                                                     StructField("silhouette", DoubleType())]))
     final = KMeans(featuresCol="features", k=final_k, seed=SEED, maxIter=100).fit(scaled)
