@@ -29,7 +29,7 @@ from emporia.operators import rfm as R
 from emporia.plans.batch_job import named_tables, summaries
 from emporia.plans.session import ensure_checkpoint_dir
 from emporia.plans.tables import CommerceTables, clusters, fitted, from_testdata
-from emporia.sources.sinks import export_all
+from emporia.sources.sinks import export_all, list_files
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -270,3 +270,13 @@ def _export(t: CommerceTables) -> DataFrame:
 
 
 REGISTRY["export_manifest"] = _table_query(_export)
+
+
+def _input_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of the input folder with their sizes (content is not read)."""
+    files = list_files(spark, sf_dir)
+    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+                        F.col("length").alias("bytes"))
+
+
+REGISTRY["input_manifest"] = _input_manifest
