@@ -373,6 +373,12 @@ SELECT customer_segment, COUNT(*) AS customer_count,
        {avg('monetary', 2)} AS avg_monetary, {avg('frequency', 2)} AS avg_frequency,
        {avg('recency_days', 1)} AS avg_recency_days
 FROM rfm_best GROUP BY customer_segment ORDER BY customer_count DESC, customer_segment""",
+    "q05_segments_as_coded": f"""
+SELECT customer_segment, COUNT(*) AS customer_count,
+       {pct('COUNT(*)', 'SUM(COUNT(*)) OVER ()')} AS percentage,
+       {avg('monetary', 2)} AS avg_monetary, {avg('frequency', 2)} AS avg_frequency,
+       {avg('recency_days', 1)} AS avg_recency_days
+FROM rfm_coded GROUP BY customer_segment ORDER BY customer_count DESC, customer_segment""",
     "q06_repeat_customers": f"""
 SELECT CASE WHEN frequency > 1 THEN 'Repeat Customer' ELSE 'One-Time Customer' END AS customer_type,
        COUNT(*) AS customer_count, {avg('monetary', 2)} AS avg_spend

@@ -68,6 +68,11 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+# Q5 under the original score orientation (score 1 = best), next to the default.
+REGISTRY["q05_segments_as_coded"] = lambda spark, sf_dir: to_edge_types(
+    reports.q05_segments(_tables(spark, sf_dir).rfm_olist_as_coded))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(REGISTRY)
 
