@@ -27,14 +27,16 @@ SAVED = ("master_featured", "rfm_olist", "online_retail_featured", "rfm_retail")
 PARTITIONS = {"master_featured": ["order_year"], "online_retail_featured": ["InvoiceYear"]}
 
 
-def named_tables(t: CommerceTables) -> dict[str, DataFrame]:
-    return {"master_featured": t.master_featured, "rfm_olist": t.rfm_olist,
+def named_tables(t: CommerceTables, orientation: str = "best_high") -> dict[str, DataFrame]:
+    """The four featured tables; ``orientation="as_coded"`` gives the original RFM scores."""
+    rfm = t.rfm_olist if orientation == "best_high" else t.rfm_scored(orientation)
+    return {"master_featured": t.master_featured, "rfm_olist": rfm,
             "online_retail_featured": t.retail_featured, "rfm_retail": t.rfm_retail}
 
 
-def register_views(t: CommerceTables) -> list[str]:
+def register_views(t: CommerceTables, orientation: str = "best_high") -> list[str]:
     """Temp views of the featured tables, so the questions can also be asked in SQL."""
-    for name, df in named_tables(t).items():
+    for name, df in named_tables(t, orientation).items():
         df.createOrReplaceTempView(name)
     return list(SAVED)
 

@@ -30,3 +30,12 @@ def test_batch_job_writes_tables_and_exports(spark, tmp_path):
     assert {"master_featured.parquet", "summary_state", "rfm_olist_csv"} <= set(manifest)
     back = spark.read.parquet(str(tmp_path / "tables" / "master_featured"))
     assert back.count() == t.master_featured.count()
+
+
+def test_views_with_original_orientation(spark):
+    t = from_testdata(spark, SF_SMALL)
+    register_views(t, orientation="as_coded")
+    champions = spark.sql("SELECT COUNT(*) AS n FROM rfm_olist WHERE customer_segment = 'Champions'").first().n
+    expect = t.rfm_olist_as_coded.filter("customer_segment = 'Champions'").count()
+    assert champions == expect
+    register_views(t)
