@@ -47,12 +47,13 @@ def summaries(t: CommerceTables) -> dict[str, DataFrame]:
             "state": reports.r3_state(mf), "payments": reports.r4_payments(mf)}
 
 
-def run(t: CommerceTables, out: str, as_tables: bool = False) -> DataFrame:
+def run(t: CommerceTables, out: str, as_tables: bool = False, orientation: str = "best_high") -> DataFrame:
     """Save the featured tables (catalog or Parquet under ``out``) and the exports."""
     out = out.rstrip("/")
-    for name, df in named_tables(t).items():
+    tables = named_tables(t, orientation)
+    for name, df in tables.items():
         save_table(df, name, None if as_tables else f"{out}/tables/{name}", partition_by=PARTITIONS.get(name))
-    return export_all(named_tables(t), summaries(t), f"{out}/exports")
+    return export_all(tables, summaries(t), f"{out}/exports")
 
 
 def main(argv=None):
@@ -62,10 +63,12 @@ def main(argv=None):
     src.add_argument("--testdata", help="folder with the TPC-H-like test tables")
     ap.add_argument("--out", required=True, help="output folder (shared storage)")
     ap.add_argument("--as-tables", action="store_true", help="save to the catalog instead of Parquet paths")
+    ap.add_argument("--orientation", choices=["best_high", "as_coded"], default="best_high",
+                    help="RFM score direction (as_coded: score 1 = best, as originally computed)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("emporia-batch").getOrCreate()
     t = from_csv(spark, a.csv) if a.csv else from_testdata(spark, a.testdata)
-    run(t, a.out, a.as_tables).show(truncate=False)
+    run(t, a.out, a.as_tables, a.orientation).show(truncate=False)
 
 
 if __name__ == "__main__":
