@@ -109,3 +109,20 @@ def test_caps_exact_and_approx(spark):
     assert capped.agg(F.max("a")).first()[0] == 989
     _, approx = cap_at_quantile(df, ["a", "b"], 0.99, exact=False, relative_error=0.001)
     assert abs(approx["a"] - 989) <= 2
+
+
+@pytest.mark.parametrize("name,keys", [
+    ("orders_clean", ["order_id"]), ("customers_clean", ["customer_id"]),
+    ("items_clean", ["order_id", "order_item_id"]), ("payments_agg", ["order_id"]), ("items_agg", ["order_id"]),
+    ("reviews_latest", ["order_id"]), ("products_clean", ["product_id"]), ("sellers_clean", ["seller_id"]),
+    ("rfm_base", ["customer_unique_id"]), ("rfm_retail", ["Customer ID"]),
+])
+def test_keys_are_unique(t, name, keys):
+    df = getattr(t, name)
+    assert df.groupBy(*[F.col(f"`{k}`") for k in keys]).count().filter(F.col("count") > 1).count() == 0
+
+
+def test_retail_clean_has_no_repeated_or_invalid_lines(t):
+    rc = t.retail_clean
+    assert rc.count() == rc.distinct().count()
+    assert rc.filter((F.col("Quantity") <= 0) | (F.col("Price") <= 0) | F.col("Invoice").startswith("C")).count() == 0
