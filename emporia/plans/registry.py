@@ -252,9 +252,9 @@ REGISTRY["describe_ml_orders"] = _table_query(lambda t: P.describe(
 def _model_frame(key: str):
     from emporia.models.classifiers import SPECS
     from emporia.models.prep import model_frame
-    from emporia.plans.tables import _ml_source
+    from emporia.plans.tables import ml_source
     spec = SPECS[key]
-    return _table_query(lambda t: model_frame(_ml_source(t, key), spec.numeric, spec.categorical, spec.label))
+    return _table_query(lambda t: model_frame(ml_source(t, key), spec.numeric, spec.categorical, spec.label))
 
 
 for _key in ("lr", "rf", "dt", "gbt"):

@@ -171,7 +171,7 @@ def from_csv(spark: SparkSession, base: str, paths: dict | None = None, **kw) ->
 
 # -- models ----------------------------------------------------------------------
 
-def _ml_source(t: CommerceTables, key: str) -> DataFrame:
+def ml_source(t: CommerceTables, key: str) -> DataFrame:
     from emporia.models import prep
     if key in ("lr", "rf"):
         return prep.prep_orders_ml(t.master_featured)
@@ -192,7 +192,7 @@ def fitted(t: CommerceTables, key: str):
     from emporia.models import classifiers
     fits = t.__dict__.setdefault("_fits", {})
     if key not in fits:
-        fits[key] = classifiers.train(classifiers.SPECS[key], _ml_source(t, key))
+        fits[key] = classifiers.train(classifiers.SPECS[key], ml_source(t, key))
     return fits[key]
 
 
