@@ -37,6 +37,7 @@ ORDER_STATUS_ML_FILLS = {
     "is_delivered": 0,
 }
 
+# Country filled into retail lines before training.
 RETAIL_DEFAULT_COUNTRY = "United Kingdom"
 
 

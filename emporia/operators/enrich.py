@@ -70,7 +70,7 @@ def build_master(orders: DataFrame, customers: DataFrame, items_agg: DataFrame,
     return m.select(*cols)
 
 
-# Fill values applied after feature computation.
+# Fills applied after feature computation.
 ORDER_FEATURE_FILLS = {
     "delivery_delay_days": 0,
     "is_late_delivery": 0,

@@ -81,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 NULLABLE_COUNTS = ["items_count", "max_payment_installments", "payment_methods_count"]
+# Tables profiled, and order columns summarised.
 PROFILED = ["orders", "customers", "order_items", "payments", "reviews", "products", "sellers", "retail"]
 DESCRIBE_COLS = ["delivery_delay_days", "actual_delivery_days", "days_to_approve", "total_order_value",
                  "review_score", "items_count", "product_weight_g"]
