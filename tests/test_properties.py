@@ -30,3 +30,36 @@ def test_exact_quantile_matches_sorted(spark, vals, q, per_bin):
     df = spark.createDataFrame([(v,) for v in vals], "v long")
     expect = sorted(vals)[min(len(vals), max(1, math.ceil(q * len(vals)))) - 1]
     assert exact_quantile(df, "v", q, rows_per_bin=per_bin) == expect
+
+
+rows_st = st.lists(st.tuples(st.sampled_from(["a", "b", "c", "d"]),
+                             st.one_of(st.none(), st.integers(0, 4)),
+                             st.integers(0, 9)), min_size=1, max_size=60)
+
+
+@SETTINGS
+@given(data=rows_st)
+def test_dedup_by_key_matches_brute_force(spark, data):
+    from emporia.operators.dedup import dedup_by_key
+    df = spark.createDataFrame(data, "k string, o int, v int")
+    got = {r.k: (r.o, r.v) for r in dedup_by_key(df, ["k"], ["o"]).collect()}
+    expect = {}
+    for k, o, v in data:  # smallest (o, v) with nulls first
+        key = ((o is not None, o if o is not None else 0), v)
+        if k not in expect or key < expect[k][0]:
+            expect[k] = (key, (o, v))
+    assert got == {k: val for k, (_, val) in expect.items()}
+
+
+@SETTINGS
+@given(data=rows_st)
+def test_latest_per_key_matches_brute_force(spark, data):
+    from emporia.operators.dedup import latest_per_key
+    df = spark.createDataFrame([(k, o, f"r{v}") for k, o, v in data], "k string, ts int, rid string")
+    got = {r.k: (r.ts, r.rid) for r in latest_per_key(df, "k", "ts", "rid").collect()}
+    expect = {}
+    for k, o, v in data:  # greatest (ts, rid); a null ts is older than any
+        key = ((o is not None, o if o is not None else 0), f"r{v}")
+        if k not in expect or key > expect[k][0]:
+            expect[k] = (key, (o, f"r{v}"))
+    assert got == {k: val for k, (_, val) in expect.items()}
