@@ -60,11 +60,12 @@ def roc_points(predictions: DataFrame, label: str, model: str, bins: int = 1000)
     filled = grid.join(per_bin, "bin", "left").fillna({"pos": 0, "neg": 0})
     down = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy()
+    # A class absent from the test rows gives null rates instead of a division error.
     return filled.select(
         F.lit(model).alias("model"),
         (F.col("bin") / bins).alias("threshold"),
-        (F.sum("pos").over(down) / F.sum("pos").over(whole)).alias("tpr"),
-        (F.sum("neg").over(down) / F.sum("neg").over(whole)).alias("fpr"))
+        (F.sum("pos").over(down) / F.nullif(F.sum("pos").over(whole), F.lit(0))).alias("tpr"),
+        (F.sum("neg").over(down) / F.nullif(F.sum("neg").over(whole), F.lit(0))).alias("fpr"))
 
 
 def roc_area(points: DataFrame) -> DataFrame:

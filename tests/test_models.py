@@ -62,3 +62,12 @@ def test_kmeans_tables(spark):
     assert assigned.filter(F.col("segment_label").isNull()).count() == 0
     share = qs["kmeans_share"](spark, SF_SMALL).collect()
     assert abs(sum(r.share_pct for r in share) - 100) < 0.5
+
+
+def test_roc_with_a_single_class_gives_null_rates(spark):
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+    schema = StructType([StructField("y", IntegerType()), StructField("probability", VectorUDT())])
+    df = spark.createDataFrame([(1, Vectors.dense([0.2, 0.8])), (1, Vectors.dense([0.6, 0.4]))], schema)
+    pts = MV.roc_points(df, "y", "m", bins=10).collect()
+    assert len(pts) == 11 and all(p.fpr is None for p in pts)
