@@ -28,8 +28,8 @@ def _c(c) -> Column:
 
 
 def money(c) -> Column:
-    """Cast a money amount to the decimal type used for sums."""
-    return _c(c).cast(MONEY)
+    """Cast a money amount to the decimal type used for sums (null if it does not fit)."""
+    return _c(c).try_cast(MONEY)
 
 
 def round_half_up(c, digits: int) -> Column:
