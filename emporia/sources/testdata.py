@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from emporia.operators.joins import broadcast_if_small
 
+# The test tables the adapter reads (the others in the folder serve other workloads).
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 # TPC-H-like status code -> order status; return flag -> payment type.

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+from emporia.sources.testdata import TABLES  # noqa: E402
 
 
 def _key(v):
