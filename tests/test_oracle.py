@@ -7,10 +7,9 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from emporia.sources.testdata import TABLES
 from tests.conftest import SF_SMALL
 
-from emporia.sources.testdata import TABLES  # noqa: E402
-
 
 def _key(v):
     if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
