@@ -28,7 +28,7 @@ from emporia.operators import reports
 from emporia.operators import rfm as R
 from emporia.plans.batch_job import named_tables, summaries
 from emporia.plans.session import ensure_checkpoint_dir
-from emporia.plans.tables import CommerceTables, clusters, fitted, from_testdata
+from emporia.plans.tables import CommerceTables, clusters, fitted, from_testdata, ml_source
 from emporia.sources.sinks import export_all, list_files
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -253,7 +253,6 @@ REGISTRY["describe_ml_orders"] = _table_query(lambda t: P.describe(
 def _model_frame(key: str):
     from emporia.models.classifiers import SPECS
     from emporia.models.prep import model_frame
-    from emporia.plans.tables import ml_source
     spec = SPECS[key]
     return _table_query(lambda t: model_frame(ml_source(t, key), spec.numeric, spec.categorical, spec.label))
 
@@ -261,6 +260,24 @@ def _model_frame(key: str):
 for _key in ("lr", "rf", "dt", "gbt"):
     REGISTRY[f"ml_frame_{_key}"] = _model_frame(_key)
 
+
+def _gbt_sample_balance(t: CommerceTables) -> DataFrame:
+    """The optional down-sampling step (a sampling operator): label balance of
+    the GBT frame sampled to at most about 200,000 rows, stratified by label."""
+    from emporia.models.classifiers import SPECS
+    from emporia.models.prep import model_frame
+    from emporia.models.stages import sample_by_label
+    spec = SPECS["gbt"]
+    frame = model_frame(ml_source(t, "gbt"), spec.numeric, spec.categorical, spec.label)
+    n = frame.count()
+    sampled = frame if n <= GBT_SAMPLE_ROWS else sample_by_label(frame, spec.label, GBT_SAMPLE_ROWS / n)
+    return P.class_balance(sampled, spec.label)
+
+
+# Training-sample size of the optional down-sampling step.
+GBT_SAMPLE_ROWS = 200_000
+REGISTRY["gbt_sample_balance"] = _table_query(_gbt_sample_balance)
+
 REGISTRY["rfm_capped_approx"] = _table_query(lambda t: R.cap_at_quantile(
     t.rfm_retail_ml, ["recency_days", "frequency", "monetary"], 0.99, exact=False, relative_error=0.001)[0])
 REGISTRY["summary_rfm_retail"] = _table_query(lambda t: P.describe(
