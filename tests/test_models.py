@@ -71,3 +71,18 @@ def test_roc_with_a_single_class_gives_null_rates(spark):
     df = spark.createDataFrame([(1, Vectors.dense([0.2, 0.8])), (1, Vectors.dense([0.6, 0.4]))], schema)
     pts = MV.roc_points(df, "y", "m", bins=10).collect()
     assert len(pts) == 11 and all(p.fpr is None for p in pts)
+
+
+@pytest.mark.parametrize("key", ["lr", "dt"])
+def test_training_uses_every_model_row(t, key):
+    """No cap: train + test together are the whole model frame."""
+    from emporia.models.classifiers import SPECS
+    from emporia.models.prep import model_frame
+    from emporia.plans.tables import ml_source
+
+    assert all(s.max_rows is None for s in SPECS.values())
+    spec = SPECS[key]
+    f = fitted(t, key)
+    whole = model_frame(ml_source(t, key), spec.numeric, spec.categorical, spec.label).count()
+    assert f.train.count() + f.test.count() == whole
+    assert f.predictions.count() == f.test.count()
