@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from emporia.llm import bpe, quality_rules
+from emporia.llm import bpe, quality_rules, sharding, url_filter, warc
+from emporia.plans.session import ensure_checkpoint_dir
+
+SHARDS = sharding.Tree.even(regions=2, racks=3, shards=4)
+URL_RULES = [url_filter.Rule("org", "/", "allow"), url_filter.Rule("example.org", "/es/", "block"),
+             url_filter.Rule("example.org", "/en/1", "block"), url_filter.Rule("com", "/fr/", "allow"),
+             url_filter.Rule("com", "/de/", "block")]
+# Pages that hold one of these words are reported; their URLs make up the block list.
+REPORTED_WORDS = r"\b(stupid|worthless|trash)\b"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +28,24 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                              ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(_table(spark, sf_dir, "pages"), path)
+    return warc.captures(warc.assemble(warc.read(spark, path, payloads=False)))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    url = F.col("url").cast("string")
+    listed = (pages.filter(F.col("html").rlike(REPORTED_WORDS))
+              .select(F.concat(url_filter.url_host(url), url_filter.url_path(url)).alias("key")))
+    return url_filter.judge(pages, listed, URL_RULES)
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(_table(spark, sf_dir, "documents"), SHARDS)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
