@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import bpe, quality_rules, sharding, url_filter, warc
+from emporia.llm import bpe, decontaminate, pii, quality_rules, sharding, url_filter, warc
 from emporia.plans.session import ensure_checkpoint_dir
 
 SHARDS = sharding.Tree.even(regions=2, racks=3, shards=4)
@@ -28,12 +28,22 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                              ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
     warc.write(_table(spark, sf_dir, "pages"), path)
     return warc.captures(warc.assemble(warc.read(spark, path, payloads=False)))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.report(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans",
+                        "n_term")
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     url = F.col("url").cast("string")
