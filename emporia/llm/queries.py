@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import bpe, decontaminate, pii, quality_rules, sharding, url_filter, warc
+from emporia.llm import bpe, decontaminate, pii, quality_rules, sharding, substring_dedup, url_filter, warc
 from emporia.plans.session import ensure_checkpoint_dir
 
 SHARDS = sharding.Tree.even(regions=2, racks=3, shards=4)
@@ -52,6 +52,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, listed, URL_RULES)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"), SHARDS)
 
