@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import bpe, decontaminate, pii, quality_rules, sharding, substring_dedup, url_filter, warc
+from emporia.llm import bpe, decontaminate, ngram_join, pii, quality_rules, sharding, substring_dedup, url_filter, warc
 from emporia.plans.session import ensure_checkpoint_dir
 
 SHARDS = sharding.Tree.even(regions=2, racks=3, shards=4)
@@ -44,6 +44,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "n_term")
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(_table(spark, sf_dir, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     url = F.col("url").cast("string")

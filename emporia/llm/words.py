@@ -18,6 +18,9 @@ CHUNK_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: A-Z to a-z, all other bytes as they are.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 0x20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _powers = np.ones(1, dtype=np.uint64)
 
@@ -113,8 +116,12 @@ def split(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets), inside)
 
 
-def chunks(column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Words]]:
-    """Chunks of a string column as (first row, end row, words); a null is an empty text."""
+def chunks(column: pa.Array, chunk_bytes: int = CHUNK_BYTES,
+           table: np.ndarray | None = None) -> Iterator[tuple[int, int, Words]]:
+    """Chunks of a string column as (first row, end row, words); a null is an empty text.
+
+    ``table`` replaces each byte, as ``LOWER`` does.
+    """
     column = column.fill_null("") if column.null_count else column
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -129,5 +136,6 @@ def chunks(column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[i
     while at < n:
         end = int(np.searchsorted(offsets, offsets[at] + chunk_bytes, "right")) - 1
         end = min(max(end, at + 1), n)
-        yield at, end, split(data[offsets[at]:offsets[end]], offsets[at:end + 1] - offsets[at])
+        part = data[offsets[at]:offsets[end]]
+        yield at, end, split(part if table is None else table[part], offsets[at:end + 1] - offsets[at])
         at = end
