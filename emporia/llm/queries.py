@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import bpe, decontaminate, ngram_join, pii, quality_rules, sharding, substring_dedup, url_filter, warc
+from emporia.llm import bpe, decontaminate, lm_scoring, ngram_join, pii, quality_rules, sharding, substring_dedup, url_filter, warc
 from emporia.plans.session import ensure_checkpoint_dir
 
 SHARDS = sharding.Tree.even(regions=2, racks=3, shards=4)
@@ -32,6 +32,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents labelled as of good quality; background: all documents."""
+    good = _table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return lm_scoring.score(_table(spark, sf_dir, "documents"), good)
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
     warc.write(_table(spark, sf_dir, "pages"), path)
