@@ -5,8 +5,8 @@ vocabulary and one smoothing rule. A document's score is its mean loss per
 token under the target model minus that under the background model: the lower,
 the more it resembles the target.
 
-Tokens are runs of bytes other than white space and ASCII punctuation, A-Z in
-lower case, with a mark before the first and behind the last. The vocabulary
+Tokens are the words, A-Z in lower case and punctuation included, with a mark
+before the first and behind the last. The vocabulary
 holds the words whose share of all tokens is at least ``1 / vocab_share``, so
 its size has a bound; all others are one unknown word. With counts c and
 unigram estimates p1 (add-one over the vocabulary),
@@ -40,8 +40,7 @@ from emporia.llm import words
 from emporia.operators.joins import broadcast_if_small
 from emporia.plans.session import ensure_checkpoint_dir
 
-_TABLE = words.LOWER.copy()
-_TABLE[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = 0x20
+_TABLE = words.LOWER
 
 TOKENS, DOCUMENTS = 0, 1      # reserved hashes of the totals' rows
 UNKNOWN = 0                   # ids: 0 unknown, then the vocabulary, then the end mark (as a context: the beginning)
