@@ -28,10 +28,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporia.operators.joins import broadcast_if_small
+
 CRLF = "\r\n"
 MARK = "WARC/1.1\r\nWARC-Type: "
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MIN_REVISIT_BYTES = 1000
+BROADCAST_GROUPS = 1 << 18      # rows of some 60 bytes
 
 
 def _lines(*parts: Column | str) -> Column:
@@ -90,7 +93,8 @@ def write(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES) -> No
                            .otherwise(F.concat_ws("-", F.lit(""), "page_id", F.substring("digest", 1, 8))))
     groups = (rows.filter(F.col("bytes") >= min_bytes).groupBy("same")
               .agg(F.max("page_id").alias("original"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"))
-    rows = rows.join(groups, "same", "left")
+    # Payloads are shuffled only if there are more groups of copies than can be broadcast.
+    rows = rows.join(broadcast_if_small(groups, BROADCAST_GROUPS), "same", "left")
     revisit = F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original"))
     rows = rows.select("page_id", "url", "payload", "digest", "bytes", "original", revisit.alias("revisit"),
                        F.coalesce(F.concat(F.lit("urn:page:"), F.col("page_id").cast("string")),
