@@ -74,11 +74,11 @@ def canonical(w: words.Words) -> tuple[bytes, np.ndarray]:
     return out.tobytes(), begin
 
 
-def _pack(batches: Iterator[pa.RecordBatch], buckets: int, k: int, m: int) -> Iterator[pa.RecordBatch]:
+def _pack(batches: Iterator[pa.RecordBatch], buckets: int, k: int, m: int, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
     codec, turn = _codec(), 0
     for b in batches:
         ids = b.column("doc_id").to_numpy(zero_copy_only=False)
-        for lo, hi, w in words.chunks(b.column("text"), CHUNK_BYTES):
+        for lo, hi, w in words.chunks(b.column("text"), chunk_bytes):
             first, count, least = super_kmers(w, k, m)
             if not len(first):
                 continue
@@ -213,7 +213,8 @@ def _count(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
         yield out(*_bucket_spans(parts, k))
 
 
-def repeated_spans(docs: DataFrame, k: int = K, m: int = M, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def repeated_spans(docs: DataFrame, k: int = K, m: int = M, bucket_bytes: int = BUCKET_BYTES,
+                   chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(doc_id, first, n): runs of ``n`` windows from word ``first`` on that a smaller document also holds.
 
     The number of buckets follows the corpus size, so a bucket's memory does not.
@@ -222,7 +223,7 @@ def repeated_spans(docs: DataFrame, k: int = K, m: int = M, bucket_bytes: int =
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text")).filter("doc_id is not null")
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = max(1, ceil(size / bucket_bytes))
-    packed = rows.mapInArrow(lambda it: _pack(it, buckets, k, m), _PACKED)
+    packed = rows.mapInArrow(lambda it: _pack(it, buckets, k, m, chunk_bytes), _PACKED)
     return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _count(it, k), _SPANS)
 
 
@@ -250,9 +251,9 @@ def _finish(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
             "n_removed": pa.array(n_removed, pa.int64()), "kept_text": pa.array(kept, pa.string())})
 
 
-def dedup(docs: DataFrame, k: int = K, m: int = M) -> DataFrame:
+def dedup(docs: DataFrame, k: int = K, m: int = M, **sizes: int) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text (the kept words joined by one space) for every row."""
-    spans = (repeated_spans(docs, k, m).groupBy("doc_id")
+    spans = (repeated_spans(docs, k, m, **sizes).groupBy("doc_id")
              .agg(F.collect_list("first").alias("firsts"), F.collect_list("n").alias("counts")))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return (rows.join(spans, "doc_id", "left").select("doc_id", "text", "firsts", "counts")
