@@ -37,9 +37,9 @@ class ClusterRun:
     inertia: float
 
 
-def scaled_rfm(rfm_ml: DataFrame, q: float = 0.99, rows_per_bin: int | None = None) -> tuple[DataFrame, dict]:
+def scaled_rfm(rfm_ml: DataFrame, q: float = 0.99, rows_in_task: int | None = None) -> tuple[DataFrame, dict]:
     """Cap R, F, M at their exact q-quantile, assemble and min-max scale."""
-    kw = {} if rows_per_bin is None else {"rows_per_bin": rows_per_bin}
+    kw = {} if rows_in_task is None else {"rows_in_task": rows_in_task}
     capped, caps = cap_at_quantile(rfm_ml, RFM_FEATURES, q, exact=True, **kw)
     capped = capped.withColumns({c: F.col(c).cast("double") for c in RFM_FEATURES})
     prep = build_pipeline(RFM_FEATURES, [], None, scale="minmax")
@@ -53,13 +53,13 @@ def _sweep_point(scaled: DataFrame, k: int) -> tuple:
 
 
 def run(spark: SparkSession, rfm_ml: DataFrame, ks=SWEEP, final_k: int = FINAL_K,
-        rows_per_bin: int | None = None, parallelism: int = 4) -> ClusterRun:
+        rows_in_task: int | None = None, parallelism: int = 4) -> ClusterRun:
     """Sweep k (inertia and silhouette per k), then fit the final model.
 
     The sweep's fits are independent and seeded; they run from a few driver
     threads at once over the persisted, scaled input.
     """
-    scaled, caps = scaled_rfm(rfm_ml, rows_per_bin=rows_per_bin)
+    scaled, caps = scaled_rfm(rfm_ml, rows_in_task=rows_in_task)
     scaled = scaled.persist()
     scaled.count()
     ev = ClusteringEvaluator(featuresCol="features", metricName="silhouette")

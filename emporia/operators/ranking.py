@@ -1,40 +1,30 @@
-"""Exact global ranks, ntiles and quantiles without a single-partition window.
+"""Exact ntiles and quantiles of a whole table without a one-task sort.
 
 ``ntile(k).over(Window.orderBy(x))`` and ``percentile_disc`` move every row
-into one task. Here the rows are split into value ranges ("bins") by cut
-points taken from a bounded sample, each bin is ranked on its own, and a
-bin's count of earlier rows is added. Bins depend only on row values and the
-cut literals, so a lost task recomputes the same bin; the cuts themselves are
-fixed in the plan once collected. Every key equal to a cut gets a bin of its
-own, so a value repeated across a large share of the rows never lands in a
-mixed bin.
-
-The result is exact whatever the sample: the sample only balances bin sizes.
+into one task. Neither needs a rank per row: an ntile is fixed by the k - 1
+keys at which a new bucket begins, a quantile by one key. ``keys_at`` finds
+the keys at given positions by narrowing: a bounded sample of the range that
+holds a position gives up to three cut keys around it, one aggregation counts
+the rows below and at each cut, and the range shrinks to the part that holds
+the position (or to a cut itself, however often that key occurs). A range of
+at most ``rows_in_task`` rows is ordered in one task. The sample only steers
+the search; the result is exact whatever it holds.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-ROWS_PER_BIN = 1 << 20      # target rows ranked inside one task
-MAX_BINS = 1024             # bound on cut literals in the plan and on broadcast offsets
-SAMPLE_PER_BIN = 32         # sampled keys per bin when choosing cuts
-MIN_ROWS_PER_BIN = 64       # below this, extra bins for parallelism are not worth a cut
+ROWS_IN_TASK = 1 << 18      # rows of a range that one task may order
+SAMPLE_ROWS = 1 << 11       # sampled keys per range and level (rows on the driver)
 SEED = 42
 
 
-@dataclass
-class Binned:
-    df: DataFrame           # input rows with `_key` (sort struct) and `_bin`
-    n: int                  # number of rows
-    cuts: list              # cut keys (ascending, distinct)
-
-
 def sort_key(df: DataFrame, order: list[tuple[str, bool]]) -> Column:
     """Struct whose ascending order is the requested order.
 
@@ -56,219 +46,185 @@ def _literal(row, struct_type) -> Column:
     return F.struct(*[F.lit(row[i]).cast(f.dataType).alias(f.name) for i, f in enumerate(struct_type.fields)])
 
 
-def _bin_expr(key: Column, cuts: list, struct_type) -> Column:
-    """Bin 2i+1 holds keys equal to cut i; bin 2i keys between cut i-1 and cut i."""
-    lits = [_literal(c, struct_type) for c in cuts]
-
-    def rec(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(2 * lo)
-        mid = (lo + hi) // 2
-        return (F.when(key < lits[mid], rec(lo, mid))
-                .when(key.eqNullSafe(lits[mid]), F.lit(2 * mid + 1))
-                .otherwise(rec(mid + 1, hi)))
-
-    return rec(0, len(lits))
-
-
-def bin_rows(df: DataFrame, order: list[tuple[str, bool]], rows_per_bin: int = ROWS_PER_BIN,
-             max_bins: int = MAX_BINS, seed: int = SEED) -> Binned:
-    """Attach the sort key and a value-range bin to every row."""
-    keyed = df.withColumn("_key", sort_key(df, order))
-    n = keyed.count()
-    # Enough bins for the row bound, and at least one per core while bins stay useful.
-    parallel = min(df.sparkSession.sparkContext.defaultParallelism, n // MIN_ROWS_PER_BIN)
-    bins = max(1, min(max_bins, max(math.ceil(n / rows_per_bin), parallel)))
-    cuts = []
-    if bins > 1:
-        frac = min(1.0, bins * SAMPLE_PER_BIN / n)
-        sample = [r[0] for r in keyed.sample(False, frac, seed).select("_key").orderBy("_key").collect()]
-        step = len(sample) / bins
-        for i in range(1, bins):
-            c = sample[min(len(sample) - 1, int(i * step))]
-            if not cuts or tuple(c) != tuple(cuts[-1]):
-                cuts.append(c)
-    struct_type = keyed.schema["_key"].dataType
-    return Binned(keyed.withColumn("_bin", _bin_expr(F.col("_key"), cuts, struct_type)), n, cuts)
-
-
-def bin_counts(binned: DataFrame) -> list[tuple[int, int]]:
-    """(bin, rows) for every non-empty bin, ascending; at most 2 * MAX_BINS + 1 pairs."""
-    return sorted((r["_bin"], r["_n"]) for r in binned.groupBy("_bin").agg(F.count(F.lit(1)).alias("_n")).collect())
-
-
-def global_rank(df: DataFrame, order: list[tuple[str, bool]], rank_col: str = "rank",
-                rows_per_bin: int = ROWS_PER_BIN) -> tuple[DataFrame, int]:
-    """Exact 0-based position of each row in ``order``; returns (df, n).
-
-    ``order`` must be a total order (end it with a unique key); otherwise
-    equal rows get distinct but arbitrary positions among themselves. The
-    per-bin counts (a bounded list) give each bin's offset; the offsets are
-    broadcast as a table of at most 2 * MAX_BINS + 1 rows.
+def _spark_order(row) -> tuple:
+    """Python sort key agreeing with Spark's ascending struct order.
+
+    Nulls first, NaN above every number; strings compare by code point, which
+    is the byte order of UTF-8 that Spark uses.
     """
-    b = bin_rows(df, order, rows_per_bin)
-    within = Window.partitionBy("_bin").orderBy("_key")
-    if not b.cuts:  # one bin of at most MIN_ROWS_PER_BIN * cores or rows_per_bin rows
-        ranked = b.df.withColumn(rank_col, (F.row_number().over(within) - 1).cast("bigint"))
-        return ranked.drop("_key", "_bin"), b.n
-    offsets, seen = [], 0
-    for bin_id, cnt in bin_counts(b.df):
-        offsets.append((bin_id, seen))
-        seen += cnt
-    off = df.sparkSession.createDataFrame(offsets, "_bin int, _offset long")
-    ranked = (b.df.join(F.broadcast(off), "_bin")
-              .withColumn(rank_col, (F.row_number().over(within) - 1 + F.col("_offset")).cast("bigint"))
-              .drop("_key", "_bin", "_offset"))
-    return ranked, b.n
-
-
-def ntile_of_rank(rank: Column, n: int, k: int) -> Column:
-    """SQL NTILE(k) bucket (1-based) for a 0-based position among n rows."""
-    base, rem = divmod(n, k)
-    if base == 0:
-        return (rank + 1).cast("int")
-    big = rem * (base + 1)
-    head = F.floor(rank / F.lit(base + 1)) + 1
-    tail = F.floor((rank - F.lit(big)) / F.lit(base)) + 1 + rem
-    return F.when(rank < big, head).otherwise(tail).cast("int")
+    out = []
+    for v in row:
+        if v is None:
+            out.append((0, 0))
+        elif isinstance(v, float) and math.isnan(v):
+            out.append((2, 0))
+        else:
+            out.append((1, v))
+    return tuple(out)
 
 
-def global_ntile(df: DataFrame, order: list[tuple[str, bool]], k: int, out_col: str,
-                 rows_per_bin: int = ROWS_PER_BIN) -> DataFrame:
-    """``ntile(k)`` over the whole table in ``order`` without one-task windows."""
-    ranked, n = global_rank(df, order, "_rank", rows_per_bin)
-    return ranked.withColumn(out_col, ntile_of_rank(F.col("_rank"), n, k)).drop("_rank")
+@dataclass
+class _Search:
+    """One position of one order: the open range (lo, hi) of keys that holds it."""
 
+    order: str
+    position: int
+    size: int                       # rows in the range
+    before: int = 0                 # rows in front of the range
+    lo: tuple | None = None
+    hi: tuple | None = None
+    cuts: list = field(default_factory=list)
+    found: tuple | None = None
 
-def _value_bins(v: Column, cuts: list) -> Column:
-    """Bin 2i+1: value equal to cut i; bin 2i: value between cut i-1 and cut i."""
-    lits = [F.lit(c) for c in cuts]
+    @property
+    def place(self) -> tuple:
+        return self.order, self.lo, self.hi
 
-    def rec(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(2 * lo)
-        mid = (lo + hi) // 2
-        return F.when(v < lits[mid], rec(lo, mid)).when(v == lits[mid], F.lit(2 * mid + 1)).otherwise(rec(mid + 1, hi))
 
-    return rec(0, len(lits))
+class _Keys:
+    """The sort keys of a table as columns ``_k_<order>``, and conditions on them."""
 
+    def __init__(self, df: DataFrame, orders: dict[str, list[tuple[str, bool]]]):
+        self.df = df.select(*[sort_key(df, o).alias(f"_k_{n}") for n, o in orders.items()])
 
-def exact_quantile(df: DataFrame, column: str, q: float, rows_per_bin: int = ROWS_PER_BIN,
-                   max_bins: int = MAX_BINS):
-    """Smallest value whose cumulative share reaches q (``percentile_disc``), nulls ignored.
+    def col(self, name: str) -> Column:
+        return F.col(f"_k_{name}")
 
-    The value at 1-based position ceil(q * n) in ascending order, found by
-    distributed selection: while the candidate range holds more than
-    ``rows_per_bin`` rows, one pass sketches cut points (``percentile_approx``)
-    and one pass counts rows per value range; the search narrows to the range
-    holding the target position (or stops at a cut equal to it). The last
-    range, at most ``rows_per_bin`` rows, is ordered in one task. Returns
-    None when there is no non-null value.
-    """
-    data = df.select(F.col(f"`{column}`").alias("_v")).filter(F.col("_v").isNotNull())
-    size = data.count()
-    if size == 0:
-        return None
-    target = min(size, max(1, math.ceil(q * size))) - 1
-    lo = hi = None
-    while size > rows_per_bin:
-        level = data
+    def lit(self, name: str, key: tuple) -> Column:
+        return _literal(key, self.df.schema[f"_k_{name}"].dataType)
+
+    def inside(self, place: tuple) -> Column:
+        name, lo, hi = place
+        ok = F.lit(True)
         if lo is not None:
-            level = level.filter(F.col("_v") > F.lit(lo))
+            ok = ok & (self.col(name) > self.lit(name, lo))
         if hi is not None:
-            level = level.filter(F.col("_v") < F.lit(hi))
-        bins = min(max_bins, 4 * math.ceil(size / rows_per_bin))
-        probs = [i / bins for i in range(1, bins)]
-        sketch = level.agg(F.percentile_approx("_v", probs, max(10_000, 8 * bins))).first()[0] or []
-        cuts = sorted(set(sketch))
-        counts = sorted((r["_bin"], r["_n"]) for r in level.groupBy(_value_bins(F.col("_v"), cuts).alias("_bin"))
-                        .agg(F.count(F.lit(1)).alias("_n")).collect())
-        seen = 0
-        for bin_id, cnt in counts:
-            if target < seen + cnt:
+            ok = ok & (self.col(name) < self.lit(name, hi))
+        return ok
+
+    def rows(self, places: list[tuple], rates: list[float] | None = None, seed: int = SEED) -> DataFrame:
+        """Rows (place number, key) of ranges of one order in one pass; sampled at a rate each, if given."""
+        flags = []
+        for i, place in enumerate(places):
+            wanted = self.inside(place)
+            if rates is not None and rates[i] < 1:
+                wanted = wanted & (F.rand(seed + i) < rates[i])
+            flags.append(F.when(wanted, F.lit(i)))
+        return self.df.select(F.explode(F.array_compact(F.array(*flags))).alias("place"), self.col(places[0][0]).alias("key"))
+
+
+def keys_at(df: DataFrame, orders: dict[str, list[tuple[str, bool]]], positions: dict[str, list[int]], n: int,
+            rows_in_task: int = ROWS_IN_TASK, sample_rows: int = SAMPLE_ROWS) -> dict[str, list[tuple]]:
+    """The sort keys at 0-based ``positions`` of each order over the ``n`` rows of ``df``.
+
+    The positions of an order share each sampling pass, and all orders each
+    counting pass. An order whose key is not unique is fine: equal keys are the
+    same answer.
+    """
+    keys = _Keys(df, orders)
+    searches = [_Search(name, p, n) for name in orders for p in positions[name]]
+    level = 0
+    while open_ := [s for s in searches if s.found is None and s.size > rows_in_task]:
+        level += 1
+        for name, places in _by_order(open_).items():
+            rates = [sample_rows / next(s.size for s in open_ if s.place == p) for p in places]
+            sample = keys.rows(places, rates, SEED + level * len(searches)).collect()
+            for s in open_:
+                if s.order == name:
+                    own = sorted((tuple(r.key) for r in sample if places[r.place] == s.place), key=_spark_order)
+                    s.cuts = _cuts(own, (s.position - s.before) / s.size)
+        _narrow(keys, open_)
+    for name, places in _by_order([s for s in searches if s.found is None]).items():
+        ranked = keys.rows(places).withColumn("pos", F.row_number().over(Window.partitionBy("place").orderBy("key")) - 1)
+        at = {(places.index(s.place), s.position - s.before): s for s in searches if s.order == name and s.found is None}
+        wanted = F.struct("place", "pos").isin([F.struct(F.lit(p), F.lit(x)) for p, x in at])
+        for r in ranked.filter(wanted).collect():
+            at[r.place, r.pos].found = tuple(r.key)
+    return {name: [s.found for s in searches if s.order == name] for name in orders}
+
+
+def _by_order(searches: list[_Search]) -> dict[str, list[tuple]]:
+    """The distinct ranges of each order."""
+    out: dict[str, list[tuple]] = {}
+    for s in searches:
+        places = out.setdefault(s.order, [])
+        if s.place not in places:
+            places.append(s.place)
+    return out
+
+
+def _cuts(sample: list[tuple], share: float) -> list[tuple]:
+    """Up to three sampled keys: near the wanted share, and about four deviations on either side."""
+    if not sample:
+        return []
+    m = len(sample)
+    at = min(m - 1, int(share * m))
+    margin = int(4 * math.sqrt(m * share * (1 - share))) + 2
+    near = [sample[i] for i in (at - margin, at, at + margin) if 0 <= i < m]
+    return sorted(set(near), key=_spark_order)
+
+
+def _narrow(keys: _Keys, searches: list[_Search]) -> None:
+    """Count the rows below and at each cut, and shrink each range to the part that holds the position."""
+    counts = []
+    for i, s in enumerate(searches):
+        for j, cut in enumerate(s.cuts):
+            c, k = keys.lit(s.order, cut), keys.col(s.order)
+            counts += [F.count_if(k < c).alias(f"b_{i}_{j}"), F.count_if(k == c).alias(f"e_{i}_{j}")]
+    if not counts:
+        return
+    row = keys.df.agg(*counts).first()
+    for i, s in enumerate(searches):
+        lo, hi, start, end = s.lo, s.hi, s.before, s.before + s.size
+        for j, cut in enumerate(s.cuts):
+            below, equal = row[f"b_{i}_{j}"], row[f"e_{i}_{j}"]
+            if s.position < below:
+                hi, end = cut, below
                 break
-            seen += cnt
-        if bin_id % 2 == 1:
-            return cuts[bin_id // 2]
-        i = bin_id // 2
-        lo = cuts[i - 1] if i > 0 else lo
-        hi = cuts[i] if i < len(cuts) else hi
-        target -= seen
-        if cnt >= size:  # no progress possible (should not happen): finish with the ordered range
-            break
-        size = cnt
-    level = data
-    if lo is not None:
-        level = level.filter(F.col("_v") > F.lit(lo))
-    if hi is not None:
-        level = level.filter(F.col("_v") < F.lit(hi))
-    # At most rows_per_bin rows remain: ordering them in one task is bounded.
-    ordered = level.withColumn("_pos", F.row_number().over(Window.orderBy("_v")) - 1)
-    return ordered.filter(F.col("_pos") == target).first()["_v"]
-
+            if s.position < below + equal:
+                s.found = cut
+                break
+            lo, start = cut, below + equal
+        s.lo, s.hi, s.before, s.size = lo, hi, start, end - start
 
-def _spark_order(row) -> tuple:
-    """Python sort key agreeing with Spark's ascending struct order.
 
-    Nulls first, NaN above every number; strings compare by code point, which
-    is the byte order of UTF-8 that Spark uses. Cuts must be sorted in Spark's
-    order for the bin search to be monotone.
-    """
-    out = []
-    for v in row:
-        if v is None:
-            out.append((0, 0))
-        elif isinstance(v, float) and math.isnan(v):
-            out.append((2, 0))
-        else:
-            out.append((1, v))
-    return tuple(out)
+def bucket_starts(n: int, k: int) -> list[int]:
+    """0-based positions at which the buckets 2..k of NTILE(k) over n rows begin."""
+    base, rem = divmod(n, k)
+    starts = [j * base + min(j, rem) for j in range(1, k)]
+    return [p for p in starts if p < n]
 
 
 def global_ntiles(df: DataFrame, orders: dict[str, list[tuple[str, bool]]], k: int,
-                  rows_per_bin: int = ROWS_PER_BIN, max_bins: int = MAX_BINS, seed: int = SEED) -> DataFrame:
-    """Several ``ntile(k)`` columns at once, one per named order.
-
-    The orders share the row count, one bounded sample (each order's cuts
-    come from its own sort key in that sample) and one pass counting rows per
-    (order, bin); the ranking windows then run in a single job, one exchange
-    per order. Four passes over the input in all, whatever the number of
-    orders, instead of four per order.
+                  rows_in_task: int = ROWS_IN_TASK, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """Several exact ``ntile(k)`` columns over the whole table, one per named order.
+
+    Each order must be total (end it with a unique key). Rows are scored by
+    comparing their key with the k - 1 boundary keys: one projection, no
+    window and no exchange over the rows.
     """
-    names = list(orders)
-    keyed = df.withColumns({f"_k_{n}": sort_key(df, orders[n]) for n in names})
-    n_rows = keyed.count()
-    if n_rows == 0:
-        return df.withColumns({n: F.lit(None).cast("int") for n in names})
-    parallel = min(df.sparkSession.sparkContext.defaultParallelism, n_rows // MIN_ROWS_PER_BIN)
-    bins = max(1, min(max_bins, max(math.ceil(n_rows / rows_per_bin), parallel)))
-    cuts = {n: [] for n in names}
-    if bins > 1:
-        frac = min(1.0, bins * SAMPLE_PER_BIN / n_rows)
-        sample = keyed.sample(False, frac, seed).select(*[f"_k_{n}" for n in names]).collect()
-        for i, n in enumerate(names):
-            keys = sorted((r[i] for r in sample), key=_spark_order)
-            step = len(keys) / bins
-            for j in range(1, bins):
-                c = keys[min(len(keys) - 1, int(j * step))]
-                if not cuts[n] or tuple(c) != tuple(cuts[n][-1]):
-                    cuts[n].append(c)
-    binned = keyed.withColumns({f"_b_{n}": _bin_expr(F.col(f"_k_{n}"), cuts[n], keyed.schema[f"_k_{n}"].dataType)
-                                for n in names})
-    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("o"), F.col(f"_b_{n}").alias("b")) for n in names]))
-    counts = (binned.select(pairs.alias("p")).groupBy("p.o", "p.b").agg(F.count(F.lit(1)).alias("c")).collect())
-    offsets = []
-    for n in names:
-        seen = 0
-        for b, c in sorted((r["b"], r["c"]) for r in counts if r["o"] == n):
-            offsets.append((n, b, seen))
-            seen += c
-    off = df.sparkSession.createDataFrame(offsets, "o string, b int, off long")  # <= len(orders) * (2*max_bins+1)
-    out = binned
-    for n in names:
-        o = F.broadcast(off.filter(F.col("o") == n).select(F.col("b").alias(f"_b_{n}"), F.col("off").alias("_off")))
-        w = Window.partitionBy(f"_b_{n}").orderBy(f"_k_{n}")
-        out = (out.join(o, f"_b_{n}")
-               .withColumn(n, ntile_of_rank(F.row_number().over(w) - 1 + F.col("_off"), n_rows, k))
-               .drop("_off"))
-    return out.drop(*[f"_k_{n}" for n in names], *[f"_b_{n}" for n in names])
+    n = df.count()
+    starts = bucket_starts(n, k)
+    found = keys_at(df, orders, dict.fromkeys(orders, starts), n, rows_in_task, sample_rows) if starts else {}
+    scores = {}
+    for name, order in orders.items():
+        key = sort_key(df, order)
+        fields = df.select(key.alias("k")).schema["k"].dataType
+        reached = [(key >= _literal(cut, fields)).cast("int") for cut in found.get(name, [])]
+        scores[name] = sum(reached, F.lit(1)).cast("int")
+    return df.withColumns(scores)
+
+
+def exact_quantile(df: DataFrame, column: str, q: float, rows_in_task: int = ROWS_IN_TASK,
+                   sample_rows: int = SAMPLE_ROWS):
+    """Smallest value whose cumulative share reaches q (``percentile_disc``), nulls ignored.
+
+    The value at 1-based position ceil(q * n) in ascending order; None when
+    there is no non-null value.
+    """
+    data = df.select(F.col(f"`{column}`").alias("_v")).filter(F.col("_v").isNotNull())
+    n = data.count()
+    if n == 0:
+        return None
+    position = min(n, max(1, math.ceil(q * n))) - 1
+    return keys_at(data, {"v": [("_v", True)]}, {"v": [position]}, n, rows_in_task, sample_rows)["v"][0][0]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from emporia.operators.ranking import ROWS_PER_BIN, exact_quantile, global_ntiles
+from emporia.operators.ranking import ROWS_IN_TASK, exact_quantile, global_ntiles
 
 # Segment thresholds on the summed score (3..12) and their names.
 SEGMENTS = [(10, "Champions"), (7, "Loyal Customers"), (5, "At Risk")]
@@ -79,16 +79,16 @@ def segment(score: F.Column) -> F.Column:
 
 
 def rfm_scores(rfm_df: DataFrame, key: str, orientation: str = "best_high", scalable: bool = True,
-               rows_per_bin: int = ROWS_PER_BIN) -> DataFrame:
+               rows_in_task: int = ROWS_IN_TASK) -> DataFrame:
     """Quartile scores R, F, M (ties broken by ``key``), their sum and segment.
 
-    ``scalable=True`` computes each quartile with the binned exact rank
-    (no single-task window); ``False`` uses ``F.ntile`` over an un-partitioned
+    ``scalable=True`` scores rows against the exact boundary keys of the
+    quartiles (no window); ``False`` uses ``F.ntile`` over an un-partitioned
     window, which is the same result but gathers all rows into one task.
     """
     orders = {score: [(MEASURE[score], asc), (key, True)] for score, asc in ORIENTATIONS[orientation].items()}
     if scalable:
-        out = global_ntiles(rfm_df, orders, 4, rows_per_bin)
+        out = global_ntiles(rfm_df, orders, 4, rows_in_task)
     else:
         out = rfm_df
         for score, asc in ORIENTATIONS[orientation].items():
@@ -100,15 +100,15 @@ def rfm_scores(rfm_df: DataFrame, key: str, orientation: str = "best_high", scal
 
 
 def cap_at_quantile(df: DataFrame, columns: list[str], q: float = 0.99, exact: bool = True,
-                    relative_error: float = 0.001, rows_per_bin: int = ROWS_PER_BIN):
+                    relative_error: float = 0.001, rows_in_task: int = ROWS_IN_TASK):
     """Cap each column at its q-quantile; returns (capped df, {column: cap}).
 
-    ``exact`` uses the binned exact quantile (value at position ceil(q*n));
+    ``exact`` selects the value at position ceil(q*n);
     otherwise ``approxQuantile`` with the given rank error (one sketch pass
     for all columns). The caps are scalars placed in the plan as literals.
     """
     if exact:
-        caps = {c: exact_quantile(df, c, q, rows_per_bin) for c in columns}
+        caps = {c: exact_quantile(df, c, q, rows_in_task) for c in columns}
     else:
         values = df.approxQuantile(columns, [q], relative_error)
         caps = {c: v[0] if v else None for c, v in zip(columns, values)}

@@ -117,7 +117,7 @@ def _table_query(build):
 
 def _capped(t: CommerceTables) -> DataFrame:
     capped, _ = R.cap_at_quantile(t.rfm_retail_ml, ["recency_days", "frequency", "monetary"], 0.99, exact=True,
-                                  rows_per_bin=t.rows_per_bin)
+                                  rows_in_task=t.rows_in_task)
     return capped
 
 

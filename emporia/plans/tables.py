@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from emporia.operators import clean as C
 from emporia.operators import enrich as E
 from emporia.operators import rfm as R
-from emporia.operators.ranking import ROWS_PER_BIN
+from emporia.operators.ranking import ROWS_IN_TASK
 from emporia.plans.session import ensure_checkpoint_dir
 from emporia.sources import testdata
 from emporia.sources.files import load_all
@@ -48,11 +48,11 @@ def materialized(df: DataFrame, name: str, partition_by: list[str] | None = None
 
 
 class CommerceTables:
-    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], rows_per_bin: int = ROWS_PER_BIN,
+    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], rows_in_task: int = ROWS_IN_TASK,
                  materialize: bool = True):
         self.spark = spark
         self.raw = raw
-        self.rows_per_bin = rows_per_bin
+        self.rows_in_task = rows_in_task
         self.materialize = materialize
 
     def _keep(self, df: DataFrame, name: str, **kw) -> DataFrame:
@@ -120,7 +120,7 @@ class CommerceTables:
         return self._keep(R.rfm_orders(self.master_featured), "rfm_base")
 
     def rfm_scored(self, orientation: str = "best_high") -> DataFrame:
-        return R.rfm_scores(self.rfm_base, "customer_unique_id", orientation, rows_per_bin=self.rows_per_bin)
+        return R.rfm_scores(self.rfm_base, "customer_unique_id", orientation, rows_in_task=self.rows_in_task)
 
     @cached_property
     def rfm_olist(self) -> DataFrame:
@@ -200,5 +200,5 @@ def clusters(t: CommerceTables):
     """Run the K-means sweep and final model once per tables object."""
     from emporia.models import cluster
     if "_clusters" not in t.__dict__:
-        t.__dict__["_clusters"] = cluster.run(t.spark, t.rfm_retail_ml, rows_per_bin=t.rows_per_bin)
+        t.__dict__["_clusters"] = cluster.run(t.spark, t.rfm_retail_ml, rows_in_task=t.rows_in_task)
     return t.__dict__["_clusters"]

@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL, rows
 
 def _tables(spark, n):
     raw = {k: v.repartition(n) for k, v in testdata.raw_tables(spark, SF_SMALL).items()}
-    return CommerceTables(spark, raw, rows_per_bin=50, materialize=False)
+    return CommerceTables(spark, raw, rows_in_task=50, materialize=False)
 
 
 @pytest.fixture(scope="module")

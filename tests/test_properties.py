@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from emporia.operators.ranking import exact_quantile, global_ntile
+from emporia.operators.ranking import exact_quantile, global_ntiles
 
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -15,21 +15,23 @@ values = st.lists(st.integers(min_value=-5, max_value=5), min_size=1, max_size=3
 
 
 @SETTINGS
-@given(vals=values, k=st.integers(min_value=2, max_value=7), asc=st.booleans(), per_bin=st.integers(3, 40))
-def test_global_ntile_matches_window(spark, vals, k, asc, per_bin):
+@given(vals=values, k=st.integers(min_value=2, max_value=7), asc=st.booleans(), in_task=st.integers(1, 40),
+       sample=st.integers(1, 30))
+def test_global_ntiles_match_window(spark, vals, k, asc, in_task, sample):
     df = spark.createDataFrame([(f"k{i:04d}", v) for i, v in enumerate(vals)], "key string, v long")
-    ours = {r.key: r.t for r in global_ntile(df, [("v", asc), ("key", True)], k, "t", rows_per_bin=per_bin).collect()}
+    orders = {"t": [("v", asc), ("key", True)]}
+    ours = {r.key: r.t for r in global_ntiles(df, orders, k, rows_in_task=in_task, sample_rows=sample).collect()}
     w = Window.orderBy(F.col("v").asc() if asc else F.col("v").desc(), F.col("key").asc())
     ref = {r.key: r.t for r in df.withColumn("t", F.ntile(k).over(w)).collect()}
     assert ours == ref
 
 
 @SETTINGS
-@given(vals=values, q=st.floats(min_value=0.01, max_value=0.99), per_bin=st.integers(3, 40))
-def test_exact_quantile_matches_sorted(spark, vals, q, per_bin):
+@given(vals=values, q=st.floats(min_value=0.01, max_value=0.99), in_task=st.integers(1, 40), sample=st.integers(1, 30))
+def test_exact_quantile_matches_sorted(spark, vals, q, in_task, sample):
     df = spark.createDataFrame([(v,) for v in vals], "v long")
     expect = sorted(vals)[min(len(vals), max(1, math.ceil(q * len(vals)))) - 1]
-    assert exact_quantile(df, "v", q, rows_per_bin=per_bin) == expect
+    assert exact_quantile(df, "v", q, rows_in_task=in_task, sample_rows=sample) == expect
 
 
 rows_st = st.lists(st.tuples(st.sampled_from(["a", "b", "c", "d"]),

@@ -11,7 +11,7 @@ from tests.conftest import SF_SMALL
 
 @pytest.fixture(scope="module")
 def t(spark):
-    return from_testdata(spark, SF_SMALL, rows_per_bin=97)
+    return from_testdata(spark, SF_SMALL, rows_in_task=97)
 
 
 def test_master_has_one_row_per_clean_order(t):
@@ -71,7 +71,7 @@ def test_scalable_ntile_equals_plain_window(t):
 def test_fewer_customers_than_quartiles(spark):
     df = spark.createDataFrame([("a", 1, 1, 5.0), ("b", 2, 1, 3.0), ("c", 3, 2, 1.0)],
                                "k string, recency_days int, frequency long, monetary double")
-    out = {x.k: x.R_score for x in rfm_scores(df, "k", "as_coded", rows_per_bin=1).collect()}
+    out = {x.k: x.R_score for x in rfm_scores(df, "k", "as_coded", rows_in_task=1).collect()}
     assert out == {"a": 1, "b": 2, "c": 3}
 
 
@@ -104,7 +104,7 @@ def test_segment_bands(spark):
 def test_caps_exact_and_approx(spark):
     from emporia.operators.rfm import cap_at_quantile
     df = spark.createDataFrame([(i, float(i)) for i in range(1000)], "a long, b double")
-    capped, caps = cap_at_quantile(df, ["a", "b"], 0.99, exact=True, rows_per_bin=100)
+    capped, caps = cap_at_quantile(df, ["a", "b"], 0.99, exact=True, rows_in_task=100)
     assert caps == {"a": 989, "b": 989.0}
     assert capped.agg(F.max("a")).first()[0] == 989
     _, approx = cap_at_quantile(df, ["a", "b"], 0.99, exact=False, relative_error=0.001)
