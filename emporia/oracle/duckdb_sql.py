@@ -40,6 +40,16 @@ def dec2(col: str) -> str:
     return f"CAST({col} AS DECIMAL(12,2))"
 
 
+def text(expr: str, bad: str | None = None) -> str:
+    """A timestamp as raw text; text that is no date where ``bad`` holds."""
+    t = f"strftime({expr}, '%Y-%m-%d %H:%M:%S')"
+    return t if bad is None else f"CASE WHEN {bad} THEN '31/02/20xx' ELSE {t} END"
+
+
+def parsed(*columns: str) -> str:
+    return ", ".join(f"TRY_STRPTIME({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in columns)
+
+
 RAW = f"""
 orders_raw0 AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
@@ -48,30 +58,41 @@ orders_raw0 AS (
               WHEN o_orderstatus = 'F' THEN 'delivered'
               WHEN o_orderstatus = 'O' THEN 'shipped'
               WHEN o_orderstatus = 'P' THEN 'processing' END AS order_status,
-         o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS order_purchase_timestamp,
+         o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS p_,
          o_orderkey AS k
   FROM orders),
-orders_raw AS (
-  SELECT order_id, customer_id, order_status, order_purchase_timestamp,
-         CASE WHEN k % 11 <> 0 THEN order_purchase_timestamp + to_days(CAST(k % 4 AS INTEGER)) END AS order_approved_at,
+orders_once AS (
+  SELECT order_id, customer_id, order_status, k, p_,
+         {text('p_', 'k % 211 = 0')} AS order_purchase_timestamp,
+         CASE WHEN k % 11 <> 0 THEN {text('p_ + to_days(CAST(k % 4 AS INTEGER))', 'k % 83 = 0')} END AS order_approved_at,
          CASE WHEN order_status IN ('delivered', 'shipped')
-              THEN order_purchase_timestamp + to_days(CAST(k % 5 AS INTEGER)) END AS order_delivered_carrier_date,
+              THEN {text('p_ + to_days(CAST(k % 5 AS INTEGER))')} END AS order_delivered_carrier_date,
          CASE WHEN order_status = 'delivered'
-              THEN order_purchase_timestamp + to_days(CAST(k % 40 AS INTEGER)) END AS order_delivered_customer_date,
-         order_purchase_timestamp + to_days(20) AS order_estimated_delivery_date
+              THEN {text('p_ + to_days(CAST(k % 40 AS INTEGER))')} END AS order_delivered_customer_date,
+         {text('p_ + to_days(20)')} AS order_estimated_delivery_date
   FROM orders_raw0),
-customers_raw AS (
-  SELECT CAST(c.c_custkey AS VARCHAR) AS customer_id,
+orders_raw AS (
+  SELECT * EXCLUDE (k, p_) FROM orders_once
+  UNION ALL
+  SELECT * EXCLUDE (k, p_) REPLACE (
+           {text('p_ + to_days(1)')} AS order_purchase_timestamp, 'created' AS order_status)
+  FROM orders_once WHERE k % 71 = 0),
+customers_once AS (
+  SELECT c.c_custkey AS k, CAST(c.c_custkey AS VARCHAR) AS customer_id,
          CAST(CASE WHEN c.c_custkey % 10 = 9 THEN c.c_custkey - 1 ELSE c.c_custkey END AS VARCHAR) AS customer_unique_id,
          CASE WHEN c.c_custkey % 2 = 0 THEN ' ' || c.c_mktsegment ELSE lower(c.c_mktsegment) END AS customer_city,
          CASE WHEN c.c_custkey % 101 = 0 THEN NULL
               WHEN c.c_custkey % 3 = 0 THEN ' ' || lower(n.n_name) || ' '
               ELSE n.n_name END AS customer_state
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
+customers_raw AS (
+  SELECT * EXCLUDE (k) FROM customers_once
+  UNION ALL
+  SELECT * EXCLUDE (k) REPLACE ('~moved' AS customer_city) FROM customers_once WHERE k % 61 = 0),
 order_items_raw AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
          CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
-         l_shipdate AS shipping_limit_date,
+         {text('CAST(l_shipdate AS TIMESTAMP)', '(l_orderkey + l_linenumber) % 89 = 0')} AS shipping_limit_date,
          CAST({dec2('l_extendedprice')} AS DECIMAL(18,4)) AS price,
          CASE WHEN (l_orderkey + l_linenumber) % 53 <> 0
               THEN CAST({dec2('l_extendedprice')} * {dec2('l_tax')} AS DECIMAL(18,4)) END AS freight_value
@@ -83,37 +104,49 @@ payments_raw AS (
          CAST(ROUND({dec2('l_extendedprice')} * (1 - {dec2('l_discount')}) * (1 + {dec2('l_tax')}), 4)
               AS DECIMAL(18,4)) AS payment_value
   FROM lineitem),
-reviews_raw AS (
-  SELECT CAST(event_id AS VARCHAR) AS review_id,
+reviews_once AS (
+  SELECT event_id AS k, CAST(event_id AS VARCHAR) AS review_id,
          CAST(event_id // 2 AS VARCHAR) AS order_id,
          CASE WHEN event_id % 29 = 0 THEN 'n/a'
               WHEN event_id % 31 = 0 THEN '6'
               ELSE CAST(CAST(floor(value) AS BIGINT) % 5 + 1 AS VARCHAR) END AS review_score,
-         CASE WHEN event_id % 37 <> 0 THEN ts END AS review_creation_date,
-         ts + to_hours(CAST(event_id % 72 AS INTEGER)) AS review_answer_timestamp
+         CASE WHEN event_id % 37 <> 0 THEN {text('ts', 'event_id % 41 = 0')} END AS review_creation_date,
+         {text('ts + to_hours(CAST(event_id % 72 AS INTEGER))')} AS review_answer_timestamp
   FROM events),
-products_raw AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+reviews_raw AS (
+  SELECT * EXCLUDE (k) FROM reviews_once
+  UNION ALL
+  SELECT * EXCLUDE (k) REPLACE ('1' AS review_score, '~' AS order_id) FROM reviews_once WHERE k % 67 = 0),
+products_once AS (
+  SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS product_id,
          CASE WHEN p_partkey % 19 <> 0 THEN p_type END AS product_category_name,
          CASE WHEN p_partkey % 13 <> 0 THEN CAST(p_size * 100 AS DOUBLE) END AS product_weight_g,
          CAST(p_size AS DOUBLE) AS product_length_cm,
          CAST(p_size % 10 + 1 AS DOUBLE) AS product_height_cm,
          CAST(p_size % 7 + 1 AS DOUBLE) AS product_width_cm
   FROM part),
+products_raw AS (
+  SELECT * EXCLUDE (k) FROM products_once
+  UNION ALL
+  SELECT * EXCLUDE (k) REPLACE ('~other' AS product_category_name) FROM products_once WHERE k % 47 = 0),
 category_raw AS (
-  SELECT p_type AS product_category_name, lower(p_type) AS product_category_name_english
+  SELECT p_type AS product_category_name, unnest([lower(p_type), '~' || lower(p_type)]) AS product_category_name_english
   FROM part WHERE p_type <> 'LARGE' GROUP BY p_type),
-sellers_raw AS (
-  SELECT CAST(s.s_suppkey AS VARCHAR) AS seller_id, r.r_name AS seller_city, n.n_name AS seller_state
+sellers_once AS (
+  SELECT s.s_suppkey AS k, CAST(s.s_suppkey AS VARCHAR) AS seller_id, r.r_name AS seller_city, n.n_name AS seller_state
   FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
   LEFT JOIN region r ON n.n_regionkey = r.r_regionkey),
+sellers_raw AS (
+  SELECT * EXCLUDE (k) FROM sellers_once
+  UNION ALL
+  SELECT * EXCLUDE (k) REPLACE ('~elsewhere' AS seller_state) FROM sellers_once WHERE k % 3 = 0),
 retail_rows AS (
   SELECT (CASE WHEN l.l_returnflag = 'R' THEN 'C' ELSE '' END) || CAST(l.l_orderkey AS VARCHAR) AS Invoice,
          CAST(l.l_partkey AS VARCHAR) AS StockCode,
          CASE WHEN l.l_partkey % 23 <> 0 THEN p.p_name END AS Description,
          CAST(CASE WHEN l.l_returnflag = 'R' THEN -CAST(l.l_quantity AS BIGINT)
                    ELSE CAST(l.l_quantity AS BIGINT) END AS INTEGER) AS Quantity,
-         o.o_orderdate + to_hours(CAST(l.l_linenumber * 3 AS INTEGER)) AS InvoiceDate,
+         {text('o.o_orderdate + to_hours(CAST(l.l_linenumber * 3 AS INTEGER))', '(l.l_orderkey + l.l_linenumber) % 97 = 0')} AS InvoiceDate,
          CAST(CAST((2 * CAST(round(l.l_extendedprice * 100) AS BIGINT) + CAST(l.l_quantity AS BIGINT))
                    // (2 * CAST(l.l_quantity AS BIGINT)) AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2))
               AS DECIMAL(18,2)) AS Price,
@@ -130,13 +163,24 @@ retail_raw AS (
   SELECT * EXCLUDE (k_) FROM retail_rows WHERE k_ % 50 = 0)"""
 
 CLEAN = f"""
+orders_typed AS (
+  SELECT order_id, customer_id, order_status,
+         {parsed('order_purchase_timestamp', 'order_approved_at', 'order_delivered_carrier_date',
+                 'order_delivered_customer_date', 'order_estimated_delivery_date')}
+  FROM orders_raw),
+items_typed AS (SELECT * REPLACE ({parsed('shipping_limit_date')}) FROM order_items_raw),
+reviews_typed AS (
+  SELECT review_id, order_id, TRY_CAST(review_score AS INTEGER) AS review_score,
+         {parsed('review_creation_date', 'review_answer_timestamp')}
+  FROM reviews_raw),
+retail_typed AS (SELECT * REPLACE ({parsed('InvoiceDate')}) FROM retail_raw),
 orders_clean AS (
   SELECT * EXCLUDE (rn_) FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY order_purchase_timestamp NULLS FIRST,
              customer_id NULLS FIRST, order_status NULLS FIRST, order_approved_at NULLS FIRST,
              order_delivered_carrier_date NULLS FIRST, order_delivered_customer_date NULLS FIRST,
              order_estimated_delivery_date NULLS FIRST) AS rn_
-    FROM orders_raw
+    FROM orders_typed
     WHERE order_id IS NOT NULL AND customer_id IS NOT NULL AND order_status IS NOT NULL
       AND order_purchase_timestamp IS NOT NULL)
   WHERE rn_ = 1
@@ -155,7 +199,7 @@ items_clean AS (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id, order_item_id ORDER BY price NULLS FIRST,
              product_id NULLS FIRST, seller_id NULLS FIRST, shipping_limit_date NULLS FIRST,
              freight_value NULLS FIRST) AS rn_
-    FROM order_items_raw
+    FROM items_typed
     WHERE order_id IS NOT NULL AND product_id IS NOT NULL AND seller_id IS NOT NULL AND price IS NOT NULL
       AND price > 0 AND freight_value >= 0)
   WHERE rn_ = 1),
@@ -171,15 +215,12 @@ payments_agg AS (
          COUNT(payment_sequential) AS payment_methods_count
   FROM payments_clean GROUP BY order_id),
 reviews_clean AS (
-  SELECT review_id, order_id, review_score, review_creation_date, review_answer_timestamp FROM (
-    SELECT review_id, order_id, TRY_CAST(review_score AS INTEGER) AS review_score,
-           review_creation_date, review_answer_timestamp,
-           ROW_NUMBER() OVER (PARTITION BY review_id ORDER BY order_id NULLS FIRST,
-                              review_creation_date NULLS FIRST, TRY_CAST(review_score AS INTEGER) NULLS FIRST,
+  SELECT * EXCLUDE (rn_) FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY review_id ORDER BY order_id NULLS FIRST,
+                              review_creation_date NULLS FIRST, review_score NULLS FIRST,
                               review_answer_timestamp NULLS FIRST) AS rn_
-    FROM reviews_raw
-    WHERE review_id IS NOT NULL AND order_id IS NOT NULL AND review_score IS NOT NULL
-      AND TRY_CAST(review_score AS INTEGER) BETWEEN 1 AND 5)
+    FROM reviews_typed
+    WHERE review_id IS NOT NULL AND order_id IS NOT NULL AND review_score BETWEEN 1 AND 5)
   WHERE rn_ = 1),
 reviews_latest AS (
   SELECT * EXCLUDE (rn_) FROM (
@@ -220,7 +261,7 @@ retail_clean AS (
   SELECT Invoice, StockCode, COALESCE(Description, 'UNKNOWN') AS Description, Quantity, InvoiceDate, Price,
          COALESCE("Customer ID", -1) AS "Customer ID", trim(Country) AS Country,
          ROUND(Quantity * CAST(Price AS DECIMAL(18,4)), 2) AS TotalLineValue
-  FROM (SELECT DISTINCT * FROM retail_raw
+  FROM (SELECT DISTINCT * FROM retail_typed
         WHERE Invoice IS NOT NULL AND StockCode IS NOT NULL AND Quantity IS NOT NULL AND Price IS NOT NULL
           AND InvoiceDate IS NOT NULL AND Quantity > 0 AND Price > 0 AND NOT starts_with(Invoice, 'C')))"""
 
