@@ -10,8 +10,8 @@ from pyspark.ml.classification import (
 )
 from pyspark.sql import DataFrame
 
-from emporia.models.stages import build_pipeline, hash_split, sample_rows
 from emporia.models.prep import model_frame
+from emporia.models.stages import build_pipeline, hash_split, sample_by_key
 
 
 @dataclass
@@ -23,7 +23,8 @@ class ModelSpec:
     scale: str | None
     make: object          # () -> estimator
     top_k: int
-    max_rows: int | None = None
+    key: tuple[str, ...] = ("order_id",)      # rows are split and sampled by it
+    train_share: float = 1.0                  # share of the training keys that is used; 1 uses all
 
 
 # Features, labels and hyper-parameters of the four models.
@@ -53,7 +54,7 @@ SPECS = {
         ["Quantity", "Price", "InvoiceHour", "InvoiceMonth", "InvoiceDayOfWeek"],
         ["Country"], "is_high_value", None,
         lambda label: GBTClassifier(labelCol=label, featuresCol="features", maxIter=50, maxDepth=5, stepSize=0.1,
-                                    seed=42), 10),
+                                    seed=42), 10, ("Invoice", "StockCode")),
 }
 
 
@@ -74,12 +75,18 @@ class FittedModel:
         return "raw_features" if self.spec.scale else "features"
 
 
-def train(spec: ModelSpec, source: DataFrame, train_pct: int = 80, seed: int = 42) -> FittedModel:
-    """Select the model's columns, drop incomplete rows, hash-split, fit, score."""
-    data = sample_rows(model_frame(source, spec.numeric, spec.categorical, spec.label), spec.max_rows, seed)
-    data = data.persist()
-    tr, te = hash_split(data, train_pct, seed)
-    pipe = build_pipeline(spec.numeric, spec.categorical, spec.make(spec.label), spec.scale)
-    model = pipe.fit(tr)
-    # Scored once and kept: metrics, confusion matrix, ROC and loss tables all read it.
-    return FittedModel(spec, model, tr, te, model.transform(te).persist())
+def train(spec: ModelSpec, source: DataFrame, train_pct: int = 80, seed: int = 42, keep=None) -> FittedModel:
+    """Select the model's columns, drop incomplete rows, split by key, fit, score.
+
+    ``spec.train_share`` below 1 fits on the rows of that share of the training
+    keys; the test rows are all scored. ``keep(df, name)`` stores the scored
+    rows, which every metric table reads; nothing stays cached afterwards.
+    """
+    data = model_frame(source, spec.numeric, spec.categorical, spec.label, list(spec.key)).persist()
+    tr, te = hash_split(data, train_pct=train_pct, seed=seed)
+    used = tr if spec.train_share >= 1 else sample_by_key(tr, spec.train_share)
+    model = build_pipeline(spec.numeric, spec.categorical, spec.make(spec.label), spec.scale).fit(used)
+    scored = model.transform(te)
+    scored = keep(scored, f"scored_{spec.name.lower().replace(' ', '_')}") if keep else scored
+    data.unpersist()
+    return FittedModel(spec, model, tr, te, scored)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from emporia.functions.columns import pct_of, round_half_up
-from emporia.models.stages import build_pipeline
+from emporia.models.stages import build_pipeline, sample_by_key
 from emporia.operators.rfm import cap_at_quantile
 
 RFM_FEATURES = ["recency_days", "frequency", "monetary"]
@@ -53,11 +53,12 @@ def _sweep_point(scaled: DataFrame, k: int) -> tuple:
 
 
 def run(spark: SparkSession, rfm_ml: DataFrame, ks=SWEEP, final_k: int = FINAL_K,
-        rows_in_task: int | None = None, parallelism: int = 4) -> ClusterRun:
+        rows_in_task: int | None = None, parallelism: int = 4, keep=None) -> ClusterRun:
     """Sweep k (inertia and silhouette per k), then fit the final model.
 
     The sweep's fits are independent and seeded; they run from a few driver
-    threads at once over the persisted, scaled input.
+    threads at once over the persisted, scaled input. ``keep(df, name)``
+    stores the assignments; nothing stays cached afterwards.
     """
     scaled, caps = scaled_rfm(rfm_ml, rows_in_task=rows_in_task)
     scaled = scaled.persist()
@@ -69,8 +70,11 @@ def run(spark: SparkSession, rfm_ml: DataFrame, ks=SWEEP, final_k: int = FINAL_K
                                                     StructField("silhouette", DoubleType())]))
     final = KMeans(featuresCol="features", k=final_k, seed=SEED, maxIter=100).fit(scaled)
     assigned = final.transform(scaled)
-    return ClusterRun(scaled, caps, sweep, assigned.drop("raw_features", "features"),
-                      float(ev.evaluate(assigned)), float(final.summary.trainingCost))
+    silhouette, inertia = float(ev.evaluate(assigned)), float(final.summary.trainingCost)
+    assigned = assigned.drop("raw_features", "features")
+    assigned = keep(assigned, "cluster_assignments") if keep else assigned
+    scaled.unpersist()
+    return ClusterRun(scaled, caps, sweep, assigned, silhouette, inertia)
 
 
 def profile(assignments: DataFrame, key: str = "Customer ID") -> DataFrame:
@@ -111,7 +115,6 @@ def cluster_share(labels: DataFrame) -> DataFrame:
                          pct_of(F.col("customer_count"), total, 1).alias("share_pct"))
 
 
-def display_sample(df: DataFrame, max_rows: int = 3000, seed: int = SEED) -> DataFrame:
-    """Bernoulli sample of about ``max_rows`` rows for plotting (a sampling operator)."""
-    n = df.count()
-    return df if n <= max_rows else df.sample(False, max_rows / n, seed)
+def display_sample(df: DataFrame, fraction: float = 0.25, key: str = "Customer ID") -> DataFrame:
+    """The customers of about ``fraction`` of the keys, for plotting (a sampling operator)."""
+    return sample_by_key(df, fraction, key)

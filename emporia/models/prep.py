@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.operators.clean import clean_retail
+from emporia.operators.clean import Rules, clean, clean_retail
 from emporia.operators.enrich import featurize_retail
 
 # Fills applied to delivered orders before training.
@@ -24,6 +24,10 @@ ORDER_ML_FILLS = {
     "primary_payment_type": "credit_card",
 }
 
+# Delivered orders whose delivery days, value and review are known, gaps filled.
+ORDER_ML_RULES = Rules(valid={"delivered": "order_status = 'delivered'"},
+                       required=("actual_delivery_days", "total_order_value", "review_score"), fills=ORDER_ML_FILLS)
+
 # Fills applied to all orders for the delivered-status model.
 ORDER_STATUS_ML_FILLS = {
     "total_payment_value": 0.0,
@@ -43,12 +47,7 @@ RETAIL_DEFAULT_COUNTRY = "United Kingdom"
 
 def prep_orders_ml(master_featured: DataFrame) -> DataFrame:
     """Delivered orders with delivery days, value and review present, gaps filled."""
-    df = master_featured.filter(
-        (F.col("order_status") == "delivered")
-        & F.col("actual_delivery_days").isNotNull()
-        & F.col("total_order_value").isNotNull()
-        & F.col("review_score").isNotNull())
-    return df.fillna(ORDER_ML_FILLS)
+    return clean(master_featured, ORDER_ML_RULES)
 
 
 def prep_orders_status_ml(master_featured: DataFrame) -> DataFrame:
@@ -56,10 +55,17 @@ def prep_orders_status_ml(master_featured: DataFrame) -> DataFrame:
     return master_featured.fillna(ORDER_STATUS_ML_FILLS)
 
 
-def model_frame(df: DataFrame, numeric: list[str], categorical: list[str], label: str) -> DataFrame:
-    """The model's columns with incomplete rows dropped; money as double."""
+ROW_KEY = "_key"
+
+
+def model_frame(df: DataFrame, numeric: list[str], categorical: list[str], label: str, key: list[str] | None = None) -> DataFrame:
+    """The model's columns with incomplete rows dropped; money as double.
+
+    ``key`` adds the row's key as text, by which rows are split and sampled.
+    """
     cols = [F.col(c).cast("double").alias(c) for c in numeric] + [F.col(c) for c in categorical] + [F.col(label)]
-    return df.select(cols).dropna()
+    keyed = [F.concat_ws("|", *[F.col(f"`{c}`").cast("string") for c in key]).alias(ROW_KEY)] if key else []
+    return df.select(*cols, *keyed).dropna(subset=[*numeric, *categorical, label])
 
 
 def prep_retail_ml(retail_raw_or_clean: DataFrame, threshold=None) -> DataFrame:

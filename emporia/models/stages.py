@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emporia.models.prep import ROW_KEY
+
 
 def build_pipeline(numeric: list[str], categorical: list[str], estimator=None, scale: str | None = None,
                    features_col: str = "features") -> Pipeline:
@@ -36,30 +38,25 @@ def build_pipeline(numeric: list[str], categorical: list[str], estimator=None, s
     return Pipeline(stages=stages)
 
 
-def hash_split(df: DataFrame, train_pct: int = 80, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Deterministic train/test split by a hash of the row's values.
+def key_bucket(key: str, buckets: int, seed: int = 42) -> Column:
+    """A bucket from 0 to ``buckets`` - 1 from the key's MD5, which every SQL engine computes alike."""
+    text = F.concat_ws("|", F.lit(str(seed)), F.col(f"`{key}`").cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % buckets
 
-    Unlike ``randomSplit`` the side of a row does not depend on partitioning
-    or on re-computation after a lost task.
-    """
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.lit(100))
-    tagged = df.withColumn("_b", bucket)
-    return (tagged.filter(F.col("_b") < train_pct).drop("_b"),
-            tagged.filter(F.col("_b") >= train_pct).drop("_b"))
 
+def hash_split(df: DataFrame, key: str = ROW_KEY, train_pct: int = 80, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Deterministic train/test split by a hash of the key.
 
-def sample_rows(df: DataFrame, max_rows: int | None, seed: int = 42) -> DataFrame:
-    """Bernoulli sample down to about ``max_rows`` rows (None keeps all rows)."""
-    if max_rows is None:
-        return df
-    n = df.count()
-    return df if n <= max_rows else df.sample(False, max_rows / n, seed)
+    Unlike ``randomSplit`` the side of a row does not depend on partitioning
+    or on re-computation after a lost task, nor on its other values.
+    """
+    bucket = key_bucket(key, 100, seed)
+    return df.filter(bucket < train_pct), df.filter(bucket >= train_pct)
 
 
-def sample_by_label(df: DataFrame, label: str, fraction: float, seed: int = 42) -> DataFrame:
-    """Stratified sample: the same fraction of every label value."""
-    values = [r[0] for r in df.select(label).distinct().collect()]
-    return df.sampleBy(label, {v: fraction for v in values}, seed)
+def sample_by_key(df: DataFrame, fraction: float, key: str = ROW_KEY, seed: int = 43) -> DataFrame:
+    """The rows of about ``fraction`` of the keys, the same at every size and partitioning."""
+    return df.filter(key_bucket(key, 10_000, seed) < int(round(fraction * 10_000)))
 
 
 def feature_names(df: DataFrame, vector_col: str) -> list[str]:

@@ -127,10 +127,10 @@ def clean(raw: DataFrame, rules: Rules) -> DataFrame:
     """The rows of ``raw`` that pass the rules, normalised."""
     df = parse(raw, rules)
     for predicate in rules.tests().values():
-        df = df.filter(_holds(predicate))
+        df = df.filter(F.expr(predicate))
     df = _one_per_key(df, rules)
     for predicate in rules.valid_after.values():
-        df = df.filter(_holds(predicate))
+        df = df.filter(F.expr(predicate))
     text = {c: F.lower(F.trim(c)) for c in rules.lower} | {c: F.upper(F.trim(c)) for c in rules.upper}
     df = df.withColumns(text) if text else df
     return df.fillna(rules.fills) if rules.fills else df

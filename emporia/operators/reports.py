@@ -288,7 +288,7 @@ QUESTIONS = {
     "q03_revenue_by_state": ("mf", q03_revenue_by_state),
     "q04_orders_by_weekday": ("mf", q04_orders_by_weekday),
     "q05_segments": ("rfm", q05_segments),
-    "q06_repeat_customers": ("rfm", q06_repeat_customers),
+    "q06_repeat_customers": ("rfm_base", q06_repeat_customers),
     "q07_late_share": ("mf", q07_late_share),
     "q08_slowest_states": ("mf", q08_slowest_states),
     "q09_delivery_by_year": ("mf", q09_delivery_by_year),
@@ -298,10 +298,10 @@ QUESTIONS = {
     "q13_installments": ("mf", q13_installments),
     "q14_score_distribution": ("mf", q14_score_distribution),
     "q15_score_vs_lateness": ("mf", q15_score_vs_lateness),
-    "q16_top_countries": ("rf", q16_top_countries),
-    "q17_retail_monthly": ("rf", q17_retail_monthly),
-    "q18_best_sellers": ("rf", q18_best_sellers),
-    "q19_sales_by_hour": ("rf", q19_sales_by_hour),
+    "q16_top_countries": ("lines", q16_top_countries),
+    "q17_retail_monthly": ("lines", q17_retail_monthly),
+    "q18_best_sellers": ("lines", q18_best_sellers),
+    "q19_sales_by_hour": ("lines", q19_sales_by_hour),
     "q20_high_low_value": ("rf", q20_high_low_value),
     "r1_monthly": ("mf", r1_monthly),
     "r2_category": ("mf", r2_category),

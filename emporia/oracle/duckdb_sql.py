@@ -763,3 +763,99 @@ def _model_frames() -> dict[str, str]:
 
 
 TABLES.update(_model_frames())
+
+
+# -- model data steps: split, sample, index, scale ------------------------------
+
+def bucket(key: str, buckets: int, seed: int) -> str:
+    return f"CAST('0x' || substr(md5('{seed}|' || {key}), 1, 8) AS BIGINT) % {buckets}"
+
+
+def _keyed_frames() -> dict[str, str]:
+    """Each model's frame with its row key; the key column is not part of the completeness rule."""
+    from emporia.models.classifiers import SPECS
+    gbt = "(SELECT * REPLACE (COALESCE(Country, 'United Kingdom') AS Country) FROM retail_featured)"
+    sources = {"lr": (f"({ML_PREP})", ORDER_ML_FILLS, "order_id"), "rf": (f"({ML_PREP})", ORDER_ML_FILLS, "order_id"),
+               "dt": ("featured", ORDER_STATUS_ML_FILLS, "order_id"), "gbt": (gbt, {}, "Invoice || '|' || StockCode")}
+    out = {}
+    for name, (source, fills, key) in sources.items():
+        spec = SPECS[name]
+        frame = _frame(source, fills, spec.numeric, spec.categorical, spec.label)
+        out[name] = frame.replace("SELECT * FROM (SELECT ", f"SELECT * FROM (SELECT {key} AS _key, ", 1)
+    return out
+
+
+def _model_steps() -> dict[str, str]:
+    from emporia.models.classifiers import SPECS
+    frames = _keyed_frames()
+    train = {k: f"(SELECT * FROM ({f}) WHERE {bucket('_key', 100, 42)} < 80)" for k, f in frames.items()}
+    sizes = "\nUNION ALL ".join(
+        f"SELECT '{SPECS[k].name}' AS model, CASE WHEN {bucket('_key', 100, 42)} < 80 THEN 'train' ELSE 'test' END AS part, "
+        f"COUNT(*) AS row_count FROM ({f}) GROUP BY ALL" for k, f in frames.items())
+    labels = "\nUNION ALL ".join(
+        f"SELECT '{SPECS[k].name}' AS model, '{c}' AS column_name, {q(c)} AS value, "
+        f"ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {q(c)}) - 1 AS idx FROM {train[k]} GROUP BY {q(c)}"
+        for k in frames for c in SPECS[k].categorical)
+    factors = "\nUNION ALL ".join(
+        f"SELECT '{c}' AS feature, {rhu(f'stddev_samp({q(c)})', 6)} AS std FROM {train['lr']}" for c in SPECS["lr"].numeric)
+    label = SPECS["gbt"].label
+    balance = (f"SELECT CAST({label} AS BIGINT) AS label, COUNT(*) AS row_count, "
+               f"{pct('COUNT(*)', 'SUM(COUNT(*)) OVER ()')} AS share_pct FROM ({frames['gbt']}) "
+               f"WHERE {bucket('_key', 10000, 43)} < 2500 GROUP BY {label}")
+    measures = ("recency_days", "frequency", "monetary")
+    scaled = ", ".join(rhu(f"(CAST({c} AS DOUBLE) - MIN(CAST({c} AS DOUBLE)) OVER ()) / "
+                           f"(MAX(CAST({c} AS DOUBLE)) OVER () - MIN(CAST({c} AS DOUBLE)) OVER ())", 6) + f" AS {c}" for c in measures)
+    return {"split_sizes": sizes, "index_labels": labels, "scale_factors": factors, "gbt_sample_balance": balance,
+            "rfm_scaled": f'SELECT "Customer ID", {scaled} FROM ({_rfm_capped()})'}
+
+
+TABLES.update(_model_steps())
+
+# Per table: source, required columns, further rules, key columns, and the clean table judged after the key.
+REJECT = {
+    "orders": ("orders_typed", ["order_id", "customer_id", "order_status", "order_purchase_timestamp"], {}, "order_id",
+               ("known status", "orders_clean")),
+    "customers": ("customers_raw", ["customer_id", "customer_unique_id", "customer_state"], {}, "customer_id", None),
+    "order_items": ("items_typed", ["order_id", "product_id", "seller_id", "price"],
+                    {"price above 0": "price > 0", "freight not below 0": "freight_value >= 0"}, "order_id, order_item_id", None),
+    "payments": ("payments_raw", ["order_id", "payment_type", "payment_value"],
+                 {"value not below 0": "payment_value >= 0", "at least one installment": "payment_installments >= 1"}, "", None),
+    "reviews": ("reviews_typed", ["review_id", "order_id"], {"score from 1 to 5": "review_score BETWEEN 1 AND 5"}, "review_id", None),
+    "category_translation": ("category_raw", ["product_category_name", "product_category_name_english"], {},
+                             "product_category_name", None),
+    "products": ("products_raw", ["product_id"], {}, "product_id", None),
+    "sellers": ("sellers_raw", ["seller_id", "seller_state"], {}, "seller_id", None),
+    "retail": ("retail_typed", ["Invoice", "StockCode", "Quantity", "Price", "InvoiceDate"],
+               {"quantity above 0": "Quantity > 0", "price above 0": "Price > 0", "not cancelled": "NOT starts_with(Invoice, 'C')"},
+               "*", None),
+}
+
+
+def _rejected() -> str:
+    parts = []
+    for name, (source, required, rules, key, after) in REJECT.items():
+        tests = {f"{c} present": f"{q(c)} IS NOT NULL" for c in required} | rules
+        passed = "TRUE"
+        for rule, test in tests.items():
+            holds = f"COALESCE({test}, FALSE)"
+            parts.append(f"SELECT '{name}' AS table_name, '{rule}' AS rule, COUNT(*) FILTER ({passed} AND NOT {holds}) AS rejected "
+                         f"FROM {source}")
+            passed += f" AND {holds}"
+        kept = f"(SELECT COUNT(*) FROM (SELECT DISTINCT {key} FROM {source} WHERE {passed}))"
+        if key:
+            parts.append(f"SELECT '{name}', 'one row per key', (SELECT COUNT(*) FROM {source} WHERE {passed}) - {kept}")
+        if after:
+            parts.append(f"SELECT '{name}', '{after[0]}', {kept} - (SELECT COUNT(*) FROM {after[1]})")
+    return "\nUNION ALL ".join(parts)
+
+
+def _exports() -> str:
+    tables = {"master_featured.parquet": "featured", "master_featured_csv": "featured", "rfm_olist_csv": "rfm_best",
+              "online_retail_featured_csv": "retail_featured", "rfm_retail_csv": "rfm_retail"}
+    summaries = {"monthly_revenue": "r1_monthly", "category_revenue": "r2_category", "state": "r3_state", "payments": "r4_payments"}
+    parts = [f"SELECT '{e}' AS export, COUNT(*) AS row_count FROM {t}" for e, t in tables.items()]
+    parts += [f"SELECT 'summary_{e}', COUNT(*) FROM ({QUESTIONS[name]})" for e, name in summaries.items()]
+    return "\nUNION ALL ".join(parts)
+
+
+TABLES.update({"rejected_rows": _rejected(), "export_manifest": _exports()})

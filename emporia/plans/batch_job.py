@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from emporia.operators import reports
 from emporia.plans.tables import CommerceTables, from_csv, from_testdata
+from emporia.sources.files import load_parquet, register_views as register_frames, table
 from emporia.sources.sinks import export_all, save_table
 
 # Names of the saved tables.
@@ -35,14 +36,13 @@ def named_tables(t: CommerceTables, orientation: str = "best_high") -> dict[str,
 
 
 def register_views(t: CommerceTables, orientation: str = "best_high") -> list[str]:
-    """Temp views of the featured tables, so the questions can also be asked in SQL."""
-    for name, df in named_tables(t, orientation).items():
-        df.createOrReplaceTempView(name)
-    return list(SAVED)
+    """Temp views of the raw (``*_raw``), clean (``*_clean``) and featured tables for SQL users."""
+    return [*register_frames(t.raw, "_raw"), *register_frames(t.clean_tables(), "_clean"),
+            *register_frames(named_tables(t, orientation))]
 
 
-def summaries(t: CommerceTables) -> dict[str, DataFrame]:
-    mf = t.master_featured
+def summaries(mf: DataFrame) -> dict[str, DataFrame]:
+    """The four grouped summaries of the featured orders."""
     return {"monthly_revenue": reports.r1_monthly(mf), "category_revenue": reports.r2_category(mf),
             "state": reports.r3_state(mf), "payments": reports.r4_payments(mf)}
 
@@ -50,10 +50,12 @@ def summaries(t: CommerceTables) -> dict[str, DataFrame]:
 def run(t: CommerceTables, out: str, as_tables: bool = False, orientation: str = "best_high") -> DataFrame:
     """Save the featured tables (catalog or Parquet under ``out``) and the exports."""
     out = out.rstrip("/")
-    tables = named_tables(t, orientation)
-    for name, df in tables.items():
-        save_table(df, name, None if as_tables else f"{out}/tables/{name}", partition_by=PARTITIONS.get(name))
-    return export_all(tables, summaries(t), f"{out}/exports")
+    saved = {}
+    for name, df in named_tables(t, orientation).items():
+        where = save_table(df, name, None if as_tables else f"{out}/tables/{name}", partition_by=PARTITIONS.get(name))
+        saved[name] = table(t.spark, where) if as_tables else load_parquet(t.spark, where)
+    # The exports read what was saved instead of computing it again.
+    return export_all(saved, summaries(saved["master_featured"]), f"{out}/exports")
 
 
 def main(argv=None):

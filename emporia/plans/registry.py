@@ -8,10 +8,11 @@ the types the SQL check compares.
 
 from __future__ import annotations
 
-import os
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -20,8 +21,10 @@ from pyspark.sql.types import (
 
 from emporia.models import cluster as MK
 from emporia.models import evaluate as MV
-from emporia.models.prep import prep_orders_ml
-from emporia.models.stages import feature_names
+from emporia.functions.columns import round_half_up
+from emporia.models.classifiers import SPECS
+from emporia.models.prep import model_frame, prep_orders_ml
+from emporia.models.stages import build_pipeline, feature_names, hash_split, sample_by_key
 from emporia.operators import clean as C
 from emporia.operators import profile as P
 from emporia.operators import reports
@@ -29,7 +32,7 @@ from emporia.operators import rfm as R
 from emporia.plans.batch_job import named_tables, summaries
 from emporia.plans.session import ensure_checkpoint_dir
 from emporia.plans.tables import CommerceTables, clusters, fitted, from_testdata, ml_source
-from emporia.sources.sinks import export_all, list_files
+from emporia.sources.sinks import export_all
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -58,7 +61,8 @@ def _tables(spark: SparkSession, sf_dir: str) -> CommerceTables:
 def _question(fn, source: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = _tables(spark, sf_dir)
-        src = {"mf": lambda: t.master_featured, "rfm": lambda: t.rfm_olist, "rf": lambda: t.retail_featured}[source]()
+        src = {"mf": lambda: t.master_featured, "rfm": lambda: t.rfm_olist, "rf": lambda: t.retail_featured,
+               "rfm_base": lambda: t.rfm_base, "lines": lambda: t.retail_lines}[source]()
         return to_edge_types(fn(src))
     return run
 
@@ -168,7 +172,7 @@ MODEL_KEYS = ["lr", "rf", "dt", "gbt"]
 def _metrics(t: CommerceTables, key: str) -> DataFrame:
     f = fitted(t, key)
     if "metrics" not in f.cache:
-        f.cache["metrics"] = MV.binary_metrics(t.spark, f.predictions, f.spec.label, f.spec.name).cache()
+        f.cache["metrics"] = MV.binary_metrics(t.spark, f.predictions, f.spec.label, f.spec.name)
     return f.cache["metrics"]
 
 
@@ -202,7 +206,7 @@ def _comparison(t: CommerceTables) -> DataFrame:
         {"silhouette": F.lit(None).cast("double"), "inertia": F.lit(None).cast("double"),
          "k": F.lit(None).cast("bigint")})
     c = clusters(t)
-    km = (c.sweep.filter(F.col("k") == MK.FINAL_K).limit(1)
+    km = (t.spark.range(1).select(F.lit(MK.FINAL_K).cast("bigint").alias("k"))
           .select(F.lit("K-Means").alias("model"), *[F.lit(None).cast("double").alias(m) for m in
                                                       ["accuracy", "precision", "recall", "f1", "auc_roc"]],
                   F.lit(c.silhouette).alias("silhouette"), F.lit(c.inertia).alias("inertia"), "k"))
@@ -251,8 +255,6 @@ REGISTRY["describe_ml_orders"] = _table_query(lambda t: P.describe(
     prep_orders_ml(t.master_featured), ["is_late_delivery", "is_high_review", "is_delivered"]))
 # The exact frame each classifier trains on (before the split): SQL-checkable.
 def _model_frame(key: str):
-    from emporia.models.classifiers import SPECS
-    from emporia.models.prep import model_frame
     spec = SPECS[key]
     return _table_query(lambda t: model_frame(ml_source(t, key), spec.numeric, spec.categorical, spec.label))
 
@@ -261,23 +263,66 @@ for _key in ("lr", "rf", "dt", "gbt"):
     REGISTRY[f"ml_frame_{_key}"] = _model_frame(_key)
 
 
+GBT_TRAIN_SHARE = 0.25      # the optional down-sampling step of the boosted trees, as a share of the keys
+
+
 def _gbt_sample_balance(t: CommerceTables) -> DataFrame:
-    """The optional down-sampling step (a sampling operator): label balance of
-    the GBT frame sampled to at most about 200,000 rows, stratified by label."""
-    from emporia.models.classifiers import SPECS
-    from emporia.models.prep import model_frame
-    from emporia.models.stages import sample_by_label
+    """The optional down-sampling step (a sampling operator): label balance of the sampled GBT frame."""
     spec = SPECS["gbt"]
-    frame = model_frame(ml_source(t, "gbt"), spec.numeric, spec.categorical, spec.label)
-    n = frame.count()
-    sampled = frame if n <= GBT_SAMPLE_ROWS else sample_by_label(frame, spec.label, GBT_SAMPLE_ROWS / n)
-    return P.class_balance(sampled, spec.label)
+    frame = model_frame(ml_source(t, "gbt"), spec.numeric, spec.categorical, spec.label, list(spec.key))
+    return P.class_balance(sample_by_key(frame, GBT_TRAIN_SHARE), spec.label)
 
 
-# Training-sample size of the optional down-sampling step.
-GBT_SAMPLE_ROWS = 200_000
 REGISTRY["gbt_sample_balance"] = _table_query(_gbt_sample_balance)
 
+
+def _keyed_frame(t: CommerceTables, key: str) -> DataFrame:
+    spec = SPECS[key]
+    return model_frame(ml_source(t, key), spec.numeric, spec.categorical, spec.label, list(spec.key))
+
+
+def _split_sizes(t: CommerceTables) -> DataFrame:
+    """Rows of each model's training and test part."""
+    parts = []
+    for key, spec in SPECS.items():
+        for name, part in zip(("train", "test"), hash_split(_keyed_frame(t, key)), strict=True):
+            parts.append(part.agg(F.count(F.lit(1)).alias("row_count")).select(
+                F.lit(spec.name).alias("model"), F.lit(name).alias("part"), "row_count"))
+    return _union(parts)
+
+
+def _index_labels(t: CommerceTables) -> DataFrame:
+    """The index that each model's string indexer gives to each category of its training rows."""
+    rows = []
+    for key, spec in SPECS.items():
+        train, _ = hash_split(_keyed_frame(t, key))
+        indexer = build_pipeline(spec.numeric, spec.categorical).getStages()[0].fit(train)
+        for column, labels in zip(spec.categorical, indexer.labelsArray, strict=True):
+            rows += [(spec.name, column, value, i) for i, value in enumerate(labels)]
+    return t.spark.createDataFrame(rows, "model string, column_name string, value string, idx long")
+
+
+def _scale_factors(t: CommerceTables) -> DataFrame:
+    """Standard deviation of each numeric feature of the scaled model, from its fitted scaler."""
+    spec = SPECS["lr"]
+    train, _ = hash_split(_keyed_frame(t, "lr"))
+    scaler = build_pipeline(spec.numeric, spec.categorical, None, spec.scale).fit(train).stages[-1]
+    rows = [(c, float(s)) for c, s in zip(spec.numeric, scaler.std.toArray(), strict=False)]
+    return t.spark.createDataFrame(rows, "feature string, std double").select(
+        "feature", round_half_up(F.col("std"), 6).alias("std"))
+
+
+def _rfm_scaled(t: CommerceTables) -> DataFrame:
+    """The min-max scaled frame that the clusters are fitted on."""
+    scaled, _ = MK.scaled_rfm(t.rfm_retail_ml, rows_in_task=t.rows_in_task)
+    v = vector_to_array("features")
+    return scaled.select("Customer ID", *[round_half_up(v[i], 6).alias(c) for i, c in enumerate(MK.RFM_FEATURES)])
+
+
+REGISTRY.update({"split_sizes": _table_query(_split_sizes), "index_labels": _table_query(_index_labels),
+                 "scale_factors": _table_query(_scale_factors), "rfm_scaled": _table_query(_rfm_scaled),
+                 "rejected_rows": _table_query(lambda t: _union([C.rejected(t.raw[n], r, n) for n, r in C.RULES.items()]))})
+
 REGISTRY["rfm_capped_approx"] = _table_query(lambda t: R.cap_at_quantile(
     t.rfm_retail_ml, ["recency_days", "frequency", "monetary"], 0.99, exact=False, relative_error=0.001)[0])
 REGISTRY["summary_rfm_retail"] = _table_query(lambda t: P.describe(
@@ -288,18 +333,10 @@ REGISTRY["summary_rfm_retail"] = _table_query(lambda t: P.describe(
 
 
 def _export(t: CommerceTables) -> DataFrame:
-    base = ensure_checkpoint_dir(t.spark).rstrip("/") + f"/exports-{t.spark.sparkContext.applicationId}-{os.getpid()}"
-    return export_all({k: to_edge_types(v) for k, v in named_tables(t).items()}, summaries(t), base)
+    """Rows of each export, read back from its files."""
+    base = ensure_checkpoint_dir(t.spark).rstrip("/") + f"/exports-{t.spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
+    tables = {k: to_edge_types(v) for k, v in named_tables(t).items()}
+    return export_all(tables, summaries(t.master_featured), base).select("export", "row_count")
 
 
 REGISTRY["export_manifest"] = _table_query(_export)
-
-
-def _input_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of the input folder with their sizes (content is not read)."""
-    files = list_files(spark, sf_dir)
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-                        F.col("length").alias("bytes"))
-
-
-REGISTRY["input_manifest"] = _input_manifest

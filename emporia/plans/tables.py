@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from emporia.operators import clean as C
 from emporia.operators import enrich as E
 from emporia.operators import rfm as R
-from emporia.operators.ranking import ROWS_IN_TASK
+from emporia.operators.ranking import ROWS_IN_TASK, exact_quantile
 from emporia.plans.session import ensure_checkpoint_dir
 from emporia.sources import testdata
-from emporia.sources.files import load_all
+from emporia.sources.files import load_all, load_parquet
 from emporia.sources.schemas import CATALOGUE
+from emporia.sources.sinks import balanced
 
 
 def materialized(df: DataFrame, name: str, partition_by: list[str] | None = None,
@@ -39,12 +40,13 @@ def materialized(df: DataFrame, name: str, partition_by: list[str] | None = None
     # Partition columns lead the sort, so the writer's own ordering requirement
     # is already met and the status order inside each file is kept.
     order = [*(partition_by or []), *(sort_within or [])] if sort_within else []
-    out = df.sortWithinPartitions(*order) if order else df
+    out = balanced(df, partition_by)
+    out = out.sortWithinPartitions(*order) if order else out
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    return load_parquet(spark, path)
 
 
 class CommerceTables:
@@ -95,6 +97,11 @@ class CommerceTables:
     def retail_clean(self) -> DataFrame:
         return C.clean_retail(self.raw["retail"])
 
+    def clean_tables(self) -> dict[str, DataFrame]:
+        return {"orders": self.orders_clean, "customers": self.customers_clean, "order_items": self.items_clean,
+                "payments": self.payments_clean, "reviews": self.reviews_clean, "products": self.products_clean,
+                "sellers": self.sellers_clean, "retail": self.retail_clean}
+
     # -- order grain -----------------------------------------------------------
     @cached_property
     def items_agg(self) -> DataFrame:
@@ -135,17 +142,22 @@ class CommerceTables:
     def retail_lines(self) -> DataFrame:
         return self._keep(E.retail_calendar(self.retail_clean), "retail_lines")
 
+    @cached_property
+    def high_value_threshold(self):
+        """Exact median of the line values, searched once."""
+        return exact_quantile(self.retail_lines, "TotalLineValue", 0.5, self.rows_in_task)
+
     @cached_property
     def retail_featured(self) -> DataFrame:
-        return E.add_high_value(self.retail_lines)
+        return E.add_high_value(self.retail_lines, self.high_value_threshold)
 
     @cached_property
     def rfm_retail(self) -> DataFrame:
-        return R.rfm_retail(self.retail_featured)
+        return R.rfm_retail(self.retail_lines)
 
     @cached_property
     def rfm_retail_ml(self) -> DataFrame:
-        return self._keep(R.rfm_retail(self.retail_featured, for_clustering=True), "rfm_retail_ml")
+        return self._keep(R.rfm_retail(self.retail_lines, for_clustering=True), "rfm_retail_ml")
 
 
 _MEMO: dict = {}
@@ -178,7 +190,7 @@ def ml_source(t: CommerceTables, key: str) -> DataFrame:
     if key == "dt":
         return prep.prep_orders_status_ml(t.master_featured)
     if key == "gbt":
-        return prep.prep_retail_ml(t.retail_lines)
+        return prep.prep_retail_ml(t.retail_lines, t.high_value_threshold)
     raise KeyError(key)
 
 
@@ -192,7 +204,7 @@ def fitted(t: CommerceTables, key: str):
     from emporia.models import classifiers
     fits = t.__dict__.setdefault("_fits", {})
     if key not in fits:
-        fits[key] = classifiers.train(classifiers.SPECS[key], ml_source(t, key))
+        fits[key] = classifiers.train(classifiers.SPECS[key], ml_source(t, key), keep=t._keep)
     return fits[key]
 
 
@@ -200,5 +212,5 @@ def clusters(t: CommerceTables):
     """Run the K-means sweep and final model once per tables object."""
     from emporia.models import cluster
     if "_clusters" not in t.__dict__:
-        t.__dict__["_clusters"] = cluster.run(t.spark, t.rfm_retail_ml, rows_in_task=t.rows_in_task)
+        t.__dict__["_clusters"] = cluster.run(t.spark, t.rfm_retail_ml, rows_in_task=t.rows_in_task, keep=t._keep)
     return t.__dict__["_clusters"]

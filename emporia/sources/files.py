@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from emporia.sources.schemas import CATALOGUE
+from emporia.sources.schemas import CATALOGUE, MULTI_LINE
 
 
-def load_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """CSV with a header row, quoted multi-line fields and doubled-quote escapes.
+def load_csv(spark: SparkSession, path: str, schema: StructType | None = None, multi_line: bool = False) -> DataFrame:
+    """CSV with a header row, quoted fields and doubled-quote escapes.
 
     With a declared schema nothing is inferred; without one every column is
     read as text. Malformed rows are kept with nulls in the bad fields.
+    ``multi_line`` allows line ends inside quoted fields, at the price of one
+    task per file.
     """
-    reader = (spark.read.option("header", True).option("multiLine", True)
+    reader = (spark.read.option("header", True).option("multiLine", multi_line)
               .option("escape", '"').option("mode", "PERMISSIVE"))
     if schema is not None:
         reader = reader.schema(schema)
@@ -27,7 +29,7 @@ def load_all(spark: SparkSession, base: str, names=None, paths: dict | None = No
     for name in names or CATALOGUE:
         default_file, schema = CATALOGUE[name]
         path = (paths or {}).get(name) or f"{base.rstrip('/')}/{default_file}"
-        out[name] = load_csv(spark, path, schema)
+        out[name] = load_csv(spark, path, schema, name in MULTI_LINE)
     return out
 
 

@@ -73,3 +73,6 @@ CATALOGUE = {
     "category_translation": ("product_category_name_translation.csv", CATEGORY_TRANSLATION),
     "retail": ("online_retail_II.csv", RETAIL),
 }
+
+# Tables whose quoted fields hold line ends (free-text comments); all others are read in splits.
+MULTI_LINE = {"reviews"}

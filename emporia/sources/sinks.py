@@ -5,25 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A result is written as one CSV file only if it has at most this many rows;
-# larger results keep their partitioning so no single task writes them all.
-SINGLE_FILE_MAX_ROWS = 1_000_000
+from emporia.sources.files import load_csv, load_parquet
+
+
+def balanced(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+    """Rows of a partition value brought together (large ones in several tasks), so that few files are written."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> str:
-    w = df.write.mode(mode)
+    w = balanced(df, partition_by).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return path
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite",
-              max_single_rows: int = SINGLE_FILE_MAX_ROWS) -> str:
-    """CSV with a header. ``single_file`` coalesces to one part only after a size check."""
-    out = df
-    if single_file and df.limit(max_single_rows + 1).count() <= max_single_rows:
-        out = df.coalesce(1)
+def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> str:
+    """CSV with a header; ``single_file`` (for grouped summaries) writes one part, otherwise the partitioning stays."""
+    out = df.coalesce(1) if single_file else df
     out.write.mode(mode).option("header", True).csv(path)
     return path
 
@@ -32,7 +32,7 @@ def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "o
                partition_by: list[str] | None = None) -> str:
     """Managed table in the catalog, or Parquet at ``path`` when there is no metastore."""
     if path is None:
-        w = df.write.mode(mode)
+        w = balanced(df, partition_by).write.mode(mode)
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.saveAsTable(name)
@@ -52,21 +52,25 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 def export_all(tables: dict[str, DataFrame], summaries: dict[str, DataFrame], base: str,
                parquet_tables: tuple[str, ...] = ("master_featured",)) -> DataFrame:
-    """Write the export set and return its manifest (relative path, bytes).
+    """Write the export set and return its manifest: rows, files and bytes per export, read back from the files.
 
     Named tables go out as Parquet (those in ``parquet_tables``) and as
-    partitioned CSV; the small summaries as single CSV files.
+    partitioned CSV; the grouped summaries as single CSV files.
     """
     base = base.rstrip("/")
     spark = next(iter(tables.values())).sparkSession
+    rows = []
     for name, df in tables.items():
         if name in parquet_tables:
             write_parquet(df, f"{base}/{name}.parquet")
-        write_csv(df, f"{base}/{name}_csv")
+            rows.append((f"{name}.parquet", load_parquet(spark, f"{base}/{name}.parquet").count()))
+        rows.append((f"{name}_csv", load_csv(spark, write_csv(df, f"{base}/{name}_csv")).count()))
     for name, df in summaries.items():
-        write_csv(df, f"{base}/summary_{name}", single_file=True)
-    listing = list_files(spark, base)
+        path = write_csv(df, f"{base}/summary_{name}", single_file=True)
+        rows.append((f"summary_{name}", load_csv(spark, path).count()))
+    counts = spark.createDataFrame(rows, "export string, row_count long")
     rel = F.regexp_extract("path", r"^.*?/(" + base.split("/")[-1] + r"/.*)$", 1)
     folder = F.regexp_extract(rel, r"^[^/]+/([^/]+)/", 1)
-    return (listing.filter(~F.col("path").rlike(r"/(_SUCCESS|\.[^/]*\.crc)$"))
-            .groupBy(folder.alias("export")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")))
+    files = (list_files(spark, base).filter(~F.col("path").rlike(r"/(_SUCCESS|\.[^/]*\.crc)$"))
+             .groupBy(folder.alias("export")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")))
+    return counts.join(files, "export", "left")

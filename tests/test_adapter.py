@@ -16,7 +16,7 @@ def test_orders_have_unknown_status_and_missing_dates(raw):
     o = raw["orders"]
     assert o.filter(F.col("order_status") == "lost").count() > 0
     assert o.filter(F.col("order_approved_at").isNull()).count() > 0
-    assert o.filter((F.col("order_status") != "delivered") & F.col("order_delivered_customer_date").isNotNull()).count() == 0
+    assert o.filter(~F.col("order_status").isin("delivered", "created") & F.col("order_delivered_customer_date").isNotNull()).count() == 0
 
 
 def test_items_have_duplicate_lines_and_null_freight(raw):
@@ -48,3 +48,19 @@ def test_payments_products_customers_retail_cases(raw):
     assert rt.filter(F.col("Customer ID").isNull()).count() > 0
     assert rt.filter(F.col("Description").isNull()).count() > 0
     assert rt.count() > rt.distinct().count()
+
+
+def test_text_timestamps_and_malformed_dates(raw):
+    for table, column in (("orders", "order_purchase_timestamp"), ("orders", "order_approved_at"), ("reviews", "review_creation_date"),
+                          ("order_items", "shipping_limit_date"), ("retail", "InvoiceDate")):
+        df = raw[table]
+        assert dict(df.dtypes)[column] == "string"
+        assert df.filter(F.col(column) == testdata.BAD_DATE).count() > 0, (table, column)
+
+
+@pytest.mark.parametrize("table, key", [("orders", "order_id"), ("customers", "customer_id"), ("reviews", "review_id"),
+                                        ("products", "product_id"), ("sellers", "seller_id"),
+                                        ("category_translation", "product_category_name")])
+def test_keys_are_repeated_with_other_values(raw, table, key):
+    df = raw[table].distinct()
+    assert df.groupBy(key).count().filter(F.col("count") > 1).count() > 0

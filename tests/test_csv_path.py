@@ -53,5 +53,6 @@ def test_csv_schemas_are_declared(both):
 def test_reports_match(both, name):
     csv_t, typed = both
     src, fn = Q.QUESTIONS[name]
-    pick = {"mf": lambda t: t.master_featured, "rfm": lambda t: t.rfm_olist, "rf": lambda t: t.retail_featured}[src]
+    pick = {"mf": lambda t: t.master_featured, "rfm": lambda t: t.rfm_olist, "rf": lambda t: t.retail_featured,
+            "lines": lambda t: t.retail_lines, "rfm_base": lambda t: t.rfm_base}[src]
     assert rows(fn(pick(csv_t))) == rows(fn(pick(typed)))

@@ -17,8 +17,9 @@ def t(spark):
 
 def test_hash_split_is_stable_under_repartition(spark):
     df = spark.range(2000).select((F.col("id") % 97).alias("a"), (F.col("id") * 3).alias("b"))
-    tr, te = hash_split(df)
-    tr4, _ = hash_split(df.repartition(7))
+    tr, te = hash_split(df, "b")
+    tr4, _ = hash_split(df.repartition(7), "b")
+    assert 0.75 < tr.count() / 2000 < 0.85
     assert tr.count() + te.count() == 2000
     assert sorted(map(tuple, tr.collect())) == sorted(map(tuple, tr4.collect()))
 
@@ -80,9 +81,49 @@ def test_training_uses_every_model_row(t, key):
     from emporia.models.prep import model_frame
     from emporia.plans.tables import ml_source
 
-    assert all(s.max_rows is None for s in SPECS.values())
+    assert all(s.train_share == 1 for s in SPECS.values())
     spec = SPECS[key]
     f = fitted(t, key)
     whole = model_frame(ml_source(t, key), spec.numeric, spec.categorical, spec.label).count()
     assert f.train.count() + f.test.count() == whole
     assert f.predictions.count() == f.test.count()
+
+
+def test_samples_follow_the_key_only(spark):
+    from emporia.models.stages import sample_by_key
+
+    df = spark.range(4000).select((F.col("id") % 1000).alias("_key"), F.rand(1).alias("x"))
+    some = sample_by_key(df, 0.25)
+    keys = {r[0] for r in some.select("_key").distinct().collect()}
+    assert 0.2 < len(keys) / 1000 < 0.3
+    assert some.count() == 4 * len(keys)
+    assert {r[0] for r in sample_by_key(df.repartition(9), 0.25).select("_key").distinct().collect()} == keys
+
+
+def test_training_on_a_share_of_the_keys(t):
+    from dataclasses import replace
+
+    from emporia.models.classifiers import SPECS, train
+    from emporia.plans.tables import ml_source
+
+    half = train(replace(SPECS["dt"], train_share=0.5), ml_source(t, "dt"))
+    whole = fitted(t, "dt")
+    assert half.predictions.count() == whole.predictions.count()          # all test rows are scored
+    assert half.train.count() == whole.train.count()
+
+
+def test_metrics_equal_the_evaluators(spark, t):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    f = fitted(t, "dt")
+    row = MV.binary_metrics(spark, f.predictions, f.spec.label, f.spec.name).first()
+    m = MulticlassClassificationEvaluator(labelCol=f.spec.label, predictionCol="prediction")
+    for ours, theirs in (("accuracy", "accuracy"), ("precision", "weightedPrecision"), ("recall", "weightedRecall"), ("f1", "f1")):
+        assert abs(row[ours] - m.setMetricName(theirs).evaluate(f.predictions)) < 1e-9
+
+
+def test_nothing_stays_cached(spark, t):
+    fitted(t, "dt")
+    registry.queries()["dt_metrics"](spark, SF_SMALL).collect()
+    registry.queries()["kmeans_profile"](spark, SF_SMALL).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()

@@ -32,6 +32,16 @@ def test_row_level_tables_stay_partitioned(spark, name):
     assert "SinglePartition" not in _plan(spark, name)
 
 
+def test_order_lines_are_shuffled_once(spark):
+    """Both the de-duplication by order line and the totals by order use one exchange by order."""
+    plan = _plan(spark, "items_agg")
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_retail_input_is_planned_once(spark):
+    assert _plan(spark, "retail_clean").count("Scan parquet") <= 5
+
+
 def test_reports_read_pruned_columns_with_pushed_filters(spark):
     plan = E.queries()["q02_monthly_revenue"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(order_status), EqualTo(order_status,delivered)]" in plan

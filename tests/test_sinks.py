@@ -1,15 +1,53 @@
-from emporia.sources.files import load_csv
-from emporia.sources.sinks import list_files, write_csv, write_parquet
+from emporia.sources.files import load_csv, load_parquet, table
+from emporia.sources.sinks import list_files, save_table, write_csv, write_parquet
 
 
-def test_single_file_csv_only_under_the_row_bound(spark, tmp_path):
+def test_single_file_csv_is_the_callers_choice(spark, tmp_path):
     df = spark.range(100).repartition(4)
-    small = write_csv(df, str(tmp_path / "small"), single_file=True, max_single_rows=1000)
-    big = write_csv(df, str(tmp_path / "big"), single_file=True, max_single_rows=10)
+    one = write_csv(df, str(tmp_path / "one"), single_file=True)
+    many = write_csv(df, str(tmp_path / "many"))
     parts = lambda p: [f for f in (tmp_path / p).iterdir() if f.name.startswith("part-")]
-    assert len(parts("small")) == 1 and len(parts("big")) == 4
-    back = load_csv(spark, small)
-    assert back.count() == 100
+    assert len(parts("one")) == 1 and len(parts("many")) == 4
+    assert load_csv(spark, one).count() == load_csv(spark, many).count() == 100
+
+
+def test_save_table_by_path_and_in_the_catalog(spark, tmp_path):
+    df = spark.range(60).selectExpr("id", "id % 3 AS g").repartition(5)
+    path = save_table(df, "t", str(tmp_path / "t"), partition_by=["g"])
+    assert load_parquet(spark, path).count() == 60
+    try:
+        name = save_table(df, "emporia_saved_test", partition_by=["g"])
+        assert table(spark, name).filter("g = 2").count() == 20
+    finally:
+        spark.sql("DROP TABLE IF EXISTS emporia_saved_test")
+
+
+def test_partitioned_writes_are_balanced_first(spark, tmp_path):
+    df = spark.range(2000).selectExpr("id", "id % 3 AS g").repartition(8)
+    write_parquet(df, str(tmp_path / "t"), partition_by=["g"])
+    assert all(len(list(d.glob("part-*"))) == 1 for d in (tmp_path / "t").glob("g=*"))
+
+
+def test_large_csv_is_read_in_splits(spark, tmp_path):
+    """Only the table with free-text comments is read as one task per file."""
+    from emporia.sources.files import load_all
+    from emporia.sources.schemas import MULTI_LINE
+
+    assert MULTI_LINE == {"reviews"}
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    lines = "\n".join(f"o{i},c{i},delivered,2017-01-01 00:00:00,,,," for i in range(20000))
+    header = ("order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,order_delivered_carrier_date,"
+              "order_delivered_customer_date,order_estimated_delivery_date")
+    (folder / "olist_orders_dataset.csv").write_text(f"{header}\n{lines}\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100000b")
+        orders = load_all(spark, str(folder), names=["orders"])["orders"]
+        assert orders.rdd.getNumPartitions() > 3
+        assert orders.count() == 20000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_partitioned_parquet_and_listing(spark, tmp_path):
