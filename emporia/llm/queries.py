@@ -79,5 +79,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
+def _url_filter_sql() -> str:
+    """The URL filter as DuckDB SQL over ``pages``; rules in falling length, so the first that fits is the longest."""
+    rules = sorted(URL_RULES, key=lambda r: -len(r.text))
+    fits = {r.text: f"((host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}'))" for r in rules}
+    text = " ".join(f"WHEN {fits[r.text]} THEN '{r.text}'" for r in rules)
+    verdict = " ".join(f"WHEN {fits[r.text]} THEN '{r.verdict}'" for r in rules)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH parts AS (
+  SELECT page_id, html,
+         translate(COALESCE(regexp_extract(url, '://([^/?#]*)', 1), ''), '{upper}', '{lower}') AS host,
+         COALESCE(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+blocked AS (
+  SELECT DISTINCT host || path AS key FROM parts WHERE regexp_matches(html, '{REPORTED_WORDS}') AND host || path <> '')
+SELECT page_id, host, path, CASE {text} END AS rule,
+       CASE {verdict} WHEN key IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict, key IS NOT NULL AS listed
+FROM parts LEFT JOIN blocked ON host || path = key"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL twins; the other operators are beyond SQL, or too slow in it over whole tables, and have plain twins in the tests."""
+    return {"op7_url_filter": _url_filter_sql()}
