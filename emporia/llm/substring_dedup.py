@@ -23,7 +23,9 @@ empty table gives an empty table. Texts of any length are handled whole.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -32,11 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.llm import words
+from emporia.plans.session import ensure_checkpoint_dir
 
 K = 13
 M = 3
 BUCKET_BYTES = 4 << 20
 CHUNK_BYTES = 4 << 20
+BROADCAST_IDS = 1 << 20     # ids of documents that lose words, 8 bytes each
 _PACKED = "bucket long, raw_bytes long, packed binary, doc_id long, first int, n int"
 _SPANS = "doc_id long, first int, n int"
 
@@ -67,15 +71,12 @@ def super_kmers(w: words.Words, k: int, m: int) -> tuple[np.ndarray, np.ndarray,
 
 def canonical(w: words.Words) -> tuple[bytes, np.ndarray]:
     """All words with one space behind each, and where each begins (one entry more at the end)."""
-    lens = w.ends - w.starts
-    begin = np.concatenate(([0], np.cumsum(lens + 1)))
-    out = np.full(int(begin[-1]), 0x20, dtype=np.uint8)
-    out[np.arange(int(lens.sum())) + np.repeat(np.arange(len(lens)), lens)] = w.data[w.inside]
-    return out.tobytes(), begin
+    texts = [b" ".join(t) for i in range(len(w.first) - 1) if (t := w.text(i).split())]
+    return b" ".join([*texts, b""]), np.concatenate(([0], np.cumsum(w.ends - w.starts + 1)))
 
 
 def _pack(batches: Iterator[pa.RecordBatch], buckets: int, k: int, m: int, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
-    codec, turn = _codec(), 0
+    codec = _codec()
     for b in batches:
         ids = b.column("doc_id").to_numpy(zero_copy_only=False)
         for lo, hi, w in words.chunks(b.column("text"), chunk_bytes):
@@ -100,9 +101,10 @@ def _pack(batches: Iterator[pa.RecordBatch], buckets: int, k: int, m: int, chunk
                 else:
                     later.append(i)
             if later:
-                turn += 1
                 rows = np.array(later)
-                yield _rows(len(rows), bucket=np.full(len(rows), -turn), doc_id=doc[rows], first=place[rows], n=count[rows])
+                # Names below 0 spread them by document.
+                away = -1 - (words.mix(doc[rows].astype(np.uint64)) >> np.uint64(2)).astype(np.int64)
+                yield _rows(len(rows), bucket=away, doc_id=doc[rows], first=place[rows], n=count[rows])
             strings, entries = list(seen), list(seen.values())
             kept = np.array([e[0] for e in entries])
             bucket = (words.mix(least[kept]) % np.uint64(buckets)).astype(np.int64)
@@ -253,8 +255,21 @@ def _finish(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
 
 def dedup(docs: DataFrame, k: int = K, m: int = M, **sizes: int) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text (the kept words joined by one space) for every row."""
-    spans = (repeated_spans(docs, k, m, **sizes).groupBy("doc_id")
-             .agg(F.collect_list("first").alias("firsts"), F.collect_list("n").alias("counts")))
+    spark = docs.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/substring-dedup-{uuid.uuid4().hex}"
+    (repeated_spans(docs, k, m, **sizes).groupBy("doc_id")
+     .agg(F.collect_list("first").alias("firsts"), F.collect_list("n").alias("counts")).write.parquet(path))
+    spans = spark.read.parquet(path)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return (rows.join(spans, "doc_id", "left").select("doc_id", "text", "firsts", "counts")
-            .mapInArrow(lambda it: _finish(it, k), "doc_id long, n_words long, n_removed long, kept_text string"))
+    ids = spans.select("doc_id")
+    none = F.lit(None).cast("array<int>")
+    if spans.count() <= BROADCAST_IDS:
+        # Only texts that lose words are shuffled.
+        some = rows.join(F.broadcast(ids), "doc_id", "left_semi").join(spans, "doc_id")
+        others = rows.join(F.broadcast(ids), "doc_id", "left_anti").select("*", none.alias("firsts"), none.alias("counts"))
+        parts = [some, others]
+    else:
+        parts = [rows.join(spans, "doc_id", "left")]
+    finished = [p.select("doc_id", "text", "firsts", "counts").mapInArrow(
+        lambda it: _finish(it, k), "doc_id long, n_words long, n_removed long, kept_text string") for p in parts]
+    return reduce(DataFrame.unionByName, finished)

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -77,14 +78,20 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
-        if not len(self.starts):
-            return np.empty(0, dtype=np.uint64)
-        lens = self.ends - self.starts
-        begin = np.concatenate(([0], np.cumsum(lens)[:-1]))
-        at = np.arange(int(lens.sum())) - np.repeat(begin, lens)
-        values = (self.data[self.inside].astype(np.uint64) + np.uint64(1)) * powers(int(lens.max()))[at]
-        return mix(np.add.reduceat(values, begin) + lens.astype(np.uint64))
+        """A 64-bit hash of each word's bytes; computed in blocks of words, so temporaries stay small."""
+        out = np.empty(len(self.starts), dtype=np.uint64)
+        size = np.concatenate(([0], np.cumsum(self.ends - self.starts)))
+        lo = 0
+        while lo < len(out):
+            hi = max(lo + 1, int(np.searchsorted(size, size[lo] + BLOCK_BYTES, "right")) - 1)
+            lens = self.ends[lo:hi] - self.starts[lo:hi]
+            begin = size[lo:hi] - size[lo]
+            at = np.arange(int(size[hi] - size[lo])) - np.repeat(begin, lens)
+            span = slice(self.starts[lo], self.ends[hi - 1])
+            values = (self.data[span][self.inside[span]].astype(np.uint64) + np.uint64(1)) * powers(int(lens.max()))[at]
+            out[lo:hi] = mix(np.add.reduceat(values, begin) + lens.astype(np.uint64))
+            lo = hi
+        return out
 
     def windows(self, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Start words of all ``k``-word windows inside one text, and their hashes."""
