@@ -277,12 +277,12 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
 
 
 def _fine_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text's set as packed counts in at least as many bins as it has n-grams (a power of two)."""
+    """Each text's set as packed counts: a power of two of bins, 256 at least, with two to four n-grams in each of more."""
     for b in batches:
         out = []
         for grams in b.column("grams"):
             g = grams.values.to_numpy().view(np.uint64)
-            bits = min(20, max(8, int(len(g) - 1).bit_length()))
+            bits = max(8, int(len(g) - 1).bit_length() - 2)
             counts = np.bincount((g >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
             out.append(_packed(np.minimum(counts, _FULL).astype(np.uint8)[None, :])[0].tobytes())
         yield b.select(["node", "n"]).append_column("counts", pa.array(out, pa.binary()))
