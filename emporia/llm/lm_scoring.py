@@ -6,17 +6,18 @@ token under the target model minus that under the background model: the lower,
 the more it resembles the target.
 
 Tokens are the words, A-Z in lower case and punctuation included, with a mark
-before the first and behind the last. The vocabulary
-holds the words whose share of all tokens is at least ``1 / vocab_share``, so
-its size has a bound; all others are one unknown word. With counts c and
+before the first and behind the last. The vocabulary holds every word, known
+by its 64-bit hash; only a finite ``vocab_share`` makes those whose share of
+all tokens is below ``1 / vocab_share`` one unknown word. With counts c and
 unigram estimates p1 (add-one over the vocabulary),
 p(w | v) = (c(v, w) + mu p1(w)) / (c(v) + mu).
 
-All counts cover all documents and are summed before they are shuffled. For
-scoring, bigrams whose share is at least ``1 / hot_share`` (again a bounded
-number) are broadcast and looked up where the document is read; the rest, no
-key of which is frequent, are joined by a shuffle. Losses are kept in whole
-micronats, so sums do not depend on the order of rows.
+All counts cover all documents, are summed before they are shuffled and are
+kept whole as Parquet. Words and bigrams whose share of all pairs is at least
+``1 / hot_share`` (a bounded number) are broadcast and looked up where they are
+read; the rest, no key of which is frequent, are joined by a shuffle: the
+counts of rare words to the bigrams, the rare bigrams to the documents. Losses
+are kept in whole micronats, so sums do not depend on the order of rows.
 
 Defined results: a null text or one without a token has no score (null); rows
 that repeat an id are scored together as one document, rows without an id
@@ -27,6 +28,7 @@ an empty table gives an empty table. Texts of any length are scored whole.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,14 +44,15 @@ from emporia.plans.session import ensure_checkpoint_dir
 
 _TABLE = words.LOWER
 
-TOKENS, DOCUMENTS = 0, 1      # reserved hashes of the totals' rows
-UNKNOWN = 0                   # ids: 0 unknown, then the vocabulary, then the end mark (as a context: the beginning)
+# Reserved hashes: in the table of words the rows of the totals; in bigrams the unknown word and the mark.
+TOKENS, DOCUMENTS = 0, 1
+UNKNOWN, MARK = TOKENS, DOCUMENTS
 MICRO = 1_000_000
 
 
 @dataclass(frozen=True)
 class ModelSpec:
-    vocab_share: int = 1 << 17
+    vocab_share: float = math.inf
     hot_share: int = 1 << 19
     mu: float = 10.0
     alpha: float = 1.0
@@ -57,31 +60,38 @@ class ModelSpec:
 
 @dataclass
 class Vocabulary:
-    """Sorted word hashes, and (2, size) unigram counts by id: background, target."""
+    """Sorted hashes of the frequent words (unknown word and mark included), and their (2, n) counts: background, target.
+
+    ``size`` is the number of all words, ``total`` that of all tokens; if ``closed``, other words are the unknown one.
+    """
 
     hashes: np.ndarray
     counts: np.ndarray
-
-    @property
-    def mark(self) -> int:
-        return len(self.hashes) + 1
-
-    def ids(self, h: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.hashes, h), max(len(self.hashes) - 1, 0))
-        known = self.hashes[at] == h if len(self.hashes) else np.zeros(len(h), dtype=bool)
-        return np.where(known, at + 1, UNKNOWN)
-
-    def losses(self, keys: np.ndarray, counts: np.ndarray, spec: ModelSpec) -> np.ndarray:
-        """(2, n) micronats of the bigrams ``keys`` with (2, n) ``counts`` under both models."""
-        v, w = keys // (self.mark + 1), keys % (self.mark + 1)
-        total = self.counts.sum(axis=1, keepdims=True)
-        p1 = (self.counts[:, w] + spec.alpha) / (total + spec.alpha * (self.mark + 1))
-        p = (counts + spec.mu * p1) / (self.counts[:, v] + spec.mu)
+    size: int
+    total: np.ndarray
+    closed: bool
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the words ``h``, and which of them are frequent."""
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        return at, self.hashes[at] == h
+
+    def losses(self, counts: np.ndarray, left: np.ndarray, right: np.ndarray, spec: ModelSpec) -> np.ndarray:
+        """(2, n) micronats under both models, by (2, n) counts of the bigrams, their first and their second words."""
+        p1 = (right + spec.alpha) / (self.total + spec.alpha * self.size)
+        p = (counts + spec.mu * p1) / (left + spec.mu)
         return np.rint(-np.log(p) * MICRO).astype(np.int64)
 
-    def bigrams(self, w: words.Words) -> tuple[np.ndarray, np.ndarray]:
-        """(text, key) of each bigram of the texts, marks included; texts without a word have none."""
-        ids, some = self.ids(w.hashes()), w.counts > 0
+    def bigrams(self, w: words.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(text, place) of each bigram of the texts, marks included, and the distinct ones' words at the places.
+
+        Texts without a word have none.
+        """
+        h, some = w.hashes(), w.counts > 0
+        if self.closed:
+            h = np.where(self.find(h)[1], h, np.uint64(UNKNOWN))
+        known, ids = np.unique(np.append(h, np.uint64(MARK)), return_inverse=True)
+        mark = ids[-1]
         n = np.where(some, w.counts + 1, 0)
         owner = np.repeat(np.arange(len(n)), n)
         begin = np.concatenate(([0], np.cumsum(n)))
@@ -90,10 +100,15 @@ class Vocabulary:
         is_first[begin[:-1][some]] = True
         is_last = np.zeros(begin[-1], dtype=bool)
         is_last[begin[1:][some] - 1] = True
-        padded = np.append(ids, 0)
-        left = np.where(is_first, self.mark, padded[at - 1])
-        right = np.where(is_last, self.mark, padded[at])
-        return owner, left * (self.mark + 1) + right
+        left = np.where(is_first, mark, ids[at - 1])
+        right = np.where(is_last, mark, ids[at])
+        key, place = np.unique(left * len(known) + right, return_inverse=True)
+        return owner, place, known[key // len(known)], known[key % len(known)]
+
+
+def _pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """A hash of two words."""
+    return words.mix(words.mix(v) + w)
 
 
 def _sums(keys: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -120,45 +135,77 @@ def _count_bigrams(batches: Iterator[pa.RecordBatch], vocab: Vocabulary) -> Iter
     for b in batches:
         flags = b.column("target").to_numpy(zero_copy_only=False).astype(bool)
         for lo, hi, w in words.chunks(b.column("text"), table=_TABLE):
-            owner, keys = vocab.bigrams(w)
-            key, n, t = _sums(keys, flags[lo:hi][owner])
-            yield _batch(key=key, n=n, t=t)
+            owner, place, left, right = vocab.bigrams(w)
+            yield _batch(v=left.view(np.int64), w=right.view(np.int64), n=np.bincount(place, minlength=len(left)),
+                         t=np.bincount(place, weights=flags[lo:hi][owner], minlength=len(left)).astype(np.int64))
+
+
+def _with_counts(batches: Iterator[pa.RecordBatch], vocab: Vocabulary) -> Iterator[pa.RecordBatch]:
+    """The bigrams with their words' counts; those of rare words are null. ``jv`` and ``jw`` are the rare words, else spread."""
+    for b in batches:
+        both = [b.column(c).to_numpy().view(np.uint64) for c in ("v", "w")]
+        spread = _pair(*both)
+        out = {c: b.column(c) for c in ("v", "w", "n", "t")}
+        for c, h in zip("vw", both, strict=True):
+            at, known = vocab.find(h)
+            out[f"j{c}"] = pa.array(np.where(known, spread, h).view(np.int64))
+            for m, kind in enumerate("nt"):
+                out[f"{c}{kind}"] = pa.array(vocab.counts[m][at], pa.int64(), mask=~known)
+        yield pa.RecordBatch.from_pydict(out)
+
+
+_COUNTED = "v long, w long, n long, t long, jv long, vn long, vt long, jw long, wn long, wt long"
 
 
 def _with_losses(batches: Iterator[pa.RecordBatch], vocab: Vocabulary, spec: ModelSpec) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        key = b.column("key").to_numpy()
-        loss = vocab.losses(key, np.stack([b.column("n").to_numpy(), b.column("t").to_numpy()]), spec)
-        yield _batch(key=key, loss_b=loss[0], loss_t=loss[1])
+        counts = [np.stack([b.column(c).to_numpy() for c in pair]) for pair in (("n", "t"), ("vn", "vt"), ("wn", "wt"))]
+        loss = vocab.losses(*counts, spec)
+        yield _batch(v=b.column("v"), w=b.column("w"), loss_b=loss[0], loss_t=loss[1])
+
+
+_SCORED = "doc_id long, v long, w long, n long, loss_b long, loss_t long"
 
 
-_SCORED = "doc_id long, key long, n long, loss_b long, loss_t long"
+@dataclass
+class Hot:
+    """The frequent bigrams in the order of their hashes, and their (2, n) losses."""
+
+    keys: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    losses: np.ndarray
 
+    def find(self, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.keys):
+            return np.zeros(len(v), dtype=np.int64), np.zeros(len(v), dtype=bool)
+        at = np.minimum(np.searchsorted(self.keys, _pair(v, w)), len(self.keys) - 1)
+        return at, (self.left[at] == v) & (self.right[at] == w)
 
-def _score(batches: Iterator[pa.RecordBatch], vocab: Vocabulary, hot: tuple[np.ndarray, ...], turn: int) -> Iterator[pa.RecordBatch]:
-    """Per text a row with the losses of its hot bigrams (its key is below 0 and joins nothing); a row per other bigram."""
-    hot_keys, hot_losses = hot
+
+def _score(batches: Iterator[pa.RecordBatch], vocab: Vocabulary, hot: Hot, turn: int) -> Iterator[pa.RecordBatch]:
+    """Per text a row with the losses of its hot bigrams (its words are spread and join nothing); a row per other bigram."""
+    names = [c.split()[0] for c in _SCORED.split(", ")]
     for b in batches:
         for lo, hi, w in words.chunks(b.column("text"), table=_TABLE):
             ids = b.column("doc_id").slice(lo, hi - lo)
-            owner, keys = vocab.bigrams(w)
-            some, at = np.unique(keys, return_inverse=True)
-            place = np.minimum(np.searchsorted(hot_keys, some), max(len(hot_keys) - 1, 0))
-            is_hot = hot_keys[place] == some if len(hot_keys) else np.zeros(len(some), dtype=bool)
+            owner, at, left, right = vocab.bigrams(w)
+            place, is_hot = hot.find(left, right)
             known = is_hot[at]
             sums = np.zeros((2, hi - lo), dtype=np.int64)
             for m in range(2):
-                np.add.at(sums[m], owner[known], hot_losses[m][place[at[known]]])
+                np.add.at(sums[m], owner[known], hot.losses[m][place[at[known]]])
             turn += 1
+            spread = words.mix(np.arange(hi - lo, dtype=np.uint64) + np.uint64(turn << 32)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(-1 - words.mix(np.arange(hi - lo, dtype=np.uint64) + np.uint64(turn << 32)).astype(np.int64) % (1 << 62)),
-                 pa.array(np.bincount(owner, minlength=hi - lo)), pa.array(sums[0]), pa.array(sums[1])],
-                ["doc_id", "key", "n", "loss_b", "loss_t"])
-            pair, n = np.unique(np.stack([owner[~known], keys[~known]]), axis=1, return_counts=True) if (~known).any() else (
-                np.empty((2, 0), dtype=np.int64), np.empty(0, dtype=np.int64))
+                [ids, pa.array(spread), pa.array(~spread), pa.array(np.bincount(owner, minlength=hi - lo)), pa.array(sums[0]),
+                 pa.array(sums[1])], names)
+            pair, n = np.unique(owner[~known] * max(len(left), 1) + at[~known], return_counts=True)
+            text, rare = np.divmod(pair, max(len(left), 1))
             none = pa.nulls(len(n), pa.int64())
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(pair[0])), pa.array(pair[1]), pa.array(n), none, none],
-                                             ["doc_id", "key", "n", "loss_b", "loss_t"])
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(pa.array(text)), pa.array(left[rare].view(np.int64)), pa.array(right[rare].view(np.int64)), pa.array(n),
+                 none, none], names)
 
 
 def score(docs: DataFrame, target_ids: DataFrame, spec: ModelSpec = ModelSpec()) -> DataFrame:
@@ -181,30 +228,47 @@ def score(docs: DataFrame, target_ids: DataFrame, spec: ModelSpec = ModelSpec())
     unigrams = saved(marked.mapInArrow(_count_words, "h long, n long, t long").groupBy("h").agg(*sums), "words")
     totals = {r.h: (r.n, r.t) for r in unigrams.filter(F.col("h").isin(TOKENS, DOCUMENTS)).collect()}
     tokens, texts = totals.get(TOKENS, (0, 0)), totals.get(DOCUMENTS, (0, 0))
-    frequent = unigrams.filter(~F.col("h").isin(TOKENS, DOCUMENTS) & (F.col("n") * spec.vocab_share >= tokens[0]))
-    found = frequent.toPandas()                       # at most vocab_share rows
-    hashes = found["h"].to_numpy(dtype=np.int64).view(np.uint64)
+    pairs = tokens[0] + texts[0]
+    closed = math.isfinite(spec.vocab_share)
+    inner = unigrams.filter(~F.col("h").isin(TOKENS, DOCUMENTS))
+    is_frequent = F.col("n") * spec.vocab_share >= tokens[0] if closed else F.col("n") * spec.hot_share >= pairs
+    found = inner.filter(is_frequent).toPandas()      # at most vocab_share or hot_share rows
+    counts = found[["n", "t"]].to_numpy(dtype=np.int64).T
+    unknown = np.array([tokens]).T - counts.sum(axis=1, keepdims=True)    # occurs in bigrams of a closed vocabulary only
+    hashes = np.concatenate([np.array([UNKNOWN, MARK], dtype=np.uint64), found["h"].to_numpy(dtype=np.int64).view(np.uint64)])
     order = np.argsort(hashes)
-    inner = found[["n", "t"]].to_numpy(dtype=np.int64).T[:, order]
-    counts = np.concatenate([np.array([tokens]).T - inner.sum(axis=1, keepdims=True), inner, np.array([texts]).T], axis=1)
-    vocab = spark.sparkContext.broadcast(Vocabulary(hashes[order], counts))
+    counts = np.concatenate([unknown, np.array([texts]).T, counts], axis=1)[:, order]
+    size = (len(found) if closed else inner.count()) + 2
+    vocab = spark.sparkContext.broadcast(
+        Vocabulary(hashes[order], counts, size, np.array([tokens]).T + np.array([texts]).T, closed))
 
-    bigrams = (marked.mapInArrow(lambda it: _count_bigrams(it, vocab.value), "key long, n long, t long")
-               .groupBy("key").agg(*sums))
+    bigrams = (marked.mapInArrow(lambda it: _count_bigrams(it, vocab.value), "v long, w long, n long, t long")
+               .groupBy("v", "w").agg(*sums))
     bigrams = saved(bigrams, "bigrams")
-    pairs = tokens[0] + texts[0]
     is_hot = F.col("n") * spec.hot_share >= pairs
+    counted = lambda frame: frame.mapInArrow(lambda it: _with_counts(it, vocab.value), _COUNTED)
     losses = lambda frame: frame.mapInArrow(lambda it: _with_losses(it, vocab.value, spec),
-                                            "key long, loss_b long, loss_t long")
-    top = losses(bigrams.filter(is_hot)).toPandas().sort_values("key")      # at most hot_share rows
-    hot = spark.sparkContext.broadcast((top["key"].to_numpy(dtype=np.int64),
-                                        top[["loss_b", "loss_t"]].to_numpy(dtype=np.int64).T.copy()))
-    rare = losses(bigrams.filter(~is_hot)).toDF("_key", "_loss_b", "_loss_t")
+                                            "v long, w long, loss_b long, loss_t long")
+    # At most hot_share rows; a word is no rarer than its bigrams, so theirs are all frequent.
+    top = losses(counted(bigrams.filter(is_hot))).toPandas()
+    left, right = (top[c].to_numpy(dtype=np.int64).view(np.uint64) for c in "vw")
+    keys = _pair(left, right)
+    order = np.argsort(keys)
+    hot = spark.sparkContext.broadcast(
+        Hot(keys[order], left[order], right[order], top[["loss_b", "loss_t"]].to_numpy(dtype=np.int64).T[:, order].copy()))
+    rare = counted(bigrams.filter(~is_hot))
+    if not closed:
+        others = inner.filter(~is_frequent)
+        for c in "vw":
+            rare = rare.join(others.toDF("_h", "_n", "_t"), F.col(f"j{c}") == F.col("_h"), "left").withColumns(
+                {f"{c}n": F.coalesce(f"{c}n", "_n"), f"{c}t": F.coalesce(f"{c}t", "_t")}).drop("_h", "_n", "_t")
+    rare = losses(rare).toDF("_v", "_w", "_loss_b", "_loss_t")
     scored = rows.mapInArrow(lambda it: _score(it, vocab.value, hot.value, 0), _SCORED)
-    summed = scored.join(rare, F.col("key") == F.col("_key"), "left").groupBy("doc_id").agg(
-        F.sum(F.when(F.col("key") < 0, F.col("n"))).alias("_n"),
+    is_text = F.col("loss_b").isNotNull()
+    summed = scored.join(rare, (F.col("v") == F.col("_v")) & (F.col("w") == F.col("_w")), "left").groupBy("doc_id").agg(
+        F.sum(F.when(is_text, F.col("n"))).alias("_n"),
         *[F.sum(F.coalesce(F.col(c), F.col("n") * F.col(f"_{c}"))).alias(c) for c in ("loss_b", "loss_t")],
-        F.sum(F.when((F.col("key") < 0) & (F.col("n") > 0), 1).otherwise(0)).alias("_texts"))
+        F.sum(F.when(is_text & (F.col("n") > 0), 1).otherwise(0)).alias("_texts"))
     mean = lambda c: F.when(F.col("_n") > 0, F.col(c) / F.col("_n") / float(MICRO))
     return summed.select("doc_id", (F.col("_n") - F.col("_texts")).alias("n_tokens"), mean("loss_t").alias("loss_target"),
                          mean("loss_b").alias("loss_background"),

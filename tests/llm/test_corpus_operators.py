@@ -218,6 +218,16 @@ def test_scores_equal_the_plain_models(spark, real):
     check_scores(spark, rows, list(range(0, 100, 3)) + [99999, 3], lm_scoring.ModelSpec(vocab_share=3000, hot_share=2000))
 
 
+def test_scores_know_rare_words(spark, real):
+    """No word is cut, however large the corpus: two rare words with different counts get different scores."""
+    rows = [(1, "common " * 140000), (2, "alpha beta"), (3, "gamma delta"), (4, "alpha beta"), (5, "gamma delta")]
+    check_scores(spark, rows, [2], lm_scoring.ModelSpec())
+    ids = spark.createDataFrame([(2,)], "doc_id long")
+    got = {r.doc_id: r.score for r in lm_scoring.score(table(spark, rows), ids).collect()}
+    assert got[4] < got[5] - 0.01
+    check_scores(spark, real, list(range(0, 100, 3)), lm_scoring.ModelSpec(hot_share=500))
+
+
 def test_scores_tell_good_documents_from_others(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     train = labels.filter("quality = 1 and doc_id % 2 = 0").select("doc_id")
