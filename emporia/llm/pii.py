@@ -6,9 +6,12 @@ protected entity reveal it: with document counts n, the pointwise mutual
 information of entity c and term t is log2(n(c,t) N / (n(c) n(t))), and its
 share of the entity's information content log2(N / n(c)) is the disclosure of
 c by t: 1 if t occurs with c only. Terms whose disclosure reaches a threshold
-are generalised, above a higher one removed, in the context of the entity.
-A pair counts as evidence only if it occurs in ``min_texts`` different texts,
-so copies of one text prove nothing.
+are generalised, above a higher one removed, wherever they stand in a text that
+holds the entity; a term's occurrences are those in whole texts. An entity is a
+value, and what it shares with others: a domain, prefix or kind, so the texts
+of values that occur once are evidence together. A pair counts as evidence only
+if it occurs in ``min_texts`` different texts, so copies of one text prove
+nothing.
 
 All counts cover the whole corpus and are aggregated before they are shuffled.
 Only DataFrame functions are used. The patterns are written so that matching
@@ -24,9 +27,10 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from emporia.operators.joins import broadcast_if_small
 from emporia.plans.session import ensure_checkpoint_dir
 
 # The kinds in their order.
@@ -50,12 +54,11 @@ SPAN_TYPE = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
 
 @dataclass(frozen=True)
 class Disclosure:
-    """Thresholds and the reach of an entity's context."""
+    """Thresholds, and the evidence that a pair needs."""
 
     generalise: float = 0.5
     remove: float = 0.8
     min_texts: int = 3
-    context_chars: int = 80
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -118,33 +121,56 @@ def span_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def _context(rows: DataFrame, reach: int) -> DataFrame:
-    """(_key, _text_id, entity, term, start, end) of the words around each base span of ``rows``."""
-    one = rows.filter(F.size("_spans") > 0).select("*", F.explode("_spans").alias("_s"))
-    before = F.greatest(F.col("_s.start") - reach, F.lit(0))
-    one = one.select(
-        "_key", "_text_id", "_spans", F.concat_ws(":", "_s.kind", F.lower("_s.value")).alias("entity"),
-        F.explode(F.array(
-            F.struct(before.alias("at"), F.substring("_t", before + 1, F.col("_s.start") - before).alias("part"),
-                     (before > 0).alias("cut_left"), F.lit(False).alias("cut_right")),
-            F.struct(F.col("_s.end").alias("at"), F.substring("_t", F.col("_s.end") + 1, F.lit(reach)).alias("part"),
-                     F.lit(False).alias("cut_left"), F.lit(True).alias("cut_right")))).alias("_side"))
-    one = one.withColumn("_w", F.explode(matches(F.lower("_side.part"), WORD)))
-    start, end = F.col("_side.at") + F.col("_w.start"), F.col("_side.at") + F.col("_w.end")
-    # A word at the edge of the context may be the rest of a longer one.
-    whole = ~(F.col("_side.cut_left") & (F.col("_w.start") == 0)) & ~(
-        F.col("_side.cut_right") & (F.col("_w.end") == F.lit(reach)))
-    apart = ~F.exists("_spans", lambda s: (s["start"] < end) & (s["end"] > start))
-    return (one.filter(whole & apart)
-            .select("_key", "_text_id", "entity", F.col("_w.value").alias("term"), start.alias("start"), end.alias("end")))
+def _entities(spans: Column) -> Column:
+    """The distinct entities of a text's spans: each value, its domain or prefix, and its kind."""
+    def one(s: Column) -> Column:
+        value = F.lower(s["value"])
+        digits = F.regexp_replace(value, "[^0-9]", "")
+        part = (F.when(s["kind"] == "email", F.substring_index(value, "@", -1))
+                .when(s["kind"] == "ip", F.substring_index(value, ".", 2))
+                .when(s["kind"] == "card", F.substring(digits, 1, 6)).otherwise(F.substring(digits, 1, 4)))
+        return F.array(F.concat_ws(":", s["kind"], value), F.concat_ws("|", s["kind"], part), s["kind"])
+
+    return F.array_distinct(F.flatten(F.transform(spans, one)))
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with spaces in place of its spans, as long as before."""
+    start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        begin = F.greatest(s["start"], acc["pos"])
+        out = F.concat(acc["out"], F.substring(text, acc["pos"] + 1, begin - acc["pos"]),
+                       F.repeat(F.lit(" "), F.greatest(s["end"] - begin, F.lit(0))))
+        return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"), out.alias("out"))
+
+    done = F.aggregate(spans, start, step)
+    return F.concat(done["out"], F.substring(text, done["pos"] + 1, F.length(text)))
+
+
+def _words(text: Column) -> Column:
+    """The distinct words, in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lower))
+
+
+def _places(texts: DataFrame) -> DataFrame:
+    """(_text_id, term, start, end) of all words of column ``_t``; positions are summed up word by word."""
+    found = F.regexp_extract_all("_t", F.lit(WORD), F.lit(0))
+    parts = F.arrays_zip(F.slice(F.split("_t", WORD, -1), F.lit(1), F.size(found)).alias("gap"), found.alias("word"))
+    rows = texts.select("_text_id", F.posexplode(parts).alias("_i", "_p"))
+    length = F.length("_p.word")
+    rows = rows.select("_text_id", "_i", F.lower("_p.word").alias("term"), length.alias("_len"),
+                       (F.length("_p.gap") + length).alias("_step"))
+    end = F.sum("_step").over(Window.partitionBy("_text_id").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0))
+    return rows.select("_text_id", "term", (end - F.col("_len")).alias("start"), end.alias("end"))
 
 
 @dataclass
 class Findings:
-    """Base spans per row, and the disclosing terms' spans per key and text."""
+    """Base spans per row, and the disclosing terms' spans per text."""
 
     base: DataFrame       # _key, _text_id, _spans
-    terms: DataFrame      # _key, _text_id, _terms (spans of kind term, value: generalise or remove)
+    terms: DataFrame      # _text_id, _terms (spans of kind term, value: generalise or remove)
 
 
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Disclosure = Disclosure()) -> Findings:
@@ -156,39 +182,54 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Disclos
     with_base_spans(rows, "_t", "_spans").select("_key", "_text_id", "_spans", F.when(F.size("_spans") > 0, F.col("_t")).alias(
         "_t")).write.parquet(f"{folder}/base")
     base = spark.read.parquet(f"{folder}/base")
-    _context(base, rule.context_chars).write.parquet(f"{folder}/context")
-    context = spark.read.parquet(f"{folder}/context")
+    # One row for each text with base spans.
+    some = base.filter(F.size("_spans") > 0)
+    copies = some.groupBy("_text_id").agg(F.count(F.lit(1)).alias("_copies"))
+    texts = (some.select("_text_id", _blanked(F.col("_t"), F.col("_spans")).alias("_t"), _entities(F.col("_spans")).alias("_entities"))
+             .dropDuplicates(["_text_id"]).join(copies, "_text_id"))
+    texts.write.parquet(f"{folder}/texts")
+    texts = spark.read.parquet(f"{folder}/texts")
 
     n = base.count()
-    entities = context.select("entity", "_key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
-    pairs = (context.select("entity", "term", "_key", "_text_id").distinct().groupBy("entity", "term")
-             .agg(F.count_distinct("_key").alias("n_ct"), F.count_distinct("_text_id").alias("n_texts"))
+    held = texts.select("_text_id", "_copies", "_t", F.explode("_entities").alias("entity"))
+    # An entity of fewer texts has no pair with enough.
+    entities = (held.groupBy("entity").agg(F.sum("_copies").alias("n_c"), F.count(F.lit(1)).alias("n_texts"))
+                .filter(F.col("n_texts") >= rule.min_texts).select("entity", "n_c"))
+    held = (held.join(broadcast_if_small(entities.select("entity"), 1 << 20), "entity", "left_semi")
+            .select("_text_id", "_copies", "entity", F.explode(_words(F.col("_t"))).alias("term")))
+    pairs = (held.groupBy("entity", "term").agg(F.sum("_copies").alias("n_ct"), F.count(F.lit(1)).alias("n_texts"))
              .filter(F.col("n_texts") >= rule.min_texts))
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), F.lit(WORD), F.lit(0)))
-    counts = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    pmi = F.log2(F.col("n_ct") * F.lit(float(n)) / (F.col("n_c") * F.col("n_t")))
+    counts = docs.select(F.explode(_words(t)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    # A word that a span cuts off is none of the whole text.
+    n_t = F.greatest("n_t", "n_ct")
+    pmi = F.log2(F.col("n_ct") * F.lit(float(n)) / (F.col("n_c") * n_t))
     content = F.log2(F.lit(float(max(n, 1))) / F.col("n_c"))
-    known = (pairs.join(entities, "entity").join(counts, "term")
+    known = (pairs.join(entities, "entity").join(counts, "term", "left")
              .withColumn("disclosure", F.when(content > 0, pmi / content).otherwise(0.0))
              .filter(F.col("disclosure") >= rule.generalise)
              .select("entity", "term", "disclosure"))
+    known.write.parquet(f"{folder}/known")
+    known = spark.read.parquet(f"{folder}/known")
     action = F.when(F.col("disclosure") >= rule.remove, F.lit("remove")).otherwise(F.lit("generalise"))
-    found = (context.join(known, ["entity", "term"])
-             .groupBy("_key", "_text_id", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-             .select("_key", "_text_id", F.struct(F.col("start").cast("int").alias("start"), F.lit(len(KINDS)).alias("rank"),
-                                                  F.col("end").cast("int").alias("end"), F.lit(TERM).alias("kind"),
-                                                  action.alias("value")).alias("_span")))
-    found.groupBy("_key", "_text_id").agg(F.array_sort(F.collect_list("_span")).alias("_terms")).write.parquet(f"{folder}/terms")
+    told = (held.join(broadcast_if_small(known, 1 << 18), ["entity", "term"])
+            .groupBy("_text_id", "term").agg(F.max("disclosure").alias("disclosure")))
+    told.write.parquet(f"{folder}/told")
+    told = spark.read.parquet(f"{folder}/told")
+    found = (_places(texts.join(told.select("_text_id").distinct(), "_text_id", "left_semi")).join(told, ["_text_id", "term"])
+             .select("_text_id", F.struct(F.col("start").cast("int").alias("start"), F.lit(len(KINDS)).alias("rank"),
+                                          F.col("end").cast("int").alias("end"), F.lit(TERM).alias("kind"),
+                                          action.alias("value")).alias("_span")))
+    found.groupBy("_text_id").agg(F.array_sort(F.collect_list("_span")).alias("_terms")).write.parquet(f"{folder}/terms")
     return Findings(base.select("_key", "_text_id", "_spans"), spark.read.parquet(f"{folder}/terms"))
 
 
 def _with_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
     """``rows`` (with _key, _text_id and _spans) with all spans, sorted, as ``_all``."""
-    t = terms.withColumnsRenamed({"_key": "_key2", "_text_id": "_text_id2"})
-    joined = rows.join(t, (F.col("_text_id") == F.col("_text_id2")) & F.col("_key").eqNullSafe(F.col("_key2")), "left")
+    t = terms.withColumnRenamed("_text_id", "_text_id2")
+    joined = rows.join(t, F.col("_text_id") == F.col("_text_id2"), "left")
     none = F.expr(f"cast(array() as {SPAN_TYPE})")
     return joined.withColumn("_all", F.array_sort(F.concat("_spans", F.coalesce("_terms", none)))).drop(
-        "_key2", "_text_id2", "_terms")
+        "_text_id2", "_terms")
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Disclosure = Disclosure()) -> DataFrame:

@@ -129,6 +129,17 @@ def test_disclosing_terms(spark):
     assert all(clean[i] == texts[i] for i in range(8, len(texts)))
 
 
+def test_disclosing_terms_of_single_texts_and_far_away(spark):
+    """Addresses that occur in one text each share a domain; a term tells them however far it stands."""
+    filler = " ".join(["the"] * 60)
+    texts = [f"Zanzibar İ {filler} person{c}@mail.example {filler} zanzibar" for c in "abc"]
+    texts += [f"the note {i} the" for i in range(40)]
+    rows = {r.doc_id: r for r in pii.report(table(spark, texts)).collect()}
+    clean = {r.doc_id: r.text for r in pii.sanitize(table(spark, texts)).collect()}
+    assert all(rows[i].n_term == 2 and clean[i] == f"[REMOVED] İ {filler} [EMAIL] {filler} [REMOVED]" for i in range(3))
+    assert all(clean[i] == texts[i] for i in range(3, len(texts)))
+
+
 def test_sanitize_overlaps_nulls_and_other_columns(spark):
     texts = ["call +1 (988) 555-2485 or 4111-1111-1111-1111, 1.2.3.4@x.org", None, "", "plain"]
     got = {r.doc_id: r for r in pii.sanitize(table(spark, texts)).collect()}
