@@ -14,8 +14,9 @@ Verified overlaps are reduced to one row per document and item before they are
 shuffled. Only DataFrame functions are used.
 
 Defined results: a null or empty text, or an item, of fewer tokens than a mask
-spans has no hits; equal rows give one result per document and item; null
-items are ignored; a document without an id is reported under null; only the
+spans has no hits; equal rows give one result per document and item; items
+that repeat an id with other texts are found by each of them, under that id;
+null items are ignored; a document without an id is reported under null; only the
 key and text columns are read; empty tables give an empty table.
 """
 
@@ -62,16 +63,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13, min_equal:
     tokens of the document.
     """
     bench = (benchmark.select(F.col(item).alias("_item"), tokens(F.col(text).cast("string")).alias("t"))
-             .filter(F.col("_item").isNotNull() & (F.size("t") >= SPAN)))
+             .filter(F.col("_item").isNotNull() & (F.size("t") >= SPAN)).distinct().withColumn("_text", F.xxhash64("_item", "t")))
     rows = docs.select(F.col(key).alias("_key"), tokens(F.col(text).cast("string")).alias("t"))
     total = bench.agg(F.sum((F.size("t") - SPAN + 1) * len(MASKS))).first()[0] or 0
     blocks = max(1, ceil(total / block_seeds))
     parts = []
     for b in range(blocks):
-        part = bench if blocks == 1 else bench.filter(F.pmod(F.xxhash64("_item"), F.lit(blocks)) == b)
-        table = F.broadcast(part.select("_item", F.col("t").alias("u")))
-        wanted = F.broadcast(seeds(part, "q").select("h", "_item", "q").distinct())
-        hits = seeds(rows, "p").join(wanted, "h").join(table, "_item")
+        part = bench if blocks == 1 else bench.filter(F.pmod(F.xxhash64("_text"), F.lit(blocks)) == b)
+        table = F.broadcast(part.select("_item", "_text", F.col("t").alias("u")))
+        wanted = F.broadcast(seeds(part, "q").select("h", "_text", "q").distinct())
+        hits = seeds(rows, "p").join(wanted, "h").join(table, "_text")
         parts.append(_verified(hits, window, min_equal))
     found = reduce(DataFrame.unionByName, parts)
     return (found.groupBy("_key", "_item")

@@ -179,6 +179,15 @@ def test_decontamination_equals_all_alignments(spark):
         assert {(r.doc_id, r.item_id) for r in got.collect()} == plain_overlaps(docs, bench)
 
 
+def test_decontamination_of_items_that_repeat_an_id(spark):
+    """Each text of an id is aligned on its own, a long one beside a short one."""
+    long, short = (" ".join(f"{c}{j}" for j in range(n)) for c, n in (("a", 40), ("b", 10)))
+    items = spark.createDataFrame([(1, long), (1, short), (1, long), (2, short)], "item_id long, text string")
+    docs = [(1, long), (2, f"x {short} y"), (3, " ".join(long.split()[25:])), (4, "nothing " * 20)]
+    got = decontaminate.overlaps(table(spark, docs), items).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_equal) for r in got) == [(1, 1, 40), (2, 1, 10), (2, 2, 10), (3, 1, 15)]
+
+
 def test_decontamination_finds_whole_passages(spark, real):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     bench = {r.item_id: " " + " ".join(plain_tokens(r.text)) + " " for r in items.collect()}
