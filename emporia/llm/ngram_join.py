@@ -386,11 +386,14 @@ class _Work:
         sim = self.sim
         least = self.profile.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
         later = (self.profile.join(least, "node").filter(F.col("doc_id") > F.col("first")).select("doc_id").distinct())
+        repeated = self.profile.groupBy("doc_id").count().filter("count > 1")
+        self.repeated = not repeated.isEmpty()
+        if self.repeated:                             # another row of the id may be the first of its own set
+            later = later.join(repeated, "doc_id", "left_anti")
         once = known.join(broadcast_if_small(later, BROADCAST_NODES), "doc_id", "left_anti")
         rows = (once.mapInArrow(lambda it: _profiles(it, frequent.value, sim), "n long, node long, vector binary, prefix array<long>")
                 .filter("node is not null"))
         # Rows that repeat an id can leave a set twice.
-        self.repeated = not self.profile.groupBy("doc_id").count().filter("count > 1").isEmpty()
         return rows.dropDuplicates(["node"]) if self.repeated else rows
 
     def tiles(self, blocks: DataFrame, vectors: DataFrame, roots: DataFrame) -> DataFrame:

@@ -80,6 +80,15 @@ def test_components_repeated_rows_and_empty_table(spark):
     assert ngram_join.components(table(spark, rows).limit(0)).collect() == []
 
 
+def test_components_of_an_id_with_a_copy_and_a_near_copy(spark):
+    x, y = (" ".join(f"{c}{j}" for j in range(60)) for c in "xy")
+    rows = [(5, x), (7, x), (7, y), (9, y + " z")]
+    got = ngram_join.components(table(spark, rows)).collect()
+    assert by_id(map(tuple, got)) == by_id(jaccard_components(rows))
+    assert {(r.doc_id, r.component_id) for r in got} == {(5, 5), (7, 5), (7, 7), (9, 7)}
+    assert {r.doc_id for r in ngram_join.keep_one(table(spark, rows)).collect()} == {5}
+
+
 def test_bound_is_never_below_the_overlap():
     import numpy as np
 
