@@ -36,8 +36,13 @@ BOILERPLATE = (
     "all rights reserved", "copyright", "cookie", "terms of use", "terms of service", "privacy policy", "javascript",
     "lorem ipsum", "sign in", "log in", "subscribe to", "click here", "powered by")
 
-_SENTENCE_END = re.compile(rb"[.!?:;](?:[\"')\]]|\xe2\x80\x9d|\xc2\xbb)*(?=[\x20\x09-\x0D]|$)|\xe2\x80\xa6")
-_BOILERPLATE = re.compile("|".join(re.escape(x) for x in BOILERPLATE).encode())
+# Ends of other scripts need no space behind them.
+_WIDE_ENDS = "\u2026\u3002\uff01\uff1f\uff1a\uff1b\uff0e\uff61\u0964\u0965\u061f\u06d4"
+_CLOSING = "\"')]\u201d\u2019\u00bb\u203a\u300d\u300f\uff09"
+_SENTENCE_END = re.compile(rb"[.!?:;](?:%s)*(?=[\x20\x09-\x0D]|$)|%s" % tuple(
+    b"|".join(re.escape(c.encode()) for c in x) for x in (_CLOSING, _WIDE_ENDS)))
+_INSIDE = rb"[A-Za-z0-9\x80-\xff]"
+_BOILERPLATE = re.compile(rb"(?<!%s)(?:%s)s?(?!%s)" % (_INSIDE, b"|".join(re.escape(x.encode()) for x in BOILERPLATE), _INSIDE))
 
 
 @dataclass(frozen=True)
@@ -50,6 +55,7 @@ class LineRules:
     max_bare: float = 0.25           # share of words without a letter or digit (menu separators, ornaments)
     min_bare_words: int = 4
     max_symbols: float = 0.1         # share of symbol bytes in the line's bytes
+    max_furniture: float = 0.1       # share of words in phrases of page furniture
     max_lost: float = 0.5            # share of a document's words that may go
 
 
@@ -71,7 +77,7 @@ def bad_line(line: bytes, n: int, rules: LineRules, seen: set) -> bool:
             return True
     if line in seen:
         return True
-    return bool(_BOILERPLATE.search(line.lower()))
+    return sum(len(x.split()) for x in _BOILERPLATE.findall(line.lower())) > rules.max_furniture * n
 
 
 def _judge(column, rules: LineRules, with_text: bool):

@@ -80,6 +80,16 @@ def test_bpe_equals_the_library(spark, documents, library):
         assert r.ids_sha256 == sha256(" ".join(map(str, want))) and r.decoded_sha256 == sha256(r.decoded)
 
 
+def test_quality_rules_keep_mentions_and_other_scripts():
+    rules = quality_rules.LineRules()
+    bad = lambda x: quality_rules.bad_line(x.encode(), len(x.split()), rules, set())
+    plain = " ".join(f"word{i}" for i in range(30))
+    assert not any(map(bad, ("A new design in the blog inside the catalog in print.", f"The law of copyright {plain}.",
+                             "\u4eca\u65e5\u306f\u3044\u3044\u5929\u6c17\u3067\u3059\u3002", "\u4f60\u597d\uff01\u5417\uff1f",
+                             "\u092f\u0939 \u0915\u093f\u0924\u093e\u092c \u0939\u0948\u0964", "\u06a9\u06cc\u0627\u061f", "\u06c1\u06d2\u06d4")))
+    assert all(map(bad, ("Please sign in.", "We use cookies.", "Copyright 2020 by us. All rights reserved.", "no end")))
+
+
 def test_bpe_trees_agree_and_memo_is_bounded():
     v = bpe.Vocabulary.load(bpe.default_path())
     rng = random.Random(5)
