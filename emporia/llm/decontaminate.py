@@ -1,20 +1,21 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-A text's tokens are its lower-cased runs of letters and digits. Fixed masks
+A text's tokens are its lower-cased runs of letters and digits. Masks
 pick some positions of each token window and ignore the others; windows of
 benchmark items and of documents that agree in the picked positions of one
 mask are hits, so a substituted token at an ignored position does not hide a
 passage. Each hit is verified on its alignment: the best window of ``window``
 tokens (the whole item if it is shorter) must agree in at least
-``min_equal`` of its positions.
+``min_equal`` of its positions. The masks of each length are such that every
+alignment which passes has a hit, so none is lost.
 
 The benchmark's seeds are broadcast in blocks of a bounded number of rows; a
 larger benchmark takes more passes over the documents, each over all rows.
 Verified overlaps are reduced to one row per document and item before they are
 shuffled. Only DataFrame functions are used.
 
-Defined results: a null or empty text, or an item, of fewer tokens than a mask
-spans has no hits; equal rows give one result per document and item; items
+Defined results: a null or empty text, or an item without a token, has no
+hits; a text shorter than the window that has to agree has none; equal rows give one result per document and item; items
 that repeat an id with other texts are found by each of them, under that id;
 null items are ignored; a document without an id is reported under null; only the
 key and text columns are read; empty tables give an empty table.
@@ -23,29 +24,56 @@ key and text columns are read; empty tables give an empty table.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The masks. Each picks six of nine positions.
-MASKS = ("111010011", "110101101", "101100111")
-SPAN = 9
+# Masks of which one fits, somewhere in 13 tokens, beside any two that differ.
+SPACED = ("111010011", "110101101", "101100111", "111001011")
 BLOCK_SEEDS = 1 << 19
 
 
+def masks(length: int, others: int) -> tuple[str, ...]:
+    """Masks of which one fits somewhere in ``length`` tokens beside any ``others`` that differ.
+
+    Cut into ``others + 2`` parts, at least two parts are left whole.
+    """
+    if length >= 13 and others <= 2:
+        return SPACED
+    others = min(others, length - 1)
+    k = min(others + 2, length)
+    cuts = [length * i // k for i in range(k + 1)]
+    return tuple("".join(("1" if i in whole else "0") * (cuts[i + 1] - cuts[i]) for i in range(k))
+                 for whole in combinations(range(k), k - others))
+
+
+# The fewest tokens of an item, and their masks.
+SPAN = 1
+MASKS = masks(SPAN, 0)
+
+
 def tokens(text: Column) -> Column:
     """Hashes of a text's tokens, in order."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def seeds(frame: DataFrame, at: str) -> DataFrame:
-    """One row per window and mask: ``frame`` (with token hashes ``t``) plus the position ``at`` and the hash ``h``."""
-    rows = frame.filter(F.size("t") >= SPAN).withColumn(at, F.explode(F.expr(f"sequence(0, size(t) - {SPAN})")))
-    hashes = [F.xxhash64(F.lit(i), *[F.get("t", F.col(at) + o) for o, bit in enumerate(mask) if bit == "1"])
-              for i, mask in enumerate(MASKS)]
-    return rows.withColumn("h", F.explode(F.array(*hashes)))
+def seeds(frame: DataFrame, at: str, families: dict[int, tuple[str, ...]], own: Column | None = None) -> DataFrame:
+    """One row per window and mask: ``frame`` (with token hashes ``t``) plus the position ``at`` and the hash ``h``.
+
+    ``families`` are the masks of each length; ``own`` is the one length of a row whose masks are taken, else all are.
+    """
+    least = min(len(m) for some in families.values() for m in some)
+    rows = frame.filter(F.size("t") >= least).withColumn(at, F.explode(F.expr(f"sequence(0, size(t) - {least})")))
+    hashes = []
+    for length, some in families.items():
+        for i, mask in enumerate(some):
+            fits = F.col(at) + len(mask) <= F.size("t")
+            picked = [F.get("t", F.col(at) + o) for o, bit in enumerate(mask) if bit == "1"]
+            hashes.append(F.when(fits if own is None else fits & (own == length), F.xxhash64(F.lit(length), F.lit(i), *picked)))
+    return rows.withColumn("h", F.explode(F.array(*hashes))).filter("h is not null")
 
 
 def _best(equal: Column, window: Column) -> Column:
@@ -65,14 +93,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13, min_equal:
     bench = (benchmark.select(F.col(item).alias("_item"), tokens(F.col(text).cast("string")).alias("t"))
              .filter(F.col("_item").isNotNull() & (F.size("t") >= SPAN)).distinct().withColumn("_text", F.xxhash64("_item", "t")))
     rows = docs.select(F.col(key).alias("_key"), tokens(F.col(text).cast("string")).alias("t"))
-    total = bench.agg(F.sum((F.size("t") - SPAN + 1) * len(MASKS))).first()[0] or 0
+    own = F.least(F.size("t"), F.lit(window))
+    lengths = sorted(r[0] for r in bench.select(own).distinct().collect()) or [window]      # at most window rows
+    families = {n: masks(n, n - ceil(n * min_equal)) for n in lengths}
+    rows_of = {n: (F.size("t") - len(some[0]) + 1) * len(some) for n, some in families.items()}
+    total = bench.agg(F.sum(F.coalesce(*[F.when(own == n, c) for n, c in rows_of.items()]))).first()[0] or 0
     blocks = max(1, ceil(total / block_seeds))
     parts = []
     for b in range(blocks):
         part = bench if blocks == 1 else bench.filter(F.pmod(F.xxhash64("_text"), F.lit(blocks)) == b)
         table = F.broadcast(part.select("_item", "_text", F.col("t").alias("u")))
-        wanted = F.broadcast(seeds(part, "q").select("h", "_text", "q").distinct())
-        hits = seeds(rows, "p").join(wanted, "h").join(table, "_text")
+        wanted = F.broadcast(seeds(part, "q", families, own).select("h", "_text", "q").distinct())
+        hits = seeds(rows, "p", families).join(wanted, "h").join(table, "_text")
         parts.append(_verified(hits, window, min_equal))
     found = reduce(DataFrame.unionByName, parts)
     return (found.groupBy("_key", "_item")

@@ -1,5 +1,7 @@
 """Operators over the whole corpus: similarity join, substring dedup, decontamination, language models."""
 
+import itertools
+import math
 import random
 import re
 
@@ -188,6 +190,24 @@ def test_decontamination_equals_all_alignments(spark):
         assert {(r.doc_id, r.item_id) for r in got.collect()} == plain_overlaps(docs, bench)
 
 
+def test_decontamination_masks_hit_all_that_verification_accepts():
+    for n in range(1, 17):
+        others = n - math.ceil(n * 0.8) if n <= 13 else 2
+        family = decontaminate.masks(n, others)
+        for gone in itertools.combinations(range(n), others):
+            assert any(all(bit == "0" or at + o not in gone for o, bit in enumerate(m))
+                       for m in family for at in range(n - len(m) + 1)), (n, gone)
+
+
+def test_decontamination_of_short_items_and_replaced_ends(spark):
+    texts = {n: [f"n{n}x{j}" for j in range(n)] for n in (1, 3, 9, 10, 11, 12, 13)}
+    gone = {1: [], 3: [], 9: [0], 10: [0, 5], 11: [0, 10], 12: [0, 11], 13: [3, 4]}
+    items = spark.createDataFrame([(n, " ".join(w)) for n, w in texts.items()], "item_id long, text string")
+    docs = [(n, " ".join("other" if j in gone[n] else x for j, x in enumerate(w))) for n, w in texts.items()]
+    got = decontaminate.overlaps(table(spark, docs), items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(n, n) for n in texts]
+
+
 def test_decontamination_of_items_that_repeat_an_id(spark):
     """Each text of an id is aligned on its own, a long one beside a short one."""
     long, short = (" ".join(f"{c}{j}" for j in range(n)) for c, n in (("a", 40), ("b", 10)))
