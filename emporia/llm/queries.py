@@ -8,9 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import bpe, decontaminate, lm_scoring, ngram_join, pii, quality_rules, sharding, substring_dedup, url_filter, warc
+from emporia.llm import (
+    bpe, decontaminate, lm_scoring, merkle, ngram_join, pii, quality_rules, sharding, substring_dedup, url_filter, warc,
+)
 from emporia.plans.session import ensure_checkpoint_dir
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SHARDS = sharding.Tree.even(regions=2, racks=3, shards=4)
 URL_RULES = [url_filter.Rule("org", "/", "allow"), url_filter.Rule("example.org", "/es/", "block"),
              url_filter.Rule("example.org", "/en/1", "block"), url_filter.Rule("com", "/fr/", "allow"),
@@ -75,6 +78,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows whose ids the rule picks claim the leaf of their text in lower case; a leaf is verified on its own path."""
+    docs = _table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = [F.translate("text", UPPER, UPPER.lower()) if c == "text" else F.col(c) for c in fields]
+    picked = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    claimed = docs.withColumn("_claimed", F.when(picked, merkle.leaf_hash(*tampered)))
+    found = merkle.build(claimed, fields, carry=["_claimed"]).paths()
+    found = found.withColumn("folded_root", merkle.fold(F.coalesce("_claimed", "leaf"), F.col("path")))
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+                        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
@@ -85,7 +101,7 @@ def _url_filter_sql() -> str:
     fits = {r.text: f"((host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}'))" for r in rules}
     text = " ".join(f"WHEN {fits[r.text]} THEN '{r.text}'" for r in rules)
     verdict = " ".join(f"WHEN {fits[r.text]} THEN '{r.verdict}'" for r in rules)
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    upper, lower = UPPER, UPPER.lower()
     return f"""
 WITH parts AS (
   SELECT page_id, html,
