@@ -186,3 +186,19 @@ def merkle(rows, fanout=16):
             proof = sha256("".join(a + b for a, b in steps))
             out.append((r[0], own, trees[k][-1][0], top[-1][0], proof, node, node == top[-1][0]))
     return out
+
+
+def byte_dedup(rows, window=400):
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    texts = [(i, (t or "").encode()) for i, t in rows]
+    count = collections.Counter(t[a:a + window] for _, t in texts for a in range(len(t) - window + 1))
+    out = []
+    for i, t in texts:
+        gone = bytearray(len(t))
+        for a in range(len(t) - window + 1):
+            if count[t[a:a + window]] > 1:
+                gone[a:a + window] = b"\x01" * window
+        spans = len(re.findall(rb"\x01+", bytes(gone)))
+        kept = bytes(c for c, g in zip(t, gone, strict=True) if not g)
+        out.append((i, len(t), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
