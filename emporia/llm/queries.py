@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporia.llm import (
-    bpe, decontaminate, lm_scoring, merkle, ngram_join, pii, quality_rules, radix_dedup, sharding, substring_dedup, url_filter, warc,
+    bpe, collocations, decontaminate, lm_scoring, merkle, ngram_join, pii, quality_rules, radix_dedup, sharding, substring_dedup,
+    url_filter, warc,
 )
 from emporia.plans.session import ensure_checkpoint_dir
 
@@ -78,6 +79,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
 def op12_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = radix_dedup.dedup(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

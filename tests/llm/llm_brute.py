@@ -202,3 +202,32 @@ def byte_dedup(rows, window=400):
         kept = bytes(c for c, g in zip(t, gone, strict=True) if not g)
         out.append((i, len(t), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def collocations(rows, min_count=30, covered=80, top=2000):
+    """lang, rank, phrase, a, l, r, n, score of rows (lang, text)."""
+    count, total = collections.defaultdict(collections.Counter), collections.Counter()
+    for lang, text in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            lang = "und" if lang is None else lang
+            total[lang] += len(w)
+            for k in range(1, 5):
+                count[lang].update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, f in count.items():
+        found = {p: a for p, a in f.items() if len(p) > 1 and a >= min_count}
+        cover = collections.Counter()
+        for p, a in found.items():
+            for k in range(2, len(p)):
+                for i in range(len(p) - k + 1):
+                    cover[p[i:i + k]] = max(cover[p[i:i + k]], a)
+        best = []
+        for p, a in found.items():
+            if 100 * cover[p] >= covered * a:
+                continue
+            score, _, left, right = min((2000000 * a // (f[p[:k]] + f[p[k:]]), k, f[p[:k]], f[p[k:]]) for k in range(1, len(p)))
+            best.append((-score, -a, " ".join(p).encode(), left, right))
+        for rank, (score, a, p, left, right) in enumerate(sorted(best)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, total[lang], -score))
+    return sorted(out)
