@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions.columns import as_timestamp, money
+from emporia.operators.counted import PassCounts, nulls_of
 from emporia.operators.dedup import dedup_by_key, distinct_rows, latest_per_key
 
 # Allowed order statuses.
@@ -113,22 +114,17 @@ def _holds(predicate: str) -> F.Column:
     return F.coalesce(F.expr(predicate), F.lit(False))
 
 
-def _one_per_key(df: DataFrame, rules: Rules) -> DataFrame:
+def _one_per_key(df: DataFrame, rules: Rules, count: str | None = None) -> DataFrame:
     if rules.key == WHOLE_ROW:
-        return distinct_rows(df)
+        return distinct_rows(df, count)
     if not rules.key:
         return df
     if rules.partition:      # a subset of the key: the aggregation and later ones by it need no further shuffle
         df = df.repartition(*rules.partition)
-    return dedup_by_key(df, list(rules.key), list(rules.prefer))
+    return dedup_by_key(df, list(rules.key), list(rules.prefer), count)
 
 
-def clean(raw: DataFrame, rules: Rules) -> DataFrame:
-    """The rows of ``raw`` that pass the rules, normalised."""
-    df = parse(raw, rules)
-    for predicate in rules.tests().values():
-        df = df.filter(F.expr(predicate))
-    df = _one_per_key(df, rules)
+def _normalised(df: DataFrame, rules: Rules) -> DataFrame:
     for predicate in rules.valid_after.values():
         df = df.filter(F.expr(predicate))
     text = {c: F.lower(F.trim(c)) for c in rules.lower} | {c: F.upper(F.trim(c)) for c in rules.upper}
@@ -136,14 +132,57 @@ def clean(raw: DataFrame, rules: Rules) -> DataFrame:
     return df.fillna(rules.fills) if rules.fills else df
 
 
-def rejected(raw: DataFrame, rules: Rules, name: str) -> DataFrame:
-    """(table_name, rule, rejected): rows taken out by each rule, counted under the first rule they fail."""
+def clean(raw: DataFrame, rules: Rules) -> DataFrame:
+    """The rows of ``raw`` that pass the rules, normalised."""
     df = parse(raw, rules)
-    tests = rules.tests()
+    for predicate in rules.tests().values():
+        df = df.filter(F.expr(predicate))
+    return _normalised(_one_per_key(df, rules), rules)
+
+
+def clean_counted(raw: DataFrame, rules: Rules, counts: PassCounts) -> DataFrame:
+    """As ``clean``, with the counts of the reports taken on the way.
+
+    ``counts`` gets raw_rows and the nulls of each raw column, the rows that
+    each rule rejects (under the first rule they fail), and passed, merged and
+    kept: the rows before the key's de-duplication, those that it has merged
+    and those that are left.
+    """
+    rows = counts.watch(raw, {"raw_rows": F.count(F.lit(1))} | nulls_of(raw, "raw_nulls"))
+    judged = _judged(parse(rows, rules), rules)
+    failed = {("rejected", r): F.count_if(F.col("_first") == r) for r in rules.tests()}
+    judged = counts.watch(judged, {"passed": F.count_if(F.col("_first").isNull())} | failed)
+    df = judged.filter(F.col("_first").isNull()).drop("_first")
+    if rules.key:
+        later = {("rejected", r): F.count_if(~_holds(p)) for r, p in rules.valid_after.items()}
+        df = _one_per_key(df, rules, "_n")
+        df = counts.watch(df, {"merged": F.sum("_n"), "kept": F.count(F.lit(1))} | later).drop("_n")
+    return _normalised(df, rules)
+
+
+def _judged(df: DataFrame, rules: Rules) -> DataFrame:
+    """``df`` with the first rule that each row fails as ``_first``, null if it passes."""
     first = F.lit(None).cast("string")
-    for rule, predicate in reversed(tests.items()):
+    for rule, predicate in reversed(rules.tests().items()):
         first = F.when(~_holds(predicate), F.lit(rule)).otherwise(first)
-    judged = df.withColumn("_first", first)
+    return df.withColumn("_first", first)
+
+
+KEY_RULE = "one row per key"
+
+
+def rejected_counts(rules: Rules, counts: dict, name: str) -> list[tuple[str, str, int]]:
+    """The rows of ``rejected`` from the counts of a cleaning pass."""
+    out = [(name, r, counts["rejected", r]) for r in rules.tests()]
+    if rules.key:
+        out.append((name, KEY_RULE, (counts["merged"] or 0) - counts["kept"]))
+    return out + [(name, r, counts["rejected", r]) for r in rules.valid_after]
+
+
+def rejected(raw: DataFrame, rules: Rules, name: str) -> DataFrame:
+    """(table_name, rule, rejected): rows taken out by each rule, counted under the first rule they fail."""
+    tests = rules.tests()
+    judged = _judged(parse(raw, rules), rules)
     counts = judged.agg(*[F.count_if(F.col("_first") == r).alias(f"c{i}") for i, r in enumerate(tests)])
     rows = [(r, f"c{i}") for i, r in enumerate(tests)]
     out = counts.select(F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(c).alias("rejected")) for r, c in rows]))
@@ -153,7 +192,7 @@ def rejected(raw: DataFrame, rules: Rules, name: str) -> DataFrame:
         keys = passed.columns if rules.key == WHOLE_ROW else list(rules.key)
         groups = passed.groupBy(*[F.col(f"`{c}`") for c in keys]).agg(F.count(F.lit(1)).alias("_n"))
         out = out.unionByName(groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("rejected"))
-                              .select(F.lit("one row per key").alias("rule"), "rejected"))
+                              .select(F.lit(KEY_RULE).alias("rule"), "rejected"))
     for rule, predicate in rules.valid_after.items():
         kept = _one_per_key(judged.filter(F.col("_first").isNull()).drop("_first"), rules)
         out = out.unionByName(kept.agg(F.count_if(~_holds(predicate)).alias("rejected")).select(F.lit(rule).alias("rule"), "rejected"))
@@ -191,8 +230,12 @@ def clean_category_translation(raw: DataFrame) -> DataFrame:
 
 def clean_products(raw: DataFrame, translation: DataFrame) -> DataFrame:
     """Products with the English name of their category."""
-    names = clean_category_translation(translation)
-    return (clean(raw, RULES["products"]).join(names, on="product_category_name", how="left")
+    return translated(clean(raw, RULES["products"]), clean_category_translation(translation))
+
+
+def translated(products: DataFrame, names: DataFrame) -> DataFrame:
+    """Clean products with the clean translation of their category."""
+    return (products.join(names, on="product_category_name", how="left")
             .fillna({"product_category_name_english": NO_TRANSLATION}))
 
 
@@ -213,7 +256,12 @@ def clean_retail(raw: DataFrame, dedup: bool = True, fill_country: str | None =
         rules = replace(rules, key=())
     if fill_country is not None:
         rules = replace(rules, fills=rules.fills | {"Country": fill_country})
-    return clean(raw, rules).withColumns({
+    return valued(clean(raw, rules))
+
+
+def valued(lines: DataFrame) -> DataFrame:
+    """Clean retail lines with their value."""
+    return lines.withColumns({
         "TotalLineValue": F.round(F.col("Quantity") * F.col("Price").cast("decimal(18,4)"), 2),
         "Country": F.trim("Country"),
     })

@@ -18,17 +18,20 @@ def _packed(df: DataFrame, keys: list[str], order_by: list[str]) -> list[str]:
     return [*order_by, *rest]
 
 
-def dedup_by_key(df: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
+def dedup_by_key(df: DataFrame, keys: list[str], order_by: list[str] | None = None, count: str | None = None) -> DataFrame:
     """One row per ``keys``: the smallest by ``order_by`` then the other columns.
 
     Nulls in ordering columns sort first. Rows equal in every column are
-    interchangeable, so the result does not depend on partitioning.
+    interchangeable, so the result does not depend on partitioning. ``count``
+    names a further column with the number of rows that were merged.
     """
     fields = _packed(df, keys, [c for c in (order_by or []) if c not in keys])
-    row = F.min(F.struct(*[F.col(f"`{c}`") for c in fields])).alias("_row")
-    return (df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(row)
-            .select(*[F.col(f"`{c}`") for c in keys], *[F.col("_row").getField(c).alias(c) for c in fields])
-            .select(*[F.col(f"`{c}`") for c in df.columns]))
+    row = [F.min(F.struct(*[F.col(f"`{c}`") for c in fields])).alias("_row")]
+    more = [count] if count else []
+    row += [F.count(F.lit(1)).alias(c) for c in more]
+    return (df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*row)
+            .select(*[F.col(f"`{c}`") for c in keys], *[F.col("_row").getField(c).alias(c) for c in fields], *more)
+            .select(*[F.col(f"`{c}`") for c in df.columns], *more))
 
 
 def latest_per_key(df: DataFrame, key: str, ts: str, tiebreak: str) -> DataFrame:
@@ -44,6 +47,8 @@ def latest_per_key(df: DataFrame, key: str, ts: str, tiebreak: str) -> DataFrame
             .select(*df.columns))
 
 
-def distinct_rows(df: DataFrame) -> DataFrame:
-    """Whole-row de-duplication (hash aggregate, combined map-side)."""
-    return df.distinct()
+def distinct_rows(df: DataFrame, count: str | None = None) -> DataFrame:
+    """Whole-row de-duplication (hash aggregate, combined map-side); ``count`` as in ``dedup_by_key``."""
+    if count is None:
+        return df.distinct()
+    return df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias(count))

@@ -50,24 +50,47 @@ def build_master(orders: DataFrame, customers: DataFrame, items_agg: DataFrame,
     skew-join handling at run time; ``split_hot_keys=True`` instead finds them
     up front and joins them by broadcast (one counting pass per look-up).
     """
-    reviews = reviews_latest.select("order_id", "review_score", "review_creation_date", "review_answer_timestamp")
-    prod = products.select("product_id", "product_category_name_english", "product_weight_g",
-                           "product_length_cm", "product_height_cm", "product_width_cm")
-    sell = sellers.select("seller_id", "seller_state", "seller_city")
     look = left_lookup_split if split_hot_keys else left_lookup
-    items = look(look(items_agg, prod, "main_product_id", "product_id"), sell, "main_seller_id", "seller_id")
+    items = items_with_lookups(items_agg, products, sellers, look)
     cust = customers.withColumnRenamed("customer_id", "_cid")
     with_customer = look(orders, cust, "customer_id", "_cid")
-    m = (with_customer
-         .join(items, on="order_id", how="left")
-         .join(payments_agg, on="order_id", how="left")
-         .join(reviews, on="order_id", how="left"))
-    cols = (list(orders.columns) + [c for c in customers.columns if c != "customer_id"]
-            + [c for c in items_agg.columns if c != "order_id"]
-            + [c for c in payments_agg.columns if c != "order_id"]
-            + ["review_score", "review_creation_date", "review_answer_timestamp"]
-            + [c for c in prod.columns if c != "product_id"] + [c for c in sell.columns if c != "seller_id"])
-    return m.select(*cols)
+    m = _joined_by_order(with_customer, items, payments_agg, reviews_latest)
+    return m.select(*_master_columns(orders, customers, items, payments_agg))
+
+
+REVIEW_COLUMNS = ["review_score", "review_creation_date", "review_answer_timestamp"]
+PRODUCT_COLUMNS = ["product_category_name_english", "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]
+SELLER_COLUMNS = ["seller_state", "seller_city"]
+
+
+def items_with_lookups(items_agg: DataFrame, products: DataFrame, sellers: DataFrame, look=left_lookup) -> DataFrame:
+    """Order-line totals with the columns of the main product and seller."""
+    items = look(items_agg, products.select("product_id", *PRODUCT_COLUMNS), "main_product_id", "product_id")
+    return look(items, sellers.select("seller_id", *SELLER_COLUMNS), "main_seller_id", "seller_id")
+
+
+def master_by_order(orders: DataFrame, customers: DataFrame, items: DataFrame, payments_agg: DataFrame,
+                    reviews_latest: DataFrame) -> DataFrame:
+    """As ``build_master``, from tables saved in buckets by ``order_id`` (``items`` as ``items_with_lookups`` gives them).
+
+    The joins by order come first and need no exchange; the only rows that are
+    shuffled are the joined orders, by ``customer_id``.
+    """
+    m = _joined_by_order(orders, items, payments_agg, reviews_latest)
+    m = left_lookup(m, customers.withColumnRenamed("customer_id", "_cid"), "customer_id", "_cid")
+    return m.select(*_master_columns(orders, customers, items, payments_agg))
+
+
+def _joined_by_order(orders: DataFrame, items: DataFrame, payments_agg: DataFrame, reviews_latest: DataFrame) -> DataFrame:
+    return (orders.join(items, on="order_id", how="left")
+            .join(payments_agg, on="order_id", how="left")
+            .join(reviews_latest.select("order_id", *REVIEW_COLUMNS), on="order_id", how="left"))
+
+
+def _master_columns(orders: DataFrame, customers: DataFrame, items: DataFrame, payments_agg: DataFrame) -> list[str]:
+    own = [c for c in items.columns if c not in ("order_id", *PRODUCT_COLUMNS, *SELLER_COLUMNS)]
+    return (list(orders.columns) + [c for c in customers.columns if c != "customer_id"] + own
+            + [c for c in payments_agg.columns if c != "order_id"] + REVIEW_COLUMNS + PRODUCT_COLUMNS + SELLER_COLUMNS)
 
 
 # Fills applied after feature computation.

@@ -24,7 +24,11 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per table plus a grand total row."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(name))
              for name, df in tables.items()]
-    counts = reduce(DataFrame.unionByName, parts)
+    return with_total(reduce(DataFrame.unionByName, parts))
+
+
+def with_total(counts: DataFrame) -> DataFrame:
+    """(table_name, row_count) with a grand total row."""
     return (counts.rollup("table_name").agg(F.sum("row_count").alias("row_count"))
             .select(F.coalesce("table_name", F.lit(TOTAL_LABEL)).alias("table_name"), "row_count"))
 
@@ -39,9 +43,13 @@ def null_profile(df: DataFrame, name: str, only_with_nulls: bool = True) -> Data
     """(table, column, null count, share of rows in %) for each column."""
     wide = null_counts(df)
     long = wide.unpivot(["_rows"], [_q(c) for c in df.columns], "column_name", "null_count")
-    out = long.select(F.lit(name).alias("table_name"), "column_name",
-                      F.col("null_count").cast("bigint").alias("null_count"),
-                      pct_of(F.col("null_count"), F.col("_rows"), 1).alias("null_pct"))
+    return null_shares(long.withColumn("table_name", F.lit(name)), only_with_nulls)
+
+
+def null_shares(counts: DataFrame, only_with_nulls: bool = True) -> DataFrame:
+    """``null_profile`` from (table_name, column_name, null_count, _rows)."""
+    out = counts.select("table_name", "column_name", F.col("null_count").cast("bigint").alias("null_count"),
+                        pct_of(F.col("null_count"), F.col("_rows"), 1).alias("null_pct"))
     return out.filter(F.col("null_count") > 0) if only_with_nulls else out
 
 
@@ -62,9 +70,14 @@ def clean_report(raw: DataFrame, clean: DataFrame, name: str) -> DataFrame:
     tagged = (raw.select(F.lit(1).alias("_raw"), F.lit(0).alias("_clean"))
               .unionByName(clean.select(F.lit(0).alias("_raw"), F.lit(1).alias("_clean"))))
     n = tagged.agg(F.sum("_raw").cast("bigint").alias("raw_rows"), F.sum("_clean").cast("bigint").alias("clean_rows"))
+    return dropped_shares(n.withColumn("table_name", F.lit(name)))
+
+
+def dropped_shares(counts: DataFrame) -> DataFrame:
+    """``clean_report`` from (table_name, raw_rows, clean_rows)."""
     dropped = F.col("raw_rows") - F.col("clean_rows")
-    return n.select(F.lit(name).alias("table_name"), "raw_rows", "clean_rows",
-                    dropped.alias("dropped_rows"), pct_of(dropped, F.col("raw_rows"), 2).alias("dropped_pct"))
+    return counts.select("table_name", "raw_rows", "clean_rows", dropped.alias("dropped_rows"),
+                         pct_of(dropped, F.col("raw_rows"), 2).alias("dropped_pct"))
 
 
 def describe(df: DataFrame, columns: list[str], digits: int = 6, quartiles: bool = False,

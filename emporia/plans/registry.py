@@ -91,22 +91,38 @@ DESCRIBE_COLS = ["delivery_delay_days", "actual_delivery_days", "days_to_approve
                  "review_score", "items_count", "product_weight_g"]
 
 
-def _clean_tables(t: CommerceTables) -> dict[str, DataFrame]:
-    return {
-        "orders_clean": t.orders_clean, "customers_clean": t.customers_clean,
-        "order_items_clean": t.items_clean, "payments_agg": t.payments_agg,
-        "reviews_dedup": t.reviews_latest, "products_clean": t.products_clean,
-        "sellers_clean": t.sellers_clean, "retail_clean": t.retail_clean,
-    }
+# Names in the report on nulls after cleaning. Payments and reviews are reported per order.
+CLEAN_NAMES = {"orders": "orders_clean", "customers": "customers_clean", "order_items": "order_items_clean",
+               "products": "products_clean", "sellers": "sellers_clean", "retail": "retail_clean"}
 
 
-def _reconciled(t: CommerceTables) -> dict[str, tuple[DataFrame, DataFrame]]:
-    return {
-        "orders": (t.raw["orders"], t.orders_clean), "customers": (t.raw["customers"], t.customers_clean),
-        "order_items": (t.raw["order_items"], t.items_clean), "payments": (t.raw["payments"], t.payments_clean),
-        "reviews": (t.raw["reviews"], t.reviews_latest), "products": (t.raw["products"], t.products_clean),
-        "sellers": (t.raw["sellers"], t.sellers_clean), "retail": (t.raw["retail"], t.retail_clean),
-    }
+# The reports on cleaning are read from the counts that the cleaning passes have taken.
+
+def _row_counts(t: CommerceTables) -> DataFrame:
+    rows = [(n, t.counts(n)["raw_rows"]) for n in PROFILED]
+    return P.with_total(t.spark.createDataFrame(rows, "table_name string, row_count long"))
+
+
+def _null_profile(t: CommerceTables) -> DataFrame:
+    rows = [(n, c, t.counts(n)["raw_nulls", c], t.counts(n)["raw_rows"]) for n in PROFILED for c in t.raw[n].columns]
+    return P.null_shares(t.spark.createDataFrame(rows, "table_name string, column_name string, null_count long, _rows long"))
+
+
+def _null_total(t: CommerceTables) -> DataFrame:
+    rows = [(name, t.counts(n)["clean_rows"], sum(v for k, v in t.counts(n).items() if k[0] == "nulls"))
+            for n, name in CLEAN_NAMES.items()]
+    counted = t.spark.createDataFrame(rows, "table_name string, row_count long, total_nulls long")
+    return _union([counted, P.null_total(t.payments_agg, "payments_agg"), P.null_total(t.reviews_latest, "reviews_dedup")])
+
+
+def _clean_report(t: CommerceTables) -> DataFrame:
+    rows = [(n, t.counts(n)["raw_rows"], t.reviews_latest.count() if n == "reviews" else t.counts(n)["clean_rows"]) for n in PROFILED]
+    return P.dropped_shares(t.spark.createDataFrame(rows, "table_name string, raw_rows long, clean_rows long"))
+
+
+def _rejected_rows(t: CommerceTables) -> DataFrame:
+    rows = [r for n, rules in C.RULES.items() for r in C.rejected_counts(rules, t.counts(n), n)]
+    return t.spark.createDataFrame(rows, "table_name string, rule string, rejected long")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -126,10 +142,11 @@ def _capped(t: CommerceTables) -> DataFrame:
 
 
 TABLE_QUERIES = {
-    "row_counts": lambda t: P.row_counts({n: t.raw[n] for n in PROFILED}),
-    "null_profile": lambda t: _union([P.null_profile(t.raw[n], n) for n in PROFILED]),
-    "null_total": lambda t: _union([P.null_total(df, n) for n, df in _clean_tables(t).items()]),
-    "clean_report": lambda t: _union([P.clean_report(r, c, n) for n, (r, c) in _reconciled(t).items()]),
+    "row_counts": _row_counts,
+    "null_profile": _null_profile,
+    "null_total": _null_total,
+    "clean_report": _clean_report,
+    "rejected_rows": _rejected_rows,
     "describe_orders": lambda t: P.describe(t.master_featured, DESCRIBE_COLS),
     "clean_orders": lambda t: t.orders_clean,
     "clean_customers": lambda t: t.customers_clean,
@@ -141,7 +158,7 @@ TABLE_QUERIES = {
     "clean_sellers": lambda t: t.sellers_clean,
     "clean_payments": lambda t: t.payments_clean,
     "clean_reviews": lambda t: t.reviews_clean,
-    "category_clean": lambda t: C.clean_category_translation(t.raw["category_translation"]),
+    "category_clean": lambda t: t.category_clean,
     "rfm_retail_ml": lambda t: t.rfm_retail_ml,
     # Counts that are null for orders without items/payments travel as doubles,
     # the one numeric type whose nulls both engines hand over the same way.
@@ -320,8 +337,7 @@ def _rfm_scaled(t: CommerceTables) -> DataFrame:
 
 
 REGISTRY.update({"split_sizes": _table_query(_split_sizes), "index_labels": _table_query(_index_labels),
-                 "scale_factors": _table_query(_scale_factors), "rfm_scaled": _table_query(_rfm_scaled),
-                 "rejected_rows": _table_query(lambda t: _union([C.rejected(t.raw[n], r, n) for n, r in C.RULES.items()]))})
+                 "scale_factors": _table_query(_scale_factors), "rfm_scaled": _table_query(_rfm_scaled)})
 
 REGISTRY["rfm_capped_approx"] = _table_query(lambda t: R.cap_at_quantile(
     t.rfm_retail_ml, ["recency_days", "frequency", "monetary"], 0.99, exact=False, relative_error=0.001)[0])

@@ -9,20 +9,26 @@ executor then re-reads files instead of re-running the joins.
 
 from __future__ import annotations
 
+import math
 import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from emporia.operators import clean as C
 from emporia.operators import enrich as E
 from emporia.operators import rfm as R
+from emporia.operators.counted import PassCounts, nulls_of
 from emporia.operators.ranking import ROWS_IN_TASK, exact_quantile
 from emporia.plans.session import ensure_checkpoint_dir
 from emporia.sources import testdata
 from emporia.sources.files import load_all, load_parquet
 from emporia.sources.schemas import CATALOGUE
-from emporia.sources.sinks import balanced
+from emporia.sources.sinks import balanced, save_bucketed
+
+ORDERS_PER_BUCKET = 500_000
+MIN_BUCKETS = 8
 
 
 def materialized(df: DataFrame, name: str, partition_by: list[str] | None = None,
@@ -50,52 +56,116 @@ def materialized(df: DataFrame, name: str, partition_by: list[str] | None = None
 
 
 class CommerceTables:
+    """The tables of one workload.
+
+    ``materialize`` saves the clean tables and what several jobs share. The
+    tables with an ``order_id`` are saved in ``buckets`` by it, sorted, so that
+    totals per order and the joins by order need no exchange afterwards; the
+    other tables are plain Parquet. The pass that saves a clean table takes the
+    counts of its reports (``counts``).
+    """
+
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], rows_in_task: int = ROWS_IN_TASK,
-                 materialize: bool = True):
+                 materialize: bool = True, buckets: int | None = None):
         self.spark = spark
         self.raw = raw
         self.rows_in_task = rows_in_task
         self.materialize = materialize
+        self.bucketed: list[str] = []
+        self._buckets = buckets
+        self._counts: dict[str, dict] = {}
 
     def _keep(self, df: DataFrame, name: str, **kw) -> DataFrame:
         return materialized(df, name, **kw) if self.materialize else df
 
+    @cached_property
+    def buckets(self) -> int:
+        return self._buckets or max(MIN_BUCKETS, math.ceil(self.raw["orders"].count() / ORDERS_PER_BUCKET))
+
+    def _keep_by_order(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.materialize:
+            return df
+        base, tag = ensure_checkpoint_dir(self.spark).rstrip("/"), uuid.uuid4().hex[:8]
+        path = f"{base}/tables-{self.spark.sparkContext.applicationId}-{tag}/{name}"
+        self.bucketed.append(save_bucketed(df, f"emporia_{name}_{tag}", path, "order_id", self.buckets))
+        return self.spark.table(self.bucketed[-1])
+
+    def drop_bucketed(self) -> None:
+        """Take the bucketed tables out of the catalog; the files stay in the checkpoint folder."""
+        while self.bucketed:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.bucketed.pop()}")
+
     # -- clean tables --------------------------------------------------------
+    def _cleaned(self, name: str, finish=None, by_order: bool = False) -> DataFrame:
+        """A clean table, saved; its counts are taken by the job that writes it."""
+        raw, rules, finish = self.raw[name], C.RULES[name], finish or (lambda df: df)
+        if not self.materialize:
+            return finish(C.clean(raw, rules))
+        counts = PassCounts()
+        df = finish(C.clean_counted(raw, rules, counts))
+        df = counts.watch(df, {"clean_rows": F.count(F.lit(1))} | nulls_of(df, "nulls"))
+        saved = self._keep_by_order(df, f"{name}_clean") if by_order else self._keep(df, f"{name}_clean")
+        rows = saved.count()
+
+        def holds(c: dict) -> bool:
+            rejected = sum(c["rejected", r] for r in rules.tests())
+            merged = not rules.key or (c["merged"] or 0) == c["passed"]
+            return c["clean_rows"] == rows and c["raw_rows"] == c["passed"] + rejected and merged
+
+        self._counts[name] = counts.read(holds)
+        return saved
+
+    def counts(self, name: str) -> dict:
+        """The counts of a table's cleaning: raw_rows, (raw_nulls, column), (rejected, rule), passed, merged, kept, clean_rows
+        and (nulls, column)."""
+        getattr(self, CLEAN[name])
+        if name not in self._counts:
+            counts = PassCounts()
+            C.clean_counted(self.raw[name], C.RULES[name], counts)
+            clean = getattr(self, CLEAN[name])
+            counts.watch(clean, {"clean_rows": F.count(F.lit(1))} | nulls_of(clean, "nulls"))
+            self._counts[name] = counts.recount()
+        return self._counts[name]
+
     @cached_property
     def orders_clean(self) -> DataFrame:
-        return C.clean_orders(self.raw["orders"])
+        return self._cleaned("orders", by_order=True)
 
     @cached_property
     def customers_clean(self) -> DataFrame:
-        return C.clean_customers(self.raw["customers"])
+        return self._cleaned("customers")
 
     @cached_property
     def items_clean(self) -> DataFrame:
-        return C.clean_order_items(self.raw["order_items"])
+        return self._cleaned("order_items", by_order=True)
 
     @cached_property
     def payments_clean(self) -> DataFrame:
-        return C.clean_payments(self.raw["payments"])
+        return self._cleaned("payments", by_order=True)
 
     @cached_property
     def reviews_clean(self) -> DataFrame:
-        return C.clean_reviews(self.raw["reviews"])
+        return self._cleaned("reviews", by_order=True)
 
     @cached_property
     def reviews_latest(self) -> DataFrame:
         return C.latest_reviews(self.reviews_clean)
 
+    @cached_property
+    def category_clean(self) -> DataFrame:
+        return self._cleaned("category_translation")
+
     @cached_property
     def products_clean(self) -> DataFrame:
-        return C.clean_products(self.raw["products"], self.raw["category_translation"])
+        return self._cleaned("products", lambda df: C.translated(df, self.category_clean))
 
     @cached_property
     def sellers_clean(self) -> DataFrame:
-        return C.clean_sellers(self.raw["sellers"])
+        return self._cleaned("sellers")
 
     @cached_property
     def retail_clean(self) -> DataFrame:
-        return C.clean_retail(self.raw["retail"])
+        return self._cleaned("retail", C.valued)
 
     def clean_tables(self) -> dict[str, DataFrame]:
         return {"orders": self.orders_clean, "customers": self.customers_clean, "order_items": self.items_clean,
@@ -111,8 +181,16 @@ class CommerceTables:
     def payments_agg(self) -> DataFrame:
         return E.payments_per_order(self.payments_clean)
 
+    @cached_property
+    def items_side(self) -> DataFrame:
+        """Order-line totals with what the main product and seller add."""
+        return self._keep_by_order(E.items_with_lookups(self.items_agg, self.products_clean, self.sellers_clean), "items_side")
+
     @cached_property
     def master(self) -> DataFrame:
+        if self.materialize:
+            return E.master_by_order(self.orders_clean, self.customers_clean, self.items_side, self.payments_agg,
+                                     self.reviews_latest)
         return E.build_master(self.orders_clean, self.customers_clean, self.items_agg, self.payments_agg,
                               self.reviews_latest, self.products_clean, self.sellers_clean)
 
@@ -160,6 +238,11 @@ class CommerceTables:
         return self._keep(R.rfm_retail(self.retail_lines, for_clustering=True), "rfm_retail_ml")
 
 
+# Raw table -> the property with its clean form.
+CLEAN = {"orders": "orders_clean", "customers": "customers_clean", "order_items": "items_clean", "payments": "payments_clean",
+         "reviews": "reviews_clean", "category_translation": "category_clean", "products": "products_clean",
+         "sellers": "sellers_clean", "retail": "retail_clean"}
+
 _MEMO: dict = {}
 
 
