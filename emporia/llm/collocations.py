@@ -47,8 +47,8 @@ from emporia.plans.session import ensure_checkpoint_dir
 
 LONGEST = 4
 SHARD_BYTES = 8 << 20       # text of a transducer
-RANGE_BYTES = 16 << 20      # text whose paths make up a prefix range
-MERGE_PATHS = 1 << 22       # paths that are united at once
+RANGE_BYTES = 8 << 20       # text whose paths make up a prefix range
+MERGE_PATHS = 1 << 20       # paths that are united at once
 SAMPLE_BYTES = 16 << 20     # text whose paths are looked at for the ranges
 SAMPLE_PATHS = 1 << 16
 UNKNOWN_LANG = "und"
