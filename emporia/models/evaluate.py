@@ -85,6 +85,36 @@ def roc_area(points: DataFrame) -> DataFrame:
         F.sum(F.coalesce((F.col("fpr") - F.col("f0")) * (F.col("tpr") + F.col("t0")) / 2, F.lit(0.0))).alias("auc")))
 
 
+def ranked_scores(predictions: DataFrame, label: str, keep) -> DataFrame:
+    """(score, pos, neg, pos_above, neg_above): the rows of each distinct score, and those with a higher one.
+
+    Tied rows are one row of counts before anything is shuffled. The distinct
+    scores are dealt out in ranges, which ``keep(df, name)`` saves, so a range
+    keeps its number; sums over a range and over the ranges before it (a row
+    each) give the counts above, and no task holds more than a range.
+    """
+    counts = (predictions.select(positive_probability(predictions).alias("score"), F.col(label).cast("long").alias("y"))
+              .groupBy("score").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")))
+    ranges = keep(counts.repartitionByRange(F.desc("score")).withColumn("range", F.spark_partition_id()), "score_ranges")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)      # a row per range
+    totals = ranges.groupBy("range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    totals = totals.select("range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in "pn"])
+    inside = Window.partitionBy("range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
+    above = lambda c, t: F.col(t) + F.coalesce(F.sum(c).over(inside), F.lit(0))
+    return (ranges.join(F.broadcast(totals), "range")
+            .select("score", "pos", "neg", above("pos", "p").alias("pos_above"), above("neg", "n").alias("neg_above")))
+
+
+def exact_area(ranked: DataFrame, model: str) -> DataFrame:
+    """(model, positives, negatives, auc): the share of pairs of a positive and a negative row that the scores order rightly,
+    ties counted half; null if a class is absent."""
+    doubled = F.sum((F.col("neg") * (2 * F.col("pos_above") + F.col("pos"))).cast("decimal(38,0)"))
+    sums = ranked.agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"), doubled.alias("_d"))
+    pairs = F.col("positives").cast("double") * F.col("negatives") * 2
+    return sums.select(F.lit(model).alias("model"), "positives", "negatives",
+                       (F.col("_d").cast("double") / F.nullif(pairs, F.lit(0.0))).alias("auc"))
+
+
 def series(spark: SparkSession, model: str, values: list[float], name: str) -> DataFrame:
     """(model, iteration, value) from a per-iteration list held by a fitted model."""
     rows = [(model, i, float(v)) for i, v in enumerate(values)]

@@ -12,7 +12,7 @@ returned as doubles.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporia.functions.columns import avg_of, day_name, pct_of, round_money, year_month_label
@@ -282,6 +282,61 @@ def r4_payments(mf: DataFrame) -> DataFrame:
         .orderBy(F.desc("orders"), F.asc_nulls_first("primary_payment_type")))
 
 
+# -- the four summaries in one pass ---------------------------------------------
+
+def summary_cells(mf: DataFrame) -> DataFrame:
+    """All four summaries from one scan: a row per month, category, state and payment type, told apart by ``summary``.
+
+    Each order goes into its four groups (grouping sets written out, so that
+    only the state rows carry the customer whose distinct count they need).
+    The result holds a row per group, whatever the number of orders.
+    """
+    d = _delivered()
+    none, no_year = F.lit(None).cast("string"), F.lit(None).cast("int")
+
+    def group(name: str, where: Column, label=none, year=no_year, month=no_year, customer=none) -> Column:
+        return F.when(where, F.struct(F.lit(name).alias("summary"), label.alias("label"), year.alias("year"), month.alias("month"),
+                                      customer.alias("customer")))
+
+    category = F.col("product_category_name_english")
+    groups = F.array_compact(F.array(
+        group("month", d, year=F.col("order_year"), month=F.col("order_month")),
+        group("category", d & ~category.isin(*EXCLUDED_CATEGORIES), category),
+        group("state", d, F.col("customer_state"), customer=F.col("customer_unique_id")),
+        group("payment", F.lit(True), F.col("primary_payment_type"))))
+    measures = [TOV, "review_score", "actual_delivery_days", "is_late_delivery", "total_payment_value", "order_id"]
+    rows = mf.select(F.explode(groups).alias("g"), *measures).select("g.*", *measures)
+    return rows.groupBy("summary", "label", "year", "month").agg(
+        _n().alias("rows"), _orders().alias("orders"), round_money(F.sum(TOV)).alias("revenue"), avg_of(TOV, 2).alias("avg_order_value"),
+        avg_of("review_score", 2).alias("avg_review_score"), avg_of("actual_delivery_days", 1).alias("avg_delivery_days"),
+        F.sum("is_late_delivery").alias("late"), round_money(F.sum("total_payment_value")).alias("total_payment"),
+        avg_of("total_payment_value", 2).alias("avg_payment"), F.count_distinct("customer").alias("customers"))
+
+
+def r1_of_cells(cells: DataFrame) -> DataFrame:
+    return (cells.filter("summary = 'month'").select(
+        F.col("year").alias("order_year"), F.col("month").alias("order_month"), year_month_label("year", "month").alias("year_month"),
+        F.col("orders").alias("orders_count"), F.col("revenue").alias("monthly_revenue"), "avg_order_value")
+        .orderBy("order_year", "order_month"))
+
+
+def r2_of_cells(cells: DataFrame) -> DataFrame:
+    return (cells.filter("summary = 'category'").select(F.col("label").alias("category"), "orders", "revenue", "avg_review_score",
+                                                        "avg_delivery_days")
+            .orderBy(F.desc_nulls_last("revenue"), "category"))
+
+
+def r3_of_cells(cells: DataFrame) -> DataFrame:
+    return cells.filter("summary = 'state'").select(F.col("label").alias("customer_state"), "customers", "orders", "revenue",
+                                                    "avg_delivery_days", pct_of(F.col("late"), F.col("rows"), 2).alias("late_pct"))
+
+
+def r4_of_cells(cells: DataFrame) -> DataFrame:
+    return (cells.filter("summary = 'payment'").select(F.col("label").alias("primary_payment_type"), F.col("rows").alias("orders"),
+                                                       "total_payment", "avg_payment")
+            .orderBy(F.desc("orders"), F.asc_nulls_first("primary_payment_type")))
+
+
 QUESTIONS = {
     "q01_revenue_kpis": ("mf", q01_revenue_kpis),
     "q02_monthly_revenue": ("mf", q02_monthly_revenue),
@@ -303,8 +358,8 @@ QUESTIONS = {
     "q18_best_sellers": ("lines", q18_best_sellers),
     "q19_sales_by_hour": ("lines", q19_sales_by_hour),
     "q20_high_low_value": ("rf", q20_high_low_value),
-    "r1_monthly": ("mf", r1_monthly),
-    "r2_category": ("mf", r2_category),
-    "r3_state": ("mf", r3_state),
-    "r4_payments": ("mf", r4_payments),
+    "r1_monthly": ("cells", r1_of_cells),
+    "r2_category": ("cells", r2_of_cells),
+    "r3_state": ("cells", r3_of_cells),
+    "r4_payments": ("cells", r4_of_cells),
 }

@@ -858,4 +858,40 @@ def _exports() -> str:
     return "\nUNION ALL ".join(parts)
 
 
-TABLES.update({"rejected_rows": _rejected(), "export_manifest": _exports()})
+def _quarantine() -> str:
+    k = "(CAST(order_id AS BIGINT) + order_item_id)"
+    reason = (f"CASE WHEN {k} % 101 = 0 THEN 'too few fields' WHEN {k} % 103 = 0 THEN 'too many fields' "
+              f"WHEN {k} % 107 = 0 THEN 'badly quoted' ELSE 'kept' END")
+    return (f"SELECT {reason} AS reason, COUNT(*) AS row_count, "
+            f"CAST(CASE WHEN {reason} = 'kept' THEN SUM(order_item_id) END AS BIGINT) AS item_sum FROM order_items_raw GROUP BY 1")
+
+
+TABLES.update({"rejected_rows": _rejected(), "export_manifest": _exports(), "quarantine_report": _quarantine()})
+
+
+# -- refresh, upkeep and stored sketches ---------------------------------------------
+
+def _value_quantiles() -> str:
+    columns = ["total_order_value", "items_total_freight", "actual_delivery_days"]
+    points = ", ".join(f"CAST(QUANTILE_DISC(CAST({{c}} AS DOUBLE), {p}) AS DOUBLE) AS p{round(100 * p)}" for p in (0.25, 0.5, 0.75, 0.99))
+    return "\nUNION ALL ".join(
+        f"SELECT CAST(order_year AS BIGINT) AS order_year, '{c}' AS column_name, COUNT({c}) AS n, {points.format(c=c)} FROM featured "
+        f"WHERE {c} IS NOT NULL GROUP BY order_year" for c in columns)
+
+
+TABLES.update({
+    "refresh_years": "SELECT CAST(order_year AS BIGINT) AS order_year, COUNT(*) AS orders, CAST(SUM(total_order_value) AS DOUBLE) AS revenue "
+                     "FROM featured GROUP BY order_year",
+    "rfm_upkeep_orders": select_table("rfm_base", RFM_COLS[:4]),
+    "rfm_upkeep_retail": select_table("rfm_retail", RFM_RETAIL_COLS),
+    "customers_by_state_sketch": "SELECT CAST(order_year AS BIGINT) AS order_year, customer_state, COUNT(*) AS orders, "
+                                 "COUNT(DISTINCT customer_unique_id) AS customers FROM featured GROUP BY order_year, customer_state",
+    "customers_retained_sketch": """
+SELECT CAST(a.order_year AS BIGINT) AS order_year, COUNT(*) AS customers, COUNT(b.customer_unique_id) AS retained,
+       COUNT(*) - COUNT(b.customer_unique_id) AS lost
+FROM (SELECT DISTINCT order_year, customer_unique_id FROM featured WHERE customer_unique_id IS NOT NULL) a
+LEFT JOIN (SELECT DISTINCT order_year, customer_unique_id FROM featured) b
+  ON b.customer_unique_id = a.customer_unique_id AND b.order_year = a.order_year + 1
+GROUP BY a.order_year""",
+    "value_quantiles_sketch": _value_quantiles(),
+})

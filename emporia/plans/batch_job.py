@@ -16,6 +16,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from emporia.operators import reports
 from emporia.plans.tables import CommerceTables, from_csv, from_testdata
@@ -41,10 +42,10 @@ def register_views(t: CommerceTables, orientation: str = "best_high") -> list[st
             *register_frames(named_tables(t, orientation))]
 
 
-def summaries(mf: DataFrame) -> dict[str, DataFrame]:
-    """The four grouped summaries of the featured orders."""
-    return {"monthly_revenue": reports.r1_monthly(mf), "category_revenue": reports.r2_category(mf),
-            "state": reports.r3_state(mf), "payments": reports.r4_payments(mf)}
+def summaries(cells: DataFrame) -> dict[str, DataFrame]:
+    """The four grouped summaries of the featured orders, from ``reports.summary_cells``."""
+    return {"monthly_revenue": reports.r1_of_cells(cells), "category_revenue": reports.r2_of_cells(cells),
+            "state": reports.r3_of_cells(cells), "payments": reports.r4_of_cells(cells)}
 
 
 def run(t: CommerceTables, out: str, as_tables: bool = False, orientation: str = "best_high") -> DataFrame:
@@ -55,7 +56,18 @@ def run(t: CommerceTables, out: str, as_tables: bool = False, orientation: str =
         where = save_table(df, name, None if as_tables else f"{out}/tables/{name}", partition_by=PARTITIONS.get(name))
         saved[name] = table(t.spark, where) if as_tables else load_parquet(t.spark, where)
     # The exports read what was saved instead of computing it again.
-    return export_all(saved, summaries(saved["master_featured"]), f"{out}/exports")
+    cells = load_parquet(t.spark, save_table(reports.summary_cells(saved["master_featured"]), "summary_cells", f"{out}/tables/summary_cells"))
+    return export_all(saved, summaries(cells), f"{out}/exports")
+
+
+def refresh(t: CommerceTables, out: str, years: list[int]) -> DataFrame:
+    """Bring some years of the saved featured orders up to date; returns the orders and value of each year."""
+    path = t.refresh_years(f"{out.rstrip('/')}/tables/master_featured", years)
+    return orders_by_year(load_parquet(t.spark, path))
+
+
+def orders_by_year(mf: DataFrame) -> DataFrame:
+    return mf.groupBy("order_year").agg(F.count("order_id").alias("orders"), F.sum("total_order_value").alias("revenue"))
 
 
 def main(argv=None):
@@ -65,12 +77,14 @@ def main(argv=None):
     src.add_argument("--testdata", help="folder with the TPC-H-like test tables")
     ap.add_argument("--out", required=True, help="output folder (shared storage)")
     ap.add_argument("--as-tables", action="store_true", help="save to the catalog instead of Parquet paths")
+    ap.add_argument("--refresh-years", type=int, nargs="+", help="only replace these years of the saved featured orders")
     ap.add_argument("--orientation", choices=["best_high", "as_coded"], default="best_high",
                     help="RFM score direction (as_coded: score 1 = best, as originally computed)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("emporia-batch").getOrCreate()
     t = from_csv(spark, a.csv) if a.csv else from_testdata(spark, a.testdata)
-    run(t, a.out, a.as_tables, a.orientation).show(truncate=False)
+    done = refresh(t, a.out, a.refresh_years) if a.refresh_years else run(t, a.out, a.as_tables, a.orientation)
+    done.show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -24,15 +24,19 @@ from emporia.models import evaluate as MV
 from emporia.functions.columns import round_half_up
 from emporia.models.classifiers import SPECS
 from emporia.models.prep import model_frame, prep_orders_ml
-from emporia.models.stages import build_pipeline, feature_names, hash_split, sample_by_key
+from emporia.models.stages import build_pipeline, feature_names, hash_split, key_bucket, sample_by_key
 from emporia.operators import clean as C
 from emporia.operators import profile as P
 from emporia.operators import reports
 from emporia.operators import rfm as R
-from emporia.plans.batch_job import named_tables, summaries
+from emporia.operators import sketches
+from emporia.operators.rfm_state import RfmState, Scored
+from emporia.plans.batch_job import named_tables, orders_by_year, summaries
 from emporia.plans.session import ensure_checkpoint_dir
 from emporia.plans.tables import CommerceTables, clusters, fitted, from_testdata, ml_source
-from emporia.sources.sinks import export_all
+from emporia.sources.files import load_sound_csv
+from emporia.sources.schemas import CATALOGUE
+from emporia.sources.sinks import export_all, write_parquet
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -62,7 +66,7 @@ def _question(fn, source: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = _tables(spark, sf_dir)
         src = {"mf": lambda: t.master_featured, "rfm": lambda: t.rfm_olist, "rf": lambda: t.retail_featured,
-               "rfm_base": lambda: t.rfm_base, "lines": lambda: t.retail_lines}[source]()
+               "rfm_base": lambda: t.rfm_base, "lines": lambda: t.retail_lines, "cells": lambda: t.summary_cells}[source]()
         return to_edge_types(fn(src))
     return run
 
@@ -120,11 +124,6 @@ def _clean_report(t: CommerceTables) -> DataFrame:
     return P.dropped_shares(t.spark.createDataFrame(rows, "table_name string, raw_rows long, clean_rows long"))
 
 
-def _rejected_rows(t: CommerceTables) -> DataFrame:
-    rows = [r for n, rules in C.RULES.items() for r in C.rejected_counts(rules, t.counts(n), n)]
-    return t.spark.createDataFrame(rows, "table_name string, rule string, rejected long")
-
-
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -146,7 +145,7 @@ TABLE_QUERIES = {
     "null_profile": _null_profile,
     "null_total": _null_total,
     "clean_report": _clean_report,
-    "rejected_rows": _rejected_rows,
+    "rejected_rows": lambda t: t.rejected_rows(),
     "describe_orders": lambda t: P.describe(t.master_featured, DESCRIBE_COLS),
     "clean_orders": lambda t: t.orders_clean,
     "clean_customers": lambda t: t.customers_clean,
@@ -243,6 +242,8 @@ MODEL_QUERIES = {
                                                               fitted(t, k).spec.name) for k in MODEL_KEYS]),
     "roc_points": _roc,
     "roc_area": lambda t: MV.roc_area(_roc(t)),
+    "roc_area_exact": lambda t: _union([MV.exact_area(MV.ranked_scores(fitted(t, k).predictions, fitted(t, k).spec.label, t._keep),
+                                                      fitted(t, k).spec.name) for k in MODEL_KEYS]),
     "lr_loss": lambda t: MV.series(t.spark, "Logistic Regression",
                                    fitted(t, "lr").estimator.summary.objectiveHistory, "objective"),
     "gbt_loss": lambda t: MV.series(t.spark, "GBT", fitted(t, "gbt").estimator.evaluateEachIteration(
@@ -352,7 +353,99 @@ def _export(t: CommerceTables) -> DataFrame:
     """Rows of each export, read back from its files."""
     base = ensure_checkpoint_dir(t.spark).rstrip("/") + f"/exports-{t.spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
     tables = {k: to_edge_types(v) for k, v in named_tables(t).items()}
-    return export_all(tables, summaries(t.master_featured), base).select("export", "row_count")
+    return export_all(tables, summaries(t.summary_cells), base).select("export", "row_count")
 
 
 REGISTRY["export_manifest"] = _table_query(_export)
+
+
+# -- malformed input (S1, S2) -------------------------------------------------------
+
+
+def _damaged_csv(t: CommerceTables, base: str) -> None:
+    """The raw order lines as CSV text; by rule some lines lose fields, get one more, or an open quote."""
+    fields = [F.concat(F.lit('"'), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"'))
+              if c == "product_id" else F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ITEM_COLUMNS]
+    line, k = F.concat_ws(",", *fields), F.col("order_id").cast("bigint") + F.col("order_item_id")
+    line = (F.when(k % 101 == 0, F.concat_ws(",", *fields[:4])).when(k % 103 == 0, F.concat(line, F.lit(",more")))
+            .when(k % 107 == 0, F.concat_ws(",", F.col("order_id"), F.lit('"open'), *fields[2:])).otherwise(line))
+    t.raw["order_items"].select(line.alias("value")).write.text(base)
+
+
+ITEM_COLUMNS = [f.name for f in CATALOGUE["order_items"][1].fields]
+
+
+def _quarantine(t: CommerceTables) -> DataFrame:
+    """Order lines kept and set aside, by reason, after a round trip through a damaged CSV file."""
+    base = ensure_checkpoint_dir(t.spark).rstrip("/") + f"/damaged-{uuid.uuid4().hex[:8]}"
+    _damaged_csv(t, f"{base}/csv")
+    sound, aside = load_sound_csv(t.spark, f"{base}/csv", CATALOGUE["order_items"][1], f"{base}/staged", header=False)
+    kept = sound.agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.col("order_item_id")).alias("item_sum"))
+    return kept.select(F.lit("kept").alias("reason"), "row_count", "item_sum").unionByName(
+        aside.groupBy("reason").agg(F.count(F.lit(1)).alias("row_count")).withColumn("item_sum", F.lit(None).cast("long")))
+
+
+REGISTRY["quarantine_report"] = _table_query(_quarantine)
+
+
+# -- refresh and upkeep (S8, S9, A3-A5) ----------------------------------------------
+
+REFRESHED = 1997            # the year that is stale at first
+BATCHES = 4
+
+
+def _scratch(t: CommerceTables, name: str) -> str:
+    return ensure_checkpoint_dir(t.spark).rstrip("/") + f"/{name}-{t.spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
+
+
+def _refresh_years(t: CommerceTables) -> DataFrame:
+    """Orders and value by year after one stale year (a quarter of its orders missing) is replaced in the saved table."""
+    path = _scratch(t, "refreshed")
+    missing = (F.col("order_year") == REFRESHED) & (key_bucket("order_id", BATCHES) == 0)
+    write_parquet(t.master_featured.filter(F.coalesce(~missing, F.lit(True))), path, partition_by=["order_year"])
+    return orders_by_year(t.spark.read.parquet(t.refresh_years(path, [REFRESHED])))
+
+
+def _upkeep(t: CommerceTables, rows: DataFrame, scored: Scored, split: str) -> DataFrame:
+    """Scores from a state into which the rows were folded in batches, one of them twice, with a compaction between."""
+    state = RfmState(t.spark, _scratch(t, "rfm-state"), scored)
+    for k in [0, 1, 0]:
+        state.fold(rows.filter(key_bucket(split, BATCHES) == k), f"b{k}")
+    state = state.compact()
+    for k in range(2, BATCHES):
+        state.fold(rows.filter(key_bucket(split, BATCHES) == k), f"b{k}")
+    return state.rfm()
+
+
+ORDER_SCORES = Scored("customer_unique_id", "order_id", "order_purchase_timestamp", "total_order_value", "order_status = 'delivered'")
+RETAIL_SCORES = Scored("Customer ID", "Invoice", "InvoiceDate", "TotalLineValue", "`Customer ID` <> -1")
+
+REGISTRY.update({
+    "refresh_years": _table_query(_refresh_years),
+    "rfm_upkeep_orders": _table_query(lambda t: _upkeep(t, t.master_featured, ORDER_SCORES, "order_id")),
+    # Lines of one invoice come in several batches.
+    "rfm_upkeep_retail": _table_query(lambda t: _upkeep(t, t.retail_lines, RETAIL_SCORES, "StockCode")),
+})
+
+
+# -- stored sketches (A13, A10) ------------------------------------------------------
+
+VALUE_COLUMNS = ["total_order_value", "items_total_freight", "actual_delivery_days"]
+
+
+def _customer_cells(t: CommerceTables) -> DataFrame:
+    if "_customer_cells" not in t.__dict__:
+        t.__dict__["_customer_cells"] = t._keep(sketches.customer_cells(t.master_featured), "customer_cells")
+    return t.__dict__["_customer_cells"]
+
+
+def _value_quantiles(t: CommerceTables) -> DataFrame:
+    cells = t._keep(sketches.quantile_cells(t.master_featured, ("order_year", "order_month"), VALUE_COLUMNS), "value_cells")
+    return sketches.quantiles_by(cells, ["order_year"], VALUE_COLUMNS)
+
+
+REGISTRY.update({
+    "customers_by_state_sketch": _table_query(lambda t: sketches.distinct_by(_customer_cells(t), "order_year", "customer_state")),
+    "customers_retained_sketch": _table_query(lambda t: sketches.retained_by(_customer_cells(t), "order_year")),
+    "value_quantiles_sketch": _table_query(_value_quantiles),
+})

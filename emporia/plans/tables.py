@@ -18,14 +18,15 @@ from pyspark.sql import functions as F
 
 from emporia.operators import clean as C
 from emporia.operators import enrich as E
+from emporia.operators import reports
 from emporia.operators import rfm as R
 from emporia.operators.counted import PassCounts, nulls_of
 from emporia.operators.ranking import ROWS_IN_TASK, exact_quantile
 from emporia.plans.session import ensure_checkpoint_dir
 from emporia.sources import testdata
-from emporia.sources.files import load_all, load_parquet
+from emporia.sources.files import load_all, load_all_sound, load_parquet
 from emporia.sources.schemas import CATALOGUE
-from emporia.sources.sinks import balanced, save_bucketed
+from emporia.sources.sinks import balanced, refresh_partitions, save_bucketed
 
 ORDERS_PER_BUCKET = 500_000
 MIN_BUCKETS = 8
@@ -72,6 +73,7 @@ class CommerceTables:
         self.rows_in_task = rows_in_task
         self.materialize = materialize
         self.bucketed: list[str] = []
+        self.quarantine: dict[str, DataFrame] = {}      # malformed input records, by table
         self._buckets = buckets
         self._counts: dict[str, dict] = {}
 
@@ -127,6 +129,15 @@ class CommerceTables:
             self._counts[name] = counts.recount()
         return self._counts[name]
 
+    def rejected_rows(self) -> DataFrame:
+        """(table_name, rule, rejected) of every table: malformed records by reason, then what each cleaning rule takes out."""
+        rows = [r for n, rules in C.RULES.items() for r in C.rejected_counts(rules, self.counts(n), n)]
+        counted = self.spark.createDataFrame(rows, "table_name string, rule string, rejected long")
+        for name, aside in self.quarantine.items():
+            counted = counted.unionByName(aside.groupBy(F.col("reason").alias("rule")).agg(F.count(F.lit(1)).alias("rejected"))
+                                          .withColumn("table_name", F.lit(name)))
+        return counted
+
     @cached_property
     def orders_clean(self) -> DataFrame:
         return self._cleaned("orders", by_order=True)
@@ -199,6 +210,20 @@ class CommerceTables:
         return self._keep(E.featurize_orders(self.master), "master_featured", partition_by=["order_year"],
                           sort_within=["order_status"])
 
+    @cached_property
+    def summary_cells(self) -> DataFrame:
+        """The groups of the four summaries, from one scan."""
+        return self._keep(reports.summary_cells(self.master_featured), "summary_cells")
+
+    def featured_of_years(self, years: list[int]) -> DataFrame:
+        """The featured orders of some years, from the saved clean tables; only those orders are joined."""
+        wanted = self.orders_clean.filter(F.year("order_purchase_timestamp").isin(list(years)))
+        return E.featurize_orders(E.master_by_order(wanted, self.customers_clean, self.items_side, self.payments_agg, self.reviews_latest))
+
+    def refresh_years(self, path: str, years: list[int]) -> str:
+        """Replace some years of featured orders saved at ``path`` (partitioned by year); other years' files stay as they are."""
+        return refresh_partitions(self.featured_of_years(years), path, "order_year", years)
+
     # -- customers -----------------------------------------------------------
     @cached_property
     def rfm_base(self) -> DataFrame:
@@ -254,14 +279,22 @@ def from_testdata(spark: SparkSession, sf_dir: str, **kw) -> CommerceTables:
     return _MEMO[key]
 
 
-def from_csv(spark: SparkSession, base: str, paths: dict | None = None, **kw) -> CommerceTables:
+def from_csv(spark: SparkSession, base: str, paths: dict | None = None, quarantine: str | None = None, **kw) -> CommerceTables:
     """Tables from the original CSV files under ``base``.
 
-    The geolocation file is catalogued (``load_all`` reads it on request) but
-    feeds no table, so it is not opened here.
+    ``quarantine`` names a folder: the rows are then read once and saved there,
+    sound ones and malformed records apart; the latter are the tables'
+    ``quarantine`` and are counted with the rejected rows. The geolocation file
+    is catalogued (``load_all`` reads it on request) but feeds no table, so it
+    is not opened here.
     """
     names = [n for n in CATALOGUE if n != "geolocation"]
-    return CommerceTables(spark, load_all(spark, base, names=names, paths=paths), **kw)
+    if quarantine is None:
+        return CommerceTables(spark, load_all(spark, base, names=names, paths=paths), **kw)
+    sound, aside = load_all_sound(spark, base, quarantine, names=names, paths=paths)
+    tables = CommerceTables(spark, sound, **kw)
+    tables.quarantine = aside
+    return tables
 
 
 # -- models ----------------------------------------------------------------------

@@ -74,5 +74,14 @@ CATALOGUE = {
     "retail": ("online_retail_II.csv", RETAIL),
 }
 
-# Tables whose quoted fields hold line ends (free-text comments); all others are read in splits.
-MULTI_LINE = {"reviews"}
+# Columns of free text: their quoted fields may hold line ends.
+FREE_TEXT = {"review_comment_title", "review_comment_message", "Description"}
+
+
+def has_free_text(schema: StructType | None) -> bool:
+    """Whether fields may hold line ends; without a declared schema they may."""
+    return schema is None or any(f.name in FREE_TEXT for f in schema.fields)
+
+
+# Tables that are read with line ends inside quoted fields, a task per file; all others are read in splits.
+MULTI_LINE = {name for name, (_, schema) in CATALOGUE.items() if has_free_text(schema)}

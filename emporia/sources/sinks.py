@@ -22,12 +22,43 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> str:
-    """CSV with a header; ``single_file`` (for grouped summaries) writes one part, otherwise the partitioning stays."""
+    """CSV with a header; ``single_file`` (for grouped summaries) writes one part, otherwise the partitioning stays.
+
+    Quotes inside a field are doubled, as other tools and ``load_csv`` expect;
+    spaces at the ends of a field stay, and empty text is quoted, so it differs
+    from null.
+    """
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", True).csv(path)
+    (out.write.mode(mode).option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).option("emptyValue", '""').csv(path))
     return path
 
 
+def refresh_partitions(df: DataFrame, path: str, partition_by: str, values: list) -> str:
+    """Replace the partitions ``values`` of the Parquet table at ``path`` by their rows in ``df``; no other file is touched.
+
+    Only the rows of those partitions are computed. A partition that has no
+    row any more is removed. Rows in other partitions than ``values`` are not
+    written.
+    """
+    spark = df.sparkSession
+    folders = [f"{partition_by}={v}" for v in values]
+    before = _files_in(spark, path, folders)
+    (balanced(df.filter(F.col(partition_by).isin(list(values))), [partition_by]).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
+    # Only partitions with rows are overwritten: one that keeps its old files has none.
+    for folder in {f for f, _ in before & _files_in(spark, path, folders)}:
+        gone = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{folder}")
+        gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+    return path
+
+
+def _files_in(spark: SparkSession, path: str, folders: list[str]) -> set[tuple[str, str]]:
+    """(folder, file) of the data files in partition folders; a listing, no file is read."""
+    folder = F.regexp_extract("path", r"/([^/]+)/part-[^/]*$", 1)
+    return {tuple(r) for r in list_files(spark, path).select(folder.alias("f"), "path").filter(F.col("f").isin(folders)).collect()}
+
+
 def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite",
                partition_by: list[str] | None = None) -> str:
     """Managed table in the catalog, or Parquet at ``path`` when there is no metastore."""
@@ -75,10 +106,10 @@ def export_all(tables: dict[str, DataFrame], summaries: dict[str, DataFrame], ba
         if name in parquet_tables:
             write_parquet(df, f"{base}/{name}.parquet")
             rows.append((f"{name}.parquet", load_parquet(spark, f"{base}/{name}.parquet").count()))
-        rows.append((f"{name}_csv", load_csv(spark, write_csv(df, f"{base}/{name}_csv")).count()))
+        rows.append((f"{name}_csv", load_csv(spark, write_csv(df, f"{base}/{name}_csv"), df.schema, multi_line=True).count()))
     for name, df in summaries.items():
         path = write_csv(df, f"{base}/summary_{name}", single_file=True)
-        rows.append((f"summary_{name}", load_csv(spark, path).count()))
+        rows.append((f"summary_{name}", load_csv(spark, path, df.schema, multi_line=True).count()))
     counts = spark.createDataFrame(rows, "export string, row_count long")
     rel = F.regexp_extract("path", r"^.*?/(" + base.split("/")[-1] + r"/.*)$", 1)
     folder = F.regexp_extract(rel, r"^[^/]+/([^/]+)/", 1)
