@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
@@ -10,8 +11,9 @@ from pyspark.ml.classification import (
 )
 from pyspark.sql import DataFrame
 
-from emporia.models.prep import model_frame
-from emporia.models.stages import build_pipeline, hash_split, sample_by_key
+from emporia.models.prep import ROW_KEY, model_frame
+from emporia.models.stages import build_pipeline, key_bucket, sample_by_key
+from emporia.plans.session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -25,6 +27,7 @@ class ModelSpec:
     top_k: int
     key: tuple[str, ...] = ("order_id",)      # rows are split and sampled by it
     train_share: float = 1.0                  # share of the training keys that is used; 1 uses all
+    train_rows: int | None = None             # the fit sees about so many training rows at most; None: all
 
 
 # Features, labels and hyper-parameters of the four models.
@@ -57,6 +60,10 @@ SPECS = {
                                     seed=42), 10, ("Invoice", "StockCode")),
 }
 
+# The boosted trees fitted on at most so many training rows, as an option for large tables.
+GBT_TRAIN_ROWS = 200_000
+SPECS_SAMPLED = {"gbt_sampled": replace(SPECS["gbt"], name="GBT (sampled)", train_rows=GBT_TRAIN_ROWS)}
+
 
 @dataclass
 class FittedModel:
@@ -79,14 +86,25 @@ def train(spec: ModelSpec, source: DataFrame, train_pct: int = 80, seed: int = 4
     """Select the model's columns, drop incomplete rows, split by key, fit, score.
 
     ``spec.train_share`` below 1 fits on the rows of that share of the training
-    keys; the test rows are all scored. ``keep(df, name)`` stores the scored
-    rows, which every metric table reads; nothing stays cached afterwards.
+    keys, ``spec.train_rows`` on the share that gives about so many rows; the
+    test rows are all scored. ``keep(df, name)`` stores the scored rows, which
+    every metric table reads; nothing stays cached afterwards.
     """
-    data = model_frame(source, spec.numeric, spec.categorical, spec.label, list(spec.key)).persist()
-    tr, te = hash_split(data, train_pct=train_pct, seed=seed)
-    used = tr if spec.train_share >= 1 else sample_by_key(tr, spec.train_share)
+    frame = model_frame(source, spec.numeric, spec.categorical, spec.label, list(spec.key))
+    # The side of each row is part of the cached frame, so no pass of a fit hashes the keys again.
+    data = frame.withColumn("_side", key_bucket(ROW_KEY, 100, seed) < train_pct).persist()
+    tr, te = data.filter("_side").drop("_side"), data.filter("NOT _side").drop("_side")
+    share = spec.train_share
+    if spec.train_rows is not None:
+        share = min(share, spec.train_rows / max(1, tr.count()))
+    used = tr if share >= 1 else sample_by_key(tr, share).persist()
     model = build_pipeline(spec.numeric, spec.categorical, spec.make(spec.label), spec.scale).fit(used)
-    scored = model.transform(te)
+    # Scored by the saved model: a fitted one carries its training summary, and with it the session, into every task,
+    # which Spark 4.1 cannot send once the session has observed a frame.
+    path = f"{ensure_checkpoint_dir(source.sparkSession).rstrip('/')}/model-{uuid.uuid4().hex}"
+    model.write().save(path)
+    scored = PipelineModel.load(path).transform(te)
     scored = keep(scored, f"scored_{spec.name.lower().replace(' ', '_')}") if keep else scored
+    used.unpersist()
     data.unpersist()
     return FittedModel(spec, model, tr, te, scored)

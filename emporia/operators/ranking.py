@@ -103,54 +103,53 @@ class _Keys:
         return ok
 
     def rows(self, places: list[tuple], rates: list[float] | None = None, seed: int = SEED) -> DataFrame:
-        """Rows (place number, key) of ranges of one order in one pass; sampled at a rate each, if given."""
+        """Rows (place number, and the key as column of its order) of ranges of any orders in one pass; sampled, if rates are given."""
+        names = [n.removeprefix("_k_") for n in self.df.columns]
+        types = {n: self.df.schema[f"_k_{n}"].dataType for n in names}
         flags = []
         for i, place in enumerate(places):
             wanted = self.inside(place)
             if rates is not None and rates[i] < 1:
                 wanted = wanted & (F.rand(seed + i) < rates[i])
-            flags.append(F.when(wanted, F.lit(i)))
-        return self.df.select(F.explode(F.array_compact(F.array(*flags))).alias("place"), self.col(places[0][0]).alias("key"))
+            keys = [(self.col(n) if n == place[0] else F.lit(None).cast(types[n])).alias(n) for n in names]
+            flags.append(F.when(wanted, F.struct(F.lit(i).alias("place"), *keys)))
+        return self.df.select(F.explode(F.array_compact(F.array(*flags))).alias("r")).select("r.*")
 
 
 def keys_at(df: DataFrame, orders: dict[str, list[tuple[str, bool]]], positions: dict[str, list[int]], n: int,
             rows_in_task: int = ROWS_IN_TASK, sample_rows: int = SAMPLE_ROWS) -> dict[str, list[tuple]]:
     """The sort keys at 0-based ``positions`` of each order over the ``n`` rows of ``df``.
 
-    The positions of an order share each sampling pass, and all orders each
-    counting pass. An order whose key is not unique is fine: equal keys are the
-    same answer.
+    All positions of all orders share each sampling and each counting pass. An
+    order whose key is not unique is fine: equal keys are the same answer.
     """
     keys = _Keys(df, orders)
     searches = [_Search(name, p, n) for name in orders for p in positions[name]]
     level = 0
     while open_ := [s for s in searches if s.found is None and s.size > rows_in_task]:
         level += 1
-        for name, places in _by_order(open_).items():
-            rates = [sample_rows / next(s.size for s in open_ if s.place == p) for p in places]
-            sample = keys.rows(places, rates, SEED + level * len(searches)).collect()
-            for s in open_:
-                if s.order == name:
-                    own = sorted((tuple(r.key) for r in sample if places[r.place] == s.place), key=_spark_order)
-                    s.cuts = _cuts(own, (s.position - s.before) / s.size)
+        places = _places(open_)
+        rates = [sample_rows / next(s.size for s in open_ if s.place == p) for p in places]
+        sample = keys.rows(places, rates, SEED + level * len(searches)).collect()
+        for s in open_:
+            own = sorted((tuple(r[s.order]) for r in sample if places[r.place] == s.place), key=_spark_order)
+            s.cuts = _cuts(own, (s.position - s.before) / s.size)
         _narrow(keys, open_)
-    for name, places in _by_order([s for s in searches if s.found is None]).items():
-        ranked = keys.rows(places).withColumn("pos", F.row_number().over(Window.partitionBy("place").orderBy("key")) - 1)
-        at = {(places.index(s.place), s.position - s.before): s for s in searches if s.order == name and s.found is None}
-        wanted = F.struct("place", "pos").isin([F.struct(F.lit(p), F.lit(x)) for p, x in at])
-        for r in ranked.filter(wanted).collect():
-            at[r.place, r.pos].found = tuple(r.key)
+    if rest := [s for s in searches if s.found is None]:
+        places = _places(rest)
+        # Of a place's rows only the key of its order is not null.
+        ranked = keys.rows(places).withColumn(
+            "pos", F.row_number().over(Window.partitionBy("place").orderBy(*[F.col(f"`{name}`") for name in orders])) - 1)
+        wanted = F.struct("place", "pos").isin([F.struct(F.lit(places.index(s.place)), F.lit(s.position - s.before)) for s in rest])
+        found = {(r.place, r.pos): r for r in ranked.filter(wanted).collect()}
+        for s in rest:
+            s.found = tuple(found[places.index(s.place), s.position - s.before][s.order])
     return {name: [s.found for s in searches if s.order == name] for name in orders}
 
 
-def _by_order(searches: list[_Search]) -> dict[str, list[tuple]]:
-    """The distinct ranges of each order."""
-    out: dict[str, list[tuple]] = {}
-    for s in searches:
-        places = out.setdefault(s.order, [])
-        if s.place not in places:
-            places.append(s.place)
-    return out
+def _places(searches: list[_Search]) -> list[tuple]:
+    """The distinct ranges."""
+    return list(dict.fromkeys(s.place for s in searches))
 
 
 def _cuts(sample: list[tuple], share: float) -> list[tuple]:
@@ -222,9 +221,17 @@ def exact_quantile(df: DataFrame, column: str, q: float, rows_in_task: int = ROW
     The value at 1-based position ceil(q * n) in ascending order; None when
     there is no non-null value.
     """
-    data = df.select(F.col(f"`{column}`").alias("_v")).filter(F.col("_v").isNotNull())
-    n = data.count()
-    if n == 0:
-        return None
-    position = min(n, max(1, math.ceil(q * n))) - 1
-    return keys_at(data, {"v": [("_v", True)]}, {"v": [position]}, n, rows_in_task, sample_rows)["v"][0][0]
+    return exact_quantiles(df, [column], q, rows_in_task, sample_rows)[column]
+
+
+def exact_quantiles(df: DataFrame, columns: list[str], q: float, rows_in_task: int = ROWS_IN_TASK,
+                    sample_rows: int = SAMPLE_ROWS) -> dict:
+    """``exact_quantile`` of several columns in one search: all share its passes."""
+    names = {f"v{i}": c for i, c in enumerate(columns)}
+    data = df.select(*[F.col(f"`{c}`").alias(v) for v, c in names.items()])
+    known = data.agg(F.count(F.lit(1)).alias("n"), *[F.count(v).alias(v) for v in names]).first()
+    # Nulls come first in ascending order.
+    positions = {v: [known.n - known[v] + min(known[v], max(1, math.ceil(q * known[v]))) - 1] for v in names if known[v]}
+    orders = {v: [(v, True)] for v in positions}
+    found = keys_at(data, orders, positions, known.n, rows_in_task, sample_rows) if orders else {}
+    return {c: found[v][0][0] if v in found else None for v, c in names.items()}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from emporia.operators.ranking import ROWS_IN_TASK, exact_quantile, global_ntiles
+from emporia.operators.ranking import ROWS_IN_TASK, exact_quantiles, global_ntiles
 
 # Segment thresholds on the summed score (3..12) and their names.
 SEGMENTS = [(10, "Champions"), (7, "Loyal Customers"), (5, "At Risk")]
@@ -103,12 +103,12 @@ def cap_at_quantile(df: DataFrame, columns: list[str], q: float = 0.99, exact: b
                     relative_error: float = 0.001, rows_in_task: int = ROWS_IN_TASK):
     """Cap each column at its q-quantile; returns (capped df, {column: cap}).
 
-    ``exact`` selects the value at position ceil(q*n);
+    ``exact`` selects the value at position ceil(q*n), of all columns in one search;
     otherwise ``approxQuantile`` with the given rank error (one sketch pass
     for all columns). The caps are scalars placed in the plan as literals.
     """
     if exact:
-        caps = {c: exact_quantile(df, c, q, rows_in_task) for c in columns}
+        caps = exact_quantiles(df, columns, q, rows_in_task)
     else:
         values = df.approxQuantile(columns, [q], relative_error)
         caps = {c: v[0] if v else None for c, v in zip(columns, values)}

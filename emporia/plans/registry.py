@@ -238,6 +238,7 @@ MODEL_QUERIES = {
     "rf_metrics": lambda t: _metrics(t, "rf"),
     "dt_metrics": lambda t: _metrics(t, "dt"),
     "gbt_metrics": lambda t: _metrics(t, "gbt"),
+    "gbt_sampled_metrics": lambda t: _metrics(t, "gbt_sampled"),
     "confusion_matrix": lambda t: _union([MV.confusion_matrix(fitted(t, k).predictions, fitted(t, k).spec.label,
                                                               fitted(t, k).spec.name) for k in MODEL_KEYS]),
     "roc_points": _roc,

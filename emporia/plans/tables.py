@@ -305,7 +305,7 @@ def ml_source(t: CommerceTables, key: str) -> DataFrame:
         return prep.prep_orders_ml(t.master_featured)
     if key == "dt":
         return prep.prep_orders_status_ml(t.master_featured)
-    if key == "gbt":
+    if key in ("gbt", "gbt_sampled"):
         return prep.prep_retail_ml(t.retail_lines, t.high_value_threshold)
     raise KeyError(key)
 
@@ -320,7 +320,7 @@ def fitted(t: CommerceTables, key: str):
     from emporia.models import classifiers
     fits = t.__dict__.setdefault("_fits", {})
     if key not in fits:
-        fits[key] = classifiers.train(classifiers.SPECS[key], ml_source(t, key), keep=t._keep)
+        fits[key] = classifiers.train((classifiers.SPECS | classifiers.SPECS_SAMPLED)[key], ml_source(t, key), keep=t._keep)
     return fits[key]
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from emporia.models import evaluate as MV
 from emporia.models.stages import build_pipeline, feature_names, hash_split
 from emporia.plans import registry
-from emporia.plans.tables import fitted, from_testdata
+from emporia.plans.tables import fitted, from_testdata, ml_source
 from tests.conftest import SF_SMALL
 
 
@@ -127,3 +127,17 @@ def test_nothing_stays_cached(spark, t):
     registry.queries()["dt_metrics"](spark, SF_SMALL).collect()
     registry.queries()["kmeans_profile"](spark, SF_SMALL).collect()
     assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_fit_on_a_bounded_number_of_rows(spark):
+    from dataclasses import replace
+
+    from emporia.models import classifiers
+
+    t = from_testdata(spark, SF_SMALL)
+    spec = replace(classifiers.SPECS["dt"], train_rows=200)
+    small = classifiers.train(spec, ml_source(t, "dt"), keep=t._keep)
+    full = classifiers.train(classifiers.SPECS["dt"], ml_source(t, "dt"), keep=t._keep)
+    assert small.predictions.count() == full.predictions.count() == full.test.count()
+    root = lambda f: float(f.estimator._java_obj.rootNode().impurityStats().count())
+    assert 100 < root(small) < 300 < root(full) == full.train.count()

@@ -105,3 +105,17 @@ def test_global_ntiles_equal_separate_ntiles(spark):
     wb = Window.orderBy(F.col("money").desc(), F.col("key").asc())
     ref = {r.key: (r.a, r.b) for r in df.withColumn("a", F.ntile(4).over(wa)).withColumn("b", F.ntile(4).over(wb)).collect()}
     assert got == ref
+
+
+@pytest.mark.parametrize("rows_in_task", [5, 100_000])
+def test_quantiles_of_several_columns_share_one_search(spark, rows_in_task):
+    from emporia.operators.ranking import exact_quantiles
+
+    rng = random.Random(4)
+    data = [(rng.choice([None, 1.5, rng.random()]), rng.randrange(50), f"k{rng.randrange(300):03}", None) for _ in range(400)]
+    df = spark.createDataFrame(data, "a double, b int, `c d` string, e double").repartition(3)
+    want = {}
+    for i, name in enumerate(df.columns):
+        values = sorted(r[i] for r in data if r[i] is not None)
+        want[name] = values[max(1, math.ceil(0.9 * len(values))) - 1] if values else None
+    assert exact_quantiles(df, df.columns, 0.9, rows_in_task, sample_rows=20) == want
