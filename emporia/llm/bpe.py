@@ -30,8 +30,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporia.llm import words
+
 NONE = np.iinfo(np.int64).max
 MEMO_WORDS = 1 << 19
+MEMO_BYTES = 96 << 20     # of the memo's words, by estimate
 ROW_SYMBOLS = 64     # longer words take the one-by-one path
 ROWS = 1 << 15       # words merged at once
 
@@ -209,6 +212,7 @@ class Encoder:
         self.cut = regex.compile(f"({marks})").split if marks else None
         self.special = {x: self._entry([i]) for x, i in vocab.specials.items()}
         self.memo: dict[str, tuple] = {}
+        self.memo_bytes = 0
 
     def _entry(self, ids: list[int]) -> tuple:
         """(decimal ids, decoded tokens, number of ids): what a word adds to a text."""
@@ -233,6 +237,8 @@ class Encoder:
     def learn(self, new: list[str]) -> None:
         """Encode words that the memo lacks."""
         v = self.vocab
+        # A word, its ids and its tokens, each an object with a head.
+        self.memo_bytes += sum([320 + 4 * len(w) for w in new])
         raw = [w.encode("utf-8", "surrogatepass") for w in new]
         size = np.array([len(x) for x in raw])
         for leaves in (2, 4, 8, 16, 32, ROW_SYMBOLS):
@@ -262,8 +268,8 @@ class Encoder:
         """The entries of each text's words."""
         split = [self.words(x) if x else [] for x in texts]
         new = set().union(*split) - self.memo.keys()
-        if len(self.memo) + len(new) > self.bound:
-            self.memo = dict(self.special)
+        if len(self.memo) + len(new) > self.bound or self.memo_bytes > MEMO_BYTES:
+            self.memo, self.memo_bytes = dict(self.special), 0
             new = set().union(*split) - self.memo.keys()
         self.memo.update(self.special)
         new -= self.special.keys()
@@ -293,7 +299,7 @@ def encode_decode(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("n_tok
 
     def run(batches):
         encoder = Encoder(tables.value)
-        for b in batches:
+        for b in words.freed(batches):
             for part in _slices(b):
                 rows = encoder.encode(part.column(1).to_pylist())
                 out = {key: part.column(0)}
@@ -321,7 +327,7 @@ def decode(frame: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -
 
     def run(batches):
         tokens = tables.value.tokens
-        for b in batches:
+        for b in words.freed(batches):
             text = [None if x is None else " ".join([tokens[i] for i in x]) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({key: b.column(0), "decoded": pa.array(text, pa.string())})
 

@@ -13,7 +13,7 @@ prefixes under the order share an n-gram, so documents meet in the blocks of
 their prefix n-grams.
 
 No group is expanded into all its pairs. Equal sets are one node from the
-start. A first round links each node to the hubs of its blocks, a second to
+start. A first round links each node to the nearest hub of its blocks, a second to
 its nearest partner in another component; nodes in one component then need no
 further test. What is left, pairs from different components within a block,
 is tested in a third. The last two work in tiles of bounded size: a block is
@@ -39,7 +39,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporia.llm import words
@@ -53,6 +53,7 @@ SMALL = 16                # tiles up to this size are compared together
 SAMPLE = 16               # one document in SAMPLE is looked at for frequent n-grams
 SAMPLE_COUNT = 8          # an n-gram in so many sampled documents is frequent
 FREQUENT = 1 << 18        # at most so many, the most frequent ones: 2 MB to broadcast
+HOT_BLOCK = 1 << 16       # a block of so many nodes is counted with partial sums
 BROADCAST_NODES = 1 << 20
 BEST_BLOCKS = 8           # one block in so many is looked at for nearest partners
 _FULL = 15                # a count that may be larger
@@ -113,7 +114,7 @@ def _counts(column: pa.Array) -> np.ndarray:
 
 
 def _profiles(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, sim: Similarity) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in words.freed(batches):
         for lo, hi, w in words.chunks(b.column("text"), table=words.LOWER):
             grams, offsets = text_sets(w, sim.n)
             n = np.diff(offsets)
@@ -134,28 +135,29 @@ def _profiles(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, sim: Simi
 
 
 def _node_rows(batches: Iterator[pa.RecordBatch], sim: Similarity) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in words.freed(batches):
         for lo, hi, w in words.chunks(b.column("text"), table=words.LOWER):
             grams, offsets = text_sets(w, sim.n)
             n = np.diff(offsets)
             yield pa.RecordBatch.from_pydict({
-                "doc_id": b.column("doc_id").slice(lo, hi - lo), "n": pa.array(n, pa.int64()),
-                "node": pa.array(_node(grams, offsets), pa.int64(), mask=n == 0)})
+                "doc_id": b.column("doc_id").slice(lo, hi - lo), "mark": b.column("mark").slice(lo, hi - lo),
+                "n": pa.array(n, pa.int64()), "node": pa.array(_node(grams, offsets), pa.int64(), mask=n == 0)})
 
 
 def _sample_grams(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in words.freed(batches):
         for _, _, w in words.chunks(b.column("text"), table=words.LOWER):
             grams, _ = text_sets(w, n)
             yield pa.RecordBatch.from_pydict({"g": pa.array(grams.view(np.int64))})
 
 
-def frequent_grams(docs: DataFrame, sim: Similarity) -> np.ndarray:
-    """Sorted hashes of n-grams that are frequent in a sample; a bounded number."""
+def frequent_grams(docs: DataFrame, sim: Similarity) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of n-grams that are frequent in a sample, and of those that fill more than ``HOT_BLOCK``; a bounded number."""
     sample = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit("order")), F.lit(SAMPLE)) == 0).select("text")
     counts = sample.mapInArrow(lambda it: _sample_grams(it, sim.n), "g long").groupBy("g").count()
     top = counts.filter(F.col("count") >= SAMPLE_COUNT).orderBy(F.desc("count"), "g").limit(FREQUENT)
-    return np.sort(np.array([r.g for r in top.select("g").collect()], dtype=np.int64).view(np.uint64))
+    found = top.select("g", (F.col("count") * SAMPLE >= HOT_BLOCK).alias("hot")).collect()
+    return tuple(np.sort(np.array([r.g for r in found if r.hot or not only], dtype=np.int64).view(np.uint64)) for only in (False, True))
 
 
 @dataclass
@@ -237,7 +239,7 @@ class _Tiles:
 def _tile_pairs(batches: Iterator[pa.RecordBatch], percent: int, best: bool) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (g, i, j), a tile each; the last tile of a batch waits for the next batch."""
     rest: list[pa.RecordBatch] = []
-    for b in batches:
+    for b in words.freed(batches):
         if not b.num_rows:
             continue
         key = np.stack([b.column(c).to_numpy() for c in ("g", "i", "j")], axis=1)
@@ -254,20 +256,21 @@ def _tile_pairs(batches: Iterator[pa.RecordBatch], percent: int, best: bool) ->
 
 
 def _near(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Of (a, b, na, nb, va, vb) the pairs whose bound reaches the threshold."""
-    for b in batches:
+    """Of (a, b, na, nb, va, vb) the pairs whose bound reaches the threshold, with the share that it leaves them."""
+    for b in words.freed(batches):
         if not b.num_rows:
             continue
         va, vb = _counts(b.column("va")), _counts(b.column("vb"))
         total = b.column("na").to_numpy() + b.column("nb").to_numpy()
         bound = np.minimum(va, vb).sum(axis=1, dtype=np.int64)
         full = (va == _FULL).any(axis=1) & (vb == _FULL).any(axis=1)
-        yield b.select(["a", "b"]).filter(pa.array(full | ((100 + percent) * bound >= percent * total)))
+        ok = full | ((100 + percent) * bound >= percent * total)
+        yield b.select(["a", "b"]).append_column("share", pa.array(bound / total)).filter(pa.array(ok))
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """(node, n, grams) of each text; texts without an n-gram are left out."""
-    for b in batches:
+    for b in words.freed(batches):
         for _, _, w in words.chunks(b.column("text"), table=words.LOWER):
             grams, offsets = text_sets(w, n)
             size = np.diff(offsets)
@@ -278,7 +281,7 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
 
 def _fine_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's set as packed counts: a power of two of bins, 256 at least, with two to four n-grams in each of more."""
-    for b in batches:
+    for b in words.freed(batches):
         out = []
         for grams in b.column("grams"):
             g = grams.values.to_numpy().view(np.uint64)
@@ -297,7 +300,7 @@ def _unpacked(value: pa.Scalar) -> np.ndarray:
 
 def _fine_bounds(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """The pairs for which the smaller fine counts, summed, reach the threshold."""
-    for b in batches:
+    for b in words.freed(batches):
         keep = []
         for x, y, total in zip(b.column("counts_a"), b.column("counts_b"),
                                (b.column("na").to_numpy() + b.column("nb").to_numpy()).tolist(), strict=True):
@@ -312,7 +315,7 @@ def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, n, grams) cut into fragments of the global order."""
     step = np.uint64((1 << 64) // FRAGMENTS)
     cuts = step * np.arange(1, FRAGMENTS, dtype=np.uint64)
-    for b in batches:
+    for b in words.freed(batches):
         sets = [x.values.to_numpy().view(np.uint64) for x in b.column("grams")]
         begin = np.concatenate(([0], np.cumsum([len(g) for g in sets])))
         edges = [at + np.concatenate(([0], np.searchsorted(g, cuts))) for at, g in zip(begin.tolist(), sets, strict=False)]
@@ -324,13 +327,17 @@ def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             .astype(np.int64))})
 
 
+PROFILE = "doc_id long, mark long, n long, node long"
+
+
 class _Work:
     """The tables of one join, kept in the checkpoint folder."""
 
     def __init__(self, spark: SparkSession, docs: DataFrame, sim: Similarity):
         self.spark, self.sim = spark, sim
         self.folder = f"{ensure_checkpoint_dir(spark)}/ngram-join-{uuid.uuid4().hex}"
-        self.docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        self.docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                                _mark(docs).alias("mark"))
 
     def saved(self, frame: DataFrame, name: str) -> DataFrame:
         frame.write.parquet(f"{self.folder}/{name}")
@@ -396,12 +403,27 @@ class _Work:
         # Rows that repeat an id can leave a set twice.
         return rows.dropDuplicates(["node"]) if self.repeated else rows
 
+    def blocks(self, nodes: DataFrame, hot: np.ndarray) -> DataFrame:
+        """(node, n, g, m, hub): the nodes of each block of several, its size and its smallest node."""
+        rows = nodes.select("node", "n", F.explode("prefix").alias("g"))
+        window = "over (partition by g)"
+        few = lambda df: df.withColumns({"m": F.expr(f"count(1) {window}"), "hub": F.expr(f"min(node) {window}")})
+        if not len(hot):
+            return few(rows).filter("m > 1")
+        keys = F.broadcast(self.spark.createDataFrame([(int(g),) for g in hot.view(np.int64)], "g long"))
+        many = rows.join(keys, "g", "left_semi")
+        sizes = many.groupBy("g").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("hub"))      # a row for each of ``hot``
+        return few(rows.join(keys, "g", "left_anti")).unionByName(many.join(F.broadcast(sizes), "g")).filter("m > 1")
+
     def tiles(self, blocks: DataFrame, vectors: DataFrame, roots: DataFrame) -> DataFrame:
         """The rows of all blocks that still hold several components, sorted by tile."""
         parts = F.ceil(F.col("m") / TILE).cast("int")
         part = F.pmod(F.xxhash64("node", F.lit("tile")), parts).cast("int")
-        rows = (blocks.join(vectors.select("node", "vector"), "node").join(roots, "node", "left")
-                .select("g", "node", "n", "vector", F.coalesce("root", "node").alias("root"), part.alias("part"),
+        rows = blocks.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        ends = rows.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("g")
+        rows = rows.join(broadcast_if_small(ends, BROADCAST_NODES), "g", "left_semi")
+        rows = (rows.join(vectors.select("node", "vector"), "node")
+                .select("g", "node", "n", "vector", "root", part.alias("part"),
                         F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
                 .select("g", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "n",
                         "vector", "root"))
@@ -410,20 +432,20 @@ class _Work:
     def run(self) -> DataFrame:
         sim, spark = self.sim, self.spark
         known = self.docs.filter("doc_id is not null")
-        frequent = spark.sparkContext.broadcast(frequent_grams(known, sim))
-        self.profile = self.saved(known.mapInArrow(lambda it: _node_rows(it, sim), "doc_id long, n long, node long"), "profile")
+        grams, hot = frequent_grams(known, sim)
+        frequent = spark.sparkContext.broadcast(grams)
+        self.profile = self.saved(known.mapInArrow(lambda it: _node_rows(it, sim), PROFILE), "profile")
         nodes = self.saved(self.nodes(known, frequent), "nodes")
-        block = "over (partition by g)"
-        blocks = self.saved(nodes.select("node", "n", F.explode("prefix").alias("g"))
-                            .withColumns({"m": F.expr(f"count(1) {block}"), "hub": F.expr(f"min(node) {block}")})
-                            .filter("m > 1"), "blocks")
+        blocks = self.saved(self.blocks(nodes, hot), "blocks")
 
         # First round: each node and the hubs of its blocks.
         vectors = nodes.select("node", "n", "vector")
         star = blocks.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
         near = (star.join(vectors.toDF("a", "na", "va"), "a").join(vectors.toDF("b", "nb", "vb"), "b")
                 .filter(100 * F.least("na", "nb") >= sim.percent * F.greatest("na", "nb"))
-                .select("a", "b", "na", "nb", "va", "vb").mapInArrow(lambda it: _near(it, sim.percent), "a long, b long"))
+                .select("a", "b", "na", "nb", "va", "vb").mapInArrow(lambda it: _near(it, sim.percent), "a long, b long, share double"))
+        # Of its hubs the nearest; what links a node to the others is found in the later rounds.
+        near = near.groupBy("b").agg(F.max_by("a", F.struct("share", "a")).alias("a")).select("a", "b")
         links = self.links(self.saved(near, "star"), "star")
 
         # Then, for each node and tile, its nearest partner in another component; then all that are left.
@@ -440,16 +462,26 @@ class _Work:
             links = links.union(self.links(self.saved(found.select("a", "b").distinct(), name), name))
         roots = self.components(links, "roots")
 
+        self.roots = roots
         placed = self.profile.select("doc_id", "n", "node")
-        some = (placed.filter("node is not null").join(roots, "node", "left")
-                .select("doc_id", "n", F.coalesce("root", "node").alias("root")))
+        some = self.placed().select("doc_id", "n", "root")
         least = some.groupBy("root").agg(F.min("doc_id").alias("component_id"))
         linked = some.join(least, "root").select("doc_id", "n", "component_id")
         alone = placed.filter("node is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-        nameless = (self.docs.filter("doc_id is null").mapInArrow(lambda it: _node_rows(it, sim), "doc_id long, n long, node long")
+        nameless = (self.docs.filter("doc_id is null").mapInArrow(lambda it: _node_rows(it, sim), PROFILE)
                     .select("doc_id", "n", F.lit(None).cast("long").alias("component_id")))
         return linked.union(alone).union(nameless).withColumnRenamed("n", "n_shingles")
 
+    def placed(self) -> DataFrame:
+        """(doc_id, mark, n, root) of every row with an id and a set."""
+        return (self.profile.filter("node is not null").join(self.roots, "node", "left")
+                .select("doc_id", "mark", "n", F.coalesce("root", "node").alias("root")))
+
+
+def _mark(docs: DataFrame) -> Column:
+    """Tells rows apart that repeat an id."""
+    return F.xxhash64(docs["text"].cast("string"))
+
 
 def components(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links, itself included) for every row."""
@@ -457,6 +489,25 @@ def components(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
-    """The documents without those whose component has a smaller id; documents without an id stay."""
-    gone = components(docs, sim).filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """One row of each component: of the smallest id, and of rows that repeat it the first by a hash of the text.
+
+    Rows are dropped, not ids: a text whose component holds none of its id's
+    other texts stays. Of rows equal in id and text one stays. Documents without
+    an id or without a word stay.
+    """
+    work = _Work(docs.sparkSession, docs, sim)
+    work.run()
+    placed = work.placed()
+    first = placed.groupBy("root").agg(F.min(F.struct("doc_id", "mark")).alias("first"))
+    gone = (placed.join(first, "root").filter(F.struct("doc_id", "mark") != F.col("first"))
+            .select(F.col("doc_id").alias("_gone"), F.col("mark").alias("_gone_mark")).distinct())
+    match = (docs["doc_id"] == F.col("_gone")) & (_mark(docs) == F.col("_gone_mark"))
+    kept = docs.join(broadcast_if_small(gone, BROADCAST_NODES), match, "left_anti")
+    if not work.repeated:
+        return kept
+    twice = (work.profile.filter("node is not null").groupBy("doc_id", "mark").count().filter("count > 1")
+             .select(F.col("doc_id").alias("_gone"), F.col("mark").alias("_gone_mark")))
+    twice = broadcast_if_small(twice, BROADCAST_NODES)
+    match = (kept["doc_id"] == F.col("_gone")) & (F.xxhash64(kept["text"].cast("string")) == F.col("_gone_mark"))
+    once = kept.join(twice, match, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(twice, match, "left_anti").unionByName(once)

@@ -139,7 +139,7 @@ def judge(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     """One row per document: its measures, the line counts and the verdict."""
 
     def run(batches):
-        for b in batches:
+        for b in words.freed(batches):
             out, _ = _judge(b.column("text"), rules, False)
             out["doc_id"] = b.column("doc_id")
             yield pa.RecordBatch.from_pydict({k: out[k] for k in names})
@@ -155,7 +155,7 @@ def clean(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     """
 
     def run(batches):
-        for b in batches:
+        for b in words.freed(batches):
             out, texts = _judge(b.column("text"), rules, True)
             at = b.schema.get_field_index("text")
             b = b.set_column(at, "text", pa.array([x.decode("utf-8", "replace") for x in texts], type=b.schema.field(at).type))

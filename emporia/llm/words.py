@@ -8,11 +8,13 @@ own and is never cut.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 CHUNK_BYTES = 2 << 20
 BLOCK_BYTES = 1 << 19
@@ -46,6 +48,35 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches``; what the work on each has freed is given back to the system before the next one is read.
+
+    Python workers live on between tasks, and the allocators keep what they
+    once had, beside the executor's heap.
+    """
+    pool = pa.default_memory_pool()
+    try:
+        trim = ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):       # another C library
+        trim = None
+    for b in batches:
+        yield b
+        del b
+        pool.release_unused()
+        if trim is not None:
+            trim(0)
+
+
+SHUFFLED_BYTES = 64 << 20
+
+
+def dealt(frame: DataFrame, key: str, size: int) -> DataFrame:
+    """``frame`` of about ``size`` bytes by ``key``: in the session's partitions, or in more where they would grow too large."""
+    parts = -(-size // SHUFFLED_BYTES)
+    own = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return frame.repartition(parts, key) if parts > own else frame.repartition(key)
+
+
 @dataclass
 class Words:
     """The words of consecutive texts.

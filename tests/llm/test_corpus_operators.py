@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 
 import pytest
 from llm_brute import bigram_losses, by_id, jaccard_components, sha256, window_dedup
@@ -88,7 +89,26 @@ def test_components_of_an_id_with_a_copy_and_a_near_copy(spark):
     got = ngram_join.components(table(spark, rows)).collect()
     assert by_id(map(tuple, got)) == by_id(jaccard_components(rows))
     assert {(r.doc_id, r.component_id) for r in got} == {(5, 5), (7, 5), (7, 7), (9, 7)}
-    assert {r.doc_id for r in ngram_join.keep_one(table(spark, rows)).collect()} == {5}
+
+
+def test_keep_one_keeps_one_copy_of_each_text(spark):
+    """Rows are dropped, not ids: an id that repeats another's text keeps its own."""
+    x, y = " ".join(f"x{i}" for i in range(40)), " ".join(f"y{i}" for i in range(40))
+    other = " ".join(f"o{i}" for i in range(30))
+    rows = [(5, x), (7, x), (7, y), (9, y + " z"), (5, x), (5, x.upper()), (8, other), (8, other), (None, x), (None, x), (3, None), (3, "")]
+    got = ngram_join.keep_one(table(spark, rows)).collect()
+    texts = sorted((r.doc_id, (r.text or "").lower()) for r in got if r.doc_id is not None)
+    assert texts == [(3, ""), (3, ""), (5, x), (7, y), (8, other)]
+    assert sum(r.doc_id is None for r in got) == 2
+
+
+def test_hot_blocks_and_settled_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HOT_BLOCK", 2)
+    monkeypatch.setattr(ngram_join, "SAMPLE", 1)
+    monkeypatch.setattr(ngram_join, "SAMPLE_COUNT", 2)
+    monkeypatch.setattr(ngram_join, "BROADCAST_NODES", 3)
+    rows = near_rows(12, 200)
+    assert by_id(map(tuple, ngram_join.components(table(spark, rows)).collect())) == by_id(jaccard_components(rows))
 
 
 def test_bound_is_never_below_the_overlap():
@@ -107,6 +127,13 @@ def dedup_rows(spark, rows, **options):
     return by_id(map(tuple, out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256)).collect()))
 
 
+def test_substring_dedup_of_texts_that_repeat_an_id(spark):
+    """A span found in one text is not removed from another of the same id."""
+    p = " ".join(f"p{i}" for i in range(20))
+    rows = [(1, p), (2, p + " tail"), (2, " ".join(f"u{i}" for i in range(30))), (2, p + " tail"), (3, "x " + p)]
+    assert dedup_rows(spark, rows) == by_id(window_dedup(rows))
+
+
 def test_substring_dedup_equals_all_windows(spark, real):
     assert dedup_rows(spark, real) == by_id(window_dedup(real))
 
@@ -227,6 +254,28 @@ def test_decontamination_finds_whole_passages(spark, real):
     assert kept == {i for i, _ in real} - {i for i, _ in got}
 
 
+def test_decontamination_of_long_copies_is_linear(spark):
+    """A copy of 4,000 tokens with some replaced is verified a few times, not once per hit."""
+    rng = random.Random(5)
+    w = [f"w{rng.randrange(900)}" for _ in range(4000)]
+    changed = ["new" if rng.random() < 0.05 else x for x in w]
+    items = spark.createDataFrame([(1, " ".join(w))], "item_id long, text string")
+    began = time.monotonic()
+    got = decontaminate.overlaps(table(spark, [(1, " ".join(w)), (2, "x " * 50 + " ".join(changed)), (3, "x y " * 3000)]), items)
+    found = {r.doc_id: (r.n_equal, r.best_window, r.n_item, r.whole) for r in got.collect()}
+    assert found == {1: (4000, 13, 4000, True), 2: (sum(a == b for a, b in zip(w, changed, strict=True)), 13, 4000, False)}
+    assert time.monotonic() - began < 60
+
+
+def test_short_items_take_out_their_own_text_only(spark):
+    items = spark.createDataFrame([(1, "yes"), (2, "the answer is no"), (3, " ".join(f"w{i}" for i in range(13)))],
+                                  "item_id long, text string")
+    docs = [(1, "Yes!"), (2, "she said yes to the offer"), (3, "The answer is: no"), (4, "so the answer is no then"),
+            (5, "see " + " ".join(f"w{i}" for i in range(13))), (6, "clean")]
+    assert {r.doc_id for r in decontaminate.clean(table(spark, docs), items).collect()} == {2, 4, 6}
+    assert {r.doc_id for r in decontaminate.clean(table(spark, docs), items, least_tokens=1).collect()} == {6}
+
+
 def test_decontamination_empty_tables_and_masks(spark):
     assert all(len(m) == decontaminate.SPAN and m[0] == m[-1] == "1" for m in decontaminate.MASKS)
     docs = table(spark, [(1, "a " * 30)])
