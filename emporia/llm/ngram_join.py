@@ -501,13 +501,13 @@ def keep_one(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
     first = placed.groupBy("root").agg(F.min(F.struct("doc_id", "mark")).alias("first"))
     gone = (placed.join(first, "root").filter(F.struct("doc_id", "mark") != F.col("first"))
             .select(F.col("doc_id").alias("_gone"), F.col("mark").alias("_gone_mark")).distinct())
-    match = (docs["doc_id"] == F.col("_gone")) & (_mark(docs) == F.col("_gone_mark"))
-    kept = docs.join(broadcast_if_small(gone, BROADCAST_NODES), match, "left_anti")
+    gone = broadcast_if_small(gone, BROADCAST_NODES)
+    kept = docs.join(gone, (docs["doc_id"] == gone["_gone"]) & (_mark(docs) == gone["_gone_mark"]), "left_anti")
     if not work.repeated:
         return kept
     twice = (work.profile.filter("node is not null").groupBy("doc_id", "mark").count().filter("count > 1")
              .select(F.col("doc_id").alias("_gone"), F.col("mark").alias("_gone_mark")))
     twice = broadcast_if_small(twice, BROADCAST_NODES)
-    match = (kept["doc_id"] == F.col("_gone")) & (F.xxhash64(kept["text"].cast("string")) == F.col("_gone_mark"))
+    match = (kept["doc_id"] == twice["_gone"]) & (_mark(kept) == twice["_gone_mark"])
     once = kept.join(twice, match, "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.join(twice, match, "left_anti").unionByName(once)
