@@ -7,7 +7,8 @@ mask are hits, so a substituted token at an ignored position does not hide a
 passage. Each hit is verified on its alignment: the best window of ``window``
 tokens (the whole item if it is shorter) must agree in at least
 ``min_equal`` of its positions. The masks of each length are such that every
-alignment which passes has a hit, so none is lost.
+alignment which passes has a hit, so none is lost. Of hits that follow each
+other on one alignment the first is verified, in one pass over its tokens.
 
 The benchmark's seeds are broadcast in blocks of a bounded number of rows; a
 larger benchmark takes more passes over the documents, each over all rows.
@@ -30,9 +31,13 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emporia.operators.joins import broadcast_if_small
+
 # Masks of which one fits, somewhere in 13 tokens, beside any two that differ.
 SPACED = ("111010011", "110101101", "101100111", "111001011")
 BLOCK_SEEDS = 1 << 19
+LOOK_BACK = 16
+BROADCAST_LEAKS = 1 << 20
 
 
 def masks(length: int, others: int) -> tuple[str, ...]:
@@ -76,10 +81,29 @@ def seeds(frame: DataFrame, at: str, families: dict[int, tuple[str, ...]], own:
     return rows.withColumn("h", F.explode(F.array(*hashes))).filter("h is not null")
 
 
-def _best(equal: Column, window: Column) -> Column:
-    """The largest sum over ``window`` consecutive elements."""
-    starts = F.sequence(F.lit(1), F.size(equal) - window + 1)
-    return F.array_max(F.transform(starts, lambda s: F.aggregate(F.slice(equal, s, window), F.lit(0), lambda a, x: a + x)))
+def _sums(equal: Column, window: Column) -> Column:
+    """(sum of all elements, largest sum of ``window`` consecutive ones), in one pass."""
+    gone = F.concat(F.array_repeat(F.lit(0), window), equal)          # what leaves the window at each element
+    pairs = F.zip_with(equal, F.slice(gone, F.lit(1), F.size(equal)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    start = F.struct(F.lit(0).alias("all"), F.lit(0).alias("last"), F.lit(0).alias("best"))
+
+    def step(acc: Column, x: Column) -> Column:
+        last = acc["last"] + x["a"] - x["b"]
+        # Before it is full, a window holds no more than the first full one.
+        return F.struct((acc["all"] + x["a"]).alias("all"), last.alias("last"), F.greatest(acc["best"], last).alias("best"))
+
+    return F.aggregate(pairs, start, step)
+
+
+def _follows(some: tuple[str, ...]) -> Column:
+    """Whether windows up to ``LOOK_BACK`` tokens before a hit agree too: another hit on the same alignment."""
+    def agree(mask: str, k: Column) -> Column:
+        same = [F.get("t", F.col("p") - k + o) == F.get("u", F.col("q") - k + o) for o, bit in enumerate(mask) if bit == "1"]
+        return reduce(lambda a, b: a & b, same)
+
+    steps = F.sequence(F.lit(1), F.least(F.lit(LOOK_BACK), "p", "q"))
+    before = F.exists(steps, lambda k: reduce(lambda a, b: a | b, [F.coalesce(agree(m, k), F.lit(False)) for m in some]))
+    return (F.col("p") > 0) & (F.col("q") > 0) & before
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13, min_equal: float = 0.8, key: str = "doc_id",
@@ -88,7 +112,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13, min_equal:
 
     ``n_equal`` and ``best_window`` count equal tokens on the best alignment and
     in its best window; ``start_token`` and ``end_token`` bound the aligned
-    tokens of the document.
+    tokens of the document; ``n_item`` are the tokens of the (longest) item text
+    and ``whole`` says that the document is an item's text and nothing else.
     """
     bench = (benchmark.select(F.col(item).alias("_item"), tokens(F.col(text).cast("string")).alias("t"))
              .filter(F.col("_item").isNotNull() & (F.size("t") >= SPAN)).distinct().withColumn("_text", F.xxhash64("_item", "t")))
@@ -105,32 +130,42 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13, min_equal:
         table = F.broadcast(part.select("_item", "_text", F.col("t").alias("u")))
         wanted = F.broadcast(seeds(part, "q", families, own).select("h", "_text", "q").distinct())
         hits = seeds(rows, "p", families).join(wanted, "h").join(table, "_text")
-        parts.append(_verified(hits, window, min_equal))
+        # The hits of a passage follow each other; the first of each run verifies the alignment for all.
+        leads = (F.size("u") < window) | ~_follows(families[window]) if window in families else F.lit(True)
+        parts.append(_verified(hits, leads, window, min_equal))
     found = reduce(DataFrame.unionByName, parts)
     return (found.groupBy("_key", "_item")
             .agg(F.max("n_equal").alias("n_equal"), F.max("best_window").alias("best_window"),
-                 F.min("start").alias("start_token"), F.max("end").alias("end_token"))
+                 F.min("start").alias("start_token"), F.max("end").alias("end_token"),
+                 F.max("n_item").alias("n_item"), F.max("whole").alias("whole"))
             .withColumnsRenamed({"_key": key, "_item": item}))
 
 
-def _verified(hits: DataFrame, window: int, min_equal: float) -> DataFrame:
+def _verified(hits: DataFrame, leads: Column, window: int, min_equal: float) -> DataFrame:
     diagonal = F.col("p") - F.col("q")
     first = F.greatest(F.lit(0), -diagonal)
     last = F.least(F.size("u"), F.size("t") - diagonal)      # item positions on the alignment: first until last
     hits = hits.select("_key", "_item", (first + diagonal).alias("start"), (last + diagonal).alias("end"),
                        F.slice("t", first + diagonal + 1, last - first).alias("_doc"),
                        F.slice("u", first + 1, last - first).alias("_ref"),
-                       F.least(F.lit(window), F.size("u")).alias("_window"))
-    hits = hits.filter(F.size("_doc") >= F.col("_window"))
+                       F.least(F.lit(window), F.size("u")).alias("_window"), F.size("u").alias("n_item"),
+                       (F.col("t") == F.col("u")).alias("whole"), leads.alias("_leads"))
     equal = F.zip_with("_doc", "_ref", lambda a, b: (a == b).cast("int"))
-    hits = hits.select("_key", "_item", "start", "end", "_window", equal.alias("_equal"))
-    hits = hits.select("_key", "_item", "start", "end", "_window",
-                       F.aggregate("_equal", F.lit(0), lambda a, x: a + x).alias("n_equal"),
-                       _best(F.col("_equal"), F.col("_window")).alias("best_window"))
-    return hits.filter(F.col("best_window") >= F.ceil(F.col("_window") * F.lit(min_equal)))
+    # Inside one expression, since the planner may test a filter's conditions in any order.
+    sums = F.when(F.col("_leads") & (F.size("_doc") >= F.col("_window")), _sums(equal, F.col("_window")))
+    hits = hits.select("_key", "_item", "start", "end", "_window", "n_item", "whole", sums.alias("_sums"))
+    return (hits.select("_key", "_item", "start", "end", "_window", "n_item", "whole", F.col("_sums.all").alias("n_equal"),
+                        F.col("_sums.best").alias("best_window"))
+            .filter(F.col("best_window") >= F.ceil(F.col("_window") * F.lit(min_equal))))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The documents without those that overlap a benchmark item; all rows of a reported id go."""
-    found = overlaps(docs, benchmark, key=key, **options).select(F.col(key).alias("_leaked")).distinct()
+def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", least_tokens: int = 13, **options) -> DataFrame:
+    """The documents without those that overlap a benchmark item; all rows of a reported id go.
+
+    An item of fewer than ``least_tokens`` tokens ("yes") is no evidence inside
+    a document: it takes out only documents that are its text and nothing else.
+    """
+    found = overlaps(docs, benchmark, key=key, **options).filter((F.col("n_item") >= least_tokens) | F.col("whole"))
+    # Texts are shuffled only if there are more leaks than can be broadcast.
+    found = broadcast_if_small(found.select(F.col(key).alias("_leaked")).distinct(), BROADCAST_LEAKS)
     return docs.join(found, docs[key].eqNullSafe(found["_leaked"]), "left_anti")
