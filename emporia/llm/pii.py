@@ -8,10 +8,12 @@ share of the entity's information content log2(N / n(c)) is the disclosure of
 c by t: 1 if t occurs with c only. Terms whose disclosure reaches a threshold
 are generalised, above a higher one removed, wherever they stand in a text that
 holds the entity; a term's occurrences are those in whole texts. An entity is a
-value, and what it shares with others: a domain, prefix or kind, so the texts
-of values that occur once are evidence together. A pair counts as evidence only
-if it occurs in ``min_texts`` different texts, so copies of one text prove
-nothing.
+value, and what it shares with near ones: a domain, network or prefix, so the
+texts of values that occur once are evidence together. A pair counts as
+evidence only if it occurs in ``min_texts`` different texts, so copies of one
+text prove nothing, and in so many more than the ``n(c) n(t) / N`` that chance
+would give that among all pairs of a corpus of this size none is expected to
+reach it by chance (a Chernoff bound, by the number of pairs).
 
 All counts cover the whole corpus and are aggregated before they are shuffled.
 Only DataFrame functions are used. The patterns are written so that matching
@@ -24,6 +26,7 @@ others through); an empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
 import uuid
 from dataclasses import dataclass
 
@@ -36,6 +39,7 @@ from emporia.plans.session import ensure_checkpoint_dir
 # The kinds in their order.
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
+BROADCAST_TEXTS = 1 << 20     # texts with disclosing terms, 8 bytes each
 
 _LOCAL = "A-Za-z0-9._%+-"
 # Each pattern finds what the plain one finds, leftmost and non-overlapping, without retries inside a run of
@@ -54,11 +58,12 @@ SPAN_TYPE = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
 
 @dataclass(frozen=True)
 class Disclosure:
-    """Thresholds, and the evidence that a pair needs."""
+    """Thresholds, and the evidence that a pair needs; ``chance`` is the expected number of pairs that pass without a cause."""
 
     generalise: float = 0.5
     remove: float = 0.8
     min_texts: int = 3
+    chance: float = 0.5
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -122,14 +127,14 @@ def span_text(spans: Column) -> Column:
 
 
 def _entities(spans: Column) -> Column:
-    """The distinct entities of a text's spans: each value, its domain or prefix, and its kind."""
+    """The distinct entities of a text's spans: each value, and its domain or prefix."""
     def one(s: Column) -> Column:
         value = F.lower(s["value"])
         digits = F.regexp_replace(value, "[^0-9]", "")
         part = (F.when(s["kind"] == "email", F.substring_index(value, "@", -1))
                 .when(s["kind"] == "ip", F.substring_index(value, ".", 2))
                 .when(s["kind"] == "card", F.substring(digits, 1, 6)).otherwise(F.substring(digits, 1, 4)))
-        return F.array(F.concat_ws(":", s["kind"], value), F.concat_ws("|", s["kind"], part), s["kind"])
+        return F.array(F.concat_ws(":", s["kind"], value), F.concat_ws("|", s["kind"], part))
 
     return F.array_distinct(F.flatten(F.transform(spans, one)))
 
@@ -165,6 +170,11 @@ def _places(texts: DataFrame) -> DataFrame:
     return rows.select("_text_id", "term", (end - F.col("_len")).alias("start"), end.alias("end"))
 
 
+def _surprise(seen: Column, expected: Column) -> Column:
+    """Minus the logarithm of a bound of the chance that a Poisson count reaches ``seen``; 0 if it is no more than expected."""
+    return F.when(seen > expected, seen * F.log(seen / expected) - seen + expected).otherwise(0.0)
+
+
 @dataclass
 class Findings:
     """Base spans per row, and the disclosing terms' spans per text."""
@@ -195,18 +205,21 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Disclos
     # An entity of fewer texts has no pair with enough.
     entities = (held.groupBy("entity").agg(F.sum("_copies").alias("n_c"), F.count(F.lit(1)).alias("n_texts"))
                 .filter(F.col("n_texts") >= rule.min_texts).select("entity", "n_c"))
-    held = (held.join(broadcast_if_small(entities.select("entity"), 1 << 20), "entity", "left_semi")
-            .select("_text_id", "_copies", "entity", F.explode(_words(F.col("_t"))).alias("term")))
-    pairs = (held.groupBy("entity", "term").agg(F.sum("_copies").alias("n_ct"), F.count(F.lit(1)).alias("n_texts"))
+    held = (held.join(broadcast_if_small(entities, 1 << 20), "entity")
+            .select("_text_id", "_copies", "entity", "n_c", F.explode(_words(F.col("_t"))).alias("term")))
+    tested = held.agg(F.approx_count_distinct(F.struct("entity", "term"))).first()[0] or 1
+    # An entity's own count goes along with its pairs.
+    pairs = (held.groupBy("entity", "n_c", "term").agg(F.sum("_copies").alias("n_ct"), F.count(F.lit(1)).alias("n_texts"))
              .filter(F.col("n_texts") >= rule.min_texts))
     counts = docs.select(F.explode(_words(t)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     # A word that a span cuts off is none of the whole text.
     n_t = F.greatest("n_t", "n_ct")
     pmi = F.log2(F.col("n_ct") * F.lit(float(n)) / (F.col("n_c") * n_t))
     content = F.log2(F.lit(float(max(n, 1))) / F.col("n_c"))
-    known = (pairs.join(entities, "entity").join(counts, "term", "left")
+    known = (pairs.join(counts, "term", "left")
              .withColumn("disclosure", F.when(content > 0, pmi / content).otherwise(0.0))
-             .filter(F.col("disclosure") >= rule.generalise)
+             .filter((F.col("disclosure") >= rule.generalise) & (_surprise(F.col("n_texts"), F.col("n_c") * n_t / float(max(n, 1)))
+                                                                 >= math.log(tested / rule.chance)))
              .select("entity", "term", "disclosure"))
     known.write.parquet(f"{folder}/known")
     known = spark.read.parquet(f"{folder}/known")
@@ -223,13 +236,20 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Disclos
     return Findings(base.select("_key", "_text_id", "_spans"), spark.read.parquet(f"{folder}/terms"))
 
 
-def _with_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
-    """``rows`` (with _key, _text_id and _spans) with all spans, sorted, as ``_all``."""
+def _with_terms(rows: DataFrame, terms: DataFrame, spans=lambda df: df) -> DataFrame:
+    """``rows`` (with _key, _text_id and _spans, which ``spans`` may add) with all spans, sorted, as ``_all``."""
     t = terms.withColumnRenamed("_text_id", "_text_id2")
-    joined = rows.join(t, F.col("_text_id") == F.col("_text_id2"), "left")
-    none = F.expr(f"cast(array() as {SPAN_TYPE})")
-    return joined.withColumn("_all", F.array_sort(F.concat("_spans", F.coalesce("_terms", none)))).drop(
-        "_text_id2", "_terms")
+    match, none = F.col("_text_id") == F.col("_text_id2"), F.expr(f"cast(array() as {SPAN_TYPE})")
+
+    def merged(df: DataFrame) -> DataFrame:
+        return df.withColumn("_all", F.array_sort(F.concat("_spans", F.coalesce("_terms", none)))).drop("_text_id2", "_terms")
+
+    if t.limit(BROADCAST_TEXTS + 1).count() > BROADCAST_TEXTS:
+        return merged(spans(rows).join(t, match, "left"))
+    # Only texts with disclosing terms are shuffled.
+    ids = F.broadcast(t.select("_text_id2"))
+    some = merged(spans(rows.join(ids, match, "left_semi")).join(t, match))
+    return some.unionByName(spans(rows.join(ids, match, "left_anti")).withColumn("_all", F.col("_spans")))
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Disclosure = Disclosure()) -> DataFrame:
@@ -267,7 +287,7 @@ def sanitize(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Dis
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("_row"), docs[key].alias("_key"), t.alias("_t"),
                        F.xxhash64(t, F.lit("text")).alias("_text_id"))
-    rows = _with_terms(with_base_spans(rows, "_t", "_spans"), found.terms)
+    rows = _with_terms(rows, found.terms, lambda df: with_base_spans(df, "_t", "_spans"))
     rows = rows.withColumn("_new", F.when(F.size("_all") > 0, _replaced(F.col("_t"), F.col("_all")))
                            .otherwise(F.col(f"_row.{text}")))
     kinds = dict(docs.dtypes)

@@ -1,9 +1,13 @@
 """Operators that work text by text: quality rules, BPE, personal data, sharding."""
 
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import pytest
+import regex
 from llm_brute import base_spans, by_id, quality, sha256
 from pyspark.sql import functions as F
 
@@ -150,6 +154,70 @@ def test_disclosing_terms_of_single_texts_and_far_away(spark):
     assert all(clean[i] == texts[i] for i in range(3, len(texts)))
 
 
+def plain_terms(texts, rule):
+    """(text number, start, end) of the disclosing terms, and the pairs (entity, term) behind them."""
+    word = regex.compile(pii.WORD)
+    spans = {t: [s.split(":") for s in base_spans(t).split(",") if s] for t in set(texts)}
+    held, n_c, n_texts, n_ct, seen, n_t = {}, Counter(), Counter(), Counter(), Counter(), Counter()
+    for t in texts:
+        n_t.update({w.lower() for w in word.findall(t)})
+    for t, found in spans.items():
+        if not found:
+            continue
+        entities, blank = set(), t
+        for kind, a, z in found:
+            v = t[int(a):int(z)].lower()
+            digits = re.sub("[^0-9]", "", v)
+            shared = {"email": v.rsplit("@", 1)[-1], "ip": ".".join(v.split(".")[:2]), "card": digits[:6], "phone": digits[:4]}[kind]
+            entities |= {f"{kind}:{v}", f"{kind}|{shared}"}
+            blank = blank[:int(a)] + " " * (int(z) - int(a)) + blank[int(z):]
+        held[t] = entities, {w.lower() for w in word.findall(blank)}, texts.count(t)
+        for e in entities:
+            n_c[e] += texts.count(t)
+            n_texts[e] += 1
+    for entities, terms, copies in held.values():
+        for e in entities:
+            if n_texts[e] >= rule.min_texts:
+                for w in terms:
+                    n_ct[e, w] += copies
+                    seen[e, w] += 1
+    known = {}
+    for (e, w), k in n_ct.items():
+        n_w, m = max(n_t[w], k), seen[e, w]
+        content, expected = math.log2(len(texts) / n_c[e]), n_c[e] * n_w / len(texts)
+        share = math.log2(k * len(texts) / (n_c[e] * n_w)) / content if content > 0 else 0
+        surprise = m * math.log(m / expected) - m + expected if m > expected else 0
+        if m >= rule.min_texts and share >= rule.generalise and surprise >= math.log(len(n_ct) / rule.chance):
+            known[e, w] = share
+    out = set()
+    for i, t in enumerate(texts):
+        told = {w for e, w in known if t in held and e in held[t][0] and w in held[t][1]}
+        out |= {(i, m.start(), m.end()) for m in word.finditer(t) if m.group().lower() in told}
+    return out, known
+
+
+def test_planted_disclosures_are_found_and_chance_pairs_are_not(spark):
+    rng = random.Random(11)
+    vocabulary = [f"word{i}x" for i in range(400)]
+    prose = lambda: [rng.choice(vocabulary) for _ in range(40)]
+    texts, planted = [" ".join(prose()) for _ in range(500)], set()
+    for g in range(15):
+        code = f"codename{chr(97 + g)}"
+        planted |= {(f"email|firm{g}.example", code)}
+        for j in range(5):
+            w = prose()
+            w[rng.randrange(20)] = code
+            texts.append(" ".join(w) + f" person{j}@firm{g}.example " + " ".join(prose()))
+    texts += [" ".join(prose()) + f" 10.0.{i}.{rng.randrange(255)} " + " ".join(prose()) for i in range(200)]
+    texts += [texts[505]] * 4
+    want, known = plain_terms(texts, pii.Disclosure())
+    found = {p for p in known if p[0].startswith("email|")}
+    assert len(found & planted) >= 0.9 * len(planted) and len(known.keys() - planted) <= 0.1 * len(known)
+    rows = pii.report(table(spark, texts)).collect()
+    got = {(r.doc_id, int(a), int(z)) for r in rows for kind, a, z in (x.split(":") for x in r.spans.split(",") if x) if kind == "term"}
+    assert got == want
+
+
 def test_sanitize_overlaps_nulls_and_other_columns(spark):
     texts = ["call +1 (988) 555-2485 or 4111-1111-1111-1111, 1.2.3.4@x.org", None, "", "plain"]
     got = {r.doc_id: r for r in pii.sanitize(table(spark, texts)).collect()}
