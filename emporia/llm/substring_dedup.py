@@ -16,8 +16,8 @@ all documents share therefore reaches its buckets once per chunk.
 
 Defined results: a null or empty text has no words; a document without an id
 neither loses words nor makes others lose any; rows that repeat an id are not
-smaller than each other, and what is removed from one is removed at the same
-place from all rows of that id; only ``doc_id`` and ``text`` are read; an
+smaller than each other, and each loses its own words (rows equal in id and
+text the same ones); only ``doc_id`` and ``text`` are read; an
 empty table gives an empty table. Texts of any length are handled whole.
 """
 
@@ -40,9 +40,9 @@ K = 13
 M = 3
 BUCKET_BYTES = 4 << 20
 CHUNK_BYTES = 4 << 20
-BROADCAST_IDS = 1 << 20     # ids of documents that lose words, 8 bytes each
-_PACKED = "bucket long, raw_bytes long, packed binary, doc_id long, first int, n int"
-_SPANS = "doc_id long, first int, n int"
+BROADCAST_IDS = 1 << 19     # documents that lose words, 16 bytes each
+_PACKED = "bucket long, raw_bytes long, packed binary, doc_id long, mark long, first int, n int"
+_SPANS = "doc_id long, mark long, first int, n int"
 
 
 def _codec() -> pa.Codec:
@@ -77,8 +77,8 @@ def canonical(w: words.Words) -> tuple[bytes, np.ndarray]:
 
 def _pack(batches: Iterator[pa.RecordBatch], buckets: int, k: int, m: int, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
     codec = _codec()
-    for b in batches:
-        ids = b.column("doc_id").to_numpy(zero_copy_only=False)
+    for b in words.freed(batches):
+        ids, marks = (b.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "mark"))
         for lo, hi, w in words.chunks(b.column("text"), chunk_bytes):
             first, count, least = super_kmers(w, k, m)
             if not len(first):
@@ -86,26 +86,31 @@ def _pack(batches: Iterator[pa.RecordBatch], buckets: int, k: int, m: int, chunk
             text, begin = canonical(w)
             owner = np.searchsorted(w.first, first, "right") - 1
             doc, place = ids[lo:hi][owner].astype(np.int64), (first - w.first[owner]).astype(np.int64)
+            mark = marks[lo:hi][owner].astype(np.int64)
             begin_at, end_at = begin[first].tolist(), (begin[first + count + k - 1] - 1).tolist()
-            order = np.lexsort((place, doc))
+            order = np.lexsort((place, mark, doc))
             seen: dict[bytes, list] = {}
+            again: dict[tuple[bytes, int], list] = {}
             later: list[int] = []
-            docs, places = doc.tolist(), place.tolist()
+            docs, rows_of, places = doc.tolist(), mark.tolist(), place.tolist()
             for i in order.tolist():
                 s = text[begin_at[i]:end_at[i]]
                 known = seen.get(s)
                 if known is None:
                     seen[s] = [i, places[i]]
                 elif docs[known[0]] == docs[i]:
-                    known.append(places[i])
+                    if rows_of[known[0]] == rows_of[i]:
+                        known.append(places[i])
+                    else:                       # another text of the id: an entry of its own
+                        again.setdefault((s, rows_of[i]), [i]).append(places[i])
                 else:
                     later.append(i)
             if later:
                 rows = np.array(later)
                 # Names below 0 spread them by document.
                 away = -1 - (words.mix(doc[rows].astype(np.uint64)) >> np.uint64(2)).astype(np.int64)
-                yield _rows(len(rows), bucket=away, doc_id=doc[rows], first=place[rows], n=count[rows])
-            strings, entries = list(seen), list(seen.values())
+                yield _rows(len(rows), bucket=away, doc_id=doc[rows], mark=mark[rows], first=place[rows], n=count[rows])
+            strings, entries = [*seen, *[s for s, _ in again]], [*seen.values(), *again.values()]
             kept = np.array([e[0] for e in entries])
             bucket = (words.mix(least[kept]) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -113,7 +118,7 @@ def _pack(batches: Iterator[pa.RecordBatch], buckets: int, k: int, m: int, chunk
             names, sizes, blobs = [], [], []
             for a, z in zip(edges, np.append(edges[1:], len(order)), strict=True):
                 part = order[a:z].tolist()
-                head = np.array([docs[entries[i][0]] for i in part], dtype="<i8")
+                head = np.array([f(entries[i][0]) for f in (docs.__getitem__, rows_of.__getitem__) for i in part], dtype="<i8")
                 repeats = np.array([len(entries[i]) - 1 for i in part], dtype="<i4")
                 at = np.array([p for i in part for p in entries[i][1:]], dtype="<i4")
                 raw = b"".join([np.array([len(part), len(at)], dtype="<i8").tobytes(), head.tobytes(), repeats.tobytes(),
@@ -125,7 +130,7 @@ def _pack(batches: Iterator[pa.RecordBatch], buckets: int, k: int, m: int, chunk
 
 
 def _rows(size: int, /, **columns) -> pa.RecordBatch:
-    kinds = {"bucket": pa.int64(), "raw_bytes": pa.int64(), "packed": pa.binary(), "doc_id": pa.int64(),
+    kinds = {"bucket": pa.int64(), "raw_bytes": pa.int64(), "packed": pa.binary(), "doc_id": pa.int64(), "mark": pa.int64(),
              "first": pa.int32(), "n": pa.int32()}
     return pa.RecordBatch.from_pydict({c: pa.array(columns[c], t) if c in columns else pa.nulls(size, t)
                                        for c, t in kinds.items()})
@@ -133,8 +138,8 @@ def _rows(size: int, /, **columns) -> pa.RecordBatch:
 
 def _unpack(raw: bytes):
     n, places = np.frombuffer(raw, "<i8", 2)
-    at = 16 + 8 * n
-    return (np.frombuffer(raw, "<i8", n, 16), np.frombuffer(raw, "<i4", n, at),
+    at = 16 + 16 * n
+    return (np.frombuffer(raw, "<i8", 2 * n, 16).reshape(2, n), np.frombuffer(raw, "<i4", n, at),
             np.frombuffer(raw, "<i4", places, at + 4 * n), raw[at + 4 * n + 4 * places:])
 
 
@@ -166,10 +171,10 @@ def later_windows(data: bytes, at: np.ndarray, w: words.Words, doc: np.ndarray,
     return out
 
 
-def _bucket_spans(parts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, first word, number of windows) of the reported windows of one bucket."""
+def _bucket_spans(parts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, mark, first word, number of windows) of the reported windows of one bucket."""
     heads, repeats, places, texts = zip(*map(_unpack, parts), strict=True)
-    head, repeat, place = np.concatenate(heads), np.concatenate(repeats), np.concatenate(places)
+    (head, mark), repeat, place = np.concatenate(heads, axis=1), np.concatenate(repeats), np.concatenate(places)
     data = b"\n".join(texts)
     raw = np.frombuffer(data, dtype=np.uint8)
     ends = np.flatnonzero(raw == 0x0A)
@@ -180,7 +185,7 @@ def _bucket_spans(parts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, n
     hit = later_windows(data, at, w, head[owner], k, h)
     at, owner = at[hit], owner[hit]
     if not len(at):
-        return (np.empty(0, dtype=np.int64),) * 3
+        return (np.empty(0, dtype=np.int64),) * 4
     begin = np.flatnonzero(np.concatenate(([True], (np.diff(at) != 1) | (np.diff(owner) != 0))))
     count = np.diff(np.append(begin, len(at)))
     owner, offset = owner[begin], at[begin] - w.first[owner[begin]]
@@ -189,22 +194,22 @@ def _bucket_spans(parts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, n
     times = repeat[owner]
     span = np.repeat(np.arange(len(owner)), times)
     nth = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
-    return head[owner][span], place[where[owner][span] + nth] + offset[span], count[span]
+    return head[owner][span], mark[owner][span], place[where[owner][span] + nth] + offset[span], count[span]
 
 
 def _count(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by bucket: reported spans pass, packed strings are counted bucket by bucket."""
     codec, bucket, parts = _codec(), None, []
 
-    def out(doc, first, n) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(first, pa.int32()), pa.array(n, pa.int32())],
-                                          ["doc_id", "first", "n"])
+    def out(doc, mark, first, n) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(mark, pa.int64()), pa.array(first, pa.int32()),
+                                           pa.array(n, pa.int32())], ["doc_id", "mark", "first", "n"])
 
     for b in batches:
         name = b.column("bucket").to_numpy()
         passed = b.filter(pa.array(name < 0))
         if passed.num_rows:
-            yield passed.select(["doc_id", "first", "n"])
+            yield passed.select(["doc_id", "mark", "first", "n"])
         for i in np.flatnonzero(name >= 0).tolist():
             if parts and name[i] != bucket:
                 yield out(*_bucket_spans(parts, k))
@@ -217,20 +222,21 @@ def _count(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
 
 def repeated_spans(docs: DataFrame, k: int = K, m: int = M, bucket_bytes: int = BUCKET_BYTES,
                    chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(doc_id, first, n): runs of ``n`` windows from word ``first`` on that a smaller document also holds.
+    """(doc_id, mark, first, n): runs of ``n`` windows from word ``first`` on that a smaller document also holds.
 
     The number of buckets follows the corpus size, so a bucket's memory does not.
     """
     text = F.col("text").cast("string")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text")).filter("doc_id is not null")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
+    rows = rows.filter("doc_id is not null")
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = max(1, ceil(size / bucket_bytes))
     packed = rows.mapInArrow(lambda it: _pack(it, buckets, k, m, chunk_bytes), _PACKED)
-    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _count(it, k), _SPANS)
+    return words.dealt(packed, "bucket", 3 * size).sortWithinPartitions("bucket").mapInArrow(lambda it: _count(it, k), _SPANS)
 
 
 def _finish(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in words.freed(batches):
         firsts, counts = b.column("firsts").to_pylist(), b.column("counts").to_pylist()
         n_words, n_removed, kept = [], [], []
         for i, text in enumerate(b.column("text").cast(pa.large_binary())):
@@ -239,9 +245,8 @@ def _finish(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
             if firsts[i]:
                 cover = np.zeros(len(parts) + 1, dtype=np.int64)
                 start = np.array(firsts[i])
-                # Rows that repeat an id may differ in length.
-                np.add.at(cover, np.minimum(start, len(parts)), 1)
-                np.subtract.at(cover, np.minimum(start + np.array(counts[i]) + k - 1, len(parts)), 1)
+                np.add.at(cover, start, 1)
+                np.subtract.at(cover, start + np.array(counts[i]) + k - 1, 1)
                 gone = np.cumsum(cover[:-1]) > 0
                 n_removed.append(int(gone.sum()))
                 parts = [parts[j] for j in np.flatnonzero(~gone).tolist()]
@@ -257,19 +262,20 @@ def dedup(docs: DataFrame, k: int = K, m: int = M, **sizes: int) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text (the kept words joined by one space) for every row."""
     spark = docs.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/substring-dedup-{uuid.uuid4().hex}"
-    (repeated_spans(docs, k, m, **sizes).groupBy("doc_id")
+    (repeated_spans(docs, k, m, **sizes).groupBy(F.col("doc_id").alias("_doc"), F.col("mark").alias("_mark"))
      .agg(F.collect_list("first").alias("firsts"), F.collect_list("n").alias("counts")).write.parquet(path))
     spans = spark.read.parquet(path)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ids = spans.select("doc_id")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
+    ids, match = spans.select("_doc", "_mark"), (F.col("doc_id") == F.col("_doc")) & (F.col("mark") == F.col("_mark"))
     none = F.lit(None).cast("array<int>")
     if spans.count() <= BROADCAST_IDS:
         # Only texts that lose words are shuffled.
-        some = rows.join(F.broadcast(ids), "doc_id", "left_semi").join(spans, "doc_id")
-        others = rows.join(F.broadcast(ids), "doc_id", "left_anti").select("*", none.alias("firsts"), none.alias("counts"))
+        some = rows.join(F.broadcast(ids), match, "left_semi").join(spans, match)
+        others = rows.join(F.broadcast(ids), match, "left_anti").select("*", none.alias("firsts"), none.alias("counts"))
         parts = [some, others]
     else:
-        parts = [rows.join(spans, "doc_id", "left")]
+        parts = [rows.join(spans, match, "left")]
     finished = [p.select("doc_id", "text", "firsts", "counts").mapInArrow(
         lambda it: _finish(it, k), "doc_id long, n_words long, n_removed long, kept_text string") for p in parts]
     return reduce(DataFrame.unionByName, finished)
