@@ -51,6 +51,7 @@ RANGE_BYTES = 8 << 20       # text whose paths make up a prefix range
 MERGE_PATHS = 1 << 20       # paths that are united at once
 SAMPLE_BYTES = 16 << 20     # text whose paths are looked at for the ranges
 SAMPLE_PATHS = 1 << 16
+TOP_PARTS = 32              # parts of a language that are ordered on their own first
 UNKNOWN_LANG = "und"
 
 _SPACE, _BREAK = 1, 2
@@ -247,7 +248,7 @@ def _codec() -> pa.Codec:
 
 def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array, np.ndarray, np.ndarray]]:
     """(language, sorted words, paths, counts) of each shard."""
-    for b in batches:
+    for b in words.freed(batches):
         lang = b.column("lang").dictionary_encode()
         codes = lang.indices.to_numpy(zero_copy_only=False)
         for code, name in enumerate(lang.dictionary.to_pylist()):
@@ -401,7 +402,7 @@ def phrase_counts(docs: DataFrame, min_count: int = Mining.min_count) -> DataFra
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     cuts = range_cuts(rows, size)
     shards = rows.mapInArrow(lambda it: _shards(it, cuts), "part int, lang string, raw_bytes long, packed binary")
-    partial = (shards.repartition("part").sortWithinPartitions("part", "lang")
+    partial = (words.dealt(shards, "part", 2 * size).sortWithinPartitions("part", "lang")
                .mapInArrow(lambda it: _counts(it, min_count), "lang string, phrase string, words int, f long"))
     return (partial.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
             .filter((F.col("f") >= min_count) | (F.col("words") == 0)))
@@ -437,7 +438,10 @@ def mine(docs: DataFrame, spec: Mining = Mining()) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/collocations-{uuid.uuid4().hex}"
     phrase_counts(docs, spec.min_count).write.parquet(path)
     counts = spark.read.parquet(path)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored(counts, spec).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= spec.top)
+    # The first of each language are among the first of its parts, so no task orders all phrases of a language.
+    rank, order = F.row_number(), (F.desc("score"), F.desc("a"), "phrase")
+    ranked = scored(counts, spec).withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(TOP_PARTS)))
+    for keys in (["lang", "_part"], ["lang"]):
+        ranked = ranked.withColumn("rank", rank.over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= spec.top)
     total = counts.filter("words = 0").select("lang", F.col("f").alias("n"))
     return ranked.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

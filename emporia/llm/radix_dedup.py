@@ -133,7 +133,7 @@ def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 def _runs_of(batches: Iterator[pa.RecordBatch], window: int):
     """(bytes, doc, mark, place in the text, first, count, anchor, hash) of the runs of each piece."""
-    for b in batches:
+    for b in words.freed(batches):
         data, offsets = _texts(b)
         doc, mark = b.column("doc").to_numpy(), b.column("mark").to_numpy()
         for lo, hi, start, end in _pieces(offsets, window):
@@ -447,14 +447,14 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     buckets = max(1, ceil(size / BUCKET_BYTES))
     hot = spark.sparkContext.broadcast(hot_anchors(rows, 3 * size, window))
     packed = rows.mapInArrow(lambda it: _pack(it, buckets, window, hot.value), _PACKED)
-    spans = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _sort(it, window), _SPANS)
+    spans = words.dealt(packed, "bucket", 3 * size).sortWithinPartitions("bucket").mapInArrow(lambda it: _sort(it, window), _SPANS)
     if not len(hot.value):
         return spans
     return spans.unionByName(_hot_spans(rows, window, hot, f"{ensure_checkpoint_dir(spark)}/radix-dedup-{uuid.uuid4().hex}"))
 
 
 def _finish(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in words.freed(batches):
         n_bytes, n_removed, n_spans, kept = [], [], [], []
         for text, firsts, counts in zip(b.column("text").cast(pa.large_binary()), b.column("firsts"), b.column("counts"), strict=True):
             raw = np.frombuffer(text.as_buffer(), dtype=np.uint8)

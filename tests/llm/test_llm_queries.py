@@ -58,3 +58,42 @@ def test_pipeline_stages_keep_the_columns(spark, tmp_path):
     assert [x for x, _ in corpus_pipeline.STAGES] == ["quality_rules", "ngram_jaccard_join", "decontamination", "pii", "bpe"]
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, SF).select("doc_id").collect()) == sorted(
         r.doc_id for r in docs.select("doc_id").collect())
+
+
+def _odd_documents(spark):
+    """Nulls, empty and long texts, repeated rows and ids, and columns named like the stages' own."""
+    line = lambda k, n=30: " ".join(f"{k}word{i}" for i in range(n)) + "."
+    near = line("n").replace("nword29", "changed")
+    leak = " ".join(f"bench{i}" for i in range(20))
+    rows = [(1, line("a")), (1, line("a")), (1, line("b")), (2, line("a")), (3, line("n")), (4, near), (None, line("c")), (None, line("c")),
+            (5, None), (6, ""), (7, "menu | home | login"), (8, line("d") + " " + leak + " " + line("e")), (9, "write to ann@mail.example " + line("f")),
+            (10, " ".join(line(f"l{i}") for i in range(400)))]
+    names = ["_key", "_gone", "_leaked", "root", "n_tokens", "mark", "node", "text_", "share"]
+    columns = ", ".join(["doc_id long", "text string", "lang string", "source string", "n_chars int", *[f"{c} string" for c in names]])
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), *names) for i, t in rows], columns)
+    bench = spark.createDataFrame([(1, leak), (2, "no"), (3, None), (None, "x")], "item_id long, text string")
+    return docs, bench
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    docs, bench = _odd_documents(spark)
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    columns, kept = docs.columns, {}
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if k + 1 < len(corpus_pipeline.STAGES):
+            assert docs.columns == columns
+        kept[name] = sorted((r.doc_id for r in docs.collect()), key=lambda i: (i is None, i or 0))
+    assert kept["quality_rules"] == [1, 1, 1, 2, 3, 4, 8, 9, 10, None, None]
+    # One copy of a's text and b's stay, though both have the id 1; 4 is near 3.
+    assert kept["ngram_jaccard_join"] == [1, 1, 3, 8, 9, 10, None, None]
+    assert kept["decontamination"] == kept["pii"] == kept["bpe"] == [1, 1, 3, 9, 10, None, None]
+    assert "ann@mail.example" not in {w for r in spark.read.parquet(str(tmp_path / "pii")).collect() for w in r.text.split()}
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    docs, bench = _odd_documents(spark)
+    docs.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
