@@ -2,7 +2,15 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its rows are
 written and read again before the next stage, which cuts the lineage. All but
-the last return the columns of the documents.
+the last return the columns of the documents, whatever other columns there are.
+
+Defined results: documents with a null or empty text, or whose lines all fail,
+are rejected by the quality rules; of rows that repeat an id and a text one
+stays, rows that repeat an id with other texts are documents of their own;
+documents without an id are never near-duplicates, but leave with their leaks
+like all others; a document is dropped for a leak only by a benchmark item of
+13 tokens or more, or if it is a shorter item's text and nothing else; texts of
+any length are taken whole; an empty table gives an empty table.
 """
 
 from __future__ import annotations
