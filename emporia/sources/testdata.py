@@ -183,9 +183,10 @@ def retail_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = broadcast_if_small(read(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     p = read(spark, sf_dir, "part").select("p_partkey", "p_name")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-         .join(c, F.col("o_custkey") == c.c_custkey, "left")
-         .join(n, F.col("c_nationkey") == n.n_nationkey, "left")
+    # The customers are joined to the narrow orders, so the lines are shuffled by order and by part only.
+    buyers = (o.join(c, F.col("o_custkey") == c.c_custkey, "left")
+              .join(n, F.col("c_nationkey") == n.n_nationkey, "left"))
+    j = (li.join(buyers, li.l_orderkey == F.col("o_orderkey"), "inner")
          .join(p, F.col("l_partkey") == p.p_partkey, "left"))
     qty = F.col("l_quantity").cast("bigint")
     # Unit price in whole cents, rounded half up with integer arithmetic.

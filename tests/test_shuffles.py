@@ -49,3 +49,8 @@ def test_featured_orders_dealt_before_the_features_are_the_same_rows(spark, t):
     lazy = CommerceTables(spark, testdata.raw_tables(spark, SF_SMALL), materialize=False).master_featured
     assert sorted(lazy.columns) == sorted(t.master_featured.columns)
     assert rows(lazy.select(t.master_featured.columns)) == rows(t.master_featured)
+
+
+def test_retail_lines_are_not_shuffled_by_customer(spark, no_broadcast):
+    by_customer = _exchanged(testdata.retail_raw(spark, SF_SMALL), "o_custkey")
+    assert by_customer and not any(c.startswith("l_") for columns in by_customer for c in columns)
