@@ -37,6 +37,7 @@ MEMO_WORDS = 1 << 19
 MEMO_BYTES = 96 << 20     # of the memo's words, by estimate
 ROW_SYMBOLS = 64     # longer words take the one-by-one path
 ROWS = 1 << 15       # words merged at once
+SLICE_BYTES = 1 << 20     # text encoded at once: its words are objects, many times the size of the text
 
 
 def byte_symbols() -> list[str]:
@@ -306,8 +307,7 @@ def encode_decode(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("n_tok
                 if "n_tokens" in names:
                     out["n_tokens"] = pa.array([sum([e[2] for e in r]) for r in rows], pa.int64())
                 if "ids" in names:
-                    out["ids"] = pa.array([[int(i) for e in r for i in e[0].split()] for r in rows],
-                                          pa.list_(pa.int32()))
+                    out["ids"] = _id_lists(rows)
                 if "ids_sha256" in names:
                     out["ids_sha256"] = pa.array([_sha([e[0] for e in r]) for r in rows], pa.string())
                 if "decoded" in names:
@@ -338,7 +338,16 @@ def _sha(parts: list[str]) -> str:
     return hashlib.sha256(" ".join(parts).encode("utf-8", "surrogatepass")).hexdigest()
 
 
-def _slices(b: pa.RecordBatch, target: int = 8 << 20):
+def _id_lists(rows: list[list[tuple]]) -> pa.Array:
+    """The ids of each text, from its words' entries; no number becomes a Python object."""
+    counts = [sum([e[2] for e in r]) for r in rows]
+    ends = np.cumsum([0, *counts], dtype=np.int32)
+    parts = [np.fromstring(" ".join([e[0] for e in r]), dtype=np.int32, sep=" ") for r, n in zip(rows, counts, strict=True) if n]
+    ids = np.concatenate(parts) if parts else np.empty(0, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
+
+
+def _slices(b: pa.RecordBatch, target: int = SLICE_BYTES):
     """Parts of a batch with about ``target`` bytes of text, one row at least."""
     rows = max(1, int(b.num_rows * target / max(b.nbytes, 1)))
     for at in range(0, b.num_rows, rows):
