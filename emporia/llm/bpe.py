@@ -8,7 +8,8 @@ many at a time (one tree per row of a numpy array), long ones one by one with
 the same tree in a list.
 
 The vocabulary file is read on the driver (its size is fixed) and broadcast.
-Words recur, so each task keeps a bounded memo of encoded words.
+Words recur, so each task keeps a bounded memo of encoded words. Batches are
+encoded in small slices, and what a slice has freed is given back at once.
 
 Defined results: a null text is an empty text and has no tokens; only the key
 and text columns are read, so other columns may have any names; equal rows get
@@ -34,10 +35,10 @@ from emporia.llm import words
 
 NONE = np.iinfo(np.int64).max
 MEMO_WORDS = 1 << 19
-MEMO_BYTES = 96 << 20     # of the memo's words, by estimate
+MEMO_BYTES = 24 << 20     # of the memo's newer words, by estimate; the older ones take as much at most
 ROW_SYMBOLS = 64     # longer words take the one-by-one path
-ROWS = 1 << 15       # words merged at once
-SLICE_BYTES = 1 << 20     # text encoded at once: its words are objects, many times the size of the text
+MERGED_SYMBOLS = 1 << 17  # symbols of the words merged at once
+SLICE_BYTES = 1 << 19     # text encoded at once: its words are objects, many times the size of the text
 
 
 def byte_symbols() -> list[str]:
@@ -201,7 +202,11 @@ def latin_pattern(pattern: str) -> str:
 
 
 class Encoder:
-    """Encodes texts in a task; keeps the words seen, up to a bound."""
+    """Encodes texts in a task; keeps the words seen, up to a bound.
+
+    When ``memo`` is full it becomes ``older``, whose words come back as they
+    are met again; so frequent words are encoded once, rare ones are dropped.
+    """
 
     def __init__(self, vocab: Vocabulary, memo_words: int = MEMO_WORDS):
         self.vocab, self.bound = vocab, memo_words
@@ -213,6 +218,7 @@ class Encoder:
         self.cut = regex.compile(f"({marks})").split if marks else None
         self.special = {x: self._entry([i]) for x, i in vocab.specials.items()}
         self.memo: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
         self.memo_bytes = 0
 
     def _entry(self, ids: list[int]) -> tuple:
@@ -238,14 +244,12 @@ class Encoder:
     def learn(self, new: list[str]) -> None:
         """Encode words that the memo lacks."""
         v = self.vocab
-        # A word, its ids and its tokens, each an object with a head.
-        self.memo_bytes += sum([320 + 4 * len(w) for w in new])
         raw = [w.encode("utf-8", "surrogatepass") for w in new]
         size = np.array([len(x) for x in raw])
         for leaves in (2, 4, 8, 16, 32, ROW_SYMBOLS):
             group = np.flatnonzero((size <= leaves) & (size > (leaves // 2 if leaves > 2 else 0)))
-            for lo in range(0, len(group), ROWS):
-                part = group[lo:lo + ROWS]
+            for lo in range(0, len(group), MERGED_SYMBOLS // leaves):
+                part = group[lo:lo + MERGED_SYMBOLS // leaves]
                 lens = size[part]
                 flat = np.frombuffer(b"".join([raw[i] for i in part]), dtype=np.uint8)
                 at = np.arange(leaves) < lens[:, None]
@@ -270,10 +274,15 @@ class Encoder:
         split = [self.words(x) if x else [] for x in texts]
         new = set().union(*split) - self.memo.keys()
         if len(self.memo) + len(new) > self.bound or self.memo_bytes > MEMO_BYTES:
-            self.memo, self.memo_bytes = dict(self.special), 0
+            self.memo, self.older, self.memo_bytes = dict(self.special), self.memo, 0
             new = set().union(*split) - self.memo.keys()
         self.memo.update(self.special)
         new -= self.special.keys()
+        # A word, its ids and its tokens, each an object with a head.
+        self.memo_bytes += sum([320 + 4 * len(w) for w in new])
+        known = new & self.older.keys()
+        self.memo.update([(w, self.older.pop(w)) for w in known])
+        new -= known
         if new:
             self.learn(sorted(new))
         get = self.memo.__getitem__
@@ -298,23 +307,25 @@ def encode_decode(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("n_tok
     tables = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(path))
     names = list(outputs)
 
+    def encoded(part: pa.RecordBatch, encoder: Encoder) -> pa.RecordBatch:
+        rows = encoder.encode(part.column(1).to_pylist())
+        out = {key: part.column(0)}
+        if "n_tokens" in names:
+            out["n_tokens"] = pa.array([sum([e[2] for e in r]) for r in rows], pa.int64())
+        if "ids" in names:
+            out["ids"] = _id_lists(rows)
+        if "ids_sha256" in names:
+            out["ids_sha256"] = pa.array([_sha([e[0] for e in r]) for r in rows], pa.string())
+        if "decoded" in names:
+            out["decoded"] = pa.array([" ".join([e[1] for e in r]) for r in rows], pa.string())
+        if "decoded_sha256" in names:
+            out["decoded_sha256"] = pa.array([_sha([e[1] for e in r]) for r in rows], pa.string())
+        return pa.RecordBatch.from_pydict({k: out[k] for k in [key, *names]})
+
     def run(batches):
         encoder = Encoder(tables.value)
-        for b in words.freed(batches):
-            for part in _slices(b):
-                rows = encoder.encode(part.column(1).to_pylist())
-                out = {key: part.column(0)}
-                if "n_tokens" in names:
-                    out["n_tokens"] = pa.array([sum([e[2] for e in r]) for r in rows], pa.int64())
-                if "ids" in names:
-                    out["ids"] = _id_lists(rows)
-                if "ids_sha256" in names:
-                    out["ids_sha256"] = pa.array([_sha([e[0] for e in r]) for r in rows], pa.string())
-                if "decoded" in names:
-                    out["decoded"] = pa.array([" ".join([e[1] for e in r]) for r in rows], pa.string())
-                if "decoded_sha256" in names:
-                    out["decoded_sha256"] = pa.array([_sha([e[1] for e in r]) for r in rows], pa.string())
-                yield pa.RecordBatch.from_pydict({k: out[k] for k in [key, *names]})
+        for part in words.freed(part for b in batches for part in _slices(b)):
+            yield encoded(part, encoder)
 
     kind = dict(docs.dtypes)[key]
     schema = ", ".join([f"`{key}` {kind}", *(f"{x} {_COLUMNS[x]}" for x in names)])
