@@ -7,17 +7,18 @@ the more it resembles the target.
 
 Tokens are the words, A-Z in lower case and punctuation included, with a mark
 before the first and behind the last. The vocabulary holds every word, known
-by its 64-bit hash; only a finite ``vocab_share`` makes those whose share of
-all tokens is below ``1 / vocab_share`` one unknown word. With counts c and
-unigram estimates p1 (add-one over the vocabulary),
+by its 64-bit hash, as is every bigram; only a finite ``vocab_share`` makes the
+words whose share of all tokens is below ``1 / vocab_share`` one unknown word.
+With counts c and unigram estimates p1 (add-one over the vocabulary),
 p(w | v) = (c(v, w) + mu p1(w)) / (c(v) + mu).
 
-All counts cover all documents, are summed before they are shuffled and are
-kept whole as Parquet. Words and bigrams whose share of all pairs is at least
-``1 / hot_share`` (a bounded number) are broadcast and looked up where they are
-read; the rest, no key of which is frequent, are joined by a shuffle: the
-counts of rare words to the bigrams, the rare bigrams to the documents. Losses
-are kept in whole micronats, so sums do not depend on the order of rows.
+Texts are packed in chunks, kept as Parquet. A chunk sends each of its distinct
+words and bigrams once, with its counts, to the bucket of its hash: hashes in
+order, as differences in byte planes, compressed. A bucket sums the counts and
+answers each chunk in the order of its request, so the answer names no key; the
+chunk meets its answers and is scored. A frequent word is sent once by a chunk,
+so no bucket grows with it. Losses are kept in whole micronats, so sums do not
+depend on the order of rows.
 
 Defined results: a null text or one without a token has no score (null); rows
 that repeat an id are scored together as one document, rows without an id
@@ -35,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,168 +46,207 @@ from emporia.plans.session import ensure_checkpoint_dir
 
 _TABLE = words.LOWER
 
-# Reserved hashes: in the table of words the rows of the totals; in bigrams the unknown word and the mark.
-TOKENS, DOCUMENTS = 0, 1
-UNKNOWN, MARK = TOKENS, DOCUMENTS
+# Reserved hashes: the unknown word, which is the row of the totals in the table of words, and the mark.
+UNKNOWN, MARK = 0, 1
 MICRO = 1_000_000
+CHUNK_BYTES = 4 << 20     # text of a chunk
+BUCKET_BYTES = 8 << 20    # text whose words and bigrams a bucket sums
 
 
 @dataclass(frozen=True)
 class ModelSpec:
     vocab_share: float = math.inf
-    hot_share: int = 1 << 19
+    hot_share: int = 1 << 19     # without effect: frequent bigrams are counted like all others
     mu: float = 10.0
     alpha: float = 1.0
 
 
 @dataclass
-class Vocabulary:
-    """Sorted hashes of the frequent words (unknown word and mark included), and their (2, n) counts: background, target.
+class Totals:
+    """The number of different words, mark and unknown word included, and the (2,) numbers of tokens and marks: background,
+    target."""
 
-    ``size`` is the number of all words, ``total`` that of all tokens; if ``closed``, other words are the unknown one.
-    """
-
-    hashes: np.ndarray
-    counts: np.ndarray
     size: int
     total: np.ndarray
-    closed: bool
-
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the words ``h``, and which of them are frequent."""
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return at, self.hashes[at] == h
 
     def losses(self, counts: np.ndarray, left: np.ndarray, right: np.ndarray, spec: ModelSpec) -> np.ndarray:
         """(2, n) micronats under both models, by (2, n) counts of the bigrams, their first and their second words."""
-        p1 = (right + spec.alpha) / (self.total + spec.alpha * self.size)
+        p1 = (right + spec.alpha) / (self.total[:, None] + spec.alpha * self.size)
         p = (counts + spec.mu * p1) / (left + spec.mu)
         return np.rint(-np.log(p) * MICRO).astype(np.int64)
 
-    def bigrams(self, w: words.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(text, place) of each bigram of the texts, marks included, and the distinct ones' words at the places.
-
-        Texts without a word have none.
-        """
-        h, some = w.hashes(), w.counts > 0
-        if self.closed:
-            h = np.where(self.find(h)[1], h, np.uint64(UNKNOWN))
-        known, ids = np.unique(np.append(h, np.uint64(MARK)), return_inverse=True)
-        mark = ids[-1]
-        n = np.where(some, w.counts + 1, 0)
-        owner = np.repeat(np.arange(len(n)), n)
-        begin = np.concatenate(([0], np.cumsum(n)))
-        at = np.arange(begin[-1]) - begin[owner] + w.first[owner]         # token behind the pair's first
-        is_first = np.zeros(begin[-1], dtype=bool)
-        is_first[begin[:-1][some]] = True
-        is_last = np.zeros(begin[-1], dtype=bool)
-        is_last[begin[1:][some] - 1] = True
-        left = np.where(is_first, mark, ids[at - 1])
-        right = np.where(is_last, mark, ids[at])
-        key, place = np.unique(left * len(known) + right, return_inverse=True)
-        return owner, place, known[key // len(known)], known[key % len(known)]
-
-
-def _pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """A hash of two words."""
-    return words.mix(words.mix(v) + w)
-
-
-def _sums(keys: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys with their count and their count among target rows."""
-    some, at = np.unique(keys, return_inverse=True)
-    return some, np.bincount(at, minlength=len(some)), np.bincount(at, weights=target, minlength=len(some)).astype(np.int64)
 
+@dataclass
+class Bigrams:
+    """The distinct words and bigrams of a chunk's texts, by hash; texts without a word have none.
 
-def _batch(**columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in columns.items()})
+    ``left`` and ``right`` are places in ``known``; ``place[begin[i]:begin[i + 1]]`` are the bigrams of text ``i``.
+    """
 
+    known: np.ndarray
+    tokens: np.ndarray
+    keys: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    begin: np.ndarray
+    place: np.ndarray
+
+
+def _bigrams(w: words.Words, vocab: np.ndarray | None) -> Bigrams:
+    """``vocab`` holds the sorted hashes of the words that are not the unknown one; without it all are known."""
+    h, some = w.hashes(), w.counts > 0
+    if vocab is not None:
+        found = vocab[np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)] == h if len(vocab) else np.zeros(len(h), dtype=bool)
+        h = np.where(found, h, np.uint64(UNKNOWN))
+    known, ids = np.unique(np.append(h, np.uint64(MARK)), return_inverse=True)
+    mark = ids[-1]
+    n = np.where(some, w.counts + 1, 0)
+    begin = np.concatenate(([0], np.cumsum(n)))
+    at = np.arange(begin[-1]) + np.repeat(w.first[:-1] - begin[:-1], n)       # token behind the pair's first
+    is_first = np.zeros(begin[-1], dtype=bool)
+    is_first[begin[:-1][some]] = True
+    is_last = np.zeros(begin[-1], dtype=bool)
+    is_last[begin[1:][some] - 1] = True
+    left = np.where(is_first, mark, ids[at - 1])
+    right = np.where(is_last, mark, ids[at])
+    codes, place = np.unique(left * len(known) + right, return_inverse=True)
+    left, right = np.divmod(codes, len(known))
+    keys = _pair(known[left], known[right])
+    order = np.argsort(keys)
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    return Bigrams(known, ids[:-1], keys[order], left[order], right[order], begin, rank[place])
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        flags = b.column("target").to_numpy(zero_copy_only=False).astype(bool)
-        for lo, hi, w in words.chunks(b.column("text"), table=_TABLE):
-            target, some = flags[lo:hi], w.counts > 0
-            h, n, t = _sums(w.hashes().view(np.int64), np.repeat(target, w.counts))
-            yield _batch(h=np.append(h, [TOKENS, DOCUMENTS]), n=np.append(n, [w.counts.sum(), some.sum()]),
-                         t=np.append(t, [w.counts[target].sum(), (some & target).sum()]))
 
+def _pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """A hash of two words."""
+    return words.mix(words.mix(v) + w)
 
-def _count_bigrams(batches: Iterator[pa.RecordBatch], vocab: Vocabulary) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        flags = b.column("target").to_numpy(zero_copy_only=False).astype(bool)
-        for lo, hi, w in words.chunks(b.column("text"), table=_TABLE):
-            owner, place, left, right = vocab.bigrams(w)
-            yield _batch(v=left.view(np.int64), w=right.view(np.int64), n=np.bincount(place, minlength=len(left)),
-                         t=np.bincount(place, weights=flags[lo:hi][owner], minlength=len(left)).astype(np.int64))
 
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of 64-bit numbers; equal bytes of all numbers stand together, so small numbers take little room."""
+    planes = [a.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays]
+    raw = np.array([len(a) for a in arrays], dtype="<i8").tobytes() + b"".join(planes)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
-def _with_counts(batches: Iterator[pa.RecordBatch], vocab: Vocabulary) -> Iterator[pa.RecordBatch]:
-    """The bigrams with their words' counts; those of rare words are null. ``jv`` and ``jw`` are the rare words, else spread."""
-    for b in batches:
-        both = [b.column(c).to_numpy().view(np.uint64) for c in ("v", "w")]
-        spread = _pair(*both)
-        out = {c: b.column(c) for c in ("v", "w", "n", "t")}
-        for c, h in zip("vw", both, strict=True):
-            at, known = vocab.find(h)
-            out[f"j{c}"] = pa.array(np.where(known, spread, h).view(np.int64))
-            for m, kind in enumerate("nt"):
-                out[f"{c}{kind}"] = pa.array(vocab.counts[m][at], pa.int64(), mask=~known)
-        yield pa.RecordBatch.from_pydict(out)
 
+def _unpacked(data: bytes, arrays: int) -> list[np.ndarray]:
+    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    out, at = [], 8 * arrays
+    for n in np.frombuffer(raw, dtype="<i8", count=arrays).tolist():
+        planes = np.frombuffer(raw, dtype=np.uint8, count=8 * n, offset=at).reshape(8, n)
+        out.append(planes.T.reshape(-1).view("<u8"))
+        at += 8 * n
+    return out
 
-_COUNTED = "v long, w long, n long, t long, jv long, vn long, vt long, jw long, wn long, wt long"
 
+_CHUNK = "size long, texts binary"
 
-def _with_losses(batches: Iterator[pa.RecordBatch], vocab: Vocabulary, spec: ModelSpec) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        counts = [np.stack([b.column(c).to_numpy() for c in pair]) for pair in (("n", "t"), ("vn", "vt"), ("wn", "wt"))]
-        loss = vocab.losses(*counts, spec)
-        yield _batch(v=b.column("v"), w=b.column("w"), loss_b=loss[0], loss_t=loss[1])
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of texts as compressed Arrow streams of ``CHUNK_BYTES``, one text at least."""
+    for b in words.freed(batches):
+        sizes = pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        at = 0
+        while at < b.num_rows:
+            begin = int(ends[at - 1]) if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, begin + CHUNK_BYTES, "right")))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, b.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(b.slice(at, end - at))
+            yield pa.RecordBatch.from_pydict({"size": pa.array([int(ends[end - 1]) - begin], pa.int64()),
+                                              "texts": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+            at = end
 
-_SCORED = "doc_id long, v long, w long, n long, loss_b long, loss_t long"
 
+def _opened(texts: pa.Scalar) -> tuple[pa.RecordBatch, words.Words]:
+    """The rows of a chunk and their words."""
+    b = pa.ipc.open_stream(texts.as_buffer()).read_next_batch()
+    _, _, w = next(words.chunks(b.column("text"), 1 << 62, table=_TABLE))
+    return b, w
 
-@dataclass
-class Hot:
-    """The frequent bigrams in the order of their hashes, and their (2, n) losses."""
 
-    keys: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    losses: np.ndarray
-
-    def find(self, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.keys):
-            return np.zeros(len(v), dtype=np.int64), np.zeros(len(v), dtype=bool)
-        at = np.minimum(np.searchsorted(self.keys, _pair(v, w)), len(self.keys) - 1)
-        return at, (self.left[at] == v) & (self.right[at] == w)
-
-
-def _score(batches: Iterator[pa.RecordBatch], vocab: Vocabulary, hot: Hot, turn: int) -> Iterator[pa.RecordBatch]:
-    """Per text a row with the losses of its hot bigrams (its words are spread and join nothing); a row per other bigram."""
-    names = [c.split()[0] for c in _SCORED.split(", ")]
-    for b in batches:
-        for lo, hi, w in words.chunks(b.column("text"), table=_TABLE):
-            ids = b.column("doc_id").slice(lo, hi - lo)
-            owner, at, left, right = vocab.bigrams(w)
-            place, is_hot = hot.find(left, right)
-            known = is_hot[at]
-            sums = np.zeros((2, hi - lo), dtype=np.int64)
-            for m in range(2):
-                np.add.at(sums[m], owner[known], hot.losses[m][place[at[known]]])
-            turn += 1
-            spread = words.mix(np.arange(hi - lo, dtype=np.uint64) + np.uint64(turn << 32)).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(spread), pa.array(~spread), pa.array(np.bincount(owner, minlength=hi - lo)), pa.array(sums[0]),
-                 pa.array(sums[1])], names)
-            pair, n = np.unique(owner[~known] * max(len(left), 1) + at[~known], return_counts=True)
-            text, rare = np.divmod(pair, max(len(left), 1))
-            none = pa.nulls(len(n), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(text)), pa.array(left[rare].view(np.int64)), pa.array(right[rare].view(np.int64)), pa.array(n),
-                 none, none], names)
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in words.freed(batches):
+        for x in b.column("texts"):
+            _, w = _opened(x)
+            h, n = np.unique(w.hashes(), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"h": pa.array(np.append(h, np.uint64(UNKNOWN)).view(np.int64)),
+                                              "n": pa.array(np.append(n, len(w.starts)))})
+
+
+def _bounds(keys: np.ndarray, buckets: int) -> list[int]:
+    """Where the buckets of sorted hashes begin, and their end."""
+    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    return np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64)).tolist()
+
+
+_REQUEST = "bucket int, chunk long, words binary, pairs binary"
+
+
+def _requests(batches: Iterator[pa.RecordBatch], vocab: np.ndarray | None, buckets: int) -> Iterator[pa.RecordBatch]:
+    """A row per chunk and bucket: the distinct words and bigrams with their counts, and their counts in target texts."""
+    for b in words.freed(batches):
+        for chunk, texts in zip(b.column("chunk"), b.column("texts"), strict=True):
+            rows, w = _opened(texts)
+            target, some = rows.column("target").to_numpy(zero_copy_only=False).astype(bool), w.counts > 0
+            found = _bigrams(w, vocab)
+            mark = np.searchsorted(found.known, np.uint64(MARK))
+            out = {"bucket": pa.array(range(buckets), pa.int32()), "chunk": pa.array([chunk.as_py()] * buckets, pa.int64())}
+            for name, keys, at, flags in (("words", found.known, found.tokens, np.repeat(target, w.counts)),
+                                          ("pairs", found.keys, found.place, np.repeat(target, np.diff(found.begin)))):
+                n, t = np.bincount(at, minlength=len(keys)), np.bincount(at[flags], minlength=len(keys))
+                if name == "words":
+                    n[mark], t[mark] = some.sum(), (some & target).sum()
+                ends = _bounds(keys, buckets)
+                out[name] = pa.array([_packed(np.diff(keys[lo:hi], prepend=np.uint64(0)), n[lo:hi], t[lo:hi])
+                                      for lo, hi in zip(ends, ends[1:], strict=False)], pa.binary())
+            yield pa.RecordBatch.from_pydict(out)
+
+
+_ANSWER = "bucket int, chunk long, words binary, pairs binary, size long, n long, t long"
+
+
+def _summed(requests: pa.ChunkedArray) -> tuple[np.ndarray, list[np.ndarray], list[bytes]]:
+    """Distinct keys of a bucket, their two counts, and for each request the counts of its keys."""
+    parts = [_unpacked(x.as_py(), 3) for x in requests]
+    some, at = np.unique(np.concatenate([np.cumsum(d, dtype=np.uint64) for d, _, _ in parts]), return_inverse=True)
+    sums = [np.bincount(at, weights=np.concatenate([p[k] for p in parts]), minlength=len(some)).astype(np.int64) for k in (1, 2)]
+    ends = np.cumsum([0, *(len(d) for d, _, _ in parts)]).tolist()
+    del parts
+    return some, sums, [_packed(*(s[at[lo:hi]] for s in sums)) for lo, hi in zip(ends, ends[1:], strict=False)]
+
+
+def _answers(requests: pa.Table) -> pa.Table:
+    """The requests of a bucket answered; its first row has the number of its words and of their occurrences, marks included."""
+    _, _, pairs = _summed(requests.column("pairs"))
+    known, (n, t), found = _summed(requests.column("words"))
+    once = lambda x: pa.array([int(x), *[0] * (requests.num_rows - 1)], pa.int64())
+    return pa.table({"bucket": requests.column("bucket"), "chunk": requests.column("chunk"),
+                     "words": pa.array(found, pa.binary()), "pairs": pa.array(pairs, pa.binary()),
+                     "size": once((~np.isin(known, [UNKNOWN, MARK])).sum()), "n": once(n.sum()), "t": once(t.sum())})
+
+
+_SCORED = "doc_id long, n long, loss_b long, loss_t long"
+
+
+def _score(chunk: pa.Table, answers: pa.Table, vocab: np.ndarray | None, totals: Totals, spec: ModelSpec) -> pa.Table:
+    """Per text of a chunk the number of its bigrams and the sums of their losses."""
+    rows, w = _opened(chunk.column("texts")[0])
+    found = _bigrams(w, vocab)
+    answers = answers.sort_by("bucket")
+    counts = {}
+    for name in ("words", "pairs"):
+        parts = [_unpacked(x.as_py(), 2) for x in answers.column(name)]
+        counts[name] = np.stack([np.concatenate([p[k] for p in parts]) for k in range(2)]).astype(np.int64)
+    loss = totals.losses(counts["pairs"], counts["words"][:, found.left], counts["words"][:, found.right], spec)
+    sums = []
+    for m in range(2):
+        total = np.concatenate(([0], np.cumsum(loss[m][found.place])))
+        sums.append(total[found.begin[1:]] - total[found.begin[:-1]])
+    return pa.table({"doc_id": rows.column("doc_id"), "n": pa.array(np.diff(found.begin), pa.int64()),
+                     "loss_b": pa.array(sums[0], pa.int64()), "loss_t": pa.array(sums[1], pa.int64())})
 
 
 def score(docs: DataFrame, target_ids: DataFrame, spec: ModelSpec = ModelSpec()) -> DataFrame:
@@ -218,57 +259,32 @@ def score(docs: DataFrame, target_ids: DataFrame, spec: ModelSpec = ModelSpec())
     target = target_ids.select(F.col("doc_id").cast("bigint").alias("_id")).filter("_id is not null").distinct()
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     marked = (rows.join(broadcast_if_small(target, 1 << 20), F.col("doc_id") == F.col("_id"), "left")
-              .select("text", F.col("_id").isNotNull().alias("target")))
+              .select("doc_id", "text", F.col("_id").isNotNull().alias("target")))
 
     def saved(frame: DataFrame, name: str) -> DataFrame:
         frame.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
-    sums = [F.sum("n").alias("n"), F.sum("t").alias("t")]
-    unigrams = saved(marked.mapInArrow(_count_words, "h long, n long, t long").groupBy("h").agg(*sums), "words")
-    totals = {r.h: (r.n, r.t) for r in unigrams.filter(F.col("h").isin(TOKENS, DOCUMENTS)).collect()}
-    tokens, texts = totals.get(TOKENS, (0, 0)), totals.get(DOCUMENTS, (0, 0))
-    pairs = tokens[0] + texts[0]
-    closed = math.isfinite(spec.vocab_share)
-    inner = unigrams.filter(~F.col("h").isin(TOKENS, DOCUMENTS))
-    is_frequent = F.col("n") * spec.vocab_share >= tokens[0] if closed else F.col("n") * spec.hot_share >= pairs
-    found = inner.filter(is_frequent).toPandas()      # at most vocab_share or hot_share rows
-    counts = found[["n", "t"]].to_numpy(dtype=np.int64).T
-    unknown = np.array([tokens]).T - counts.sum(axis=1, keepdims=True)    # occurs in bigrams of a closed vocabulary only
-    hashes = np.concatenate([np.array([UNKNOWN, MARK], dtype=np.uint64), found["h"].to_numpy(dtype=np.int64).view(np.uint64)])
-    order = np.argsort(hashes)
-    counts = np.concatenate([unknown, np.array([texts]).T, counts], axis=1)[:, order]
-    size = (len(found) if closed else inner.count()) + 2
-    vocab = spark.sparkContext.broadcast(
-        Vocabulary(hashes[order], counts, size, np.array([tokens]).T + np.array([texts]).T, closed))
-
-    bigrams = (marked.mapInArrow(lambda it: _count_bigrams(it, vocab.value), "v long, w long, n long, t long")
-               .groupBy("v", "w").agg(*sums))
-    bigrams = saved(bigrams, "bigrams")
-    is_hot = F.col("n") * spec.hot_share >= pairs
-    counted = lambda frame: frame.mapInArrow(lambda it: _with_counts(it, vocab.value), _COUNTED)
-    losses = lambda frame: frame.mapInArrow(lambda it: _with_losses(it, vocab.value, spec),
-                                            "v long, w long, loss_b long, loss_t long")
-    # At most hot_share rows; a word is no rarer than its bigrams, so theirs are all frequent.
-    top = losses(counted(bigrams.filter(is_hot))).toPandas()
-    left, right = (top[c].to_numpy(dtype=np.int64).view(np.uint64) for c in "vw")
-    keys = _pair(left, right)
-    order = np.argsort(keys)
-    hot = spark.sparkContext.broadcast(
-        Hot(keys[order], left[order], right[order], top[["loss_b", "loss_t"]].to_numpy(dtype=np.int64).T[:, order].copy()))
-    rare = counted(bigrams.filter(~is_hot))
-    if not closed:
-        others = inner.filter(~is_frequent)
-        for c in "vw":
-            rare = rare.join(others.toDF("_h", "_n", "_t"), F.col(f"j{c}") == F.col("_h"), "left").withColumns(
-                {f"{c}n": F.coalesce(f"{c}n", "_n"), f"{c}t": F.coalesce(f"{c}t", "_t")}).drop("_h", "_n", "_t")
-    rare = losses(rare).toDF("_v", "_w", "_loss_b", "_loss_t")
-    scored = rows.mapInArrow(lambda it: _score(it, vocab.value, hot.value, 0), _SCORED)
-    is_text = F.col("loss_b").isNotNull()
-    summed = scored.join(rare, (F.col("v") == F.col("_v")) & (F.col("w") == F.col("_w")), "left").groupBy("doc_id").agg(
-        F.sum(F.when(is_text, F.col("n"))).alias("_n"),
-        *[F.sum(F.coalesce(F.col(c), F.col("n") * F.col(f"_{c}"))).alias(c) for c in ("loss_b", "loss_t")],
-        F.sum(F.when(is_text & (F.col("n") > 0), 1).otherwise(0)).alias("_texts"))
+    chunks = saved(marked.mapInArrow(_chunks, _CHUNK).withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+    vocab = None
+    if math.isfinite(spec.vocab_share):
+        counted = saved(chunks.select("texts").mapInArrow(_count_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")),
+                        "words")
+        tokens = counted.filter(F.col("h") == UNKNOWN).agg(F.sum("n")).first()[0] or 0
+        frequent = counted.filter((F.col("h") != UNKNOWN) & (F.col("n") * spec.vocab_share >= tokens))
+        vocab = np.sort(frequent.select("h").toPandas()["h"].to_numpy(dtype=np.int64).view(np.uint64))  # vocab_share rows at most
+    known = spark.sparkContext.broadcast(vocab)
+    buckets = max(1, math.ceil((chunks.agg(F.sum("size")).first()[0] or 0) / BUCKET_BYTES))
+    requests = chunks.select("chunk", "texts").mapInArrow(lambda it: _requests(it, known.value, buckets), _REQUEST)
+    answers = saved(requests.groupBy("bucket").applyInArrow(_answers, _ANSWER), "answers")
+    size, n, t = (x or 0 for x in answers.agg(F.sum("size"), F.sum("n"), F.sum("t")).first())
+    totals = Totals(size + 2, np.array([n, t]))
+    scored = chunks.select("chunk", "texts").groupBy("chunk").cogroup(
+        answers.select("chunk", "bucket", "words", "pairs").groupBy("chunk")).applyInArrow(
+        lambda a, b: _score(a, b, known.value, totals, spec), _SCORED)
+    summed = scored.groupBy("doc_id").agg(
+        F.sum("n").alias("_n"), F.sum("loss_b").alias("loss_b"), F.sum("loss_t").alias("loss_t"),
+        F.sum((F.col("n") > 0).cast("long")).alias("_texts"))
     mean = lambda c: F.when(F.col("_n") > 0, F.col(c) / F.col("_n") / float(MICRO))
     return summed.select("doc_id", (F.col("_n") - F.col("_texts")).alias("n_tokens"), mean("loss_t").alias("loss_target"),
                          mean("loss_b").alias("loss_background"),
