@@ -141,3 +141,26 @@ def test_fit_on_a_bounded_number_of_rows(spark):
     assert small.predictions.count() == full.predictions.count() == full.test.count()
     root = lambda f: float(f.estimator._java_obj.rootNode().impurityStats().count())
     assert 100 < root(small) < 300 < root(full) == full.train.count()
+
+
+def test_frame_of_a_fit_takes_no_memory(spark, t, monkeypatch):
+    """Memory is left to the rows that the fit itself keeps: the training frame and its sample wait on disk."""
+    from dataclasses import replace
+
+    from emporia.models import classifiers
+
+    build, kept = classifiers.build_pipeline, []
+
+    class Watched:
+        def __init__(self, *args):
+            self.pipeline = build(*args)
+
+        def fit(self, df):
+            df.count()
+            kept.extend((r.getStorageLevel().useMemory(), r.getStorageLevel().useDisk())
+                        for r in spark.sparkContext._jsc.getPersistentRDDs().values())
+            return self.pipeline.fit(df)
+
+    monkeypatch.setattr(classifiers, "build_pipeline", Watched)
+    classifiers.train(replace(classifiers.SPECS["dt"], train_rows=200), ml_source(t, "dt"), keep=t._keep)
+    assert kept == [(False, True)] * 2
