@@ -8,7 +8,9 @@ passage. Each hit is verified on its alignment: the best window of ``window``
 tokens (the whole item if it is shorter) must agree in at least
 ``min_equal`` of its positions. The masks of each length are such that every
 alignment which passes has a hit, so none is lost. Of hits that follow each
-other on one alignment the first is verified, in one pass over its tokens.
+other on one alignment the first is verified, in one pass over its tokens. Long documents
+are cut into pieces that carry as many tokens around them as the longest item
+has, so a hit's row holds a piece, never a whole text.
 
 The benchmark's seeds are broadcast in blocks of a bounded number of rows; a
 larger benchmark takes more passes over the documents, each over all rows.
@@ -38,6 +40,8 @@ SPACED = ("111010011", "110101101", "101100111", "111001011")
 BLOCK_SEEDS = 1 << 19
 LOOK_BACK = 16
 BROADCAST_LEAKS = 1 << 20
+# Tokens of a document in one row: cut in two steps, as a step reads the whole array for each of its pieces.
+PIECES = (8192, 256)
 
 
 def masks(length: int, others: int) -> tuple[str, ...]:
@@ -65,13 +69,37 @@ def tokens(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def seeds(frame: DataFrame, at: str, families: dict[int, tuple[str, ...]], own: Column | None = None) -> DataFrame:
+def least_mask(families: dict[int, tuple[str, ...]]) -> int:
+    return min(len(m) for some in families.values() for m in some)
+
+
+def pieces(rows: DataFrame, size: int, around: int) -> DataFrame:
+    """``rows`` with their ``_own`` positions, from ``_at`` on, cut into runs of ``size``.
+
+    Of the token hashes ``t`` each keeps its own, and ``around`` on both sides;
+    ``_lo`` is the place of the first one in the document of ``_n`` tokens.
+    """
+    def piece(k: Column) -> Column:
+        at = F.col("_at") + k
+        cut = F.greatest(F.lit(0), at - around)
+        return F.struct((F.col("_lo") + cut).alias("_lo"), (at - cut).alias("_at"), F.least(F.lit(size), F.col("_own") - k).alias("_own"),
+                        F.slice("t", cut + 1, at - cut + size + around).alias("t"))
+
+    cuts = F.when(F.col("_own") > 0, F.sequence(F.lit(0), F.col("_own") - 1, F.lit(size)))
+    return rows.select("_key", "_n", F.explode(F.transform(cuts, piece)).alias("_piece")).select("_key", "_n", "_piece.*")
+
+
+def seeds(frame: DataFrame, at: str, families: dict[int, tuple[str, ...]], own: Column | None = None,
+          positions: Column | None = None) -> DataFrame:
     """One row per window and mask: ``frame`` (with token hashes ``t``) plus the position ``at`` and the hash ``h``.
 
     ``families`` are the masks of each length; ``own`` is the one length of a row whose masks are taken, else all are.
+    Windows start at all positions, or at the ``positions`` given.
     """
-    least = min(len(m) for some in families.values() for m in some)
-    rows = frame.filter(F.size("t") >= least).withColumn(at, F.explode(F.expr(f"sequence(0, size(t) - {least})")))
+    if positions is None:
+        least = least_mask(families)
+        frame, positions = frame.filter(F.size("t") >= least), F.sequence(F.lit(0), F.size("t") - least)
+    rows = frame.withColumn(at, F.explode(positions))
     hashes = []
     for length, some in families.items():
         for i, mask in enumerate(some):
@@ -117,19 +145,25 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13, min_equal:
     """
     bench = (benchmark.select(F.col(item).alias("_item"), tokens(F.col(text).cast("string")).alias("t"))
              .filter(F.col("_item").isNotNull() & (F.size("t") >= SPAN)).distinct().withColumn("_text", F.xxhash64("_item", "t")))
-    rows = docs.select(F.col(key).alias("_key"), tokens(F.col(text).cast("string")).alias("t"))
     own = F.least(F.size("t"), F.lit(window))
     lengths = sorted(r[0] for r in bench.select(own).distinct().collect()) or [window]      # at most window rows
     families = {n: masks(n, n - ceil(n * min_equal)) for n in lengths}
     rows_of = {n: (F.size("t") - len(some[0]) + 1) * len(some) for n, some in families.items()}
-    total = bench.agg(F.sum(F.coalesce(*[F.when(own == n, c) for n, c in rows_of.items()]))).first()[0] or 0
-    blocks = max(1, ceil(total / block_seeds))
+    total, longest = bench.agg(F.sum(F.coalesce(*[F.when(own == n, c) for n, c in rows_of.items()])), F.max(F.size("t"))).first()
+    blocks = max(1, ceil((total or 0) / block_seeds))
+    rows = (docs.select(F.col(key).alias("_key"), tokens(F.col(text).cast("string")).alias("t"))
+            .select("_key", "t", F.size("t").alias("_n"), F.lit(0).alias("_lo"), F.lit(0).alias("_at"),
+                    (F.size("t") - least_mask(families) + 1).alias("_own")))
+    # No alignment of an item, and no window of a mask, takes more tokens before or after a position than the longest item has.
+    for size in PIECES:
+        rows = pieces(rows, size, longest or window)
+    places = F.sequence("_at", F.col("_at") + F.col("_own") - 1)
     parts = []
     for b in range(blocks):
         part = bench if blocks == 1 else bench.filter(F.pmod(F.xxhash64("_text"), F.lit(blocks)) == b)
         table = F.broadcast(part.select("_item", "_text", F.col("t").alias("u")))
         wanted = F.broadcast(seeds(part, "q", families, own).select("h", "_text", "q").distinct())
-        hits = seeds(rows, "p", families).join(wanted, "h").join(table, "_text")
+        hits = seeds(rows, "p", families, positions=places).join(wanted, "h").join(table, "_text")
         # The hits of a passage follow each other; the first of each run verifies the alignment for all.
         leads = (F.size("u") < window) | ~_follows(families[window]) if window in families else F.lit(True)
         parts.append(_verified(hits, leads, window, min_equal))
@@ -145,11 +179,11 @@ def _verified(hits: DataFrame, leads: Column, window: int, min_equal: float) ->
     diagonal = F.col("p") - F.col("q")
     first = F.greatest(F.lit(0), -diagonal)
     last = F.least(F.size("u"), F.size("t") - diagonal)      # item positions on the alignment: first until last
-    hits = hits.select("_key", "_item", (first + diagonal).alias("start"), (last + diagonal).alias("end"),
+    hits = hits.select("_key", "_item", (F.col("_lo") + first + diagonal).alias("start"), (F.col("_lo") + last + diagonal).alias("end"),
                        F.slice("t", first + diagonal + 1, last - first).alias("_doc"),
                        F.slice("u", first + 1, last - first).alias("_ref"),
                        F.least(F.lit(window), F.size("u")).alias("_window"), F.size("u").alias("n_item"),
-                       (F.col("t") == F.col("u")).alias("whole"), leads.alias("_leads"))
+                       ((F.col("_n") == F.size("u")) & (F.col("t") == F.col("u"))).alias("whole"), leads.alias("_leads"))
     equal = F.zip_with("_doc", "_ref", lambda a, b: (a == b).cast("int"))
     # Inside one expression, since the planner may test a filter's conditions in any order.
     sums = F.when(F.col("_leads") & (F.size("_doc") >= F.col("_window")), _sums(equal, F.col("_window")))
