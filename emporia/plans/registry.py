@@ -33,7 +33,7 @@ from emporia.operators import sketches
 from emporia.operators.rfm_state import RfmState, Scored
 from emporia.plans.batch_job import named_tables, orders_by_year, summaries
 from emporia.plans.session import ensure_checkpoint_dir
-from emporia.plans.tables import CommerceTables, clusters, fitted, from_testdata, ml_source
+from emporia.plans.tables import ORDER_PARTS, CommerceTables, clusters, fitted, from_testdata, ml_source
 from emporia.sources.files import load_sound_csv
 from emporia.sources.schemas import CATALOGUE
 from emporia.sources.sinks import export_all, write_parquet
@@ -351,10 +351,23 @@ REGISTRY["summary_rfm_retail"] = _table_query(lambda t: P.describe(
 
 
 def _export(t: CommerceTables) -> DataFrame:
-    """Rows of each export, read back from its files."""
+    """Rows of each export, read back from its files.
+
+    Where the session has not built the featured orders for other queries, the job has tables of its own, and deletes
+    each saved one after its last use, so that they do not lie beside the exports.
+    """
+    own = t if "master_featured" in vars(t) else CommerceTables(t.spark, t.raw, t.rows_in_task, t.materialize, t._buckets)
+    release = own.release if own is not t else lambda *names: None
+    own.master_featured
+    release(*ORDER_PARTS)
     base = ensure_checkpoint_dir(t.spark).rstrip("/") + f"/exports-{t.spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
-    tables = {k: to_edge_types(v) for k, v in named_tables(t).items()}
-    return export_all(tables, summaries(t.summary_cells), base).select("export", "row_count")
+    cells = own.summary_cells
+    tables = {k: to_edge_types(v) for k, v in named_tables(own).items()}
+    release("retail_clean")
+    # All that follows is saved on its own, or is computed from the saved customers and retail lines.
+    last_use = {"master_featured": "master_featured", "rfm_olist": "rfm_base", "rfm_retail": "retail_lines"}
+    written = export_all(tables, summaries(cells), base, done=lambda name: release(*[n for k, n in last_use.items() if k == name]))
+    return written.select("export", "row_count")
 
 
 REGISTRY["export_manifest"] = _table_query(_export)

@@ -26,14 +26,19 @@ from emporia.plans.session import ensure_checkpoint_dir
 from emporia.sources import testdata
 from emporia.sources.files import load_all, load_all_sound, load_parquet
 from emporia.sources.schemas import CATALOGUE
-from emporia.sources.sinks import balanced, refresh_partitions, save_bucketed
+from emporia.sources.sinks import balanced, delete_folder, refresh_partitions, save_bucketed
 
 ORDERS_PER_BUCKET = 100_000     # a bucket's lines are sorted within a task's memory
 MIN_BUCKETS = 8
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tables-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}/{name}"
+
+
 def materialized(df: DataFrame, name: str, partition_by: list[str] | None = None,
-                 sort_within: list[str] | None = None, dealt: bool = False) -> DataFrame:
+                 sort_within: list[str] | None = None, dealt: bool = False, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Reading back from Parquet (rather than an RDD checkpoint) keeps column
@@ -43,8 +48,7 @@ def materialized(df: DataFrame, name: str, partition_by: list[str] | None = None
     rows are already together by ``partition_by``.
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tables-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}/{name}"
+    path = path or _folder(spark, name)
     # Partition columns lead the sort, so the writer's own ordering requirement
     # is already met and the status order inside each file is kept.
     order = [*(partition_by or []), *(sort_within or [])] if sort_within else []
@@ -77,9 +81,13 @@ class CommerceTables:
         self.quarantine: dict[str, DataFrame] = {}      # malformed input records, by table
         self._buckets = buckets
         self._counts: dict[str, dict] = {}
+        self._paths: dict[str, str] = {}                # folders of saved tables, by name
 
     def _keep(self, df: DataFrame, name: str, **kw) -> DataFrame:
-        return materialized(df, name, **kw) if self.materialize else df
+        if not self.materialize:
+            return df
+        self._paths[name] = _folder(self.spark, name)
+        return materialized(df, name, path=self._paths[name], **kw)
 
     @cached_property
     def buckets(self) -> int:
@@ -88,9 +96,8 @@ class CommerceTables:
     def _keep_by_order(self, df: DataFrame, name: str) -> DataFrame:
         if not self.materialize:
             return df
-        base, tag = ensure_checkpoint_dir(self.spark).rstrip("/"), uuid.uuid4().hex[:8]
-        path = f"{base}/tables-{self.spark.sparkContext.applicationId}-{tag}/{name}"
-        self.bucketed.append(save_bucketed(df, f"emporia_{name}_{tag}", path, "order_id", self.buckets))
+        path = self._paths[name] = _folder(self.spark, name)
+        self.bucketed.append(save_bucketed(df, f"emporia_{name}_{uuid.uuid4().hex[:8]}", path, "order_id", self.buckets))
         return self.spark.table(self.bucketed[-1])
 
     def drop_bucketed(self) -> None:
@@ -98,6 +105,24 @@ class CommerceTables:
         while self.bucketed:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.bucketed.pop()}")
 
+    def release(self, *names: str) -> None:
+        """Delete the files of saved tables that nothing to come reads; asked for again, a table is built again.
+
+        For tables objects that one job owns: frames over the deleted files can no longer be read. The shuffles that
+        built them go too, as soon as the driver's collector finds them unused.
+        """
+        for name in names:
+            if name not in self._paths:
+                continue
+            for table in [b for b in self.bucketed if b.startswith(f"emporia_{name}_")]:
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+                self.bucketed.remove(table)
+            delete_folder(self.spark, self._paths.pop(name))
+            self.__dict__.pop(CLEAN.get(name.removesuffix("_clean"), name), None)
+        for derived in DERIVED:         # frames over saved tables
+            self.__dict__.pop(derived, None)
+        self.spark.sparkContext._jvm.System.gc()
+
     # -- clean tables --------------------------------------------------------
     def _cleaned(self, name: str, finish=None, by_order: bool = False) -> DataFrame:
         """A clean table, saved; its counts are taken by the job that writes it."""
@@ -213,8 +238,8 @@ class CommerceTables:
             return E.featurize_orders(self.master)
         # The rows are brought together by year before the features widen them.
         dealt = balanced(self.master.withColumn("order_year", F.year("order_purchase_timestamp")), ["order_year"])
-        return materialized(E.featurize_orders(dealt), "master_featured", partition_by=["order_year"],
-                            sort_within=["order_status"], dealt=True)
+        return self._keep(E.featurize_orders(dealt), "master_featured", partition_by=["order_year"],
+                          sort_within=["order_status"], dealt=True)
 
     @cached_property
     def summary_cells(self) -> DataFrame:
@@ -273,6 +298,10 @@ class CommerceTables:
 CLEAN = {"orders": "orders_clean", "customers": "customers_clean", "order_items": "items_clean", "payments": "payments_clean",
          "reviews": "reviews_clean", "category_translation": "category_clean", "products": "products_clean",
          "sellers": "sellers_clean", "retail": "retail_clean"}
+# Properties that are not saved.
+DERIVED = ("reviews_latest", "items_agg", "payments_agg", "master", "rfm_olist", "rfm_olist_as_coded", "retail_featured", "rfm_retail")
+# Saved tables from which the featured orders are built.
+ORDER_PARTS = ("items_side", *[f"{n}_clean" for n in CLEAN if n != "retail"])
 
 _MEMO: dict = {}
 

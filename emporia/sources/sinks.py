@@ -48,11 +48,15 @@ def refresh_partitions(df: DataFrame, path: str, partition_by: str, values: list
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
     # Only partitions with rows are overwritten: one that keeps its old files has none.
     for folder in {f for f, _ in before & _files_in(spark, path, folders)}:
-        gone = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{folder}")
-        gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+        delete_folder(spark, f"{path.rstrip('/')}/{folder}")
     return path
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    gone = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+
+
 def _files_in(spark: SparkSession, path: str, folders: list[str]) -> set[tuple[str, str]]:
     """(folder, file) of the data files in partition folders; a listing, no file is read."""
     folder = F.regexp_extract("path", r"/([^/]+)/part-[^/]*$", 1)
@@ -93,11 +97,12 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def export_all(tables: dict[str, DataFrame], summaries: dict[str, DataFrame], base: str,
-               parquet_tables: tuple[str, ...] = ("master_featured",)) -> DataFrame:
+               parquet_tables: tuple[str, ...] = ("master_featured",), done=None) -> DataFrame:
     """Write the export set and return its manifest: rows, files and bytes per export, read back from the files.
 
     Named tables go out as Parquet (those in ``parquet_tables``) and as
-    partitioned CSV; the grouped summaries as single CSV files.
+    partitioned CSV; the grouped summaries as single CSV files. ``done(name)``
+    is called when a table is out and will not be read again.
     """
     base = base.rstrip("/")
     spark = next(iter(tables.values())).sparkSession
@@ -107,6 +112,8 @@ def export_all(tables: dict[str, DataFrame], summaries: dict[str, DataFrame], ba
             write_parquet(df, f"{base}/{name}.parquet")
             rows.append((f"{name}.parquet", load_parquet(spark, f"{base}/{name}.parquet").count()))
         rows.append((f"{name}_csv", load_csv(spark, write_csv(df, f"{base}/{name}_csv"), df.schema, multi_line=True).count()))
+        if done:
+            done(name)
     for name, df in summaries.items():
         path = write_csv(df, f"{base}/summary_{name}", single_file=True)
         rows.append((f"summary_{name}", load_csv(spark, path, df.schema, multi_line=True).count()))
