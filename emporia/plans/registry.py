@@ -364,8 +364,10 @@ def _export(t: CommerceTables) -> DataFrame:
     cells = own.summary_cells
     tables = {k: to_edge_types(v) for k, v in named_tables(own).items()}
     release("retail_clean")
+    # The largest export comes last: the shuffle of the retail customers has gone by then.
+    tables["online_retail_featured"] = tables.pop("online_retail_featured")
     # All that follows is saved on its own, or is computed from the saved customers and retail lines.
-    last_use = {"master_featured": "master_featured", "rfm_olist": "rfm_base", "rfm_retail": "retail_lines"}
+    last_use = {"master_featured": "master_featured", "rfm_olist": "rfm_base", "online_retail_featured": "retail_lines"}
     written = export_all(tables, summaries(cells), base, done=lambda name: release(*[n for k, n in last_use.items() if k == name]))
     return written.select("export", "row_count")
 
